@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nightwave.llm import byte_bpe, exact_dedup, mixing
+from nightwave.llm import bag_minhash, byte_bpe, exact_dedup, mixing, toxicity
 from nightwave.llm.common import table, written
 from nightwave.llm.queries import RANK_FILE
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score below one half."""
+    score = f"score_{uuid.uuid4().hex}"
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_score(docs, machine, score).filter(F.col(score) < 0.5).select(*docs.columns)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bag_minhash.without_near_copies(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
@@ -22,7 +36,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
-STAGES = [("exact dedup", exact), ("mixing", mixture), ("encoding", encoding)]
+STAGES = [("toxicity", toxic), ("exact dedup", exact), ("near dedup", near), ("mixing", mixture), ("encoding", encoding)]
 
 #: No SQL expresses the learned scores, the signatures and the merges; tests hold run() against brute force.
 ORACLE_SQL = None

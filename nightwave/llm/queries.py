@@ -5,12 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nightwave.llm import byte_bpe, exact_dedup, mixing
+from nightwave.llm import bag_minhash, byte_bpe, exact_dedup, mixing, toxicity
 from nightwave.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -23,7 +28,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op6_exact_dedup, op7_byte_bpe)}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op6_exact_dedup, op7_byte_bpe, op9_near_dedup)}
 
 ORACLES = {
     "op6_exact_dedup": """
