@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightwave.llm import bag_minhash, byte_bpe, chat_format, exact_dedup, mixing, reputation, toxicity
+from nightwave.llm import bag_minhash, byte_bpe, chat_format, exact_dedup, mixing, reputation, secret_scan, toxicity
 from nightwave.llm.common import table
 
 #: (verdict, host, path)
@@ -50,7 +50,16 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op5_url_reputation, op6_exact_dedup, op7_byte_bpe, op8_chat_format, op9_near_dedup)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("crf"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op5_url_reputation, op6_exact_dedup, op7_byte_bpe, op8_chat_format, op9_near_dedup, op10_secret_scan)}
 
 #: In DuckDB's syntax: the control strings with any backslashes after their first character, that character captured.
 _CONTROL = r"""(<)(\\*(?:\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>))|(\[)(\\*(?:INST\]|/INST\]))"""
