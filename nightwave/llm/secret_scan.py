@@ -35,7 +35,7 @@ KINDS = ("assign", "access", "hex", "crf")
 KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
-_CORE = re.compile(r"""^[^A-Za-z0-9]*(?:[A-Za-z_.-]+["']?[:=]["']?)?([A-Za-z0-9].*?)[^A-Za-z0-9+/_=-]*$""", re.DOTALL)
+_CORE = re.compile(r"""[^A-Za-z0-9]*(?:[A-Za-z_.-]+["']?[:=]["']?)?([A-Za-z0-9].*?)[^A-Za-z0-9+/_=-]*$""", re.DOTALL)
 _TOKEN = re.compile(r"\S+")
 MAX_DOCS, MAX_LINES, CACHE, SHAPES = 1500, 6000, 400_000, 32
 O, B, I = 0, 1, 2
