@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightwave.llm import bag_minhash, byte_bpe, chat_format, exact_dedup, mixing, nn_descent, reputation, secret_scan, toxicity
+from nightwave.llm import bag_minhash, byte_bpe, chat_format, exact_dedup, html_extract, mixing, nn_descent, reputation, secret_scan, toxicity
 from nightwave.llm.common import table
 
 #: (verdict, host, path)
@@ -27,6 +27,11 @@ def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.main_text(pages, html_extract.fit(pages)).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page shows the document whose number is in its path; its outcome is bad if that document is labelled of low quality."""
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
@@ -63,7 +68,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("crf"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op3_nn_descent, op5_url_reputation, op6_exact_dedup, op7_byte_bpe, op8_chat_format, op9_near_dedup, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op3_nn_descent, op4_html_extract, op5_url_reputation, op6_exact_dedup, op7_byte_bpe, op8_chat_format, op9_near_dedup, op10_secret_scan)}
 
 #: In DuckDB's syntax: the control strings with any backslashes after their first character, that character captured.
 _CONTROL = r"""(<)(\\*(?:\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>))|(\[)(\\*(?:INST\]|/INST\]))"""
