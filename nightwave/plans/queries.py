@@ -1,4 +1,158 @@
 """Registered queries over the driver's tables, with the SQL they must equal."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nightwave.operators import events, scoring, smoothing
+from nightwave.plans import views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+#: Keywords that overlap on purpose, so that a class is in both groups.
+TARGET, BREATH = ("ring",), ("bolt", "ring")
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+    return add
+
+
+def _frames(spark, sf_dir):
+    return scoring.interpolate_frames(views.scores(spark, sf_dir), views.score_recordings(spark, sf_dir))
+
+
+def _smooth(spark, sf_dir):
+    return smoothing.smooth_probabilities(_frames(spark, sf_dir))
+
+
+def _runs(spark, sf_dir):
+    return events.find_runs(events.threshold_mask(_smooth(spark, sf_dir)))
+
+
+def _six(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+@query(f"""WITH {views.V_EVENTS}
+  SELECT r.recording_id, count(event_id) AS n_events, coalesce(round(sum("end" - start), 4), 0) AS total_s, round(100 * coalesce(round(sum("end" - start), 4), 0) / duration_s, 4) AS percent
+  FROM v_recordings r LEFT JOIN found USING (recording_id) GROUP BY r.recording_id, duration_s""")
+def flagship_event_summary(spark, sf_dir):
+    return events.event_summary(events.group_frames(_smooth(spark, sf_dir)), views.score_recordings(spark, sf_dir))
+
+
+_PROBS = """
+  probs AS (SELECT CAST(label AS VARCHAR) AS recording_id, vec_id AS window_id, 1.0::DOUBLE + 0.5::DOUBLE * vec_id AS center_s,
+                   list_transform(embedding, lambda x: exp(x::DOUBLE - list_max(embedding)::DOUBLE)) AS e FROM embeddings),
+  class_probs AS (SELECT recording_id, window_id, center_s, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM probs)"""
+
+
+def _probs(spark, sf_dir):
+    return views.logits(spark, sf_dir).select("recording_id", "window_id", "center_s", scoring.softmax_probs("logits").alias("probs"))
+
+
+@query(f"WITH {_PROBS} SELECT recording_id, window_id, unnest(range(64)) AS class_id, round(unnest(probs), 6) AS prob FROM class_probs")
+def w3_softmax(spark, sf_dir):
+    return _probs(spark, sf_dir).select("recording_id", "window_id", F.posexplode("probs").alias("class_id", "p")).select("recording_id", "window_id", F.col("class_id").cast("long").alias("class_id"), F.round("p", 6).alias("prob"))
+
+
+@query("SELECT CAST(p_partkey AS INTEGER) AS class_id, p_name AS label FROM part WHERE p_partkey < 64 AND contains(lower(p_name), 'ring')")
+def w4_label_lookup(spark, sf_dir):
+    return scoring.find_label_indices(views.class_labels(spark, sf_dir), TARGET)
+
+
+@query("""SELECT CAST(p_partkey AS INTEGER) AS class_id, 'snore' AS grp FROM part WHERE p_partkey < 64 AND contains(lower(p_name), 'ring')
+  UNION ALL SELECT CAST(p_partkey AS INTEGER), 'breath' FROM part WHERE p_partkey < 64 AND (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt'))""")
+def w5_targets(spark, sf_dir):
+    return scoring.resolve_targets(views.class_labels(spark, sf_dir), TARGET, BREATH)
+
+
+@query(f"""WITH {_PROBS},
+  s AS (SELECT list(p_partkey + 1) AS ids FROM part WHERE p_partkey < 64 AND contains(lower(p_name), 'ring')),
+  b AS (SELECT list(p_partkey + 1) AS ids FROM part WHERE p_partkey < 64 AND (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt')))
+  SELECT recording_id, window_id, center_s, round(least((2 * list_max(list_transform(s.ids, lambda i: probs[i])) + list_max(list_transform(b.ids, lambda i: probs[i]))) / 3, 1), 6) AS score FROM class_probs, s, b""")
+def w6_window_score(spark, sf_dir):
+    return _six(scoring.aggregate_score(_probs(spark, sf_dir), scoring.resolve_targets(views.class_labels(spark, sf_dir), TARGET, BREATH)), "score")
+
+
+@query(f"WITH {views.V_SCORES} SELECT recording_id, round(max(score), 6) AS max_score, round(avg(score), 6) AS mean_score, count(*) FILTER (score > 0.3) AS n_over, count(*) AS n_windows FROM v_scores GROUP BY ALL")
+def w7_window_stats(spark, sf_dir):
+    return _six(scoring.window_stats(views.scores(spark, sf_dir)), "max_score", "mean_score")
+
+
+@query(f"WITH {views.V_FRAMES} SELECT recording_id, frame_idx, t, round(prob, 6) AS prob FROM frames")
+def w8_frames(spark, sf_dir):
+    return _six(_frames(spark, sf_dir), "prob")
+
+
+@query(f"WITH {views.V_SMOOTH} SELECT recording_id, count(*) AS n_frames, round(max(prob), 6) AS max_prob, round(avg(prob), 6) AS mean_prob, count(*) FILTER (prob >= 0.3) AS n_on FROM smooth GROUP BY ALL")
+def w9_trace_stats(spark, sf_dir):
+    return _six(scoring.trace_stats(_smooth(spark, sf_dir), 0.3), "max_prob", "mean_prob")
+
+
+@query(f"WITH {views.V_FRAMES}, {views._padded('frames', 'pad', 5, 4).strip()} SELECT recording_id, frame_idx, round(prob, 6) AS prob FROM pad")
+def m2_reflect_pad(spark, sf_dir):
+    return _six(smoothing.reflect_pad(_frames(spark, sf_dir), 5, 4).select("recording_id", "frame_idx", "prob"), "prob")
+
+
+@query(f"WITH {views.V_FRAMES}, {views.median_sql('frames', 'med').strip()} SELECT recording_id, frame_idx, round(prob, 6) AS prob FROM med")
+def m3_median_filter(spark, sf_dir):
+    return _six(smoothing.median_filter(_frames(spark, sf_dir), 10), "prob")
+
+
+@query(f"WITH {views.V_FRAMES}, {views.uniform_sql('frames', 'uni').strip()} SELECT recording_id, frame_idx, round(prob, 5) AS prob FROM uni")
+def m4_uniform_filter(spark, sf_dir):
+    return smoothing.uniform_filter(_frames(spark, sf_dir), 20).withColumn("prob", F.round("prob", 5))
+
+
+@query(f"WITH {views.V_SMOOTH} SELECT * FROM smooth")
+def m5_smooth(spark, sf_dir):
+    return _smooth(spark, sf_dir)
+
+
+@query(f"WITH {views.V_SMOOTH} SELECT recording_id, frame_idx, prob >= 0.30 AS is_on FROM smooth")
+def e1_threshold_mask(spark, sf_dir):
+    return events.threshold_mask(_smooth(spark, sf_dir)).select("recording_id", "frame_idx", "is_on")
+
+
+@query(f'WITH {views.V_RUNS} SELECT recording_id, first_frame, last_frame, start, "end", round(confidence, 6) AS confidence FROM runs')
+def e2_e3_runs(spark, sf_dir):
+    return _six(_runs(spark, sf_dir), "confidence")
+
+
+@query(f'WITH {views.V_MERGED} SELECT recording_id, first_frame, last_frame, start, "end", round(confidence, 6) AS confidence FROM merged')
+def e4_merge_runs(spark, sf_dir):
+    return _six(events.merge_runs(_runs(spark, sf_dir)), "confidence")
+
+
+@query(f'WITH {views.V_EVENTS} SELECT recording_id, first_frame, last_frame, start, "end", round(confidence, 6) AS confidence FROM padded')
+def e5_pad_events(spark, sf_dir):
+    trace = _smooth(spark, sf_dir)
+    lengths = trace.groupBy("recording_id").agg((F.max("frame_idx") + 1).alias("n_frames"))
+    return _six(events.pad_events(events.merge_runs(_runs(spark, sf_dir)), lengths), "confidence")
+
+
+@query(f"WITH {views.V_EVENTS} SELECT * FROM found")
+def e6_e7_events(spark, sf_dir):
+    return events.group_frames(_smooth(spark, sf_dir))
+
+
+@query(f"""WITH {views.V_EVENTS}
+  SELECT recording_id, count(DISTINCT first_frame) FILTER (stage = 1) AS n_raw, count(DISTINCT first_frame) FILTER (stage = 2) AS n_merged, count(DISTINCT first_frame) FILTER (stage = 3) AS n_kept
+  FROM v_recordings LEFT JOIN (SELECT 1 AS stage, recording_id, first_frame FROM runs UNION ALL SELECT 2, recording_id, first_frame FROM merged UNION ALL SELECT 3, recording_id, first_frame FROM kept) USING (recording_id) GROUP BY recording_id""")
+def e8_event_counts(spark, sf_dir):
+    return events.event_counts(_smooth(spark, sf_dir))
+
+
+@query(f"""WITH {views.V_EVENTS}
+  SELECT recording_id, event_id, start, "end", confidence, round("end" - start, 4) AS length_s, greatest(0, n_all - 20) AS n_more
+  FROM (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY start) AS place, count(*) OVER (PARTITION BY recording_id) AS n_all FROM found) WHERE place <= 20""")
+def e10_top_events(spark, sf_dir):
+    return events.top_events(events.group_frames(_smooth(spark, sf_dir)))
