@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightwave.operators import events, scoring, smoothing
+from nightwave.operators import chunks, clips, events, scoring, smoothing, windows
 from nightwave.plans import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,9 +107,9 @@ def m3_median_filter(spark, sf_dir):
     return _six(smoothing.median_filter(_frames(spark, sf_dir), 10), "prob")
 
 
-@query(f"WITH {views.V_FRAMES}, {views.uniform_sql('frames', 'uni').strip()} SELECT recording_id, frame_idx, round(prob, 5) AS prob FROM uni")
+@query(f"WITH {views.V_FRAMES}, {views.uniform_sql('frames', 'uni').strip()} SELECT recording_id, frame_idx, round(prob, 9) AS prob FROM uni")
 def m4_uniform_filter(spark, sf_dir):
-    return smoothing.uniform_filter(_frames(spark, sf_dir), 20).withColumn("prob", F.round("prob", 5))
+    return smoothing.uniform_filter(_frames(spark, sf_dir), 20).withColumn("prob", F.round("prob", 9))
 
 
 @query(f"WITH {views.V_SMOOTH} SELECT * FROM smooth")
@@ -156,3 +156,94 @@ def e8_event_counts(spark, sf_dir):
   FROM (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY start) AS place, count(*) OVER (PARTITION BY recording_id) AS n_all FROM found) WHERE place <= 20""")
 def e10_top_events(spark, sf_dir):
     return events.top_events(events.group_frames(_smooth(spark, sf_dir)))
+
+
+def _summed(df: DataFrame) -> DataFrame:
+    """Samples by their number, sum, first and last."""
+    total = F.aggregate("samples", F.lit(0.0), lambda a, b: a + b.cast("double"))
+    return df.withColumns({"n": F.size("samples"), "total": F.round(total, 6), "first": F.col("samples")[0].cast("double"), "last": F.element_at("samples", -1).cast("double")})
+
+
+_SUMS = "CAST(count(*) AS INTEGER) AS n, round(sum(x), 6) AS total, arg_min(x, i)::DOUBLE AS first, arg_max(x, i)::DOUBLE AS last"
+_KEYS = ("recording_id", "channel", "chunk_id", "n", "total", "first", "last")
+
+
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, 1000 AS sample_rate, 2 AS n_channels, n_samples, duration_s FROM v_signal_recordings")
+def s2_recordings(spark, sf_dir):
+    return chunks.recordings(views.signal(spark, sf_dir, 2))
+
+
+@query(f"WITH {views.V_SIGNAL}, m AS (SELECT recording_id, 0 AS channel, i // 512 AS chunk_id, i, (amp + CASE WHEN i % 2 = 1 THEN -amp / 2 ELSE amp / 2 END) / 2 AS x FROM v_samples) SELECT recording_id, channel, chunk_id, {_SUMS} FROM m GROUP BY ALL")
+def c1_to_mono(spark, sf_dir):
+    return _summed(chunks.to_mono(views.signal(spark, sf_dir, 2))).select(*_KEYS)
+
+
+@query(f"WITH {views.V_SIGNAL}, m AS (SELECT recording_id, unnest([0, 1]) AS channel, i // 512 AS chunk_id, i, amp AS x FROM v_samples) SELECT recording_id, channel, chunk_id, {_SUMS} FROM m GROUP BY ALL")
+def c2_to_stereo(spark, sf_dir):
+    return _summed(chunks.to_stereo(views.signal(spark, sf_dir))).select(*_KEYS)
+
+
+@query(f"""WITH {views.V_SIGNAL}, m AS (
+    SELECT recording_id, 0 AS channel, c AS chunk_id, i, amp AS x FROM v_samples, LATERAL (SELECT unnest(range((i - 59) // 512 - 2, i // 512 + 2)) AS c)
+    WHERE c >= 0 AND c <= (n_samples - 1) // 512 AND i >= c * 512 - 100 AND i < (c + 1) * 512 + 60)
+  SELECT recording_id, channel, chunk_id, {_SUMS} FROM m GROUP BY ALL""")
+def c4_halo(spark, sf_dir):
+    return _summed(chunks.with_halo(views.signal(spark, sf_dir), 100, 60)).select(*_KEYS)
+
+
+@query(f"WITH {views.V_SIGNAL}, m AS (SELECT recording_id, 0 AS channel, i // 512 AS chunk_id, i, amp AS x FROM v_samples) SELECT recording_id, channel, chunk_id, {_SUMS} FROM m GROUP BY ALL")
+def c4_stitch(spark, sf_dir):
+    return _summed(chunks.stitch(chunks.with_halo(views.signal(spark, sf_dir), 100, 60))).select(*_KEYS)
+
+
+@query(f"""WITH {views.V_SIGNAL}, m AS (
+    SELECT recording_id, k AS window_id, i, amp AS x FROM v_samples, LATERAL (SELECT unnest(range(i // 100 - 4, i // 100 + 1)) AS k) WHERE k >= 0 AND i >= k * 100 AND i < k * 100 + 400)
+  SELECT recording_id, window_id, (window_id * 100 + 200) / 1000.0::DOUBLE AS center_s, 400 AS n, round(sum(x), 6) AS total, arg_min(x, i)::DOUBLE AS first,
+         coalesce(max(x) FILTER (i = window_id * 100 + 399), 0)::DOUBLE AS last FROM m GROUP BY ALL""")
+def w1_windows(spark, sf_dir):
+    return _summed(windows.make_windows(views.signal(spark, sf_dir), 0.4, 0.1)).drop("samples")
+
+
+def _ranges(spark, sf_dir):
+    recs = chunks.recordings(views.signal(spark, sf_dir))
+    return clips.event_samples(views.segments(recs), recs)
+
+
+def _clips(spark, sf_dir):
+    return clips.cut_clips(_ranges(spark, sf_dir).drop("n_samples"), views.signal(spark, sf_dir, 2), views.CHUNK_SAMPLES)
+
+
+_CUT = views.V_SEGMENTS + """,
+  cut AS (
+    SELECT r.recording_id, event_id, start, "end", confidence, s, e, round(sum(amp), 6) AS total, sum(amp * amp * 1.25::DOUBLE) AS squares, 2 * count(*) AS n_values, sqrt(sum(amp * amp * 1.25::DOUBLE) / (2 * count(*))) AS rms
+    FROM v_ranges r JOIN v_samples v ON v.recording_id = r.recording_id AND v.i >= s AND v.i < e GROUP BY ALL)"""
+#: A level that some clips of the view are below.
+_QUIET = 0.2
+
+
+@query(f'WITH {views.V_SEGMENTS} SELECT recording_id, CAST(event_id AS INTEGER) AS event_id, s AS start_sample, e AS end_sample FROM v_ranges')
+def k1_event_samples(spark, sf_dir):
+    return _ranges(spark, sf_dir).select("recording_id", "event_id", "start_sample", "end_sample")
+
+
+@query(f"WITH {_CUT} SELECT recording_id, CAST(event_id AS INTEGER) AS event_id, s AS start_sample, e AS end_sample, total, n_values, 2 AS channels FROM cut")
+def k2_cut_clips(spark, sf_dir):
+    first = F.aggregate(F.col("samples")[0], F.lit(0.0), lambda a, b: a + b.cast("double"))
+    return _clips(spark, sf_dir).select("recording_id", "event_id", "start_sample", "end_sample", F.round(first, 6).alias("total"), "n_values", F.size("samples").alias("channels"))
+
+
+@query(f"WITH {_CUT} SELECT recording_id, CAST(event_id AS INTEGER) AS event_id, round(rms, 6) AS rms FROM cut WHERE rms >= {_QUIET}")
+def k3_drop_silent(spark, sf_dir):
+    return _six(clips.drop_silent(_clips(spark, sf_dir), _QUIET), "rms").select("recording_id", "event_id", "rms")
+
+
+@query(f"""WITH {_CUT}
+  SELECT recording_id, format('snore_{{:04d}}.wav', row_number() OVER (PARTITION BY recording_id ORDER BY event_id)) AS clip_file, round(start, 4) AS start_time, round("end", 4) AS end_time, round((e - s) / 1000.0::DOUBLE, 4) AS duration, confidence
+  FROM cut WHERE rms >= {_QUIET}""")
+def k4_k5_manifest(spark, sf_dir):
+    return clips.manifest(clips.name_clips(clips.drop_silent(_clips(spark, sf_dir), _QUIET)))
+
+
+@query(f"WITH {_CUT} SELECT recording_id, count(*) FILTER (rms >= {_QUIET}) AS n_saved, count(*) FILTER (rms < {_QUIET}) AS n_silent, round(coalesce(sum((e - s) / 1000.0::DOUBLE) FILTER (rms >= {_QUIET}), 0), 4) AS saved_s FROM cut GROUP BY ALL")
+def k6_cut_stats(spark, sf_dir):
+    return clips.cut_stats(_clips(spark, sf_dir), _QUIET)

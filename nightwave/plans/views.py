@@ -92,3 +92,47 @@ V_EVENTS = V_MERGED + """,
     SELECT recording_id, first_frame, round(round(start, 8), 4) AS start, round(round("end", 8), 4) AS "end", round(round(confidence, 8), 4) AS confidence
     FROM padded WHERE round("end" - start, 6) >= 0.40::DOUBLE),
   found AS (SELECT recording_id, CAST(row_number() OVER (PARTITION BY recording_id ORDER BY first_frame) AS INTEGER) AS event_id, start, "end", confidence FROM kept)"""
+
+
+CHUNK_SAMPLES = 512
+
+
+def signal(spark: SparkSession, sf_dir: str, channels: int = 1, size: int = CHUNK_SAMPLES) -> DataFrame:
+    """Sample chunks at 1000 Hz, a recording a document: (code point - 96) / 128; a second channel is halved, with odd samples turned."""
+    docs = table(spark, sf_dir, "documents").filter(F.length("text") > 0).select(F.col("doc_id").cast("string").alias("recording_id"), "text", F.length("text").alias("n"))
+    rows = docs.withColumn("chunk_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {size}"))))
+    x = F.transform(F.split(F.substring("text", F.col("chunk_id").cast("int") * size + 1, F.lit(size)), ""), lambda c: ((F.ascii(c) - 96) / 128.0).cast("float"))
+    rows = rows.select("recording_id", F.lit(0).alias("channel"), "chunk_id", (F.col("chunk_id") * size).alias("start_sample"), F.lit(RATE).alias("sample_rate"), F.filter(x, lambda v: v.isNotNull()).alias("samples"))
+    if channels == 1:
+        return rows
+    half = F.transform("samples", lambda v, i: F.when(i % 2 == 1, -v / 2).otherwise(v / 2).cast("float"))
+    return rows.unionByName(rows.withColumn("channel", F.lit(1)).withColumn("samples", half))
+
+
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of 64 samples, a recording a label."""
+    w = Window.partitionBy("label").orderBy("vec_id")
+    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("string").alias("recording_id"), (F.row_number().over(w) - 1).cast("bigint").alias("frame_idx"), F.col("embedding").alias("samples"))
+
+
+def segments(recs: DataFrame) -> DataFrame:
+    """Stretches of a quarter second each 0.3 s, from 0 to the end of each recording."""
+    k = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("duration_s") / 0.3 - 1e-9).cast("int") - 1))
+    rows = recs.select("recording_id", F.posexplode(k).alias("i", "k"))
+    start = F.round(F.col("k") * 3 * 0.1, 6)
+    return rows.select("recording_id", (F.col("i") + 1).alias("event_id"), start.alias("start"), F.round(start + 0.25, 6).alias("end"), F.lit(0.5).alias("confidence"))
+
+
+V_SIGNAL = """
+  v_samples AS (SELECT CAST(doc_id AS VARCHAR) AS recording_id, i, (unicode(ch) - 96) / 128.0::DOUBLE AS amp, n_samples
+                FROM (SELECT doc_id, length(text) AS n_samples, unnest(string_split(text, '')) AS ch, unnest(range(length(text))) AS i FROM documents WHERE length(text) > 0)),
+  v_signal_recordings AS (SELECT CAST(doc_id AS VARCHAR) AS recording_id, length(text) AS n_samples, length(text) / 1000.0::DOUBLE AS duration_s FROM documents WHERE length(text) > 0)"""
+V_SEGMENTS = V_SIGNAL + """,
+  v_segments AS (
+    SELECT recording_id, n_samples, k + 1 AS event_id, round(k * 3 * 0.1::DOUBLE, 6) AS start, round(round(k * 3 * 0.1::DOUBLE, 6) + 0.25::DOUBLE, 6) AS "end", 0.5::DOUBLE AS confidence
+    FROM v_signal_recordings, LATERAL (SELECT unnest(range(greatest(1, CAST(ceil(duration_s / 0.3::DOUBLE - 1e-9) AS BIGINT)))) AS k)),
+  v_ranges AS (
+    SELECT *, greatest(s + 1, least(CAST(round_even("end" * 1000, 0) AS BIGINT), n_samples)) AS e FROM (
+      SELECT *, greatest(0, least(CAST(round_even(start * 1000, 0) AS BIGINT), n_samples - 1)) AS s FROM v_segments))"""
+V_EMBEDDED = """
+  v_frames AS (SELECT CAST(label AS VARCHAR) AS recording_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_idx, embedding AS x FROM embeddings)"""
