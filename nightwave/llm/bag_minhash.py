@@ -11,7 +11,8 @@ with a component still empty is done again with twice the limit, so the result i
 Candidates share a band of `ROWS` components in one of `BANDS` bands (a pair at 0.8 is missed with probability 5e-5).
 Documents with equal multisets are one node from the start. Within a bucket all nodes are held against a few pivots
 first, and only members of buckets that still hold several components are compared further, in the end all of them
-with those of other components: no link is lost and a group of copies costs a number of comparisons in proportion to its size.
+with those of other components, but for pairs that cannot be similar because too much of either text occurs nowhere else
+among these: no link is lost, and a group of copies costs a number of comparisons in proportion to its size.
 The similarity of compared nodes is exact: shingles with their occurrence numbers, intersected.
 
 Defined cases: words are runs of letters, digits and _ in lower case; a text of one to four words has one shingle, of
@@ -182,6 +183,14 @@ def bags(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", text_of().alias("text")), ["doc_id"], {"bag": pa.list_(pa.int64())}, _bags)
 
 
+def _common(members: DataFrame, bag: DataFrame) -> DataFrame:
+    """node and common: how many elements of its multiset any other of the members has too, a bound of every overlap."""
+    open_bags = bag.join(members.select("node").distinct(), "node")
+    private = (open_bags.select("node", F.explode("bag").alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+               .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("private")))
+    return open_bags.select("node", F.size("bag").alias("size")).join(private, "node", "left").select("node", (F.col("size") - F.coalesce("private", F.lit(0))).alias("common"))
+
+
 def _linked(pairs: DataFrame, bag: DataFrame) -> DataFrame:
     """The pairs (a, b) whose multisets are similar enough."""
     x, y = bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), bag.select(F.col("node").alias("b"), F.col("bag").alias("y"))
@@ -216,17 +225,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
     bag = written(bags(texts).withColumnRenamed("doc_id", "node"), "bags")
 
     comp = None
-    for pivots in (1, 8, 0):
+    for pivots in (1, 4, 0):
         now = members.withColumn("comp", F.col("node")) if comp is None else members.join(comp, "node").select("node", "n", "bucket", "comp")
         mixed_up = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
         now = written(now.join(mixed_up, "bucket"), "open")
+        now = now.withColumn("common", F.col("n")) if pivots == 1 else now.join(_common(now, bag), "node")
         rank = F.xxhash64("node", F.lit(pivots))
         if pivots:
-            pivot = now.groupBy("bucket", F.pmod(rank, F.lit(pivots))).agg(F.min(F.struct(rank.alias("r"), "node", "n", "comp")).alias("p")).select("bucket", "p.node", "p.n", "p.comp")
+            pivot = now.groupBy("bucket", F.pmod(rank, F.lit(pivots))).agg(F.min(F.struct(rank.alias("r"), "node", "n", "comp", "common")).alias("p")).select("bucket", "p.*")
         else:
             pivot = now
-        pivot = pivot.select("bucket", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp"))
-        fits = (F.least("n", "p_n") * LEAST[1] >= F.greatest("n", "p_n") * LEAST[0]) & (F.col("comp") != F.col("p_comp")) & (F.col("node") < F.col("p_node") if not pivots else F.lit(True))
+        pivot = pivot.select("bucket", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp"), F.col("common").alias("p_common"))
+        most = F.least("common", "p_common")
+        fits = (most * LEAST[1] >= (F.col("n") + F.col("p_n") - most) * LEAST[0]) & (F.col("comp") != F.col("p_comp")) & (F.col("node") < F.col("p_node") if not pivots else F.lit(True))
         pairs = now.join(pivot, "bucket").filter(fits).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
         links = written(_linked(pairs, bag), "links")
         if comp is None:

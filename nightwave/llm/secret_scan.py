@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightwave.llm.common import map_batches, text_of
+from nightwave.llm.common import map_batches, text_of, written
 
 KINDS = ("assign", "access", "hex", "crf")
 KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -356,8 +356,9 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
     """A field learnt from at most 2 * max_docs documents."""
     rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_of().alias("text"))
     hit = F.col("text").rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
-    some = [rows.filter(f).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).select("doc_id", "text") for f in (hit, ~hit)]
-    texts = sorted((r.doc_id, r.text) for r in some[0].unionAll(some[1]).collect())
+    known = written(rows.select("doc_id", hit.alias("hit")), "hits")  # so that no text is sorted
+    ids = [known.filter(f).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs) for f in (F.col("hit"), ~F.col("hit"))]
+    texts = sorted((r.doc_id, r.text) for r in rows.join(F.broadcast(ids[0].union(ids[1]).distinct()), "doc_id").collect())  # 2 * max_docs ids
     return fit_field(training_lines([t for _, t in texts]))
 
 
