@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightwave.operators import chunks, clips, events, scoring, smoothing, windows
-from nightwave.plans import views
+from nightwave.operators import chunks, clips, denoise, events, features, scoring, smoothing, windows
+from nightwave.plans import pipeline, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -247,3 +248,235 @@ def k4_k5_manifest(spark, sf_dir):
 @query(f"WITH {_CUT} SELECT recording_id, count(*) FILTER (rms >= {_QUIET}) AS n_saved, count(*) FILTER (rms < {_QUIET}) AS n_silent, round(coalesce(sum((e - s) / 1000.0::DOUBLE) FILTER (rms >= {_QUIET}), 0), 4) AS saved_s FROM cut GROUP BY ALL")
 def k6_cut_stats(spark, sf_dir):
     return clips.cut_stats(_clips(spark, sf_dir), _QUIET)
+
+
+# --- features of frames of 64 samples at 1000 Hz -------------------------------------------------------------------
+
+_BANDS, _KEEP, _HZ = 12, 6, views.RATE / 64
+_MAGS = views.V_EMBEDDED + """,
+  points AS (SELECT recording_id, frame_idx, unnest(x)::DOUBLE AS x, unnest(range(64)) AS i FROM v_frames),
+  mags AS (
+    SELECT recording_id, frame_idx, k, sqrt(pow(sum(x * (0.5 - 0.5 * cos(2 * pi() * i / 64)) * cos(2 * pi() * i * k / 64)), 2) + pow(sum(x * (0.5 - 0.5 * cos(2 * pi() * i / 64)) * sin(2 * pi() * i * k / 64)), 2)) AS m
+    FROM points, (SELECT unnest(range(33)) AS k) GROUP BY ALL)"""
+#: Below 1000 Hz the mel scale is linear, so the edges of the bands from 20 to 500 Hz are evenly spaced.
+_MEL = _MAGS + f""",
+  bank AS (SELECT b, k, greatest(0, least((k * {_HZ} - lo) / w, (lo + 2 * w - k * {_HZ}) / w)) / w AS f
+           FROM (SELECT unnest(range({_BANDS})) AS b), (SELECT unnest(range(33)) AS k), LATERAL (SELECT 480.0::DOUBLE / {_BANDS + 1} AS w, 20 + 480.0::DOUBLE / {_BANDS + 1} * b AS lo)),
+  mel AS (SELECT recording_id, frame_idx, b, sum(m * m * f) AS p FROM mags JOIN bank USING (k) GROUP BY ALL)"""
+_DB = _MEL + """,
+  tops AS (SELECT recording_id, max(p) AS top FROM mel GROUP BY ALL),
+  dbs AS (SELECT recording_id, frame_idx, b, greatest(10 * log10(greatest(p, 1e-10)), 10 * log10(top) - 80) AS db1, greatest(10 * log10(greatest(p, 1e-10) / top), -80) AS dbm FROM mel JOIN tops USING (recording_id))"""
+_MFCC = _DB + f""",
+  mfcc AS (
+    SELECT recording_id, frame_idx, c, sum(db1 * cos(pi() * c * (2 * b + 1) / {2 * _BANDS}) * sqrt(2.0::DOUBLE / {_BANDS}) * CASE WHEN c = 0 THEN 1 / sqrt(2.0::DOUBLE) ELSE 1 END) AS v
+    FROM dbs, (SELECT unnest(range({_KEEP})) AS c) GROUP BY ALL)"""
+
+
+def _mags(spark, sf_dir):
+    return features.magnitude_spectrum(views.frames(spark, sf_dir)).select("recording_id", "frame_idx", "magnitude")
+
+
+def _mel(spark, sf_dir):
+    return features.mel_power(_mags(spark, sf_dir), views.RATE, 64, _BANDS)
+
+
+def _mfcc(spark, sf_dir):
+    return features.mfcc(features.power_to_db(_mel(spark, sf_dir), "mel", "mel_db", 1.0), "mel_db", _KEEP).select("recording_id", "frame_idx", "mfcc")
+
+
+def _rows(df: DataFrame, column: str, at: str, value: str, digits: int = 5) -> DataFrame:
+    return df.select("recording_id", "frame_idx", F.posexplode(column).alias(at, value)).withColumns({at: F.col(at).cast("long"), value: F.round(value, digits)})
+
+
+@query("""SELECT DISTINCT r AS sample_rate, r * 25 // 1000 AS frame, r * 10 // 1000 AS hop, greatest(CAST(pow(2, ceil(round(log2(r * 50 // 1000), 9))) AS INTEGER), r * 25 // 1000) AS n_fft
+  FROM (SELECT CAST(8000 + 441 * p_size AS INTEGER) AS r FROM part)""")
+def f1_frame_params(spark, sf_dir):
+    rates = views.table(spark, sf_dir, "part").select((8000 + 441 * F.col("p_size")).cast("int").alias("sample_rate")).distinct()
+    return rates.select("sample_rate", *(c.alias(n) for c, n in zip(features.frame_params(), ("frame", "hop", "n_fft"))))
+
+
+@query(f"WITH {_MAGS} SELECT recording_id, frame_idx, k, round(m, 5) AS m FROM mags")
+def f2_spectrum(spark, sf_dir):
+    return _rows(_mags(spark, sf_dir), "magnitude", "k", "m")
+
+
+@query(f"WITH {_MEL} SELECT recording_id, frame_idx, b, round(p, 6) AS p FROM mel")
+def f3_mel_power(spark, sf_dir):
+    return _rows(_mel(spark, sf_dir), "mel", "b", "p", 6)
+
+
+@query(f"WITH {_DB} SELECT recording_id, frame_idx, b, round(dbm, 5) AS db FROM dbs")
+def f4_power_to_db(spark, sf_dir):
+    return _rows(features.power_to_db(_mel(spark, sf_dir), "mel", "log_mel", "max"), "log_mel", "b", "db")
+
+
+@query(f"WITH {_MFCC} SELECT recording_id, frame_idx, c, round(v, 5) AS v FROM mfcc")
+def f5_mfcc(spark, sf_dir):
+    return _rows(_mfcc(spark, sf_dir), "mfcc", "c", "v")
+
+
+_SLOPES = _MFCC + """,
+  sized AS (SELECT *, max(frame_idx) OVER (PARTITION BY recording_id) AS top FROM mfcc),
+  slopes AS (
+    SELECT s.recording_id, s.frame_idx, s.c, sum((n.frame_idx - least(greatest(s.frame_idx, 4), s.top - 4)) / 60.0::DOUBLE * n.v) AS d1,
+           sum(([28, 7, -8, -17, -20, -17, -8, 7, 28])[n.frame_idx - least(greatest(s.frame_idx, 4), s.top - 4) + 5] / 462.0::DOUBLE * n.v) AS d2
+    FROM sized s JOIN mfcc n ON n.recording_id = s.recording_id AND n.c = s.c AND abs(n.frame_idx - least(greatest(s.frame_idx, 4), s.top - 4)) <= 4 GROUP BY ALL)"""
+
+
+@query(f"WITH {_SLOPES} SELECT recording_id, frame_idx, c, round(d1, 5) AS d1, round(d2, 5) AS d2 FROM slopes")
+def f6_deltas(spark, sf_dir):
+    both = features.delta(features.delta(_mfcc(spark, sf_dir), "mfcc", "d1", 1), "mfcc", "d2", 2)
+    rows = both.select("recording_id", "frame_idx", F.posexplode(F.arrays_zip("d1", "d2")).alias("c", "x"))
+    return rows.select("recording_id", "frame_idx", F.col("c").cast("long").alias("c"), F.round("x.d1", 5).alias("d1"), F.round("x.d2", 5).alias("d2"))
+
+
+@query(f"WITH {_MAGS} SELECT recording_id, frame_idx, round(coalesce(sum(m * k * {_HZ}) / nullif(sum(m), 0), 0), 5) AS centroid FROM mags GROUP BY ALL")
+def f7_centroid(spark, sf_dir):
+    return _mags(spark, sf_dir).select("recording_id", "frame_idx", F.round(features.spectral_centroid("magnitude", F.lit(_HZ)), 5).alias("centroid"))
+
+
+@query(f"""WITH {_MAGS}, sums AS (SELECT *, sum(m) OVER (PARTITION BY recording_id, frame_idx ORDER BY k) AS run, sum(m) OVER (PARTITION BY recording_id, frame_idx) AS total FROM mags)
+  SELECT recording_id, frame_idx, coalesce(min(k * {_HZ}) FILTER (run >= 0.85 * total AND total > 0), 0)::DOUBLE AS rolloff FROM sums GROUP BY ALL""")
+def f8_rolloff(spark, sf_dir):
+    return _mags(spark, sf_dir).select("recording_id", "frame_idx", features.spectral_rolloff("magnitude", F.lit(_HZ)).alias("rolloff"))
+
+
+@query(f"WITH {views.V_EMBEDDED} SELECT recording_id, frame_idx, list_sum(list_transform(range(2, 65), lambda i: CAST((x[i] < -1e-10) <> (x[i - 1] < -1e-10) AS INTEGER))) / 64.0::DOUBLE AS zcr FROM v_frames")
+def f9_zero_crossings(spark, sf_dir):
+    return views.frames(spark, sf_dir).select("recording_id", "frame_idx", features.zero_crossing_rate().alias("zcr"))
+
+
+@query(f"WITH {views.V_EMBEDDED} SELECT recording_id, frame_idx, round(sqrt(list_sum(list_transform(x, lambda v: v::DOUBLE * v::DOUBLE)) / 64), 6) AS rms FROM v_frames")
+def f10_frame_rms(spark, sf_dir):
+    return views.frames(spark, sf_dir).select("recording_id", "frame_idx", F.round(features.frame_rms(), 6).alias("rms"))
+
+
+@query(f"WITH {_MFCC}, m AS (SELECT recording_id, frame_idx, v FROM mfcc WHERE c = 0 AND frame_idx % 10 < 9) SELECT recording_id, frame_idx, round(v, 5) AS c0, frame_idx * 10 / 1000.0::DOUBLE AS time FROM m JOIN v_frames USING (recording_id, frame_idx)")
+def f13_align(spark, sf_dir):
+    fewer = _mfcc(spark, sf_dir).filter("frame_idx % 10 < 9")
+    both = features.align_frames(fewer, views.frames(spark, sf_dir))
+    return both.select("recording_id", "frame_idx", F.round(F.col("mfcc")[0], 5).alias("c0"), (F.col("frame_idx") * 10 / 1000.0).alias("time"))
+
+
+def _stacked(spark, sf_dir):
+    base = _mfcc(spark, sf_dir)
+    mags = _mags(spark, sf_dir).select("recording_id", "frame_idx", features.spectral_centroid("magnitude", F.lit(_HZ)).alias("spectral_centroid"), features.spectral_rolloff("magnitude", F.lit(_HZ)).alias("spectral_rolloff"))
+    rest = views.frames(spark, sf_dir).select("recording_id", "frame_idx", features.zero_crossing_rate().alias("zcr"), F.lit(0.0).alias("hnr"))
+    log_mel = features.power_to_db(_mel(spark, sf_dir), "mel", "log_mel", "max").select("recording_id", "frame_idx", "log_mel")
+    return features.stack_features(features.align_frames(base, mags, rest, log_mel)).select("recording_id", "frame_idx", "features")
+
+
+_STACK = _MFCC + f""",
+  stacked AS (
+    SELECT recording_id, frame_idx, c AS d, v FROM mfcc
+    UNION ALL SELECT recording_id, frame_idx, {_KEEP}, coalesce(sum(m * k * {_HZ}) / nullif(sum(m), 0), 0) FROM mags GROUP BY ALL
+    UNION ALL SELECT recording_id, frame_idx, {_KEEP + 1}, coalesce(min(k * {_HZ}) FILTER (run >= 0.85 * total AND total > 0), 0) FROM (SELECT *, sum(m) OVER (PARTITION BY recording_id, frame_idx ORDER BY k) AS run, sum(m) OVER (PARTITION BY recording_id, frame_idx) AS total FROM mags) GROUP BY ALL
+    UNION ALL SELECT recording_id, frame_idx, {_KEEP + 2}, list_sum(list_transform(range(2, 65), lambda i: CAST((x[i] < -1e-10) <> (x[i - 1] < -1e-10) AS INTEGER))) / 64.0::DOUBLE FROM v_frames
+    UNION ALL SELECT recording_id, frame_idx, {_KEEP + 3}, 0 FROM v_frames
+    UNION ALL SELECT recording_id, frame_idx, {_KEEP + 4} + b, dbm FROM dbs)"""
+
+
+@query(f"WITH {_STACK} SELECT recording_id, frame_idx, d, round(CAST(v AS FLOAT)::DOUBLE, 3) AS v FROM stacked")
+def f14_stack(spark, sf_dir):
+    rows = _stacked(spark, sf_dir).select("recording_id", "frame_idx", F.posexplode("features").alias("d", "v"))
+    return rows.select("recording_id", "frame_idx", F.col("d").cast("long").alias("d"), F.round(F.col("v").cast("double"), 3).alias("v"))
+
+
+@query(f"""WITH {_MFCC}, moments AS (SELECT recording_id, c, avg(v) AS mean, stddev_pop(v) AS std FROM mfcc GROUP BY ALL)
+  SELECT recording_id, frame_idx, c, round(CAST((v - mean) / (std + 1e-8) AS FLOAT)::DOUBLE, 4) AS z FROM mfcc JOIN moments USING (recording_id, c)""")
+def f15_normalize(spark, sf_dir):
+    return _rows(features.normalize_features(_mfcc(spark, sf_dir), "mfcc", "z").withColumn("z", F.col("z").cast("array<double>")), "z", "c", "z", 4)
+
+
+# --- kernels: resampling, gates, overlap-add, scoring ---------------------------------------------------------------
+
+_LONG = 16_384  # samples a chunk where a kernel's halo needs long ones
+
+
+def _whole(spark, sf_dir):
+    return views.signal(spark, sf_dir, size=_LONG)
+
+
+@query(f"WITH {views.V_SIGNAL}, c AS (SELECT recording_id, unnest(range((n_samples - 1) // {_LONG} + 1)) AS chunk_id, n_samples FROM v_signal_recordings) SELECT recording_id, chunk_id, CAST((least((chunk_id + 1) * {_LONG}, n_samples) * 441 + 999) // 1000 - (chunk_id * {_LONG} * 441 + 999) // 1000 AS INTEGER) AS n FROM c")
+def c3_resample(spark, sf_dir):
+    """Outputs of chunks tile: their number is held against whole-number arithmetic, their values against a whole-signal run in the tests."""
+    return chunks.resample(_whole(spark, sf_dir), 441).select("recording_id", "chunk_id", F.size("samples").alias("n"))
+
+
+_FLOOR = _MAGS + """,
+  floors AS (SELECT recording_id, k AS bin, avg(20 * log10(greatest(m, 1e-10))) + 1.5 * stddev_pop(20 * log10(greatest(m, 1e-10))) AS floor_db FROM mags WHERE frame_idx < 10 GROUP BY ALL)"""
+
+
+@query(f"WITH {_FLOOR} SELECT recording_id, bin, round(floor_db, 5) AS floor_db FROM floors")
+def c5_noise_floor(spark, sf_dir):
+    return denoise.floor_of(denoise.first_frames(_mags(spark, sf_dir), 10), ("recording_id",)).withColumns({"bin": F.col("bin").cast("long"), "floor_db": F.round("floor_db", 5)})
+
+
+_SIZES = f"WITH {views.V_SIGNAL}, c AS (SELECT recording_id, unnest(range((n_samples - 1) // {_LONG} + 1)) AS chunk_id, n_samples FROM v_signal_recordings) SELECT recording_id, 0 AS channel, chunk_id, CAST(least({_LONG}, n_samples - chunk_id * {_LONG}) AS INTEGER) AS n FROM c"
+
+
+def _sizes(df):
+    return df.select("recording_id", "channel", "chunk_id", F.size("samples").alias("n"))
+
+
+@query(_SIZES)
+def c6_spectral_gate(spark, sf_dir):
+    """The gate keeps every chunk and its length; its values are held against properties in the tests."""
+    return _sizes(denoise.spectral_gate(_whole(spark, sf_dir)))
+
+
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, i // 300 AS chunk_id, CAST(count(*) AS INTEGER) AS n, round(sum(amp), 3) AS total FROM v_samples GROUP BY ALL")
+def c7_overlap_identity(spark, sf_dir):
+    out = _summed(chunks.overlap_apply(views.signal(spark, sf_dir), lambda x, r: x, 0.4, 0.25))
+    return out.select("recording_id", "chunk_id", "n", F.round("total", 3).alias("total"))
+
+
+def _halved_or_fails(x: np.ndarray, row: dict) -> np.ndarray:
+    """A stand-in for a user's model: it fails on recordings whose number ends in 7."""
+    if row["recording_id"].endswith("7"):
+        raise RuntimeError("no result")
+    return x / 2
+
+
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, n_samples FROM v_signal_recordings")
+def c8_denoise_fallback(spark, sf_dir):
+    return chunks.recordings(denoise.denoise(_whole(spark, sf_dir), "model", _halved_or_fails)).select("recording_id", "n_samples")
+
+
+def _sum_and_power(x: np.ndarray) -> np.ndarray:
+    """Logits of two classes: the sum of a window and the sum of its squares."""
+    x = x.astype(np.float64)
+    return np.stack([x.sum(axis=1), (x**2).sum(axis=1)], axis=1)
+
+
+@query(f"""WITH {views.V_SIGNAL}, m AS (
+    SELECT recording_id, k AS window_id, amp AS x FROM v_samples, LATERAL (SELECT unnest(range(i // 100 - 4, i // 100 + 1)) AS k) WHERE k >= 0 AND i >= k * 100 AND i < k * 100 + 400)
+  SELECT recording_id, window_id, (window_id * 100 + 200) / 1000.0::DOUBLE AS center_s, round(sum(x), 5) AS total, round(sum(x * x), 5) AS power FROM m GROUP BY ALL""")
+def w2_score_windows(spark, sf_dir):
+    out = windows.score_windows(windows.make_windows(views.signal(spark, sf_dir), 0.4, 0.1), _sum_and_power)
+    return out.select("recording_id", "window_id", "center_s", F.round(F.col("logits")[0], 5).alias("total"), F.round(F.col("logits")[1], 5).alias("power"))
+
+
+def _band_levels(x: np.ndarray) -> np.ndarray:
+    """A stand-in for a model with 64 classes: the level of as many bands of the spectrum."""
+    m = np.abs(np.fft.rfft(x, axis=1))
+    return np.stack([np.log1p(b.mean(axis=1)) for b in np.array_split(m, 64, axis=1)], axis=1)
+
+
+@query()
+def e11_detect_segments(spark, sf_dir):
+    from nightwave.config import Config
+
+    cfg = Config(window_s=0.4, stride_s=0.1, model_rate=views.RATE, threshold=0.02)
+    return pipeline.detect_segments(views.signal(spark, sf_dir), _band_levels, views.class_labels(spark, sf_dir), cfg, TARGET, BREATH)
+
+
+@query()
+def f11_f16_features(spark, sf_dir):
+    """Recordings of at least nine frames; the harmonic part included."""
+    from nightwave.operators.chunks import recordings
+
+    own = _whole(spark, sf_dir)
+    long = recordings(own).filter("n_samples >= 100").select("recording_id")
+    out = features.extract_features(own.join(long, "recording_id", "left_semi"))
+    return out.select("recording_id", "frame_idx", "time", "spectral_centroid", "spectral_rolloff", "zcr", "hnr", F.size("features").alias("n_features"))
