@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches, written
 
-DEGREE, TREES, LEAF, ROUNDS, POOL, BREADTH, HOPS, SAMPLE = 20, 6, 256, 4, 300, 32, 12, 4096
+DEGREE, TREES, LEAF, ROUNDS, POOL, BREADTH, HOPS, SAMPLE = 24, 6, 256, 5, 300, 32, 12, 4096
 EDGE = "a long, b long, d float"
 
 
