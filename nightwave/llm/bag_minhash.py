@@ -225,11 +225,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     bag = written(bags(texts).withColumnRenamed("doc_id", "node"), "bags")
 
     comp = None
-    for pivots in (1, 4, 0):
+    for pivots in (1, 8, 0):
         now = members.withColumn("comp", F.col("node")) if comp is None else members.join(comp, "node").select("node", "n", "bucket", "comp")
         mixed_up = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
         now = written(now.join(mixed_up, "bucket"), "open")
-        now = now.withColumn("common", F.col("n")) if pivots == 1 else now.join(_common(now, bag), "node")
+        now = now.withColumn("common", F.col("n")) if pivots else now.join(_common(now, bag), "node")
         rank = F.xxhash64("node", F.lit(pivots))
         if pivots:
             pivot = now.groupBy("bucket", F.pmod(rank, F.lit(pivots))).agg(F.min(F.struct(rank.alias("r"), "node", "n", "comp", "common")).alias("p")).select("bucket", "p.*")
