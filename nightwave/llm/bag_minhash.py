@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightwave.llm.common import map_batches, text_of, written
+from nightwave.llm.common import map_batches, scratch, text_of, written
 
 WORDS, BANDS, ROWS = 5, 25, 5
 #: Similarity as a fraction of whole numbers, so that a tie at 0.8 is decided exactly.
@@ -214,6 +214,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (least doc_id of the class), kept (the document is the one that stays) of every row of docs."""
+    with scratch(docs.sparkSession):
+        return written(_near_groups(docs), "classes", lasting=True)
+
+
+def _near_groups(docs: DataFrame) -> DataFrame:
     sig = written(sketch(docs), "sketch")
     part = sig.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     nodes = written(part.groupBy("bag_a", "bag_b").agg(F.min(F.struct("doc_id", "n", "bands")).alias("x"))

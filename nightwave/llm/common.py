@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,18 +25,39 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that Spark deletes when the application ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+_SCRATCH: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str, now: bool) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(hadoop, True) if now else files.deleteOnExit(hadoop)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside are deleted at the end, but for those written as lasting."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            _delete(spark, path, True)
+
+
+def new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """A path in the shared folder that Spark deletes when the application ends, or the enclosing scratch does."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH and not lasting:
+        _SCRATCH[-1].append(path)
+    _delete(spark, path, False)
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """The rows of df from Parquet in the shared folder: lineage ends here and lost executors cost no recomputation."""
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(spark, name, lasting)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
