@@ -11,8 +11,8 @@ with a component still empty is done again with twice the limit, so the result i
 Candidates share a band of `ROWS` components in one of `BANDS` bands (a pair at 0.8 is missed with probability 5e-5).
 Documents with equal multisets are one node from the start. Within a bucket all nodes are held against a few pivots
 first, and only members of buckets that still hold several components are compared further, in the end all of them
-with those of other components, but for pairs that cannot be similar because too much of either text occurs nowhere else
-among these: no link is lost, and a group of copies costs a number of comparisons in proportion to its size.
+with those of other components, but for pairs that cannot be similar: too much of either text occurs nowhere else among
+these, or the counts of their elements in `BINS` hashed bins share too little. Both are exact bounds of the overlap, so no link is lost.
 The similarity of compared nodes is exact: shingles with their occurrence numbers, intersected.
 
 Defined cases: words are runs of letters, digits and _ in lower case; a text of one to four words has one shingle, of
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches, scratch, text_of, written
 
-WORDS, BANDS, ROWS = 5, 25, 5
+WORDS, BANDS, ROWS, BINS = 5, 25, 5, 256
 #: Similarity as a fraction of whole numbers, so that a tie at 0.8 is decided exactly.
 LEAST = (4, 5)
 #: Words handled at once in a task, but for a single longer text.
@@ -175,20 +175,20 @@ def _bags(b: pa.RecordBatch) -> list:
         first = np.repeat(np.cumsum(counts) - counts, counts)
         nth = np.arange(len(x)) - np.maximum(start, first)  # the how-manieth of equal shingles of the document
         out += np.split(_mix(x + nth.astype(np.uint64) * _G).view(np.int64), np.cumsum(counts)[:-1])
-    return [out]
+    return [out, [np.bincount(x & (BINS - 1), minlength=BINS) for x in out]]
 
 
 def bags(docs: DataFrame) -> DataFrame:
-    """doc_id and bag: the hashes of (shingle, occurrence number), so that a multiset is a set."""
-    return map_batches(docs.select("doc_id", text_of().alias("text")), ["doc_id"], {"bag": pa.list_(pa.int64())}, _bags)
+    """doc_id, bag (the hashes of (shingle, occurrence number), so that a multiset is a set), bins (how many of them fall to each of BINS)."""
+    return map_batches(docs.select("doc_id", text_of().alias("text")), ["doc_id"], {"bag": pa.list_(pa.int64()), "bins": pa.list_(pa.int32())}, _bags)
 
 
 def _common(members: DataFrame, bag: DataFrame) -> DataFrame:
-    """node and common: how many elements of its multiset any other of the members has too, a bound of every overlap."""
+    """node, common, bins. common: how many elements of its multiset any other of the members has too, a bound of every overlap."""
     open_bags = bag.join(members.select("node").distinct(), "node")
     private = (open_bags.select("node", F.explode("bag").alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
                .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("private")))
-    return open_bags.select("node", F.size("bag").alias("size")).join(private, "node", "left").select("node", (F.col("size") - F.coalesce("private", F.lit(0))).alias("common"))
+    return open_bags.select("node", "bins", F.size("bag").alias("size")).join(private, "node", "left").select("node", "bins", (F.col("size") - F.coalesce("private", F.lit(0))).alias("common"))
 
 
 def _linked(pairs: DataFrame, bag: DataFrame) -> DataFrame:
@@ -234,15 +234,17 @@ def _near_groups(docs: DataFrame) -> DataFrame:
         now = members.withColumn("comp", F.col("node")) if comp is None else members.join(comp, "node").select("node", "n", "bucket", "comp")
         mixed_up = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
         now = written(now.join(mixed_up, "bucket"), "open")
-        now = now.withColumn("common", F.col("n")) if pivots == 1 else now.join(_common(now, bag), "node")
+        now = now.withColumns({"common": F.col("n"), "bins": F.lit(None).cast("array<int>")}) if pivots == 1 else now.join(_common(now, bag), "node")
         rank = F.xxhash64("node", F.lit(pivots))
         if pivots:
-            pivot = now.groupBy("bucket", F.pmod(rank, F.lit(pivots))).agg(F.min(F.struct(rank.alias("r"), "node", "n", "comp", "common")).alias("p")).select("bucket", "p.*")
+            pivot = now.groupBy("bucket", F.pmod(rank, F.lit(pivots))).agg(F.min(F.struct(rank.alias("r"), "node", "n", "comp", "common", "bins")).alias("p")).select("bucket", "p.*")
         else:
             pivot = now
-        pivot = pivot.select("bucket", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp"), F.col("common").alias("p_common"))
-        most = F.least("common", "p_common")
-        fits = (most * LEAST[1] >= (F.col("n") + F.col("p_n") - most) * LEAST[0]) & (F.col("comp") != F.col("p_comp")) & (F.col("node") < F.col("p_node") if not pivots else F.lit(True))
+        pivot = pivot.select("bucket", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp"), F.col("common").alias("p_common"), F.col("bins").alias("p_bins"))
+        enough = lambda most: most * LEAST[1] >= (F.col("n") + F.col("p_n") - most) * LEAST[0]
+        fits = enough(F.least("common", "p_common")) & (F.col("comp") != F.col("p_comp")) & (F.col("node") < F.col("p_node") if not pivots else F.lit(True))
+        if pivots != 1:  # what two multisets share is at most what their bins share
+            fits = fits & enough(F.aggregate(F.zip_with("bins", "p_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x))
         pairs = now.join(pivot, "bucket").filter(fits).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
         links = written(_linked(pairs, bag), "links")
         if comp is None:
