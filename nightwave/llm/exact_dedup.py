@@ -2,7 +2,8 @@
 
 The index is a table of (text_sha256, keep_id), bucketed and sorted by digest. A batch is reduced to one row a
 digest before anything meets, so that a text which is a third of all rows is one row in every join. New digests are
-found by a sort-merge anti-join, for which the index side needs neither exchange nor sort, and appended.
+found by a sort-merge anti-join, for which the index side needs no exchange, and appended; every batch, the first one
+too, goes this way and reads its result from the index.
 
 Defined cases: a null text counts as the empty text; a null doc_id stays only if its whole group has no other; rows
 that repeat both doc_id and text share one result in `exact_groups`, and `deduplicate` keeps one of them; an empty
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import new_path, text_of, written
 
-BUCKETS = 32
+BUCKETS, MARKER = 32, "_buckets_"
 
 
 def with_digest(docs: DataFrame, name: str = "text_sha256") -> DataFrame:
@@ -26,36 +27,57 @@ def with_digest(docs: DataFrame, name: str = "text_sha256") -> DataFrame:
 
 
 class DigestIndex:
-    """A bucketed table of the digests seen so far; `add` takes a batch of digests into it."""
+    """A bucketed table of the digests seen so far; `add` takes a batch of digests into it.
+
+    The folder is the index: it is registered under `name` where the catalog does not have it, with the number of buckets
+    that a marker file in it tells, so that a session without the catalog entry goes on with what is there.
+    """
 
     def __init__(self, spark: SparkSession, name: str | None = None, buckets: int = BUCKETS, path: str | None = None):
         self.spark, self.buckets = spark, buckets
         self.name = name or f"digests_{uuid.uuid4().hex}"
         self.path = path or new_path(spark, self.name)
 
+    def _open(self, kind: str | None = None) -> None:
+        """Registers the table of the folder, an empty one with ids of that kind where there is none."""
+        if self.spark.catalog.tableExists(self.name):
+            return
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+        told = [int(n.removeprefix(MARKER)) for n in names if n.startswith(MARKER)]
+        if any(n.startswith("part-") for n in names):
+            if not told:
+                raise ValueError(f"{self.path} has files but not the marker of an index")
+            kind = self.spark.read.parquet(self.path).schema["keep_id"].dataType.simpleString()
+        if kind is None:
+            raise ValueError(f"no index at {self.path} yet")
+        if told:
+            self.buckets = told[0]
+        else:
+            files.mkdirs(folder)
+            files.create(jvm.org.apache.hadoop.fs.Path(folder, f"{MARKER}{self.buckets}")).close()
+        self.spark.sql(f"CREATE TABLE {self.name} (text_sha256 STRING, keep_id {kind}) USING parquet "
+                       f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
     def _append(self, fresh: DataFrame) -> None:
-        (fresh.repartition(self.buckets, "text_sha256").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").option("path", self.path).saveAsTable(self.name))
+        fresh.repartition(self.buckets, "text_sha256").select("text_sha256", "keep_id").write.insertInto(self.name)
 
     def rows(self) -> DataFrame:
+        self._open()
         return self.spark.table(self.name)
 
     def add(self, digests: DataFrame) -> DataFrame:
         """Append the digests not yet indexed, each with its largest doc_id; returns (text_sha256, keep_id, group_size) of the batch.
 
-        keep_id is the document that stays for the digest, from this batch or an earlier one; group_size counts the batch.
+        keep_id is the document that stays for the digest, from this batch or an earlier one, as the index has it; group_size counts the batch.
         """
-        seen = digests.groupBy("text_sha256").agg(F.max("doc_id").alias("batch_id"), F.count(F.lit(1)).alias("group_size"))
-        if not self.spark.catalog.tableExists(self.name):
-            seen = written(seen, "batch")
-            self._append(seen.select("text_sha256", F.col("batch_id").alias("keep_id")))
-            return seen.withColumnRenamed("batch_id", "keep_id").select("text_sha256", "keep_id", "group_size")
-        seen = written(seen, "batch")
-        old = written(self.rows().hint("merge").join(seen.select("text_sha256"), "text_sha256", "left_semi"), "known")
+        self._open(digests.schema["doc_id"].dataType.simpleString())
+        seen = written(digests.groupBy("text_sha256").agg(F.max("doc_id").alias("batch_id"), F.count(F.lit(1)).alias("group_size")), "batch")
         fresh = seen.hint("merge").join(self.rows(), "text_sha256", "left_anti")
         self._append(fresh.select("text_sha256", F.col("batch_id").alias("keep_id")))
-        return (seen.join(old.withColumn("indexed", F.lit(True)), "text_sha256", "left")
-                .select("text_sha256", F.when(F.col("indexed"), F.col("keep_id")).otherwise(F.col("batch_id")).alias("keep_id"), "group_size"))
+        return seen.select("text_sha256", "group_size").hint("merge").join(self.rows(), "text_sha256").select("text_sha256", "keep_id", "group_size")
 
 
 def exact_groups(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:

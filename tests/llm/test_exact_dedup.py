@@ -39,3 +39,21 @@ def test_anti_join_reads_the_index_without_an_exchange(spark):
     other = with_digest(spark.createDataFrame(ROWS, SCHEMA).select("doc_id", "text"), "text_sha256").hint("merge")
     plan = other.join(index.rows(), "text_sha256", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("hashpartitioning") <= 1
+
+
+def test_an_index_is_reopened_by_its_path(spark, tmp_path):
+    path = f"{tmp_path}/index"
+    first, second = spark.createDataFrame(ROWS[:2], SCHEMA), spark.createDataFrame([(9, "a", "", 0), (10, "new", "", 0)], SCHEMA)
+    index = DigestIndex(spark, "reopened", 4, path)
+    deduplicate(first, index).collect()
+    spark.sql("DROP TABLE reopened")  # an external table: the folder stays, as for a new session without a lasting catalog
+    again = DigestIndex(spark, "reopened", 7, path)
+    assert [r.doc_id for r in deduplicate(second, again).collect()] == [10]
+    assert again.buckets == 4 and {r.keep_id for r in DigestIndex(spark, "other_name", path=path).rows().collect()} == {2, 10}
+
+
+def test_the_first_batch_is_read_from_the_index(spark):
+    index = DigestIndex(spark, buckets=4)
+    groups = index.add(with_digest(spark.createDataFrame(ROWS, SCHEMA).select("doc_id", "text")))
+    folder = index.path.rsplit("/", 1)[1]
+    assert any(f"/{folder}/" in f for f in groups.inputFiles())
