@@ -33,7 +33,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return byte_bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+    """Token digests of every row with its slot and in_block: reading by these is the mixture, however the rows are laid out in files."""
+    coded = byte_bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN, ("doc_id", "source"))
+    order = mixing.placed(docs).toDF("mix_id", "mix_source", "slot", "in_block")
+    both = coded.join(order, coded["doc_id"].eqNullSafe(order["mix_id"]) & coded["source"].eqNullSafe(order["mix_source"]))
+    return both.drop("source", "mix_id", "mix_source")
 
 
 STAGES = [("toxicity", toxic), ("exact dedup", exact), ("near dedup", near), ("mixing", mixture), ("encoding", encoding)]

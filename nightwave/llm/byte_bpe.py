@@ -133,8 +133,8 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                        lambda b: [[encoder(path, pattern).decode(x) for x in b["ids"].to_pylist()]])
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: encoded, then decoded from the ids, in one pass over the texts."""
+def round_trip(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep`, n_tokens, ids_sha256, decoded_sha256 of every row: encoded, then decoded from the ids, in one pass over the texts."""
     def sha(x: bytes) -> str:
         return hashlib.sha256(x).hexdigest()
 
@@ -143,5 +143,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         ids = [bpe.encode(t) for t in b["text"].to_pylist()]
         return [[len(x) // 4 for x in ids], [sha(x) for x in ids], [sha(bpe.decode(x)) for x in ids]]
 
-    return map_batches(docs.select("doc_id", text_of().alias("text")), ["doc_id"],
+    return map_batches(docs.select(*keep, text_of().alias("text")), [*keep],
                        {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}, digests)

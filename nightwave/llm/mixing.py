@@ -104,10 +104,19 @@ def mix_sources(docs: DataFrame, shares: Mapping[str | None, int] | None = None,
         (from_start + F.col("due")).alias("due"), (from_start + F.col("round_slot")).alias("slot"), "in_block")
 
 
+def placed(docs: DataFrame, **settings) -> DataFrame:
+    """doc_id, source, slot, in_block, a row a (doc_id, source): rows that repeat both share the first of their places."""
+    return (mix_sources(docs, **settings).groupBy("doc_id", "source").agg(F.min(F.struct("slot", "in_block")).alias("at"))
+            .select("doc_id", "source", "at.slot", "at.in_block"))
+
+
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows and columns of docs, in the order of the mixture across the files that are written from them."""
-    order = mix_sources(docs, **settings).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), "slot", "in_block").dropDuplicates(["mix_id", "mix_source"])
+    """The rows and columns of docs, in the order of the mixture across the files that are written from them.
+
+    Spark does not read files back in that order: who needs it after a write takes `placed` of the rows, which does not depend on files.
+    """
+    order = placed(docs, **settings).toDF("mix_id", "mix_source", "slot", "in_block")
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
-    placed = renamed.join(order, renamed[at["doc_id"]].eqNullSafe(order["mix_id"]) & renamed[at["source"]].eqNullSafe(order["mix_source"]))
-    return placed.repartitionByRange("slot", "in_block").sortWithinPartitions("slot", "in_block").select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
+    placed_rows = renamed.join(order, renamed[at["doc_id"]].eqNullSafe(order["mix_id"]) & renamed[at["source"]].eqNullSafe(order["mix_source"]))
+    return placed_rows.repartitionByRange("slot", "in_block").sortWithinPartitions("slot", "in_block").select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])

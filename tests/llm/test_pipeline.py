@@ -5,7 +5,7 @@ import struct
 import corpus_pipeline
 import public_tokenizers
 import tiktoken
-from nightwave.llm import toxicity
+from nightwave.llm import mixing, toxicity
 from nightwave.llm.byte_bpe import load_ranks
 from nightwave.llm.queries import RANK_FILE
 from test_bag_minhash import brute
@@ -50,3 +50,19 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns and out.count() == 20
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_the_mixture_outlives_a_write_to_several_files(spark, tmp_path):
+    rows = [(i, f"text number {i} of many", "en", (None, "a", "b")[i % 7 % 3], 5) for i in range(700)] + [(None, "no id", "en", "a", 5), (3, "id twice", "en", "a", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    path = f"{tmp_path}/mixed"
+    stages["mixing"](spark, docs, str(tmp_path)).repartition(5).write.parquet(path)
+    back = spark.read.parquet(path)
+    assert len(back.inputFiles()) == 5
+    got = stages["encoding"](spark, back, str(tmp_path)).collect()
+    want = {(r.doc_id, r.source): (r.slot, r.in_block) for r in mixing.placed(docs).collect()}
+    source = {(r[0], hashlib.sha256(r[1].encode()).hexdigest()): r[3] for r in rows}
+    assert len(got) == len(rows)
+    assert all((r.slot, r.in_block) == want[r.doc_id, source[r.doc_id, r.decoded_sha256]] for r in got)
+    assert len({(r.slot, r.in_block) for r in got}) >= len(rows) - 1
