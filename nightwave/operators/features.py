@@ -113,12 +113,14 @@ def _times(x: Column, c: float) -> Column:
     return F.transform(x, lambda v: v * c)
 
 
-def delta(series: DataFrame, column: str, name: str, order: int = 1) -> DataFrame:
+def delta(series: DataFrame, column: str, name: str, order: int = 1, short: str = "error") -> DataFrame:
     """The slope (order 1) or curvature (order 2) over nine frames; the first and last four frames take the nearest full value.
 
-    Recordings of fewer than nine frames are an error.
+    Recordings of fewer than nine frames are an error or, with short="null", have null for every value of the array.
     """
-    if series.groupBy("recording_id").count().filter("count < 9").limit(1).count():
+    if short not in ("error", "null"):
+        raise ValueError("short is error or null")
+    if short == "error" and series.groupBy("recording_id").count().filter("count < 9").limit(1).count():
         raise ValueError("slopes need recordings of at least nine frames")
     weights = SLOPE if order == 1 else CURVE
     w = Window.partitionBy("recording_id").orderBy("frame_idx")
@@ -129,7 +131,7 @@ def delta(series: DataFrame, column: str, name: str, order: int = 1) -> DataFram
             own = _times(F.lead(column, k).over(w) if k > 0 else F.lag(column, -k).over(w) if k else F.col(column), c)
             total = own if total is None else F.zip_with(total, own, lambda a, b: a + b)
     rows = series.withColumn("_d", F.when(full, total))
-    return rows.withColumn(name, F.coalesce("_d", F.first("_d", ignorenulls=True).over(w.rowsBetween(0, 4)), F.last("_d", ignorenulls=True).over(w.rowsBetween(-4, 0)))).drop("_d")
+    return rows.withColumn(name, F.coalesce("_d", F.first("_d", ignorenulls=True).over(w.rowsBetween(0, 4)), F.last("_d", ignorenulls=True).over(w.rowsBetween(-4, 0)), F.transform(column, lambda v: F.lit(None).cast("double")))).drop("_d")
 
 
 def align_frames(*tables: DataFrame) -> DataFrame:
@@ -231,11 +233,14 @@ def frame_table(chunks: DataFrame, compute_hnr: bool = True) -> DataFrame:
 
 
 def extract_features(chunks: DataFrame, compute_hnr: bool = True) -> DataFrame:
-    """frame_features of mono chunks: mfcc (120), spectral_centroid, spectral_rolloff, zcr, hnr, log_mel (128), features (252)."""
+    """frame_features of mono chunks: mfcc (120), spectral_centroid, spectral_rolloff, zcr, hnr, log_mel (128), features (252).
+
+    Recordings of fewer than nine frames have all their frames, with null for slopes and curvatures.
+    """
     frames = frame_table(chunks, compute_hnr)
     both = power_to_db(power_to_db(frames, "mel", "log_mel", "max"), "mel", "mel_db", 1.0)
     coefficients = mfcc(both.select("recording_id", "frame_idx", "mel_db"))
-    slopes = delta(delta(coefficients, "mfcc", "d1", 1), "mfcc", "d2", 2)
+    slopes = delta(delta(coefficients, "mfcc", "d1", 1, "null"), "mfcc", "d2", 2, "null")
     slopes = slopes.select("recording_id", "frame_idx", F.concat("mfcc", "d1", "d2").cast("array<float>").alias("mfcc"))
     rest = both.select("recording_id", "frame_idx", "time", "spectral_centroid", "spectral_rolloff", "zcr", "hnr", F.col("log_mel").cast("array<float>").alias("log_mel"))
     return stack_features(align_frames(slopes, rest))

@@ -473,10 +473,6 @@ def e11_detect_segments(spark, sf_dir):
 
 @query()
 def f11_f16_features(spark, sf_dir):
-    """Recordings of at least nine frames; the harmonic part included."""
-    from nightwave.operators.chunks import recordings
-
-    own = _whole(spark, sf_dir)
-    long = recordings(own).filter("n_samples >= 100").select("recording_id")
-    out = features.extract_features(own.join(long, "recording_id", "left_semi"))
+    """Every recording, the harmonic part included; those of fewer than nine frames have null slopes."""
+    out = features.extract_features(_whole(spark, sf_dir))
     return out.select("recording_id", "frame_idx", "time", "spectral_centroid", "spectral_rolloff", "zcr", "hnr", F.size("features").alias("n_features"))

@@ -10,7 +10,7 @@ from nightwave.config import Config
 from nightwave.functions import kernels
 from nightwave.operators import chunks as ch
 from nightwave.operators import clips, denoise, features, windows
-from nightwave.plans import pipeline
+from nightwave.plans import pipeline, queries
 from nightwave.sources import tables, wav
 
 CHUNKS = "recording_id string, channel int, chunk_id long, start_sample long, sample_rate int, samples array<float>"
@@ -151,6 +151,25 @@ def test_odd_frames_are_one_fewer(spark):
     assert df.count() == 10
 
 
+def test_short_recordings_keep_their_frames_without_slopes(spark):
+    signals = {f"n{n}": [SIGNAL[:n]] for n in (1, 9, 80, 81, 99, 100)}
+    rows = {}
+    for r in features.extract_features(chunked(spark, signals, 1000, 16_384)).collect():
+        rows.setdefault(r.recording_id, []).append(r)
+    assert {k: len(v) for k, v in rows.items()} == {"n1": 1, "n9": 1, "n80": 8, "n81": 9, "n99": 10, "n100": 10}
+    for k, v in rows.items():
+        for r in v:
+            assert len(r.features) == 252 and None not in r.features[:40] and None not in r.features[120:]
+            assert (None in r.features[40:120]) == (k in ("n1", "n9", "n80")) == all(x is None for x in r.features[40:120])
+
+
+def test_short_documents_have_feature_rows(spark, tmp_path):
+    docs = [(1, "a" * 30), (2, "abc " * 60), (3, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["f11_f16_features"](spark, str(tmp_path)).groupBy("recording_id").count().collect()
+    assert {r.recording_id: r["count"] for r in got} == {"1": 3, "2": 24}
+
+
 def test_harmonic_part_of_a_tone():
     x = np.sin(2 * np.pi * 440 * np.arange(16_000) / 16_000).astype(np.float32)
     h = kernels.harmonic(x)
