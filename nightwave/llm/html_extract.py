@@ -1,7 +1,7 @@
 """Main text of web pages by a recurrent block labeller.
 
 A page is cut into leaf blocks at its block-level tags. A block is a vector of its tag path (tags, hashed class and id
-words), its hashed words, its length, its share of linked text and its place; a bidirectional LSTM in numpy reads the
+words), all its words, hashed and in shares of their number, its length, its share of linked text and its place; a bidirectional LSTM in numpy reads the
 whole sequence of blocks and labels each one, so a block is judged with all of the page before and after it.
 
 It learns from a bounded sample (`max_pages` pages, by smallest hash of page_id) whose own markup tells: blocks in
@@ -40,7 +40,7 @@ CONTENT, OTHER = frozenset(("article", "main")), frozenset("nav header footer as
 OTHER_WORDS = frozenset("ad ads advert advertisement promo sponsor sponsored banner nav menu sidebar comment comments footer header cookie notice popup share social related newsletter breadcrumb login search widget".split())
 TAGS = sorted({"article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "ul", "ol", "li", "table", "tr", "td", "blockquote", "pre", "figure", "figcaption", "body", "html", "dl", "dt", "dd"} | OTHER)
 _TAG_AT = {t: i for i, t in enumerate(TAGS)}
-_CLASSES, _WORDS = 48, 32
+_CLASSES, _WORDS = 48, 128
 SIZE = len(TAGS) * 2 + _CLASSES + _WORDS + 6
 
 
@@ -127,8 +127,7 @@ def vectors(page: list[Block]) -> np.ndarray:
     for i, b in enumerate(page):
         out[i, :k] = _path_vector(b.path)
         words = b.text.split()
-        for w in words[:6] + words[-6:]:
-            out[i, k + xxhash.xxh32_intdigest(w.lower()) % _WORDS] += 0.2
+        out[i, k:-6] = np.bincount([xxhash.xxh32_intdigest(w) % _WORDS for w in b.text.lower().split()], minlength=_WORDS) * (2.4 / len(words))
         n = len(b.text)
         out[i, -6:] = (np.log1p(len(words)) / 5, b.linked / n, b.text[-1] in ".!?…", b.text[:1].isupper(), i / len(page), 1 / (1 + i))
     return out

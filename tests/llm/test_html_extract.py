@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from nightwave.llm.html_extract import Labeller, blocks, extract, fit, invented_pages, main_text, training_pages
+from nightwave.llm.html_extract import Labeller, blocks, extract, fit, invented_pages, main_text, training_pages, vectors
 
 
 def test_blocks():
@@ -61,3 +61,11 @@ def test_frames(spark):
     assert all(by_id[i] == want(p) for i, _, p, *_ in pages)
     assert by_id[900] == by_id[901] == "" and len(by_id[None]) > 50_000
     assert main_text(df.limit(0), fit(df.limit(0))).count() == 0
+
+
+def test_every_word_of_a_block_counts():
+    ends = "one two three four five six"
+    a, b = (vectors(blocks(f"<div>{ends} {middle} {ends}</div>"))[0] for middle in ("the cat sat on the mat", "buy our new shoes right now"))
+    assert not np.array_equal(a, b)
+    long = vectors(blocks("<div>" + "word " * 5000 + "</div>"))[0]
+    assert long.max() < 3
