@@ -75,6 +75,17 @@ def w5_targets(spark, sf_dir):
     return scoring.resolve_targets(views.class_labels(spark, sf_dir), TARGET, BREATH)
 
 
+@query("SELECT CAST(p_partkey AS INTEGER) AS class_id, p_name AS label FROM part WHERE contains(lower(p_name), 'ring')")
+def w4_label_lookup_all(spark, sf_dir):
+    return scoring.find_label_indices(views.labels(spark, sf_dir), TARGET)
+
+
+@query("""SELECT CAST(p_partkey AS INTEGER) AS class_id, 'snore' AS grp FROM part WHERE contains(lower(p_name), 'ring')
+  UNION ALL SELECT CAST(p_partkey AS INTEGER), 'breath' FROM part WHERE contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt')""")
+def w5_targets_all(spark, sf_dir):
+    return scoring.resolve_targets(views.labels(spark, sf_dir), TARGET, BREATH)
+
+
 @query(f"""WITH {_PROBS},
   s AS (SELECT list(p_partkey + 1) AS ids FROM part WHERE p_partkey < 64 AND contains(lower(p_name), 'ring')),
   b AS (SELECT list(p_partkey + 1) AS ids FROM part WHERE p_partkey < 64 AND (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt')))

@@ -24,8 +24,14 @@ def score_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("recording_id", F.lit(16_000).alias("sample_rate"), "n_samples", (F.col("n_samples") / 16_000).alias("duration_s"))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a class with a label."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("class_id"), F.col("p_name").alias("label"))
+
+
 def class_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").filter("p_partkey < 64").select(F.col("p_partkey").cast("int").alias("class_id"), F.col("p_name").alias("label"))
+    """The classes of a vector of 64 logits."""
+    return labels(spark, sf_dir).filter("class_id < 64")
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from nightwave.config import Config
 from nightwave.operators import events, scoring, smoothing
+from nightwave.plans import queries
 
 
 def trace(spark, values, rid="r"):
@@ -130,3 +131,10 @@ def test_strict_and_non_strict_counts(spark):
     scores = spark.createDataFrame([("r", 0.3), ("r", 0.31)], "recording_id string, score double")
     assert scoring.window_stats(scores).first().n_over == 1
     assert scoring.trace_stats(trace(spark, [0.3, 0.2]), 0.3).first().n_on == 1
+
+
+def test_label_queries_over_all_parts(spark, tmp_path):
+    spark.createDataFrame([(i, "a ring" if i % 2 else "a bolt") for i in range(200)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    run = lambda name: queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert [r.class_id for r in run("w4_label_lookup_all")] == list(range(1, 200, 2))
+    assert len(run("w5_targets_all")) == 100 + 200 and len(run("w4_label_lookup")) == 32
