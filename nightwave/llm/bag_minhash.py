@@ -9,15 +9,18 @@ Points come in order of time and are made only up to a limit that depends on the
 with a component still empty is done again with twice the limit, so the result is that of the unbounded process.
 
 Candidates share a band of `ROWS` components in one of `BANDS` bands (a pair at 0.8 is missed with probability 5e-5).
-Documents with equal multisets are one node from the start. Within a bucket all nodes are held against a few pivots
-first, and only members of buckets that still hold several components are compared further, in the end all of them
-with those of other components, but for pairs that cannot be similar: too much of either text occurs nowhere else among
-these, or the counts of their elements in `BINS` hashed bins share too little. Both are exact bounds of the overlap, so no link is lost.
+Documents with equal multisets are one node from the start. First each node of a bucket is held against one pivot, the
+member that meets the most others over all its bands, which is the typical text of a group of copies; nodes linked to it
+share a label. Then pairs of a bucket with different labels are compared, but for those that cannot be similar: an
+element that no other open node has cannot be shared, so a pair's overlap is at most the least, summed over `BINS` hashed
+bins, of what both have in a bin beside such elements. That is an exact bound, so no link is lost, and it is held in the
+join, so that ruled out pairs are never rows. A bucket of many open nodes is dealt out in blocks of `BLOCK`.
 The similarity of compared nodes is exact: shingles with their occurrence numbers, intersected.
 
 Defined cases: words are runs of letters, digits and _ in lower case; a text of one to four words has one shingle, of
 all its words; texts without a word (null, empty, punctuation) and rows without doc_id take no part and are their own
-class; rows that share a doc_id are one document; an empty table gives an empty result.
+class; rows that share a doc_id are one document, whose text is the one with the least multiset digest among those with
+words; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches, scratch, text_of, written
 
-WORDS, BANDS, ROWS, BINS = 5, 25, 5, 256
+WORDS, BANDS, ROWS, BINS, BLOCK = 5, 25, 5, 32, 512
 #: Similarity as a fraction of whole numbers, so that a tie at 0.8 is decided exactly.
 LEAST = (4, 5)
 #: Words handled at once in a task, but for a single longer text.
@@ -141,16 +144,24 @@ def _chunks(texts: list[str]):
         yield part
 
 
+def _digests(h: np.ndarray, doc: np.ndarray, weight: np.ndarray, n: int) -> list[np.ndarray]:
+    """128 bits of each multiset, as two sums of hashed (element, weight)."""
+    out = []
+    for salt in (1, 2):
+        total = np.zeros(n, np.uint64)
+        np.add.at(total, doc, _mix(_mix(h + _salt(salt)) + weight.astype(np.uint64)))
+        out.append(total.view(np.int64))
+    return out
+
+
 def _sketch(b: pa.RecordBatch) -> list:
     size, bag_a, bag_b, bands = [], [], [], []
     for words in _chunks(b["text"].to_pylist()):
         h, doc, weight = _elements(*shingles(words))
         n = len(words)
         size.append(np.bincount(doc, weights=weight, minlength=n).astype(np.int64))
-        for to, salt in ((bag_a, 1), (bag_b, 2)):
-            mixed, total = _mix(_mix(h + _salt(salt)) + weight.astype(np.uint64)), np.zeros(n, np.uint64)
-            np.add.at(total, doc, mixed)
-            to.append(total.view(np.int64))
+        for to, x in zip((bag_a, bag_b), _digests(h, doc, weight, n)):
+            to.append(x)
         times = signatures(h, doc, weight, n).view(np.uint64).reshape(n, BANDS, ROWS)
         band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS))
         for r in range(ROWS):
@@ -168,34 +179,53 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def _bags(b: pa.RecordBatch) -> list:
-    out = []
+    bag, bins = [], []
     for words in _chunks(b["text"].to_pylist()):
         x, counts = shingles(words)
+        k = len(bag)
+        right = [(a == u) & (c == v) for a, c, u, v in zip(*_digests(*_elements(x, counts), len(words)), b["bag_a"][k:k + len(words)].to_pylist(), b["bag_b"][k:k + len(words)].to_pylist())]
         start = np.maximum.accumulate(np.where(np.append(True, x[1:] != x[:-1]), np.arange(len(x)), 0)) if len(x) else np.zeros(0, np.int64)
         first = np.repeat(np.cumsum(counts) - counts, counts)
         nth = np.arange(len(x)) - np.maximum(start, first)  # the how-manieth of equal shingles of the document
-        out += np.split(_mix(x + nth.astype(np.uint64) * _G).view(np.int64), np.cumsum(counts)[:-1])
-    return [out, [np.bincount(x & (BINS - 1), minlength=BINS) for x in out]]
+        own = np.split(_mix(x + nth.astype(np.uint64) * _G).view(np.int64), np.cumsum(counts)[:-1])
+        bag += [v if ok else None for v, ok in zip(own, right)]
+        bins += [np.bincount(v >> 32 & (BINS - 1), minlength=BINS) if ok else None for v, ok in zip(own, right)]
+    return [bag, bins]
 
 
 def bags(docs: DataFrame) -> DataFrame:
-    """doc_id, bag (the hashes of (shingle, occurrence number), so that a multiset is a set), bins (how many of them fall to each of BINS)."""
-    return map_batches(docs.select("doc_id", text_of().alias("text")), ["doc_id"], {"bag": pa.list_(pa.int64()), "bins": pa.list_(pa.int32())}, _bags)
+    """node, bag (the hashes of (shingle, occurrence number), so that a multiset is a set), bins (how many of them fall to each of BINS).
 
+    docs: node, text, and the digest (bag_a, bag_b) of the text that counts as the node's; rows with other texts are left out.
+    """
+    made = map_batches(docs.select("node", "bag_a", "bag_b", text_of().alias("text")), ["node"], {"bag": pa.list_(pa.int64()), "bins": pa.list_(pa.int32())}, _bags)
+    return made.filter(F.col("bag").isNotNull())
 
-def _common(members: DataFrame, bag: DataFrame) -> DataFrame:
-    """node, common, bins. common: how many elements of its multiset any other of the members has too, a bound of every overlap."""
-    open_bags = bag.join(members.select("node").distinct(), "node")
-    private = (open_bags.select("node", F.explode("bag").alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-               .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("private")))
-    return open_bags.select("node", "bins", F.size("bag").alias("size")).join(private, "node", "left").select("node", "bins", (F.col("size") - F.coalesce("private", F.lit(0))).alias("common"))
+
+def _shared(open_nodes: DataFrame, bag: DataFrame) -> DataFrame:
+    """node, common, bins: how many elements of its multiset another open node may have too, in all and by bin.
+
+    Elements go by half of their hash: two that fall together count as shared, which only loosens the bound.
+    """
+    held = bag.join(open_nodes.select("node").distinct(), "node").select("node", "bag", "bins")
+    lone = (held.select("node", F.explode(F.transform("bag", lambda e: F.shiftright(e, 32).cast("int"))).alias("element"))
+            .groupBy("element").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+            .groupBy("node").agg(F.array(*[F.count_if(F.col("element").bitwiseAND(BINS - 1) == k).cast("int") for k in range(BINS)]).alias("lone")))
+    whole = held.groupBy("node").agg(F.first("bins").alias("bins")).join(lone, "node", "left")
+    bins = F.when(F.col("lone").isNull(), F.col("bins")).otherwise(F.zip_with("bins", "lone", lambda x, y: x - y))
+    return whole.select("node", bins.alias("bins")).withColumn("common", F.aggregate("bins", F.lit(0), lambda s, x: s + x))
 
 
 def _linked(pairs: DataFrame, bag: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose multisets are similar enough."""
+    """The pairs (a, b) whose multisets are similar enough, with the other columns of pairs."""
     x, y = bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), bag.select(F.col("node").alias("b"), F.col("bag").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(x, "a").join(y, "b").filter(both * LEAST[1] >= LEAST[0] * (F.size("x") + F.size("y") - both)).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").filter(_enough(both, F.size("x"), F.size("y"))).drop("x", "y")
+
+
+def _enough(overlap, n, m):
+    """Whether multisets of n and m elements with that overlap are similar enough: overlap / (n + m - overlap) >= LEAST, the overlap evaluated once."""
+    return overlap * (LEAST[0] + LEAST[1]) >= (n + m) * LEAST[0]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -219,46 +249,44 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def _near_groups(docs: DataFrame) -> DataFrame:
-    sig = written(sketch(docs), "sketch")
-    part = sig.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    nodes = written(part.groupBy("bag_a", "bag_b").agg(F.min(F.struct("doc_id", "n", "bands")).alias("x"))
+    sig = sketch(docs).filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    one = written(sig.groupBy("doc_id").agg(F.min(F.struct("bag_a", "bag_b", "n", "bands")).alias("x")).select("doc_id", "x.*"), "sketch")
+    nodes = written(one.groupBy("bag_a", "bag_b").agg(F.min(F.struct("doc_id", "n", "bands")).alias("x"))
                     .select("bag_a", "bag_b", F.col("x.doc_id").alias("node"), F.col("x.n").alias("n"), F.col("x.bands").alias("bands")), "nodes")
     buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").count().filter("count > 1").select("bucket")
-    members = written(buckets.join(shared, "bucket"), "members")
-    texts = docs.select("doc_id", "text").join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    bag = written(bags(texts).withColumnRenamed("doc_id", "node"), "bags")
-
-    comp = None
-    for pivots in (1, 4, 0):
-        now = members.withColumn("comp", F.col("node")) if comp is None else members.join(comp, "node").select("node", "n", "bucket", "comp")
-        mixed_up = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
-        now = written(now.join(mixed_up, "bucket"), "open")
-        now = now.withColumns({"common": F.col("n"), "bins": F.lit(None).cast("array<int>")}) if pivots == 1 else now.join(_common(now, bag), "node")
-        rank = F.xxhash64("node", F.lit(pivots))
-        if pivots:
-            pivot = now.groupBy("bucket", F.pmod(rank, F.lit(pivots))).agg(F.min(F.struct(rank.alias("r"), "node", "n", "comp", "common", "bins")).alias("p")).select("bucket", "p.*")
-        else:
-            pivot = now
-        pivot = pivot.select("bucket", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp"), F.col("common").alias("p_common"), F.col("bins").alias("p_bins"))
-        enough = lambda most: most * LEAST[1] >= (F.col("n") + F.col("p_n") - most) * LEAST[0]
-        fits = enough(F.least("common", "p_common")) & (F.col("comp") != F.col("p_comp")) & (F.col("node") < F.col("p_node") if not pivots else F.lit(True))
-        if pivots != 1:  # what two multisets share is at most what their bins share
-            fits = fits & enough(F.aggregate(F.zip_with("bins", "p_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x))
-        pairs = now.join(pivot, "bucket").filter(fits).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b")).distinct()
-        links = written(_linked(pairs, bag), "links")
-        if comp is None:
-            label = components(links)
-            comp = written(members.select("node").distinct().join(label, F.col("node") == F.col("id"), "left").select("node", F.coalesce("label", "node").alias("comp")), "comp")
-        else:
-            a, b = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-            label = components(links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            comp = written(comp.join(label, F.col("comp") == F.col("id"), "left").select("node", F.coalesce("label", "comp").alias("comp")), "comp")
-
-    to = nodes.join(comp, "node", "left").select("bag_a", "bag_b", F.coalesce("comp", "node").alias("class_id"))
-    ids = part.select("doc_id", "bag_a", "bag_b").hint("merge").join(to, ["bag_a", "bag_b"]).select("doc_id", "class_id")
-    rest = sig.filter((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
-    return ids.unionByName(rest).select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = written(buckets.join(sizes, "bucket"), "members")
+    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
+    wanted = nodes.join(meets, "node").select("node", "bag_a", "bag_b")
+    bag = written(bags(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("node"))), "bags")
+
+    ranked = members.join(meets, "node").select("bucket", "node", "n", F.struct("meets", "node", "n").alias("rank"))
+    pivots = ranked.groupBy("bucket").agg(F.max("rank").alias("pivot"))
+    near_pivot = F.col("node").alias("a"), F.col("pivot.node").alias("b"), F.col("pivot.meets").alias("meets")
+    size = F.col("n"), F.col("pivot.n")
+    pairs = ranked.join(pivots, "bucket").filter((F.col("node") != F.col("pivot.node")) & _enough(F.least(*size), *size)).select(*near_pivot).distinct()
+    first = written(_linked(pairs, bag), "first")
+    # any label is right that only linked nodes share: the foremost pivot that a node is linked to, and that one's own
+    up = first.groupBy("a").agg(F.max(F.struct("meets", "b")).alias("to")).select(F.col("a").alias("node"), F.col("to.b").alias("label"))
+    comp = up.join(up.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left").select("node", F.coalesce("further", "label").alias("comp"))
+
+    now = written(members.join(comp, "node", "left").select("node", "n", "bucket", F.coalesce("comp", "node").alias("comp")), "labelled")
+    mixed = now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).filter("lo < hi").select("bucket", "blocks")
+    now = written(now.join(mixed, "bucket"), "open")
+    held = written(now.join(_shared(now, bag), "node").filter(F.col("common") * LEAST[1] >= F.col("n") * LEAST[0]), "held")
+    left = held.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    right = held.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"p_{c}") for c in ("node", "n", "comp", "common", "bins")])
+    least = F.aggregate(F.zip_with("bins", "p_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    fits = (left["bucket"] == right["bucket"]) & (left["block"] == right["block"]) & (F.col("node") < F.col("p_node")) & (F.col("comp") != F.col("p_comp"))
+    fits = fits & _enough(F.least("common", "p_common"), F.col("n"), F.col("p_n")) & _enough(least, F.col("n"), F.col("p_n"))
+    pairs = left.join(right.hint("merge"), fits).select(F.col("node").alias("a"), F.col("p_node").alias("b")).distinct()
+    second = written(_linked(pairs, bag), "second")
+
+    label = components(first.select("a", "b").union(second.select("a", "b")))
+    to = nodes.join(label, F.col("node") == F.col("id"), "left").select("bag_a", "bag_b", F.coalesce("label", "node").alias("class_id"))
+    classes = one.select(F.col("doc_id").alias("of"), "bag_a", "bag_b").hint("merge").join(to, ["bag_a", "bag_b"]).select("of", "class_id")
+    rows = docs.select("doc_id").hint("merge").join(classes, F.col("doc_id") == F.col("of"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return rows.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from nightwave.llm.bag_minhash import _FIND, bags, near_groups, signatures, without_near_copies
+from nightwave.llm.bag_minhash import _FIND, bags, near_groups, signatures, sketch, without_near_copies
 
 SCHEMA = "doc_id long, text string, class_id string, n int"
 
@@ -86,6 +86,19 @@ def test_nulls_empty_texts_repeats(spark):
     assert near_groups(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_a_doc_id_are_one_document(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, one, None, None), (1, two, None, None), (1, "", None, None), (2, one, None, None), (3, two + " c", None, None), (4, two, None, None)]
+    got = near_groups(spark.createDataFrame(rows, SCHEMA)).collect()
+    classes = {r.doc_id: r.class_id for r in got}
+    assert len(got) == 6 and classes[4] == classes[3] != classes[2] and classes[1] == 1
+    assert {classes[2], classes[3]} in ({1, 3}, {2, 1})  # document 1 counts with one of its texts
+
+
 def test_bags_are_multisets(spark):
-    got = {r.doc_id: set(r.bag) for r in bags(spark.createDataFrame([(1, "a b c d e a b c d e", "", 0), (2, "a b c d e", "", 0), (3, "z", "", 0)], SCHEMA)).collect()}
+    texts = {1: "a b c d e a b c d e", 2: "a b c d e", 3: "z"}
+    docs = spark.createDataFrame([(k, t, "", 0) for k, t in texts.items()], SCHEMA)
+    keyed = sketch(docs).withColumnRenamed("doc_id", "node").join(docs.withColumnRenamed("doc_id", "node"), "node")
+    got = {r.node: set(r.bag) for r in bags(keyed.select("node", "text", "bag_a", "bag_b")).collect()}
     assert len(got[1]) == 6 and len(got[1] & got[2]) == 1 and len(got[3]) == 1
+    assert bags(keyed.select("node", "text", "bag_a", (keyed.bag_b + 1).alias("bag_b"))).count() == 0
