@@ -1,6 +1,10 @@
 import hashlib
+import os
+import subprocess
+import sys
 
-from nightwave.llm.exact_dedup import DigestIndex, deduplicate, exact_groups, with_digest
+import pytest
+from nightwave.llm.exact_dedup import DigestIndex, deduplicate, digest_of, exact_groups
 
 SCHEMA = "doc_id long, text string, kept string, text_sha256 int"
 ROWS = [(1, "a", "x", 1), (2, "a", "y", 2), (3, None, None, None), (4, "", "z", 4), (None, "a", None, None), (None, "solo", None, 1), (5, "b " * 50_000, "w", 5), (5, "b " * 50_000, "w", 5)]
@@ -33,14 +37,59 @@ def test_empty_table(spark):
     assert exact_groups(empty).count() == 0 and deduplicate(empty).count() == 0
 
 
+def digests(spark, rows=ROWS):
+    return spark.createDataFrame(rows, SCHEMA).select("doc_id", digest_of().alias("digest"))
+
+
 def test_anti_join_reads_the_index_without_an_exchange(spark):
     index = DigestIndex(spark, buckets=4)
-    index.add(with_digest(spark.createDataFrame(ROWS, SCHEMA).select("doc_id", "text")))
-    other = with_digest(spark.createDataFrame(ROWS, SCHEMA).select("doc_id", "text"), "text_sha256").hint("merge")
-    plan = other.join(index.rows(), "text_sha256", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    index.add(digests(spark))
+    plan = digests(spark).hint("merge").join(index.rows(), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("hashpartitioning") <= 1
 
 
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_batches_give_the_same_result(spark, batches):
+    rows = [(i, f"text {i % 37 * (i % 3)}", None, None) for i in range(200)] + ROWS
+    got = sorted((r.doc_id or 0, r.text_sha256, r.keep_id or 0, r.group_size, r.kept) for r in exact_groups(spark.createDataFrame(rows, SCHEMA), batches=batches).collect())
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault(t or "", []).append(i)
+    want = []
+    for t, ids in groups.items():
+        top = max((i for i in ids if i is not None), default=None)
+        want += [(i or 0, hashlib.sha256(t.encode()).hexdigest(), top or 0, len(ids), i == top) for i in ids]
+    assert got == sorted(want)
+
+
+def test_ids_that_are_no_numbers(spark):
+    docs = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y")], "doc_id string, text string")
+    assert sorted((r.doc_id or "", r.kept) for r in exact_groups(docs).collect()) == [("", True), ("a", False), ("b", True)]
+
+
+def test_another_application_goes_on_with_the_index(spark, tmp_path):
+    path = f"{tmp_path}/index"
+    code = f"""
+from pyspark.sql import SparkSession
+from nightwave.llm.exact_dedup import DigestIndex, deduplicate
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", "{tmp_path}/shared").config("spark.sql.warehouse.dir", "{tmp_path}/warehouse").getOrCreate()
+docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+assert deduplicate(docs, DigestIndex(spark, "seen", 4, "{path}")).count() == 2
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, timeout=120)
+    docs = spark.createDataFrame([(7, "a"), (8, "c")], "doc_id long, text string")
+    index = DigestIndex(spark, "seen", path=path)
+    assert [r.doc_id for r in deduplicate(docs, index).collect()] == [8]
+    assert {r.keep_id for r in index.rows().collect()} == {2, 3, 8}
+
+
+def test_an_unknown_folder_is_refused(spark, tmp_path):
+    (tmp_path / "other.txt").write_text("not an index")
+    with pytest.raises(ValueError):
+        exact_groups(spark.createDataFrame(ROWS, SCHEMA), DigestIndex(spark, path=str(tmp_path)))
+
+
 def test_an_index_is_reopened_by_its_path(spark, tmp_path):
     path = f"{tmp_path}/index"
     first, second = spark.createDataFrame(ROWS[:2], SCHEMA), spark.createDataFrame([(9, "a", "", 0), (10, "new", "", 0)], SCHEMA)
@@ -52,8 +101,8 @@ def test_an_index_is_reopened_by_its_path(spark, tmp_path):
     assert again.buckets == 4 and {r.keep_id for r in DigestIndex(spark, "other_name", path=path).rows().collect()} == {2, 10}
 
 
-def test_the_first_batch_is_read_from_the_index(spark):
+def test_results_are_read_from_the_index(spark):
     index = DigestIndex(spark, buckets=4)
-    groups = index.add(with_digest(spark.createDataFrame(ROWS, SCHEMA).select("doc_id", "text")))
+    index.add(digests(spark))
     folder = index.path.rsplit("/", 1)[1]
-    assert any(f"/{folder}/" in f for f in groups.inputFiles())
+    assert any(f"/{folder}/" in f for f in index.groups(digests(spark)).inputFiles())
