@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-#: Words that mark classes of the sound that is sought, and of breathing.
-TARGET_KEYWORDS = ("snore", "snoring", "snor")
-BREATH_KEYWORDS = ("breath", "breathing", "snort", "wheeze")
+#: Parts of labels that mark classes of the sound that is sought, and of breathing, and the weights of both.
+TARGET_KEYWORDS = ("snor",)
+BREATH_KEYWORDS = ("breath", "wheez", "snort")
 TARGET_WEIGHT, BREATH_WEIGHT = 2.0, 1.0
 
 

@@ -1,16 +1,35 @@
 """A frame trace to events: threshold, runs, merging over short gaps, padding, least duration.
 
-Frames are compared by their whole-number index, so ties at a gap or a duration do not depend on rounding.
+Frames are compared by their whole-number index, so ties at a gap or a duration do not depend on rounding. Confidences
+are means of whole hundred-millionths: sums are exact in any order, and one division is left to rounding.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightwave.config import Config
+from nightwave.operators.smoothing import BLOCK
 
 _CFG = Config()
+_UNITS = 100_000_000
+
+
+def _units(column: str | Column) -> Column:
+    c = F.col(column) if isinstance(column, str) else column
+    return F.round(c * _UNITS).cast("long")
+
+
+def _mean(column: str) -> Column:
+    """The mean of a column of up to eight digits, to eight digits, half up, the same in whatever order rows come."""
+    return F.floor((F.sum(_units(column)) + F.floor(F.count(column) / 2)) / F.count(column)) / _UNITS
+
+
+def to_digits(column: str, digits: int) -> Column:
+    """A confidence to fewer digits, half up in whole numbers."""
+    step = 10 ** (8 - digits)
+    return F.floor((_units(column) + step // 2) / step) / 10**digits
 
 
 def threshold_mask(trace: DataFrame, threshold: float = _CFG.threshold) -> DataFrame:
@@ -18,11 +37,18 @@ def threshold_mask(trace: DataFrame, threshold: float = _CFG.threshold) -> DataF
     return trace.withColumn("is_on", F.col("prob") >= threshold)
 
 
-def find_runs(mask: DataFrame, hop_ms: int = 10) -> DataFrame:
-    """recording_id, first_frame, last_frame, start, end (time of the last frame itself), confidence of each longest stretch of frames that are on."""
-    w = Window.partitionBy("recording_id").orderBy("frame_idx")
-    on = mask.filter("is_on").withColumn("island", F.col("frame_idx") - F.row_number().over(w))
-    runs = on.groupBy("recording_id", "island").agg(F.min("frame_idx").alias("first_frame"), F.max("frame_idx").alias("last_frame"), F.avg("prob").alias("confidence"))
+def find_runs(mask: DataFrame, hop_ms: int = 10, block: int = BLOCK) -> DataFrame:
+    """recording_id, first_frame, last_frame, start, end (time of the last frame itself), confidence of each longest stretch of frames that are on.
+
+    Stretches are found within blocks of frames, then those that touch at a border are joined, sums and counts with them.
+    """
+    on = mask.filter("is_on").select("recording_id", "frame_idx", F.floor(F.col("frame_idx") / block).alias("block"), _units("prob").alias("units"))
+    island = F.col("frame_idx") - F.row_number().over(Window.partitionBy("recording_id", "block").orderBy("frame_idx"))
+    pieces = on.withColumn("island", island).groupBy("recording_id", "block", "island").agg(F.min("frame_idx").alias("a"), F.max("frame_idx").alias("b"), F.sum("units").alias("units"), F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("recording_id").orderBy("a")
+    fresh = F.when(F.col("a") == F.lag("b").over(w) + 1, 0).otherwise(1)
+    runs = (pieces.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(w)).groupBy("recording_id", "run")
+            .agg(F.min("a").alias("first_frame"), F.max("b").alias("last_frame"), (F.floor((F.sum("units") + F.floor(F.sum("n") / 2)) / F.sum("n")) / _UNITS).alias("confidence")))
     seconds = lambda c: F.round(F.col(c) * hop_ms / 1000.0, 6)
     return runs.select("recording_id", "first_frame", "last_frame", seconds("first_frame").alias("start"), seconds("last_frame").alias("end"), "confidence")
 
@@ -33,7 +59,7 @@ def merge_runs(runs: DataFrame, gap_s: float = _CFG.merge_gap_s, hop_ms: int = 1
     gap = F.col("first_frame") - F.lag("last_frame").over(w)
     fresh = F.when(gap.isNull() | (F.round(gap * hop_ms / 1000.0, 6) > gap_s), 1).otherwise(0)
     grouped = runs.withColumn("fresh", fresh).withColumn("grp", F.sum("fresh").over(w))
-    return grouped.groupBy("recording_id", "grp").agg(F.min("first_frame").alias("first_frame"), F.max("last_frame").alias("last_frame"), F.min("start").alias("start"), F.max("end").alias("end"), F.avg("confidence").alias("confidence")).drop("grp")
+    return grouped.groupBy("recording_id", "grp").agg(F.min("first_frame").alias("first_frame"), F.max("last_frame").alias("last_frame"), F.min("start").alias("start"), F.max("end").alias("end"), _mean("confidence").alias("confidence")).drop("grp")
 
 
 def pad_events(events: DataFrame, lengths: DataFrame, padding_s: float = _CFG.padding_s, hop_ms: int = 10) -> DataFrame:
@@ -46,7 +72,7 @@ def pad_events(events: DataFrame, lengths: DataFrame, padding_s: float = _CFG.pa
 def filter_events(events: DataFrame, min_duration_s: float = _CFG.min_duration_s) -> DataFrame:
     """Events of at least min_duration_s, times and confidence to four digits."""
     kept = events.filter(F.round(F.col("end") - F.col("start"), 6) >= min_duration_s)
-    return kept.withColumns({c: F.round(F.round(c, 8), 4) for c in ("start", "end", "confidence")})
+    return kept.withColumns({c: F.round(F.round(c, 8), 4) for c in ("start", "end")} | {"confidence": to_digits("confidence", 4)})
 
 
 def group_frames(trace: DataFrame, cfg: Config = _CFG) -> DataFrame:

@@ -62,7 +62,7 @@ def frame_count(n_samples: Column, sample_rate: Column, hop_ms: int) -> Column:
 
 
 def interpolate_frames(window_scores: DataFrame, recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
-    """recording_id, frame_idx, t, prob on the hop grid: linear between window centres, clamped beyond the first and the last.
+    """recording_id, frame_idx, t, prob, n_frames (of the recording) on the hop grid: linear between window centres, clamped beyond the first and the last.
 
     A window's row makes the frames up to the next window's centre, so nothing is joined to the frame grid.
     """
@@ -76,7 +76,7 @@ def interpolate_frames(window_scores: DataFrame, recordings: DataFrame, hop_ms:
     t = F.col("frame_idx") * hop_ms / 1000.0
     line = F.col("score") + (F.col("next_s") - F.col("score")) * (t - F.col("center_s")) / (F.col("next_c") - F.col("center_s"))
     prob = F.when(F.col("next_c").isNull() | (t <= F.col("center_s")), F.col("score")).otherwise(line)
-    return frames.select("recording_id", "frame_idx", t.alias("t"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), prob)).alias("prob"))
+    return frames.select("recording_id", "frame_idx", t.alias("t"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), prob)).alias("prob"), "n_frames")
 
 
 def trace_stats(frame_probs: DataFrame, threshold: float | None = None) -> DataFrame:

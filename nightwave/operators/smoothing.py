@@ -1,54 +1,96 @@
 """Smoothing of a frame trace by window functions over mirrored edges.
 
-A filter of even width reaches one frame further back than ahead; the median of an even width is the upper one. All
-filters of a trace share one partitioning by recording.
+A filter of even width reaches one frame further back than ahead; the median of an even width is the upper one. A trace
+is dealt out by recording and block of `BLOCK` frames, each block with copies of the frames that its filters reach, so
+that one long recording is many tasks; a two-stage smoothing moves each frame once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK = 16_384
+
+
+def _counted(series: DataFrame) -> DataFrame:
+    """recording_id, frame_idx, prob, n: the frames of the recording, from the column n_frames where the trace has it."""
+    if "n_frames" in series.columns:
+        return series.select("recording_id", "frame_idx", "prob", F.col("n_frames").alias("n"))
+    return series.select("recording_id", "frame_idx", "prob").join(series.groupBy("recording_id").agg(F.count(F.lit(1)).alias("n")), "recording_id")
+
+
+def _places(at: str, left: int, right: int) -> Column:
+    """The frame itself and its mirror images up to `left` before and `right` behind the recording's n frames."""
+    i, n, span = F.col(at), F.col("n"), max(left, right)
+    turns = F.sequence(-(F.floor(span / (2 * n)) + 1), F.floor(span / (2 * n)) + 1)
+    images = F.concat(F.transform(turns, lambda m: i + 2 * m * n), F.transform(turns, lambda m: 2 * m * n - 1 - i))
+    outside = F.filter(images, lambda j: ((j < 0) & (j >= -left)) | ((j >= n) & (j < n + right)))
+    near_edge = (i < span) | (i >= n - span)
+    return F.when(near_edge, F.concat(F.array(i), outside)).otherwise(F.array(i))
+
 
 def reflect_pad(series: DataFrame, left: int, right: int) -> DataFrame:
     """series (recording_id, frame_idx, prob) with `left` and `right` mirrored frames before and after; the edge frame is repeated.
 
     Frame -1 is frame 0, frame T is frame T - 1; short recordings are mirrored again and again (period 2 T).
     """
-    span = max(left, right)
-    by_id = Window.partitionBy("recording_id")
-    known = series.select("recording_id", "frame_idx", "prob").withColumn("n", F.count(F.lit(1)).over(by_id))
-    edge = known.filter((F.col("frame_idx") < span) | (F.col("frame_idx") >= F.col("n") - span))
-    turns = F.sequence(-(F.floor(span / (2 * F.col("n"))) + 1), F.floor(span / (2 * F.col("n"))) + 1)
-    images = F.concat(F.transform(turns, lambda m: F.col("frame_idx") + 2 * m * F.col("n")), F.transform(turns, lambda m: 2 * m * F.col("n") - 1 - F.col("frame_idx")))
-    outside = F.filter(images, lambda j: ((j < 0) & (j >= -left)) | ((j >= F.col("n")) & (j < F.col("n") + right)))
-    mirrored = edge.select("recording_id", F.explode(outside).alias("frame_idx"), "prob", "n")
-    return known.unionByName(mirrored)
+    return _counted(series).withColumn("frame_idx", F.explode(_places("frame_idx", left, right)))
+
+
+def _blocks(series: DataFrame, pads: list[tuple[int, int]], block: int) -> DataFrame:
+    """The frames that each block's filters reach, mirrored for the first of them: recording_id, block, frame_idx, prob, n."""
+    left, right = sum(a for a, _ in pads), sum(b for _, b in pads)
+    padded = _counted(series).withColumn("frame_idx", F.explode(_places("frame_idx", *pads[0])))
+    last = F.floor((F.col("n") - 1) / block)
+    within = F.sequence(F.greatest(F.lit(0), F.floor((F.col("frame_idx") - right) / block)), F.least(last, F.floor((F.col("frame_idx") + left) / block)))
+    return padded.withColumn("block", F.explode(within))
 
 
-def _filtered(series: DataFrame, size: int, value) -> DataFrame:
-    left, right = size // 2, size - 1 - size // 2
-    w = Window.partitionBy("recording_id").orderBy("frame_idx").rowsBetween(-left, right)
-    padded = reflect_pad(series, left, right)
-    return padded.withColumn("prob", value(w)).filter((F.col("frame_idx") >= 0) & (F.col("frame_idx") < F.col("n"))).select("recording_id", "frame_idx", "prob")
+def _filters(series: DataFrame, stages: list[tuple[int, object]], block: int = BLOCK) -> DataFrame:
+    """series after filters of (size, value of a window), each over what the one before gave, mirrored anew."""
+    pads = [(size // 2, size - 1 - size // 2) for size, _ in stages]
+    rows = _blocks(series, pads, block)
+    for k, (_, value) in enumerate(stages):
+        if k:
+            rows = rows.withColumn("frame_idx", F.explode(_places("frame_idx", *pads[k])))
+        w = Window.partitionBy("recording_id", "block").orderBy("frame_idx").rowsBetween(-pads[k][0], pads[k][1])
+        left, right = sum(a for a, _ in pads[k + 1:]), sum(b for _, b in pads[k + 1:])
+        own = (F.col("frame_idx") >= F.greatest(F.lit(0), F.col("block") * block - left)) & (F.col("frame_idx") < F.least(F.col("n"), (F.col("block") + 1) * block + right))
+        rows = rows.withColumn("prob", value(w)).filter(own)
+    return rows.select("recording_id", "frame_idx", "prob")
+
+
+def _median(size: int):
+    return lambda w: F.sort_array(F.collect_list("prob").over(w))[size // 2]
+
+
+def _mean(w) -> Column:
+    return F.avg("prob").over(w)
 
 
 def median_filter(series: DataFrame, size: int) -> DataFrame:
     """The element of rank size // 2 (from 0) of each window of `size` frames."""
-    return _filtered(series, size, lambda w: F.sort_array(F.collect_list("prob").over(w))[size // 2])
+    return _filters(series, [(size, _median(size))])
 
 
 def uniform_filter(series: DataFrame, size: int) -> DataFrame:
     """The mean of each window of `size` frames."""
-    return _filtered(series, size, lambda w: F.avg("prob").over(w))
+    return _filters(series, [(size, _mean)])
 
 
 def filter_width(ms: float, hop_s: float) -> int:
     return max(1, round(ms / 1000 / hop_s))
 
 
-def smooth_probabilities(frame_probs: DataFrame, hop_s: float = 0.01, median_ms: float = 100.0, uniform_ms: float = 200.0) -> DataFrame:
-    """recording_id, frame_idx, t, prob: median, then mean (mirrored anew), then cut to 0 .. 1, to six digits."""
-    out = uniform_filter(median_filter(frame_probs, filter_width(median_ms, hop_s)), filter_width(uniform_ms, hop_s))
+def smooth_probabilities(frame_probs: DataFrame, hop_s: float = 0.01, median_ms: float = 100.0, uniform_ms: float = 200.0, block: int = BLOCK) -> DataFrame:
+    """recording_id, frame_idx, t, prob: median, then mean (mirrored anew), then cut to 0 .. 1, to six digits.
+
+    block must be at least the filters' reach.
+    """
+    m, u = filter_width(median_ms, hop_s), filter_width(uniform_ms, hop_s)
+    if block < m + u:
+        raise ValueError("a block must be at least as long as the filters reach")
+    out = _filters(frame_probs, [(m, _median(m)), (u, _mean)], block)
     prob = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prob"))), 6)
     return out.select("recording_id", "frame_idx", F.round(F.col("frame_idx") * hop_s, 6).alias("t"), prob.alias("prob"))

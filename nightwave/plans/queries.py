@@ -38,6 +38,10 @@ def _runs(spark, sf_dir):
     return events.find_runs(events.threshold_mask(_smooth(spark, sf_dir)))
 
 
+def _six_digits(runs: DataFrame) -> DataFrame:
+    return runs.withColumn("confidence", events.to_digits("confidence", 6))
+
+
 def _six(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -101,7 +105,7 @@ def w7_window_stats(spark, sf_dir):
 
 @query(f"WITH {views.V_FRAMES} SELECT recording_id, frame_idx, t, round(prob, 6) AS prob FROM frames")
 def w8_frames(spark, sf_dir):
-    return _six(_frames(spark, sf_dir), "prob")
+    return _six(_frames(spark, sf_dir).drop("n_frames"), "prob")
 
 
 @query(f"WITH {views.V_SMOOTH} SELECT recording_id, count(*) AS n_frames, round(max(prob), 6) AS max_prob, round(avg(prob), 6) AS mean_prob, count(*) FILTER (prob >= 0.3) AS n_on FROM smooth GROUP BY ALL")
@@ -134,21 +138,21 @@ def e1_threshold_mask(spark, sf_dir):
     return events.threshold_mask(_smooth(spark, sf_dir)).select("recording_id", "frame_idx", "is_on")
 
 
-@query(f'WITH {views.V_RUNS} SELECT recording_id, first_frame, last_frame, start, "end", round(confidence, 6) AS confidence FROM runs')
+@query(f'WITH {views.V_RUNS} SELECT recording_id, first_frame, last_frame, start, "end", {views.digits_sql("confidence", 6)} AS confidence FROM runs')
 def e2_e3_runs(spark, sf_dir):
-    return _six(_runs(spark, sf_dir), "confidence")
+    return _six_digits(_runs(spark, sf_dir))
 
 
-@query(f'WITH {views.V_MERGED} SELECT recording_id, first_frame, last_frame, start, "end", round(confidence, 6) AS confidence FROM merged')
+@query(f'WITH {views.V_MERGED} SELECT recording_id, first_frame, last_frame, start, "end", {views.digits_sql("confidence", 6)} AS confidence FROM merged')
 def e4_merge_runs(spark, sf_dir):
-    return _six(events.merge_runs(_runs(spark, sf_dir)), "confidence")
+    return _six_digits(events.merge_runs(_runs(spark, sf_dir)))
 
 
-@query(f'WITH {views.V_EVENTS} SELECT recording_id, first_frame, last_frame, start, "end", round(confidence, 6) AS confidence FROM padded')
+@query(f'WITH {views.V_EVENTS} SELECT recording_id, first_frame, last_frame, start, "end", {views.digits_sql("confidence", 6)} AS confidence FROM padded')
 def e5_pad_events(spark, sf_dir):
     trace = _smooth(spark, sf_dir)
     lengths = trace.groupBy("recording_id").agg((F.max("frame_idx") + 1).alias("n_frames"))
-    return _six(events.pad_events(events.merge_runs(_runs(spark, sf_dir)), lengths), "confidence")
+    return _six_digits(events.pad_events(events.merge_runs(_runs(spark, sf_dir)), lengths))
 
 
 @query(f"WITH {views.V_EVENTS} SELECT * FROM found")

@@ -77,25 +77,34 @@ def uniform_sql(source: str, name: str) -> str:
     SELECT recording_id, frame_idx, n, avg(prob) OVER (PARTITION BY recording_id ORDER BY frame_idx ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS prob FROM {name}_pad) WHERE frame_idx BETWEEN 0 AND n - 1)"""
 
 
+def mean_sql(column: str) -> str:
+    return f"(CAST(sum(CAST(round({column} * 100000000) AS BIGINT)) AS BIGINT) + count(*) // 2) // count(*) / 100000000.0::DOUBLE"
+
+
+def digits_sql(column: str, digits: int) -> str:
+    step = 10 ** (8 - digits)
+    return f"(CAST(round({column} * 100000000) AS BIGINT) + {step // 2}) // {step} / {10**digits}.0::DOUBLE"
+
+
 #: Every view's recordings have at least 50 frames, so one mirror image at each end is enough here.
 V_SMOOTH = V_FRAMES + "," + median_sql("frames", "med") + "," + uniform_sql("med", "uni") + """,
   smooth AS (SELECT recording_id, frame_idx, round(frame_idx * 0.01::DOUBLE, 6) AS t, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, prob)), 6) AS prob FROM uni)"""
-V_RUNS = V_SMOOTH + """,
+V_RUNS = V_SMOOTH + f""",
   islands AS (SELECT *, frame_idx - row_number() OVER (PARTITION BY recording_id ORDER BY frame_idx) AS island FROM smooth WHERE prob >= 0.30),
   runs AS (
-    SELECT recording_id, min(frame_idx) AS first_frame, max(frame_idx) AS last_frame, round(min(frame_idx) * 10 / 1000.0::DOUBLE, 6) AS start, round(max(frame_idx) * 10 / 1000.0::DOUBLE, 6) AS "end", avg(prob) AS confidence
+    SELECT recording_id, min(frame_idx) AS first_frame, max(frame_idx) AS last_frame, round(min(frame_idx) * 10 / 1000.0::DOUBLE, 6) AS start, round(max(frame_idx) * 10 / 1000.0::DOUBLE, 6) AS "end", {mean_sql("prob")} AS confidence
     FROM islands GROUP BY recording_id, island)"""
-V_MERGED = V_RUNS + """,
+V_MERGED = V_RUNS + f""",
   marked AS (SELECT *, CASE WHEN first_frame - lag(last_frame) OVER o <= 30 THEN 0 ELSE 1 END AS fresh FROM runs WINDOW o AS (PARTITION BY recording_id ORDER BY first_frame)),
   grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY recording_id ORDER BY first_frame) AS grp FROM marked),
-  merged AS (SELECT recording_id, min(first_frame) AS first_frame, max(last_frame) AS last_frame, min(start) AS start, max("end") AS "end", avg(confidence) AS confidence FROM grouped GROUP BY recording_id, grp)"""
-V_EVENTS = V_MERGED + """,
+  merged AS (SELECT recording_id, min(first_frame) AS first_frame, max(last_frame) AS last_frame, min(start) AS start, max("end") AS "end", {mean_sql("confidence")} AS confidence FROM grouped GROUP BY recording_id, grp)"""
+V_EVENTS = V_MERGED + f""",
   lengths AS (SELECT recording_id, max(frame_idx) + 1 AS n_frames FROM smooth GROUP BY ALL),
   padded AS (
     SELECT recording_id, first_frame, last_frame, round(greatest(0.0::DOUBLE, start - 0.10::DOUBLE), 6) AS start, round(least((n_frames - 1) * 10 / 1000.0::DOUBLE, "end" + 0.10::DOUBLE), 6) AS "end", confidence
     FROM merged JOIN lengths USING (recording_id)),
   kept AS (
-    SELECT recording_id, first_frame, round(round(start, 8), 4) AS start, round(round("end", 8), 4) AS "end", round(round(confidence, 8), 4) AS confidence
+    SELECT recording_id, first_frame, round(round(start, 8), 4) AS start, round(round("end", 8), 4) AS "end", {digits_sql("confidence", 4)} AS confidence
     FROM padded WHERE round("end" - start, 6) >= 0.40::DOUBLE),
   found AS (SELECT recording_id, CAST(row_number() OVER (PARTITION BY recording_id ORDER BY first_frame) AS INTEGER) AS event_id, start, "end", confidence FROM kept)"""
 
