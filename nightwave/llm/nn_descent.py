@@ -2,16 +2,23 @@
 
 Rows with equal vectors are one node. A first graph comes from random hyperplanes: nodes with equal signs in one of
 `TREES` draws form leaves, cut into blocks of about `LEAF` nodes, and each node takes its nearest in its block. Then
-NN-descent: every node's neighbours and (at most `DEGREE` of, by hash) those that it is a neighbour of meet in one row, all distances among them
-are taken, and those nearer than a node's worst neighbour enter its list; rounds end when few lists change. A
-query starts from the leaves of its own signs and expands the nearest nodes of its pool, breadth `BREADTH` a hop, until nothing nearer turns up.
-Graph and search use half-precision vectors (scaled to the largest component); the pool is ranked by exact distances
-on the original vectors in the end. Each stage moves O(nodes * DEGREE) short rows, and no group is larger than a block
-or twice DEGREE. Hyperplane offsets are means over `SAMPLE` nodes with the smallest hash; all rows are indexed.
-
-Defined cases: vectors that are null, zero or of another length than the commonest one, or that hold null or non-finite
-components, and rows without vec_id take no part, neither as queries nor as candidates; rows that share a vec_id and a vector are one row;
-equal distances go by vec_id; with fewer than k candidates all are returned; an empty table gives an empty result.
+NN-descent: every node's neighbours and (at most `DEGREE` of, by hash) those that it is a neighbour of meet in one row;
+distances are taken where at least one of a pair is new to its list, as all others met before, and those nearer than a
+node's worst neighbour enter its list. Rounds end when few lists change; nodes around which nothing is new move nothing.
+A query starts from the leaves of its own signs and expands the nearest nodes of its pool, `BREADTH` at a time, until
+every node of its pool of `POOL` is expanded and nothing nearer turns up.
+
+Graph and search use single-precision vectors around the median of a sample, and double-precision products, so neither
+an outlier nor an offset of the cloud costs digits; the pool is ranked by exact distances on the original vectors in the
+end. Each stage moves O(nodes * DEGREE) short rows, and no group is larger than a block or four times DEGREE.
+Hyperplane offsets are medians over `SAMPLE` nodes with the smallest hash; all rows are indexed. `exact=True` holds every
+query against every row instead, in blocks: the exact way beside the bounds on lists and pools.
+
+Defined cases: vectors that are null, zero or hold null or non-finite components, and rows without vec_id take no part,
+neither as queries nor as candidates; vectors are held against those of their own length alone, by a graph for the
+commonest length and for each of at least `LEAF` rows, else exactly; rows that share a vec_id and a vector are one row,
+those that share a vec_id alone are rows of their own, each a query and a candidate (of its namesakes' results an id keeps
+its nearest); equal distances go by vec_id; with fewer than k candidates all are returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,23 +32,23 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches, written
 
-DEGREE, TREES, LEAF, ROUNDS, POOL, BREADTH, HOPS, SAMPLE = 24, 6, 256, 5, 300, 32, 12, 4096
+DEGREE, TREES, LEAF, ROUNDS, POOL, BREADTH, SAMPLE = 24, 6, 256, 8, 160, 40, 4096
 EDGE = "a long, b long, d float"
+FAR = 1e18  # components beyond this are cut in the graph, so that squares stay finite
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """vec_id and v (array<double>) of the rows that take part."""
+    """vec_id, v (array<double>) and its length n, of the rows that take part."""
     v = F.col("embedding").cast("array<double>")
     fine = rows.select("vec_id", v.alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).filter(
         ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
-    size = fine.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return fine.filter(F.size("v") == (size.n if size else -1)).distinct()
+    return fine.distinct().withColumn("n", F.size("v"))
 
 
-def _halves(column: pa.Array) -> np.ndarray:
-    """Packed vectors as a float32 matrix."""
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Packed vectors as a matrix."""
     packed = column.to_pylist()
-    return np.frombuffer(b"".join(packed), np.float16).astype(np.float32).reshape(len(packed), -1)
+    return np.frombuffer(b"".join(packed), np.float32).astype(np.float64).reshape(len(packed), -1)
 
 
 def _squares(x: np.ndarray) -> np.ndarray:
@@ -65,141 +72,192 @@ def _best(a: np.ndarray, b: np.ndarray, d: np.ndarray, k: int) -> list[pa.Array]
 
 
 def _edges_within(groups: DataFrame, k: int) -> DataFrame:
-    """Edges among the members of each row: ids, packed, and worst (the distance from which a member needs no more)."""
+    """Edges among the members of each row of which one is new: ids, packed, fresh, and worst (the distance from which a member needs no more)."""
     def run(batches):
         for batch in batches:
             out = [[], [], []]
             stop = np.cumsum([len(x) for x in batch["ids"]])
-            ids, worst, x = batch["ids"].flatten().to_numpy(), batch["worst"].flatten().to_numpy(), _halves(batch["packed"].flatten())
+            ids, worst, x = batch["ids"].flatten().to_numpy(), batch["worst"].flatten().to_numpy(), _matrix(batch["packed"].flatten())
+            fresh = batch["fresh"].flatten().to_numpy(zero_copy_only=False)
             for s, e in zip((0, *stop), stop):
-                own = ids[s:e]
+                own, new = ids[s:e], fresh[s:e]
                 d = _squares(x[s:e])
+                d[~(new[:, None] | new[None])] = np.inf
                 if len(own) > k:
                     near = np.argpartition(d, k - 1, axis=1)[:, :k]
                     i, j = np.repeat(np.arange(len(own)), k), near.reshape(-1)
                 else:
                     i, j = np.nonzero(np.isfinite(d))
                 dist = d[i, j]
-                good = (dist < worst[s:e][i]) & (own[i] != own[j])
+                good = (dist < worst[s:e][i]) & (own[i] != own[j]) & np.isfinite(dist)
                 for to, v in zip(out, (own[i][good], own[j][good], dist[good])):
                     to.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(_best(*map(np.concatenate, out), k), names=["a", "b", "d"])
 
-    return groups.select("ids", "packed", "worst").mapInArrow(run, EDGE)
+    return groups.select("ids", "packed", "worst", "fresh").mapInArrow(run, EDGE)
 
 
 def _gathered(rows: DataFrame, *keys: str) -> DataFrame:
-    x = F.collect_list(F.struct("node", "packed", "worst"))
-    return rows.groupBy(*keys).agg(x.alias("x")).select(F.col("x.node").alias("ids"), F.col("x.packed").alias("packed"), F.col("x.worst").alias("worst"))
+    x = F.collect_list(F.struct("node", "packed", "worst", "fresh"))
+    return rows.groupBy(*keys).agg(x.alias("x")).select(*(F.col(f"x.{of}").alias(to) for of, to in (("node", "ids"), ("packed", "packed"), ("worst", "worst"), ("fresh", "fresh"))))
 
 
-def _merged(edges: DataFrame, degree: int) -> DataFrame:
-    """node, near (sorted array of (d, b)) from edges."""
-    return edges.groupBy("a").agg(F.slice(F.array_sort(F.collect_set(F.struct("d", "b"))), 1, degree).alias("near")).select(F.col("a").alias("node"), "near")
+def _few(rows: DataFrame, degree: int, *by: str) -> DataFrame:
+    """Of the rows (node, of) at most `degree` of each node, by hash."""
+    w = Window.partitionBy("node", *by).orderBy(F.xxhash64("of", "node"), "of")
+    return rows.withColumn("i", F.row_number().over(w)).filter(F.col("i") <= degree).drop("i")
 
 
 class Graph:
-    """points: node, packed, signs (a sign code a tree). near: node, near. members: vec_id, v, node. All are written tables."""
+    """points: node, packed, signs (a sign code a tree). near: node, near (sorted (d, b, fresh)). members: vec_id, v, node. All are written tables."""
 
-    def __init__(self, rows: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 0):
+    def __init__(self, fine: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 0):
+        """fine: vec_id, v of rows that take part, all of one length."""
         self.degree = degree
-        fine = written(usable(rows), "vectors")
-        self.members = written(fine.groupBy("v").agg(F.min("vec_id").alias("node")).join(fine, "v").select("vec_id", "node", "v"), "members")
-        unique = self.members.filter("vec_id = node")
-        stats = unique.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max(F.transform("v", F.abs))).alias("top")).first()
-        n, self.scale = stats.n, float(stats.top or 1.0)
-        sample = np.array([r.v for r in unique.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").collect()])  # SAMPLE rows at most
+        unique = written(fine.groupBy("v").agg(F.lit(1)).select("v", F.monotonically_increasing_id().alias("node")), "unique")
+        self.members = written(unique.join(fine.select("vec_id", "v"), "v").select("vec_id", "node", "v"), "members")
+        n = unique.count()
+        sample = np.array([r.v for r in unique.orderBy(F.xxhash64("v"), "node").limit(SAMPLE).select("v").collect()])  # SAMPLE rows at most
         bits = max(0, math.ceil(math.log2(max(n, 1) / LEAF)))
-        dim = sample.shape[1] if sample.size else 1
-        self.planes = np.random.default_rng(seed).normal(size=(TREES * bits, dim))
-        self.offsets = (sample / self.scale @ self.planes.T).mean(axis=0) if sample.size else np.zeros(TREES * bits)
-        self.points = written(self.coded(unique.select("node", "v"), "node"), "points")
-        leaf = self.points.select("node", "packed", F.posexplode("signs").alias("tree", "code")).withColumn("worst", F.lit(float("inf")).cast("float"))
+        self.centre = np.median(sample, axis=0) if sample.size else np.zeros(1)
+        self.planes = np.random.default_rng(seed).normal(size=(TREES * bits, len(self.centre)))
+        self.offsets = np.median(np.clip(sample - self.centre, -FAR, FAR) @ self.planes.T, axis=0) if sample.size else np.zeros(TREES * bits)
+        self.points = written(self.coded(unique, "node"), "points")
+        leaf = self.points.select("node", "packed", F.posexplode("signs").alias("tree", "code")).withColumns({"worst": F.lit(float("inf")).cast("float"), "fresh": F.lit(True)})
         sizes = leaf.groupBy("tree", "code").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("blocks"))
         blocks = leaf.join(sizes, ["tree", "code"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), "blocks"))
         self.entries = written(leaf.groupBy("tree", "code", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(8)).alias("k")).agg(F.min(F.struct(F.xxhash64("node", F.lit(2)), "node")).alias("x")).select("tree", "code", F.col("x.node").alias("node")), "entries")
-        self.near = written(_merged(_edges_within(_gathered(blocks, "tree", "code", "block"), degree), degree), "near")
+        found = _edges_within(_gathered(blocks, "tree", "code", "block"), degree)
+        self.near = written(self._lists(found.withColumn("fresh", F.lit(True))), "near")
         for _ in range(rounds):
             if not self._round():
                 break
 
     def coded(self, rows: DataFrame, key: str) -> DataFrame:
         """key, packed, signs of rows with v."""
-        scale, planes, offsets = self.scale, self.planes, self.offsets
+        centre, planes, offsets = self.centre, self.planes, self.offsets
 
         def pack(b: pa.RecordBatch) -> list:
             v = b["v"].to_pylist()
             if not v:
                 return [[], []]
-            x = np.array(v) / scale
+            x = np.clip(np.array(v) - centre, -FAR, FAR)
             signs = (x @ planes.T > offsets).reshape(len(x), TREES, -1) if len(planes) else np.zeros((len(x), TREES, 0), bool)
-            return [[row.tobytes() for row in x.astype(np.float16)], (signs @ (1 << np.arange(signs.shape[2]))).astype(np.int64).tolist()]
+            return [[row.tobytes() for row in x.astype(np.float32)], (signs @ (1 << np.arange(signs.shape[2]))).astype(np.int64).tolist()]
 
         return map_batches(rows.select(key, "v"), [key], {"packed": pa.binary(), "signs": pa.list_(pa.int64())}, pack)
 
+    def _lists(self, edges: DataFrame) -> DataFrame:
+        """node, near (sorted array of (d, b, fresh)) from edges (a, b, d, fresh); an edge that was there before is not fresh."""
+        one = edges.groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
+        return one.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "b", "fresh"))), 1, self.degree).alias("near")).select(F.col("a").alias("node"), "near")
+
     def _round(self) -> bool:
         """One round of NN-descent; whether lists still change much."""
+        forward = self.near.select(F.col("node").alias("centre"), F.explode("near").alias("x")).select("centre", F.col("x.b").alias("node"), F.col("x.fresh").alias("fresh"))
+        backward = _few(forward.select("node", F.col("centre").alias("of"), "fresh"), self.degree, "fresh").select(F.col("node").alias("centre"), F.col("of").alias("node"), "fresh")
+        own = self.near.select(F.col("node").alias("centre"), "node", F.lit(False).alias("fresh"))
+        lists = forward.union(backward).union(own).groupBy("centre", "node").agg(F.max("fresh").alias("fresh"))
+        busy = self.near.filter(F.exists("near", lambda x: x["fresh"])).select("node")
+        busy = busy.union(backward.filter("fresh").select(F.col("centre").alias("node"))).distinct()
+        lists = lists.join(busy.withColumnRenamed("node", "centre"), "centre", "left_semi")
         worst = F.when(F.size("near") < self.degree, float("inf")).otherwise(F.element_at("near", -1)["d"]).cast("float")
-        data = self.points.join(self.near.select("node", "near", worst.alias("worst")), "node", "left").select("node", "packed", F.coalesce("worst", F.lit(float("inf")).cast("float")).alias("worst"))
-        forward = self.near.select(F.col("node").alias("centre"), F.explode("near.b").alias("node"))
-        few = Window.partitionBy("node").orderBy(F.xxhash64("centre", "node"), "centre")
-        backward = forward.withColumn("i", F.row_number().over(few)).filter(F.col("i") <= self.degree).select(F.col("node").alias("centre"), F.col("centre").alias("node"))
-        lists = forward.union(backward).union(self.near.select("node", "node")).distinct()
-        found = written(_edges_within(_gathered(lists.join(data, "node"), "centre"), self.degree), "found")
-        old = self.near.select(F.col("node").alias("a"), F.explode("near").alias("x")).select("a", F.col("x.b").alias("b"), F.col("x.d").alias("d"))
-        before = self.near
-        self.near = written(_merged(found.union(old), self.degree), "near")
-        changed = self.near.alias("x").join(before.select("node", F.col("near.b").alias("was")), "node", "left").agg(
-            F.sum(F.size(F.array_except("near.b", F.coalesce("was", F.array().cast("array<bigint>"))))).alias("new"), F.sum(F.size("near")).alias("all")).first()
-        return bool(changed.all) and changed.new > 0.01 * changed.all
+        data = self.points.join(self.near.select("node", worst.alias("worst")), "node", "left").select("node", "packed", F.coalesce("worst", F.lit(float("inf")).cast("float")).alias("worst"))
+        found = _edges_within(_gathered(lists.join(data, "node"), "centre"), self.degree)
+        old = self.near.select(F.col("node").alias("a"), F.explode("near").alias("x")).select("a", F.col("x.b").alias("b"), F.col("x.d").alias("d"), F.lit(False).alias("fresh"))
+        self.near = written(self._lists(found.withColumn("fresh", F.lit(True)).union(old)), "near")
+        changed = self.near.agg(F.sum(F.size(F.filter("near", lambda x: x["fresh"]))).alias("new"), F.sum(F.size("near")).alias("all")).first()
+        return bool(changed.all) and changed.new > 0.005 * changed.all
 
     def search(self, queries: DataFrame, k: int = 10, pool: int = POOL, exclude_self: bool = True) -> DataFrame:
         """query_id, rank, vec_id, score of the k nearest found of each query (query_id, v)."""
-        asked = written(self.coded(queries.select("query_id", "v"), "query_id").withColumnRenamed("packed", "q"), "queries")
+        pool = max(pool, 2 * k)
+        numbered = written(queries.select("query_id", F.col("v").alias("qv")).withColumn("q", F.monotonically_increasing_id()), "asked")
+        asked = written(self.coded(numbered.select("q", F.col("qv").alias("v")), "q").withColumnRenamed("packed", "q_packed"), "queries")
         both = self.near.select("node", F.explode("near.b").alias("to"))
-        few = Window.partitionBy("to").orderBy(F.xxhash64("node", "to"), "node")
-        back = both.withColumn("i", F.row_number().over(few)).filter(F.col("i") <= self.degree).select(F.col("to").alias("node"), F.col("node").alias("to"))
+        back = _few(both.select(F.col("to").alias("node"), F.col("node").alias("of")), self.degree).select("node", F.col("of").alias("to"))
         links = written(both.union(back).distinct(), "links")
 
         def measured(pairs: DataFrame) -> DataFrame:
-            rows = pairs.join(self.points.select("node", "packed"), "node").join(asked.select("query_id", "q"), "query_id")
+            rows = pairs.join(self.points.select("node", "packed"), "node").join(asked.select("q", "q_packed"), "q")
 
             def run(b: pa.RecordBatch) -> list:
-                if not len(b):
-                    return [[]]
-                return [pa.array(((_halves(b["packed"]) - _halves(b["q"])) ** 2).sum(axis=1))]
+                return [pa.array(((_matrix(b["packed"]) - _matrix(b["q_packed"])) ** 2).sum(axis=1))] if len(b) else [[]]
 
-            return map_batches(rows.select("query_id", "node", "packed", "q"), ["query_id", "node"], {"d": pa.float32()}, run)
+            return map_batches(rows.select("q", "node", "packed", "q_packed"), ["q", "node"], {"d": pa.float64()}, run)
 
-        starts = asked.select("query_id", F.posexplode("signs").alias("tree", "code")).join(self.entries, ["tree", "code"]).select("query_id", "node")
+        starts = asked.select("q", F.posexplode("signs").alias("tree", "code")).join(self.entries, ["tree", "code"]).select("q", "node")
         anywhere = self.points.orderBy(F.xxhash64("node"), "node").limit(8).select("node")  # eight rows
-        starts = starts.union(asked.select("query_id").crossJoin(F.broadcast(anywhere))).distinct()
-        nearest = Window.partitionBy("query_id").orderBy("d", "node")
-        rest = Window.partitionBy("query_id", "done").orderBy("d", "node")
-        state = measured(starts).withColumn("done", F.lit(False))
-        for _ in range(HOPS):
-            state = written(state.withColumn("i", F.row_number().over(nearest)).filter(F.col("i") <= pool).drop("i"), "pool")
-            todo = state.filter("not done").withColumn("i", F.row_number().over(rest)).filter(F.col("i") <= BREADTH).select("query_id", "node")
-            fresh = todo.join(links, "node").select("query_id", F.col("to").alias("node")).distinct().join(state.select("query_id", "node"), ["query_id", "node"], "left_anti")
-            new = written(measured(fresh), "new")
-            done = state.join(todo.withColumn("now", F.lit(True)), ["query_id", "node"], "left").select("query_id", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-            state = done.union(new.withColumn("done", F.lit(False)))
-            if new.isEmpty():
+        starts = starts.union(asked.select("q").crossJoin(F.broadcast(anywhere))).distinct()
+        nearest, rest = Window.partitionBy("q").orderBy("d", "node"), Window.partitionBy("q", "done").orderBy("d", "node")
+        new = measured(starts)
+        state = new.withColumn("done", F.lit(False))
+        while True:
+            # the nearest of each pool; the foremost of them that are not expanded are next
+            cut = state.withColumn("i", F.row_number().over(nearest)).filter(F.col("i") <= pool).drop("i")
+            state = written(cut.withColumn("now", ~F.col("done") & (F.row_number().over(rest) <= BREADTH)), "pool")
+            todo = state.filter("now").select("q", "node")
+            if todo.isEmpty():
                 break
-        found = written(state.withColumn("i", F.row_number().over(nearest)).filter(F.col("i") <= pool).select("query_id", "node"), "pool")
+            fresh = todo.join(links, "node").select("q", F.col("to").alias("node")).distinct().join(state.select("q", "node"), ["q", "node"], "left_anti")
+            state = state.select("q", "node", "d", (F.col("done") | F.col("now")).alias("done")).union(measured(fresh).withColumn("done", F.lit(False)))
         own = Window.partitionBy("node").orderBy("vec_id")
         firsts = self.members.withColumn("i", F.row_number().over(own)).filter(F.col("i") <= k + 1).drop("i")  # equal vectors beyond these lose every tie
-        exact = found.join(firsts, "node").join(queries.select("query_id", F.col("v").alias("qv")), "query_id")
-        if exclude_self:
-            exact = exact.filter("vec_id != query_id")
-        score = F.sqrt(F.aggregate(F.zip_with("v", "qv", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-        best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-        return exact.select("query_id", "vec_id", score.alias("score")).distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def nearest_neighbours(rows: DataFrame, k: int = 10, every: int = 100, **settings) -> DataFrame:
-    """The k nearest other rows of each row whose vec_id is divisible by `every`, among all rows of (vec_id, embedding)."""
-    graph = Graph(rows, **settings)
-    queries = graph.members.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
-    return graph.search(queries, k)
+        return ranked(state.join(firsts, "node").join(numbered, "q").select("query_id", "qv", "vec_id", "v"), k, exclude_self)
+
+
+def ranked(pairs: DataFrame, k: int, exclude_self: bool = True) -> DataFrame:
+    """query_id, rank, vec_id, score of the k nearest of each query's candidates (query_id, qv, vec_id, v), by exact distances."""
+    if exclude_self:
+        pairs = pairs.filter("vec_id != query_id")
+    score = F.sqrt(F.aggregate(F.zip_with("v", "qv", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    near = pairs.select("query_id", "vec_id", score.alias("score")).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return near.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def exact_neighbours(fine: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True, block: int = 4096) -> DataFrame:
+    """What `Graph.search` looks for, by brute force: queries (query_id, v, n) against all rows (vec_id, v, n) of their length.
+
+    Rows are in blocks of about `block`, queries in blocks of 64; each pair of blocks gives the k nearest of its queries, with room for ties.
+    """
+    blocks = max(1, math.ceil(fine.count() / block))
+    at = lambda c, m: F.pmod(F.xxhash64(c, F.lit(3)), F.lit(m))
+    left = fine.groupBy("n", at("vec_id", blocks).alias("block")).agg(F.collect_list(F.struct("vec_id", "v")).alias("x"))
+    parts = max(1, math.ceil(queries.count() / 64))
+    right = (queries.groupBy("n", at("query_id", parts).alias("part")).agg(F.collect_list(F.struct("query_id", "v")).alias("y"))
+             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))))
+    more = k + 11
+
+    def run(batches):
+        for b in batches:
+            for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist()):
+                ids, v = np.array([r["vec_id"] for r in x]), np.array([r["v"] for r in x])
+                for q in y:
+                    with np.errstate(over="ignore"):
+                        d = ((v - np.array(q["v"])) ** 2).sum(axis=1)
+                    near = np.lexsort((ids, d))[:more]
+                    yield pa.RecordBatch.from_pydict({"query_id": [q["query_id"]] * len(near), "qv": [q["v"]] * len(near), "vec_id": ids[near], "v": v[near].tolist()})
+
+    kinds = {f.name: f.dataType.simpleString() for f in (*fine.schema.fields, *queries.schema.fields)}
+    pairs = left.hint("merge").join(right, ["n", "block"]).select("x", "y").mapInArrow(run, f"query_id {kinds['query_id']}, qv array<double>, vec_id {kinds['vec_id']}, v array<double>")
+    return ranked(pairs, k, exclude_self)
+
+
+def nearest_neighbours(rows: DataFrame, k: int = 10, every: int = 100, exact: bool = False, **settings) -> DataFrame:
+    """The k nearest other rows of each row whose vec_id is divisible by `every`, among all rows of (vec_id, embedding) of its length."""
+    fine = written(usable(rows), "vectors")
+    asked = fine.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", "n")
+    if exact:
+        return exact_neighbours(fine, asked, k)
+    sizes = [(r["count"], r.n) for r in fine.groupBy("n").count().orderBy(F.desc("count"), "n").collect()]  # a row a length
+    by_graph = [n for i, (count, n) in enumerate(sizes) if i == 0 or count >= LEAF]
+    out = None
+    for n in by_graph:
+        found = Graph(fine.filter(F.col("n") == n).select("vec_id", "v"), **settings).search(asked.filter(F.col("n") == n).select("query_id", "v"), k)
+        out = found if out is None else out.unionByName(found)
+    if len(by_graph) < len(sizes):
+        few = lambda df: df.filter(~F.col("n").isin(by_graph))
+        out = out.unionByName(exact_neighbours(few(fine), few(asked), k))
+    return out if out is not None else exact_neighbours(fine, asked, k)
