@@ -7,9 +7,11 @@ whole sequence of blocks and labels each one, so a block is judged with all of t
 It learns from a bounded sample (`max_pages` pages, by smallest hash of page_id) whose own markup tells: blocks in
 article or main, and in none of the elements for menus, asides, forms and the like, are content. So that it does not
 live on that markup alone, pages are learnt from again with these tags turned into div, and with invented menus, notices,
-side bars and comments around and between.
+side bars and comments around and between. The pages are cut and labelled where they are read; what is learnt from are
+at most `max_windows` stretches of `WINDOW` blocks that cover whole pages.
 
-Defined cases: null or empty html, and pages without content, give the empty text; white space is what Unicode says; character
+Cutting a page takes time in proportion to its length, however it is formed: a tag whose end is hidden in quotes is text,
+and from there on quotes hide nothing. Defined cases: null or empty html, and pages without content, give the empty text; white space is what Unicode says; character
 references are decoded once, unknown ones stay; unclosed and stray tags are taken as they come; without
 a page that tells, blocks under the usual content tags are content; repeated rows give repeated results; an empty table an empty result.
 """
@@ -19,6 +21,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,10 +32,11 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches
 
-MAX_PAGES, HIDDEN, EPOCHS, WINDOW = 240, 16, 6, 48
-_PART = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|select)\b(?:"[^"]*"|'[^']*'|[^'">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>|([^<]+|<)""", re.DOTALL | re.IGNORECASE)
+MAX_PAGES, MAX_WINDOWS, HIDDEN, EPOCHS, WINDOW = 240, 800, 16, 6, 48
+_STOP, _NAME = re.compile("[\"'>]"), re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-#: Elements that do not end a block, elements without an end tag, and elements whose start ends an open one of the same name.
+#: Elements whose content is not text of the page, that do not end a block, elements without an end tag, and elements whose start ends an open one of the same name.
+HIDDEN_TEXT = frozenset("script style noscript template svg textarea select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ALONE = frozenset("p li td th tr option dt dd".split())
@@ -41,20 +45,122 @@ OTHER_WORDS = frozenset("ad ads advert advertisement promo sponsor sponsored ban
 TAGS = sorted({"article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "ul", "ol", "li", "table", "tr", "td", "blockquote", "pre", "figure", "figcaption", "body", "html", "dl", "dt", "dd"} | OTHER)
 _TAG_AT = {t: i for i, t in enumerate(TAGS)}
 _CLASSES, _WORDS = 48, 128
-SIZE = len(TAGS) * 2 + _CLASSES + _WORDS + 6
+_PATH_SIZE = len(TAGS) * 2 + _CLASSES
+SIZE = _PATH_SIZE + _WORDS + 6
+
+
+class Path:
+    """A place in the tree of tags; blocks under the same tags share one, and each knows its parent alone."""
+
+    __slots__ = ("tag", "words", "parent", "content", "other", "kids", "_vector")
+    made = 0
+
+    def __init__(self, tag: str = "", words: tuple[str, ...] = (), parent: Path | None = None):
+        self.tag, self.words, self.parent, self.kids, self._vector = tag, words, parent, {}, None
+        self.content = tag in CONTENT or bool(parent and parent.content)
+        self.other = tag in OTHER or bool(OTHER_WORDS & set(words)) or bool(parent and parent.other)
+
+    def child(self, tag: str, words: tuple[str, ...] = ()) -> Path:
+        key = (tag, words)
+        if key not in self.kids:
+            self.kids[key] = Path(tag, words, self)
+            Path.made += 1
+        return self.kids[key]
+
+    def vector(self) -> np.ndarray:
+        chain = []
+        at: Path | None = self
+        while at is not None and at._vector is None:
+            chain.append(at)
+            at = at.parent
+        for p in reversed(chain):
+            v = np.zeros(_PATH_SIZE, np.float32) if p.parent is None else p.parent._vector.copy()
+            v[len(TAGS):2 * len(TAGS)] = 0
+            if p.tag in _TAG_AT:
+                v[_TAG_AT[p.tag]] = v[len(TAGS) + _TAG_AT[p.tag]] = 1
+            for w in p.words:
+                v[2 * len(TAGS) + xxhash.xxh32_intdigest(w) % _CLASSES] += 1
+            p._vector = v
+        return self._vector
+
+
+_ROOT = [Path()]
+
+
+def _root() -> Path:
+    """The tree's root, a new one when the tree has grown large."""
+    if Path.made > 20_000:
+        Path.made, _ROOT[0] = 0, Path()
+    return _ROOT[0]
 
 
 @dataclass
 class Block:
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    path: Path
     text: str
     linked: int
 
 
+def _end_of_tag(source: str, at: int) -> int:
+    """Place of the > that ends the tag, quoted ones aside; -1 if there is none. A quote without its pair is a plain sign."""
+    lone = set()
+    m = _STOP.search(source, at)
+    while m:
+        if m[0] == ">":
+            return m.start()
+        close = -1 if m[0] in lone else source.find(m[0], m.end())
+        if close < 0:
+            lone.add(m[0])
+        m = _STOP.search(source, m.end() if close < 0 else close + 1)
+    return -1
+
+
+def pieces(source: str):
+    """(text, "", False, "") of each run of text and ("", tag, closing, attributes) of each tag outside comments and hidden elements."""
+    at, n, last, quotes = 0, len(source), source.rfind(">"), True
+    while at < n:
+        if source[at] != "<":
+            stop = source.find("<", at)
+            stop = n if stop < 0 else stop
+            yield source[at:stop], "", False, ""
+            at = stop
+            continue
+        if source.startswith("<!--", at):
+            stop = source.find("-->", at + 4)
+            at = n if stop < 0 else stop + 3
+            continue
+        if at > last:  # no tag ends any more
+            yield source[at:], "", False, ""
+            return
+        if source[at + 1] in "!?":
+            at = source.find(">", at) + 1
+            continue
+        closing = source[at + 1] == "/"
+        first = at + 1 + closing
+        if not source[first:first + 1].isascii() or not source[first:first + 1].isalpha():
+            yield "<", "", False, ""
+            at += 1
+            continue
+        stop = _end_of_tag(source, first) if quotes else source.find(">", first)
+        if stop < 0:
+            quotes = False
+            yield "<", "", False, ""
+            at += 1
+            continue
+        name = _NAME.match(source, first, stop)[0]
+        at = stop + 1
+        if name.lower() in HIDDEN_TEXT and not closing:
+            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, at)
+            at = end.end() if end else n
+        else:
+            yield "", name.lower(), closing, source[first + len(name):stop]
+
+
 def blocks(source: str) -> list[Block]:
     """Leaf blocks of a page with text, in order; references decoded, white space squeezed."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    path = root = _root()
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked, in_link = 0, 0
 
@@ -63,69 +169,52 @@ def blocks(source: str) -> list[Block]:
         if text:
             words = " ".join("".join(text).split())
             if words:
-                out.append(Block(tuple(stack), words, linked))
+                out.append(Block(path, words, linked))
             text.clear()
             linked = 0
 
-    for m in _PART.finditer(source):
-        plain, name = m[5], m[3]
-        if plain is not None:
+    for plain, name, closing, attributes in pieces(source):
+        if not name:
             plain = html.unescape(plain)
             text.append(plain)
             if in_link:
                 linked += len(plain)
-        elif name:
-            name, closing = name.lower(), bool(m[2])
-            if name in INLINE:
-                if name == "a":
-                    in_link = 0 if closing else 1
-                elif name == "br":
-                    text.append(" ")
-                continue
-            end()
-            if closing:
-                if any(t == name for t, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
-            elif name not in VOID:
-                if name in ALONE and stack and stack[-1][0] == name:
-                    stack.pop()
-                words = tuple(w for a in _ATTRIBUTE.finditer(m[4]) for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower()) if w) if m[4] else ()
-                stack.append((name, words))
+            continue
+        if name in INLINE:
+            if name == "a":
+                in_link = 0 if closing else 1
+            elif name == "br":
+                text.append(" ")
+            continue
+        end()
+        if closing:
+            if opened[name]:
+                while True:
+                    gone, path = path.tag, path.parent
+                    opened[gone] -= 1
+                    if gone == name:
+                        break
+        elif name not in VOID:
+            if name in ALONE and path.tag == name:
+                opened[name] -= 1
+                path = path.parent
+            words = tuple(w for a in _ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower()) if w) if attributes else ()
+            path = path.child(name, words)
+            opened[name] += 1
     end()
     return out
 
 
 def told(block: Block) -> bool:
     """Whether the page's own markup says content."""
-    names = [t for t, _ in block.path]
-    return any(t in CONTENT for t in names) and not any(t in OTHER or OTHER_WORDS & set(words) for t, words in block.path)
-
-
-_PATHS: dict = {}
-
-
-def _path_vector(path: tuple) -> np.ndarray:
-    v = _PATHS.get(path)
-    if v is None:
-        if len(_PATHS) > 20_000:
-            _PATHS.clear()
-        v = _PATHS[path] = np.zeros(len(TAGS) * 2 + _CLASSES, np.float32)
-        for tag, words in path:
-            if tag in _TAG_AT:
-                v[_TAG_AT[tag]] = 1
-            for w in words:
-                v[2 * len(TAGS) + xxhash.xxh32_intdigest(w) % _CLASSES] += 1
-        if path and path[-1][0] in _TAG_AT:
-            v[len(TAGS) + _TAG_AT[path[-1][0]]] = 1
-    return v
+    return block.path.content and not block.path.other
 
 
 def vectors(page: list[Block]) -> np.ndarray:
     out = np.zeros((len(page), SIZE), np.float32)
-    k = len(TAGS) * 2 + _CLASSES
+    k = _PATH_SIZE
     for i, b in enumerate(page):
-        out[i, :k] = _path_vector(b.path)
+        out[i, :k] = b.path.vector()
         words = b.text.split()
         out[i, k:-6] = np.bincount([xxhash.xxh32_intdigest(w) % _WORDS for w in b.text.lower().split()], minlength=_WORDS) * (2.4 / len(words))
         n = len(b.text)
@@ -250,16 +339,29 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def _varied(page: list[Block], labels: list[bool], rng: random.Random) -> tuple[list[Block], list[bool]]:
     """The page with its telling tags turned into div and invented blocks that are no content."""
     plain = rng.random() < 0.5
-    rename = lambda path: tuple(("div", ()) if plain and t in CONTENT else (t, w) for t, w in path)
-    out = [(Block(rename(b.path), b.text, b.linked), y) for b, y in zip(page, labels)]
-    root = (("html", ()), ("body", ()))
+    top = Path()
+    new: dict[int, Path] = {}
+
+    def renamed(path: Path) -> Path:
+        chain = []
+        while path.parent is not None and id(path) not in new:
+            chain.append(path)
+            path = path.parent
+        at = top if path.parent is None else new[id(path)]
+        for p in reversed(chain):
+            at = new[id(p)] = at.child("div") if plain and p.tag in CONTENT else at.child(p.tag, p.words)
+        return at
+
+    out = [(Block(renamed(b.path), b.text, b.linked), y) for b, y in zip(page, labels)]
+    root = top.child("html").child("body")
     words = [w for b in page for w in b.text.split()[:20]] or ["text"]
 
     def some(tag: str, names: tuple[str, ...], leaf: str, count: int, length: tuple[int, int], linked: bool):
         made = []
         for _ in range(count):
             text = " ".join(rng.choices(words, k=rng.randint(*length)))
-            made.append((Block((*root, (tag, names), *(((leaf, ()),) if leaf else ())), text, len(text) if linked else 0), False))
+            place = root.child(tag, names)
+            made.append((Block(place.child(leaf) if leaf else place, text, len(text) if linked else 0), False))
         return made
 
     pick = lambda *names: (rng.choice(names),)
@@ -270,19 +372,17 @@ def _varied(page: list[Block], labels: list[bool], rng: random.Random) -> tuple[
     return [b for b, _ in out], [y for _, y in out]
 
 
-def training_pages(sources: list[str], seed: int = 0, window: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(vectors, labels) of pages whose markup tells, as they are and varied; of long ones the first and the last blocks."""
-    rng, out = random.Random(seed), []
+def training_windows(sources: list[str], window: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(vectors, labels) of stretches of up to `window` blocks of pages whose markup tells, as they are and varied."""
+    out = []
     for source in sources:
         page = blocks(source)
         labels = [told(b) for b in page]
         if not any(labels):
             continue
-        for own, y in ((page, labels), _varied(page, labels, rng)):
+        for own, y in ((page, labels), _varied(page, labels, random.Random(xxhash.xxh64_intdigest(source)))):
             v = vectors(own)
-            if len(own) > window:
-                v, y = np.concatenate([v[:window // 2], v[-window // 2:]]), y[:window // 2] + y[-window // 2:]
-            out.append((v, np.array(y, np.float32)))
+            out += [(v[k:k + window], np.array(y[k:k + window], np.float32)) for k in range(0, len(own), window)]
     return out
 
 
@@ -294,13 +394,21 @@ def invented_pages(count: int = 120, seed: int = 1) -> list[str]:
     return [f"<html><body><nav><ul>{''.join(f'<li><a href=x>{word()}</a></li>' for _ in range(rng.randint(2, 6)))}</ul></nav><div class=ad>{line(6)}</div><article><h1>{line(4)}</h1>{''.join(f'<p>{line(rng.randint(5, 40))}</p>' for _ in range(rng.randint(1, 8)))}</article><footer>{line(4)}</footer></body></html>" for _ in range(count)]
 
 
-def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Labeller:
-    """A labeller learnt from at most max_pages pages."""
+def fit(pages: DataFrame, max_pages: int = MAX_PAGES, max_windows: int = MAX_WINDOWS) -> Labeller:
+    """A labeller learnt from at most max_windows stretches of at most max_pages pages."""
     known = pages.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())
     ids = known.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
-    rows = known.select("page_id", "html").join(F.broadcast(ids), "page_id").collect()  # max_pages pages
-    made = training_pages([r.html for r in sorted(rows, key=lambda r: (r.page_id, r.html))])
-    return Labeller().fit(made if len(made) >= 20 else made + training_pages(invented_pages()))
+    rows = known.select("page_id", "html").join(F.broadcast(ids), "page_id")  # max_pages ids
+
+    def cut(b: pa.RecordBatch) -> list:
+        made = [training_windows([s]) for s in b["html"].to_pylist()]
+        return [[[{"k": k, "x": v.astype(np.float16).tobytes(), "y": y.astype(np.int8).tobytes()} for k, (v, y) in enumerate(own)] for own in made]]
+
+    kind = pa.list_(pa.struct([("k", pa.int32()), ("x", pa.binary()), ("y", pa.binary())]))
+    windows = map_batches(rows, ["page_id"], {"w": kind}, cut).select("page_id", F.explode("w").alias("w")).select("page_id", "w.*")
+    found = windows.orderBy(F.xxhash64("page_id", "k"), "page_id", "k", "x").limit(max_windows).collect()  # max_windows stretches
+    made = [(np.frombuffer(r.x, np.float16).astype(np.float32).reshape(-1, SIZE), np.frombuffer(r.y, np.int8).astype(np.float32)) for r in found]
+    return Labeller().fit(made if len(made) >= 20 else made + training_windows(invented_pages()))
 
 
 def extract(sources: list[str], model: Labeller, at_once: int = 256) -> list[str]:
