@@ -1,13 +1,15 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms of a text are its distinct lower-case words and their beginnings of `PREFIXES` letters, hashed to 64 bits. The
-machine scores w0 + sum of w_i + sum of <v_i, v_j> over the pairs of present terms, so a pair that is toxic only
-together (an insult and a group's name) gets a weight that no sum of single weights can express.
+Terms of a text are its distinct lower-case words and their beginnings of `PREFIXES` letters, hashed to 2 ** `BITS` slots,
+every one of which the machine has. It scores w0 + sum of w_i x_i + sum of <v_i, v_j> x_i x_j over the pairs of present
+slots, so a pair that is toxic only together (an insult and a group's name) gets a weight that no sum of single weights
+can express. x is a slot's value, 1 / (1 + (`STEADY` / g) ** 2): g is how far its toxic documents are from the expected,
+squared and in units of their variance, so what chance explains enters faintly, and nothing is left out.
 
 Learning uses at most `max_rows` labelled documents of the training folds, those with the smallest hash of doc_id
-(the bound is a parameter, the sample does not depend on partitioning). The `features` terms most associated with the
-label are found by a distributed count; the machine itself is fitted on the driver over those few indices a document,
-and is broadcast with the task (features * (rank + 1) numbers). Scoring is one pass over whole texts.
+(the bound is a parameter, the sample does not depend on partitioning). Documents of a slot are counted on the executors;
+the machine is fitted on the driver over the slots of these documents, and goes out with the tasks (2 ** bits *
+(rank + 1) numbers, whatever the corpus). Scoring is one pass over whole texts.
 
 Defined cases: a null text is the empty text and scores the bias alone; rows without doc_id are never trained on and
 not held out; a document with several labels counts as toxic if one says so, null labels are ignored; without both
@@ -29,62 +31,67 @@ from pyspark.sql import functions as F
 from nightwave.llm.common import map_batches, text_of
 
 PREFIXES, FOLDS = (4, 5, 6), 5
-MAX_ROWS, FEATURES, RANK, EPOCHS = 20_000, 4_000, 8, 20
+MAX_ROWS, BITS, RANK, EPOCHS, STEADY = 10_000, 18, 8, 12, 30.0
 CACHE = 300_000
 _FIND = re.compile(r"\w+").findall
 
 
-def terms(word: str) -> list[int]:
-    """Signed 64-bit hashes of a lower-case word and its beginnings."""
-    parts = [word] + [f"{word[:k]}*" for k in PREFIXES if len(word) > k]
-    return [h - (1 << 64) if h >> 63 else h for h in map(xxhash.xxh64_intdigest, parts)]
+def terms(word: str) -> list[str]:
+    """A lower-case word and its beginnings."""
+    return [word] + [f"{word[:k]}*" for k in PREFIXES if len(word) > k]
 
 
-def text_terms(text: str) -> set[int]:
-    return {t for w in set(_FIND(text.lower())) for t in terms(w)}
+class Slots(dict):
+    """Slots of the terms of a word; forgets all when full."""
+
+    def __init__(self, bits: int = BITS):
+        super().__init__()
+        self.mask = (1 << bits) - 1
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = at = tuple(xxhash.xxh64_intdigest(t) & self.mask for t in terms(word))
+        return at
+
+    def of(self, text: str) -> np.ndarray:
+        """The distinct slots of a text, in order."""
+        found = {s for w in set(_FIND(text.lower())) for s in self[w]}
+        return np.sort(np.fromiter(found, np.int32, len(found)))
 
 
 @dataclass
 class FactorizationMachine:
-    index: dict[int, int]
+    """weight and factor by slot, both times the slot's value."""
     bias: float
     weight: np.ndarray
     factor: np.ndarray
-    _words: dict[str, tuple] = field(default_factory=dict, repr=False)
+    _slots: Slots | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_words": {}}
-
-    def present(self, text: str) -> list[int]:
-        """Indices of the machine's terms in the text."""
-        known, out = self._words, set()
-        for w in set(_FIND(text.lower())):
-            at = known.get(w)
-            if at is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                at = known[w] = tuple(self.index[t] for t in terms(w) if t in self.index)
-            if at:
-                out.update(at)
-        return sorted(out)
-
-    def raw(self, rows: list[list[int]]) -> np.ndarray:
+        return {**self.__dict__, "_slots": None}
+
+    def raw(self, rows: list[np.ndarray]) -> np.ndarray:
         return _raw(self.bias, self.weight, self.factor, *_flat(rows))[0]
 
     def score(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.raw([self.present(t) for t in texts]), -30, 30)))
+        if self._slots is None:
+            self._slots = Slots(len(self.weight).bit_length() - 1)
+        out = []
+        for k in range(0, len(texts), 256):
+            out.append(1 / (1 + np.exp(-np.clip(self.raw([self._slots.of(t) for t in texts[k:k + 256]]), -30, 30))))
+        return np.concatenate(out) if out else np.zeros(0)
 
 
-def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.array([len(r) for r in rows], np.int64)
-    return np.fromiter((i for r in rows for i in r), np.int64, int(n.sum())), n
+def _flat(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.asarray(r, np.int64) for r in rows]) if rows else np.zeros(0, np.int64), np.array([len(r) for r in rows], np.int64)
 
 
 def _sums(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Sums of consecutive parts of x, n[i] rows each."""
     out = np.zeros((len(n), *x.shape[1:]))
     if len(x):
-        out[n > 0] = np.add.reduceat(x, (np.cumsum(n) - n)[n > 0], axis=0)
+        out[n > 0] = np.add.reduceat(x, (np.cumsum(n) - n)[n > 0], axis=0, dtype=np.float64)
     return out
 
 
@@ -94,34 +101,41 @@ def _raw(bias, weight, factor, at, n):
     return bias + _sums(weight[at], n) + 0.5 * (total**2 - _sums(v**2, n)).sum(axis=1), total, v
 
 
-def fit_machine(index: dict[int, int], rows: list[list[int]], y: np.ndarray, rank: int = RANK, epochs: int = EPOCHS, seed: int = 0, rate: float = 0.1, decay: float = 2e-4) -> FactorizationMachine:
-    """Logistic loss by minibatches with Adagrad; the same rows in the same order give the same machine."""
+def slot_values(n: np.ndarray, toxic: np.ndarray, share: float, steady: float = STEADY) -> np.ndarray:
+    """Values of slots with n documents, of which some are toxic; share is that of all documents."""
+    gain = (toxic - n * share) ** 2 / ((n + 3) * max(share * (1 - share), 1e-12))
+    return np.where(gain > 0, 1 / (1 + (steady / np.maximum(gain, 1e-12)) ** 2), 0).astype(np.float32)
+
+
+def fit_machine(values: np.ndarray, rows: list[np.ndarray], y: np.ndarray, rank: int = RANK, epochs: int = EPOCHS, seed: int = 0, rate: float = 0.1, decay: float = 2e-4) -> FactorizationMachine:
+    """Logistic loss by minibatches with Adagrad over slots with values; the same rows in the same order give the same machine."""
     prior = (y.sum() + 0.05) / (len(y) + 1)
-    bias, weight = float(np.log(prior / (1 - prior))), np.zeros(len(index))
+    bias, weight = float(np.log(prior / (1 - prior))), np.zeros(len(values), np.float32)
     rng = np.random.default_rng(seed)
-    factor = rng.normal(0, 0.02, (len(index), rank))
+    factor = rng.normal(0, 0.02, (len(values), rank)).astype(np.float32)
     if 0 < y.sum() < len(y):
         lift = np.where(y > 0, ((len(y) - y.sum()) / y.sum()) ** 0.5, 1.0)  # the rarer class counts more
-        g0, gw, gv = 1.0, np.ones(len(index)), np.ones((len(index), rank))
+        g0, gw, gv = 1.0, np.ones_like(weight), np.ones_like(factor)
         for _ in range(epochs):
             for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 256)):
                 at, n = _flat([rows[i] for i in part])
-                raw, total, v = _raw(bias, weight, factor, at, n)
+                x = values[at]
+                used, place = np.unique(at, return_inverse=True)
+                v = factor[at] * x[:, None]
+                total = _sums(v, n)
+                raw = bias + _sums(weight[at] * x, n) + 0.5 * (total**2 - _sums(v**2, n)).sum(axis=1)
                 err = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[part]) * lift[part]
-                each = np.repeat(err, n)
-                dw, dv = np.zeros_like(weight), np.zeros_like(factor)
-                np.add.at(dw, at, each)
-                np.add.at(dv, at, each[:, None] * (np.repeat(total, n, axis=0) - v))
-                used = np.unique(at)
-                dw[used] += decay * len(part) * weight[used]
-                dv[used] += decay * len(part) * factor[used]
+                each = np.repeat(err, n) * x
+                slope = each[:, None] * (np.repeat(total, n, axis=0) - v)
+                dw = np.bincount(place, weights=each, minlength=len(used)) + decay * len(part) * weight[used]
+                dv = np.stack([np.bincount(place, weights=c, minlength=len(used)) for c in slope.T], axis=1) + decay * len(part) * factor[used]
                 g0 += err.sum() ** 2
-                gw[used] += dw[used] ** 2
-                gv[used] += dv[used] ** 2
+                gw[used] += dw**2
+                gv[used] += dv**2
                 bias -= rate * err.sum() / g0**0.5
-                weight[used] -= rate * dw[used] / gw[used] ** 0.5
-                factor[used] -= rate * dv[used] / gv[used] ** 0.5
-    return FactorizationMachine(index, float(bias), weight, factor)
+                weight[used] -= rate * dw / gw[used] ** 0.5
+                factor[used] -= rate * dv / gv[used] ** 0.5
+    return FactorizationMachine(float(bias), weight * values, factor * values[:, None])
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -129,34 +143,35 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def _count_rows(train: DataFrame) -> DataFrame:
-    """term, n, toxic: a row for each term of each batch, with the batch's documents and toxic documents that have it."""
+def _count_rows(train: DataFrame, bits: int) -> DataFrame:
+    """slot, n, toxic: a row for each slot of each batch, with the batch's documents and toxic documents that have it."""
     def run(batches):
+        slots = Slots(bits)
         for b in batches:
-            found = [np.fromiter(t, np.int64) for t in map(text_terms, b["text"].to_pylist())]
+            found = [slots.of(t) for t in b["text"].to_pylist()]
             if found:
                 toxic = np.repeat(b["toxic"].to_numpy(zero_copy_only=False), [len(t) for t in found])
-                term, at = np.unique(np.concatenate(found), return_inverse=True)
-                counts = np.bincount(at, minlength=len(term)), np.bincount(at, weights=toxic, minlength=len(term))
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (term, *counts)], names=["term", "n", "toxic"])
+                slot, at = np.unique(np.concatenate(found), return_inverse=True)
+                counts = np.bincount(at, minlength=len(slot)), np.bincount(at, weights=toxic, minlength=len(slot))
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (slot, *counts)], names=["slot", "n", "toxic"])
 
-    return train.select("text", "toxic").mapInArrow(run, "term long, n long, toxic long")
+    return train.select("text", "toxic").mapInArrow(run, "slot long, n long, toxic long")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, features: int = FEATURES, rank: int = RANK) -> FactorizationMachine:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, bits: int = BITS, rank: int = RANK) -> FactorizationMachine:
     """A machine learnt from at most max_rows labelled documents outside the held-out fold."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     train = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(known), "doc_id")  # max_rows pairs of numbers
-    counts = _count_rows(train).groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    counts = _count_rows(train, bits).groupBy("slot").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow()  # 2 ** bits rows at most
     whole, bad = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    share = bad / max(whole, 1)
-    gain = F.pow(F.col("toxic") - F.col("n") * share, F.lit(2)) / (F.col("n") + 3)
-    best = counts.filter("n >= 3").orderBy(gain.desc(), "term").limit(features).select("term").collect()
-    machine = FactorizationMachine({r.term: i for i, r in enumerate(best)}, 0.0, np.zeros(len(best)), np.zeros((len(best), rank)))
-    found = map_batches(train.select("doc_id", "toxic", "text"), ["doc_id", "toxic"], {"at": pa.list_(pa.int32())}, lambda b: [[machine.present(t) for t in b["text"].to_pylist()]])
-    rows = sorted((r.doc_id, r.at, r.toxic) for r in found.collect())  # features a document, max_rows documents
-    return fit_machine(machine.index, [r[1] for r in rows], np.array([r[2] for r in rows], float), rank)
+    values, at = np.zeros(1 << bits, np.float32), counts["slot"].to_numpy()
+    values[at] = slot_values(counts["n"].to_numpy(), counts["toxic"].to_numpy(), bad / max(whole, 1))
+    slots = Slots(bits)
+    found = map_batches(train.select("doc_id", "toxic", "text"), ["doc_id", "toxic"], {"at": pa.binary()}, lambda b: [[slots.of(t).tobytes() for t in b["text"].to_pylist()]])
+    rows = found.toArrow().to_pydict()  # max_rows documents, 2 ** bits slots each at most
+    order = sorted(range(len(rows["at"])), key=lambda i: (rows["doc_id"][i], rows["at"][i]))
+    return fit_machine(values, [np.frombuffer(rows["at"][i], np.int32) for i in order], np.array([rows["toxic"][i] for i in order], float), rank)
 
 
 def with_score(docs: DataFrame, machine: FactorizationMachine, column: str) -> DataFrame:
