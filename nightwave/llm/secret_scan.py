@@ -8,7 +8,8 @@ all tokens are then array sums. Viterbi decoding runs on the lines where a secre
 best secret score plus the dearest transitions beats `outside` has the all-outside path as its optimum, exactly.
 
 The field is fitted on a bounded sample (`max_docs` documents with pattern matches and as many without, by smallest hash
-of doc_id, and `MAX_LINES` stretches of their lines), whose tokens under pattern matches are the labels, with invented secrets of other shapes set into it.
+of doc_id, and of the stretches around all their secrets and in other lines `max_lines`, by hash), whose tokens under
+pattern matches are the labels, with invented secrets of other shapes set into it. Stretches are cut where the texts are.
 
 Spans are code points, end exclusive, of kind assign, access, hex (pattern matches) or crf. A crf span is the core of its tokens, without
 quotes, key and punctuation around, and is left out where it overlaps a pattern match. Defined cases: a null text is empty and has no spans; rows without doc_id are scanned,
@@ -26,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
 _CORE = re.compile(r"""[^A-Za-z0-9]*(?:[A-Za-z_.-]+["']?[:=]["']?)?([A-Za-z0-9].*?)[^A-Za-z0-9+/_=-]*$""", re.DOTALL)
 _TOKEN = re.compile(r"\S+")
-MAX_DOCS, MAX_LINES, CACHE, SHAPES = 1500, 6000, 400_000, 32
+MAX_DOCS, MAX_LINES, CACHE, SHAPES, LONG = 1500, 6000, 400_000, 128, 8
 O, B, I = 0, 1, 2
 _ROLES = 4  # the token itself, one before, two before, one after
 
@@ -83,9 +85,9 @@ _ANNOUNCED = re.compile("|".join(map(re.escape, ANNOUNCE)), re.IGNORECASE).searc
 
 
 def kind_of(w: str) -> tuple[str, bool, str]:
-    """What the features of a token depend on: its characters' kinds, whether it announces a secret, and itself if it has digits."""
+    """What the features of a token depend on: its characters' kinds, whether it announces a secret, and itself if it is long."""
     kinds = w.translate(_KINDS)
-    return kinds, _ANNOUNCED(w) is not None, w if "0" in kinds and len(w) >= 8 or w.startswith("-----") else ""
+    return kinds, _ANNOUNCED(w) is not None, w if len(w) >= LONG or w.startswith("-----") else ""
 
 
 def is_odd(kinds: str) -> bool:
@@ -102,8 +104,8 @@ def token_features(kinds: str, announced: bool, w: str) -> list[int]:
     out += ["digit"] * (digits > 0) + ["mostdigit"] * (2 * digits > n > 0) + ["alldigit"] * (digits == n > 0) + ["upper"] * (upper == n > 0) + ["mixed"] * (upper > 1 and lower > 0 and digits > 0)
     out += ["symbol"] * (len(kinds) > n) + ["quote"] * (kinds[:1] in "\"'" or kinds[-1:] in "\"'") + ["assignsign"] * (kinds[-1:] in "=:") + ["inner"] * ("=" in core or ":" in core) + ["url"] * ("//" in core) + ["mail"] * ("@" in core)
     turns = sum(a != b for a, b in zip(core, core[1:]))
-    squeezed = "".join(a for a, b in zip(core, " " + core) if a != b)[:6]
-    out += [f"turns{min(3, (turns + 1) // 3)}", f"shape{sum(map(ord, squeezed)) * 31 % SHAPES}"] + ["announce"] * announced
+    squeezed = "".join(a for a, b in zip(core, " " + core) if a != b)
+    out += [f"turns{min(3, (turns + 1) // 3)}", f"shape{xxhash.xxh32_intdigest(squeezed) % SHAPES}"] + ["announce"] * announced
     if w:
         own = w.strip("\"'`.,;:!?()[]{}<>#*%&$")
         m = len(own)
@@ -250,13 +252,14 @@ def _invented(rng: random.Random) -> str:
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     word, b64 = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"
     return rng.choice([lambda: "ghp_" + pick(word, 36), lambda: "sk-" + pick(word, rng.randint(20, 48)), lambda: "eyJ" + pick(word, 30) + "." + pick(word, 40), lambda: pick(b64, rng.randint(24, 64)) + "=", lambda: pick("0123456789abcdef", rng.choice([24, 32, 40])),
-                       lambda: pick("0123456789ABCDEF", 32), lambda: "xoxb-" + pick(string.digits, 11) + "-" + pick(word, 24), lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16), lambda: pick(word, rng.randint(20, 40))])()
+                       lambda: pick("0123456789ABCDEF", 32), lambda: "xoxb-" + pick(string.digits, 11) + "-" + pick(word, 24), lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16), lambda: pick(word, rng.randint(20, 40)), lambda: pick(string.ascii_letters, rng.randint(20, 40))])()
 
 
-def training_lines(texts: list[str], seed: int = 0, radius: int = 8) -> list[tuple[list[str], list[int], list[int]]]:
+def training_lines(texts: list[str], radius: int = 8) -> list[tuple[list[str], list[int], list[int]]]:
     """(tokens, labels, file features) of stretches around secrets, real and invented, and of others without."""
-    rng, out = random.Random(seed), []
+    out = []
     for text in texts:
+        rng = random.Random(xxhash.xxh64_intdigest(text))
         secrets, start = _value_spans(text), 0
         lines = text.split("\n")
         n = len(text.split())
@@ -265,7 +268,7 @@ def training_lines(texts: list[str], seed: int = 0, radius: int = 8) -> list[tup
             words, label = line.split(), _labels(line, secrets, start)
             start += len(line) + 1
             marked = [k for k, x in enumerate(label) if x == B]
-            for k in marked[:3] or ([rng.randrange(len(words))] if words and rng.random() < 0.25 else []):
+            for k in marked or ([rng.randrange(len(words))] if words and rng.random() < 0.25 else []):
                 a, b = max(0, k - radius), k + radius
                 part, tags = words[a:b], label[a:b]
                 if tags and tags[0] == I:
@@ -284,7 +287,6 @@ def fit_field(lines: list[tuple[list[str], list[int], list[int]]], epochs: int =
     model = Field(np.zeros((len(_NAMES), _ROLES, 3)), np.zeros((len(_FILE), 3)), np.zeros((3, 3)))
     model.step[O, I] = -1e9
     lines = [x for x in lines if x[0]]
-    lines = random.Random(seed).sample(lines, min(len(lines), MAX_LINES))
     if not lines:
         model.weight[_AT["bias"], 0] = (0, -10, -10)
         return model
@@ -352,14 +354,21 @@ def _marginals(score: np.ndarray, n: np.ndarray, step: np.ndarray) -> tuple[np.n
     return node, pair
 
 
-def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field:
-    """A field learnt from at most 2 * max_docs documents."""
+def fit(docs: DataFrame, max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES) -> Field:
+    """A field learnt from at most max_lines stretches of at most 2 * max_docs documents."""
     rows = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", text_of().alias("text"))
     hit = F.col("text").rlike(r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
     known = written(rows.select("doc_id", hit.alias("hit")), "hits")  # so that no text is sorted
     ids = [known.filter(f).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs) for f in (F.col("hit"), ~F.col("hit"))]
-    texts = sorted((r.doc_id, r.text) for r in rows.join(F.broadcast(ids[0].union(ids[1]).distinct()), "doc_id").collect())  # 2 * max_docs ids
-    return fit_field(training_lines([t for _, t in texts]))
+    chosen = rows.join(F.broadcast(ids[0].union(ids[1]).distinct()), "doc_id")  # 2 * max_docs ids
+    kind = pa.list_(pa.struct([("k", pa.int64()), ("words", pa.list_(pa.string())), ("tags", pa.list_(pa.int32())), ("file", pa.list_(pa.int32()))]))
+
+    def cut(b: pa.RecordBatch) -> list:
+        return [[[{"k": k, "words": w, "tags": t, "file": f} for k, (w, t, f) in enumerate(training_lines([text]))] for text in b["text"].to_pylist()]]
+
+    lines = map_batches(chosen, ["doc_id"], {"x": kind}, cut).select("doc_id", F.explode("x").alias("x")).select("doc_id", "x.*")
+    found = lines.orderBy(F.xxhash64("doc_id", "k"), "doc_id", "k", "words").limit(max_lines).collect()  # max_lines stretches of some 20 tokens
+    return fit_field([(r.words, r.tags, r.file) for r in found])
 
 
 def all_spans(texts: list[str], model: Field) -> list[list[tuple[str, int, int]]]:
