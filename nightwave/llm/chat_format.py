@@ -59,13 +59,19 @@ class Template:
         name = self.escape(role).replace("%", "%25").replace("\n", "%0A")
         return [(f"{self.opening}{name}{self.after_role}", False), (self.escape(text), role in self.learned), (self.closing, False)]
 
-    def read(self, formatted: str) -> list[tuple[str, str]]:
-        """(role, text) of each turn of a formatted text."""
-        turns = []
-        for part in formatted.split(self.opening)[1:]:
-            name, _, rest = part.partition(self.after_role)
-            turns.append((self.unescape(name.replace("%0A", "\n").replace("%25", "%")), self.unescape(rest.removesuffix(self.closing))))
-        return turns
+    def read(self, formatted: str) -> tuple[list[tuple[str, str]], int]:
+        """(role, text) of each whole turn at the beginning of a formatted text, and where the last of them ends."""
+        turns, at = [], 0
+        while formatted.startswith(self.opening, at):
+            begin = at + len(self.opening)
+            middle = formatted.find(self.after_role, begin)
+            stop = formatted.find(self.closing, middle) if middle >= 0 else -1
+            if stop < 0:
+                break
+            name = formatted[begin:middle].replace("%0A", "\n").replace("%25", "%")
+            turns.append((self.unescape(name), self.unescape(formatted[middle + len(self.after_role):stop])))
+            at = stop + len(self.closing)
+        return turns, at
 
 
 SEGMENTS = "conv_id long, place long, segments array<struct<text:string,loss:boolean>>, valid_turn boolean, state string"
@@ -93,25 +99,42 @@ def format_turns(conversations: DataFrame, template: Template = Template()) -> D
 
 
 class _Reader:
-    """Digests of one conversation, from its formatted turns in order."""
+    """Digests of one conversation, read from its segments joined to one text, and from the stretches of it under the loss mask.
+
+    Where a turn begins and ends is told by the markers in the text alone; what is not yet a whole turn is kept back.
+    """
 
     def __init__(self, template: Template):
         self.template, self.turns, self.loss = template, hashlib.sha256(), hashlib.sha256()
         self.n = self.loss_chars = self.chars = 0
-        self.valid, self.state = True, ""
+        self.valid, self.state, self.rest, self.learned = True, "", "", ""
 
     def take(self, segments: list[dict], valid: bool, state: str) -> None:
-        formatted = "".join(s["text"] for s in segments)
-        for role, text in self.template.read(formatted):
+        for s in segments:
+            self.rest += s["text"]
+            self.chars += len(s["text"])
+            if s["loss"]:
+                self.learned += s["text"]
+            else:
+                self._learn()
+        turns, stop = self.template.read(self.rest)
+        self.rest = self.rest[stop:]
+        for role, text in turns:
             self.turns.update(f"{role}\n{text}\n".encode())
             self.n += 1
-        learned = "".join(self.template.unescape(s["text"]) for s in segments if s["loss"])
-        self.loss.update(learned.encode())
-        self.loss_chars += len(learned)
-        self.chars += len(formatted)
         self.valid, self.state = self.valid and valid, state
 
+    def _learn(self) -> None:
+        """Ends a stretch under the mask."""
+        text = self.template.unescape(self.learned)
+        self.loss.update(text.encode())
+        self.loss_chars += len(text)
+        self.learned = ""
+
     def row(self) -> list:
+        self._learn()
+        if self.rest:
+            raise ValueError("a formatted conversation ends within a turn")
         return [self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.valid and self.state in self.template.accepts]
 
 

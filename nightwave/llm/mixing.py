@@ -1,7 +1,9 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
 
 Each source is cut into blocks of documents. A source's target weight is an integer share s of a round of Q = sum(s)
-slots, so it owes s blocks a round. In a round of c blocks of a source and Q in all, block k (from 1) is released at
+slots, so it owes s blocks a round: without given shares it is `slots` times the source's weight (documents ** `power`,
+as a part of all), rounded, and at least 1. `slots` grows with the number of sources, `SLOTS` or `PER_SOURCE` each, so
+that rounding moves a weight by at most half of 1 / slots; "less than one block" holds to the rounded weight. In a round of c blocks of a source and Q in all, block k (from 1) is released at
 floor((k - 1) * Q / c) and due at ceil(k * Q / c); earliest-deadline-first over released blocks fills each slot and
 keeps every source less than one block from its target at every slot, and exactly on it at the end of every round.
 A source with no block left leaves; the others keep their proportions, so no document is dropped or repeated.
@@ -13,7 +15,8 @@ comes from a row number within (source, hash range) plus the sum of the ranges b
 of all rows is spread over `2 ** range_bits` keys.
 
 Bounds: the work of the schedule is runs * Q * sources, independent of the documents; Q is `slots` plus at most one
-slot a source. Defined cases: a null source is a source of its own (the empty name is another); documents go by
+slot a source. It is meant for named corpora, some hundreds at most, not for every host as a source of its own. The
+schedule meets the blocks in a plain equi-join; one row of run starts and a row a source are broadcast where Spark finds them small. Defined cases: a null source is a source of its own (the empty name is another); documents go by
 (hash of doc_id, doc_id), repeated rows in any order; an empty table gives an empty result; unknown sources in
 `shares` are ignored, sources without a share get one slot a round; shares below one are an error.
 """
@@ -27,10 +30,10 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import written
 
-BLOCK_DOCS, SLOTS, POWER, RANGE_BITS = 16, 400, 0.5, 10
+BLOCK_DOCS, SLOTS, PER_SOURCE, POWER, RANGE_BITS = 16, 400, 8, 0.5, 10
 
 
-def _with_shares(sizes: DataFrame, shares: Mapping[str | None, int] | None, slots: int, power: float) -> DataFrame:
+def _with_shares(sizes: DataFrame, shares: Mapping[str | None, int] | None, slots: int | None, power: float) -> DataFrame:
     """sizes with an integer `share`: the given one, or in proportion to (documents of the source) ** power."""
     if shares is not None:
         if any(int(v) != v or v < 1 for v in shares.values()):
@@ -39,14 +42,16 @@ def _with_shares(sizes: DataFrame, shares: Mapping[str | None, int] | None, slot
         for name, v in shares.items():
             share = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(int(v)).cast("long")).otherwise(share)
         return sizes.withColumn("share", share)
-    whole = F.sum(F.pow(F.col("n_docs"), F.lit(power))).over(Window.partitionBy())
+    every = Window.partitionBy()  # a row a source
+    whole = F.sum(F.pow(F.col("n_docs"), F.lit(power))).over(every)
+    slots = F.greatest(F.lit(SLOTS), PER_SOURCE * F.count(F.lit(1)).over(every)) if slots is None else F.lit(slots)
     return sizes.withColumn("share", F.greatest(F.lit(1), F.round(slots * F.pow(F.col("n_docs"), F.lit(power)) / whole, 0)).cast("long"))
 
 
 def _runs(sources: DataFrame) -> DataFrame:
     """A row a run of equal rounds: first_round, base (slots before it), round_slots, quota = array of (source_no, blocks a round)."""
     edges = sources.select(F.explode(F.array(F.lit(0).cast("long"), F.expr("n_blocks div share"), F.expr("(n_blocks + share - 1) div share"))).alias("first_round")).distinct()
-    each = edges.crossJoin(F.broadcast(sources)).withColumn(  # both sides: a few rows a source
+    each = edges.crossJoin(sources).withColumn(  # both sides: a few rows a source
         "left_blocks", F.greatest(F.lit(0), F.col("n_blocks") - F.col("first_round") * F.col("share")))
     return (each.groupBy("first_round").agg(
         F.sum(F.least("n_blocks", F.col("first_round") * F.col("share"))).alias("base"),
@@ -72,7 +77,7 @@ def round_schedule(runs: DataFrame) -> DataFrame:
         F.col("x.released").alias("released"), F.col("x.due").alias("due"))
 
 
-def mix_sources(docs: DataFrame, shares: Mapping[str | None, int] | None = None, block_docs: int = BLOCK_DOCS, slots: int = SLOTS, power: float = POWER, range_bits: int = RANGE_BITS) -> DataFrame:
+def mix_sources(docs: DataFrame, shares: Mapping[str | None, int] | None = None, block_docs: int = BLOCK_DOCS, slots: int | None = None, power: float = POWER, range_bits: int = RANGE_BITS) -> DataFrame:
     """doc_id, source, source_rank, block, released, due, slot, in_block of every row of docs.
 
     Reading documents by (slot, in_block) is the mixture. released <= slot < due, in slots from the start of the mixture.
@@ -92,14 +97,14 @@ def mix_sources(docs: DataFrame, shares: Mapping[str | None, int] | None = None,
     s = sources.select(F.col("source").alias("s_source"), "source_no", "share")
     ranked = keyed.withColumn("place", F.row_number().over(Window.partitionBy("source", "range").orderBy("h", "doc_id")))
     ranked = ranked.join(o, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("range") == F.col("o_range"))).withColumn("source_rank", F.col("place") + F.col("offset"))
-    blocks = (ranked.join(F.broadcast(s), F.col("source").eqNullSafe(F.col("s_source"))).crossJoin(F.broadcast(edges))
+    blocks = (ranked.join(s, F.col("source").eqNullSafe(F.col("s_source"))).crossJoin(F.broadcast(edges))
               .withColumn("block", F.expr(f"(source_rank - 1) div {block_docs} + 1"))
               .withColumn("in_block", F.expr(f"(source_rank - 1) % {block_docs}"))
               .withColumn("round", F.expr("(block - 1) div share"))
               .withColumn("k", F.expr("(block - 1) % share + 1"))
               .withColumn("first_round", F.expr("array_max(filter(edges, e -> e <= round))")))
     from_start = F.col("base") + (F.col("round") - F.col("first_round")) * F.col("round_slots")
-    return blocks.join(F.broadcast(schedule), ["first_round", "source_no", "k"]).select(  # 2 * sources * Q rows at most
+    return blocks.join(schedule, ["first_round", "source_no", "k"]).select(
         "doc_id", "source", "source_rank", "block", (from_start + F.col("released")).alias("released"),
         (from_start + F.col("due")).alias("due"), (from_start + F.col("round_slot")).alias("slot"), "in_block")
 

@@ -81,8 +81,14 @@ ORACLES = {
         outcomes AS (
           SELECT host, 1 - quality AS bad FROM parts LEFT JOIN labels ON doc_id = try_cast(nullif(regexp_extract(path, '^/[^/]*/([0-9]{1,18})', 1), '') AS BIGINT)),
         hosts AS (
-          SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k, regexp_extract(host, '[^.]*(\.[^.]*)?$') AS domain, regexp_extract(host, '[^.]*$') AS suffix FROM outcomes GROUP BY host),
-        domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+          SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k, 
+                 CASE WHEN regexp_matches(host, '^(\[.*\]|[0-9]+(\.[0-9]+){3})(:[0-9]*)?$') THEN 0
+                      WHEN regexp_extract(regexp_replace(host, ':[0-9]*$', ''), '[^.]*\.[^.]*$') IN {SUFFIXES} THEN 2 ELSE 1 END AS own, regexp_replace(host, ':[0-9]*$', '') AS name
+          FROM outcomes GROUP BY host),
+        placed AS (
+          SELECT *, CASE own WHEN 0 THEN name WHEN 1 THEN regexp_extract(name, '[^.]*(\.[^.]*)?$') ELSE regexp_extract(name, '[^.]*(\.[^.]*){0,2}$') END AS domain,
+                 CASE own WHEN 0 THEN name WHEN 1 THEN regexp_extract(name, '[^.]*$') ELSE regexp_extract(name, '[^.]*(\.[^.]*)?$') END AS suffix FROM hosts),
+        domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM placed GROUP BY ALL),
         suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains GROUP BY ALL),
         groups AS (SELECT 1 AS level, n, k FROM suffixes UNION ALL SELECT 2, n, k FROM domains UNION ALL SELECT 3, n, k FROM hosts),
         moments AS (
@@ -92,13 +98,13 @@ ORACLES = {
                            THEN least(1000, greatest(1, m * (1 - m) / ((spread - (g - 1) * m * (1 - m)) / nullif(room, 0)) - 1)) ELSE 1000 END AS kappa FROM moments),
         s AS (SELECT suffix, (k + kappa * m) / (n + kappa) AS m FROM suffixes, kappas WHERE level = 1),
         d AS (SELECT domain, (k + kappa * s.m) / (n + kappa) AS m FROM domains JOIN s USING (suffix), kappas WHERE level = 2),
-        h AS (SELECT host, k + kappa * d.m AS a, n - k + kappa * (1 - d.m) AS b FROM hosts JOIN d USING (domain), kappas WHERE level = 3),
+        h AS (SELECT host, k + kappa * d.m AS a, n - k + kappa * (1 - d.m) AS b FROM placed JOIN d USING (domain), kappas WHERE level = 3),
         bounds AS (SELECT host, round(a / (a + b) - 1.28 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)), 6) AS bound FROM h),
         rules(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
         fit AS (
           SELECT page_id, host, path, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(rules.verdict, length(rhost || rpath)) AS verdict
           FROM parts LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY ALL)
-        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bound > 0.25 THEN 'block' ELSE 'allow' END) AS verdict, bound FROM fit JOIN bounds USING (host)""",
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bound > 0.25 THEN 'block' ELSE 'allow' END) AS verdict, bound FROM fit JOIN bounds USING (host)""".replace("{SUFFIXES}", repr(reputation.SUFFIXES)),
     "op8_chat_format": rf"""
         WITH turns AS (
           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

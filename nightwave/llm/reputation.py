@@ -1,7 +1,9 @@
 """URL filtering by rules, else by the empirical-Bayes reputation of the host. DataFrame functions only.
 
-Labelled outcomes of pages are counted by host, registered domain (the last `domain_labels` names) and suffix (the
-name after it). Each level's share of bad pages is shrunk towards the level above: with kappa prior pages, a group of n
+Labelled outcomes of pages are counted by host, registered domain and suffix. The suffix is the last two names of a host
+where these are one of `suffixes` (a parameter, with a few usual ones as default; the public suffix list can be given),
+else the last name; the registered domain is the suffix and the name before it. A port is no part of either, and an
+address in numbers is its own domain and suffix. Each level's share of bad pages is shrunk towards the level above: with kappa prior pages, a group of n
 pages with k bad ones has Beta(k + kappa * m, n - k + kappa * (1 - m)), m being the posterior mean above. kappa comes from
 the data, by moments of the beta-binomial over the groups of the level. A url is blocked if the lower posterior bound
 (mean - z deviations) of its host's bad share is over `limit`: hosts with few outcomes need strong neighbours to be blocked.
@@ -26,6 +28,8 @@ from nightwave.llm.common import written
 
 MAX_RULES = 10_000
 Z, LIMIT, KAPPA = 1.28, 0.25, (1.0, 1000.0)
+#: Usual public suffixes of two names.
+SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "com.br", "com.cn", "co.in", "ac.jp", "co.jp", "or.jp", "co.kr", "com.mx", "co.nz", "com.tr", "co.za")
 
 
 def url_parts(url: str = "url") -> tuple[Column, Column]:
@@ -73,12 +77,21 @@ def _kappa(groups: DataFrame) -> Column:
     return whole.select(F.coalesce("m", F.lit(0.0)).alias("m"), found.alias("kappa"))
 
 
-def host_reputation(pages: DataFrame, domain_labels: int = 2, z: float = Z) -> DataFrame:
+def domain_and_suffix(host: Column, suffixes: Iterable[str] = SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and public suffix of a host."""
+    name = F.regexp_replace(host, r":[0-9]*$", "")
+    names = F.split(name, r"\.")
+    last = lambda k: F.array_join(F.slice(names, -F.least(F.size(names), k), k), ".")
+    number = name.rlike(r"^(\[.*\]|[0-9]+(\.[0-9]+){3})$")
+    own = F.when(last(F.lit(2)).isin(*suffixes), 2).otherwise(1) if suffixes else F.lit(1)
+    return F.when(number, name).otherwise(last(own + 1)), F.when(number, name).otherwise(last(own))
+
+
+def host_reputation(pages: DataFrame, suffixes: Iterable[str] = SUFFIXES, z: float = Z) -> DataFrame:
     """host, n, k, mean, bound of every host of pages (host, bad = 1, 0 or null)."""
-    names = F.split("host", r"\.")
-    last = lambda k: F.array_join(F.slice(names, -F.least(F.size(names), F.lit(k)), F.lit(k)), ".")
+    domain, suffix = domain_and_suffix(F.col("host"), suffixes)
     hosts = written(pages.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("k"))
-                    .withColumn("domain", last(domain_labels)).withColumn("suffix", last(domain_labels - 1)), "hosts")
+                    .withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
     domains = _level(hosts, "domain", "suffix")
     suffixes = _level(domains, "suffix", None)
     means = suffixes.crossJoin(_kappa(suffixes)).select("suffix", ((F.col("k") + F.col("kappa") * F.col("m")) / (F.col("n") + F.col("kappa"))).alias("m"))  # one row crossed
@@ -89,13 +102,13 @@ def host_reputation(pages: DataFrame, domain_labels: int = 2, z: float = Z) -> D
     return own.select("host", "n", "k", "mean", (F.col("mean") - z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("size") + 1))).alias("bound"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Iterable[tuple[str, str, str]], limit: float = LIMIT, z: float = Z, domain_labels: int = 2) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Iterable[tuple[str, str, str]], limit: float = LIMIT, z: float = Z, suffixes: Iterable[str] = SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict, bound of every page. outcomes: (page_id, bad), bad being 1 or 0."""
     host, path = url_parts()
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
     seen = outcomes.filter(F.col("page_id").isNotNull() & F.col("bad").isNotNull()).select(F.col("page_id").alias("o_page"), "bad")
     labelled = parts.select("page_id", "host").join(seen, F.col("page_id") == F.col("o_page"), "left").select("host", "bad")
-    known = host_reputation(labelled, domain_labels, z).select(F.col("host").alias("r_host"), F.round("bound", 6).alias("bound"))
+    known = host_reputation(labelled, suffixes, z).select(F.col("host").alias("r_host"), F.round("bound", 6).alias("bound"))
     rule = matching_rule(F.col("host"), F.col("path"), rules)
     judged = parts.hint("merge").join(known, F.col("host") == F.col("r_host")).withColumn("fit", rule)
     return judged.select("page_id", "host", "path", F.col("fit.rule").alias("rule"),

@@ -1,9 +1,9 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-
-from nightwave.llm.chat_format import RESERVED, Template, format_turns, read_back
+from nightwave.llm.chat_format import RESERVED, Template, _Reader, format_turns, read_back
 
 T = Template()
 HOSTILE = st.lists(st.sampled_from([*RESERVED, "\\", "<", "<\\", "|im_end|>", "[", "/INST]", "\n", "%0A", "é"]), max_size=10).map("".join)
@@ -13,7 +13,8 @@ HOSTILE = st.lists(st.sampled_from([*RESERVED, "\\", "<", "<\\", "|im_end|>", "[
 @given(st.lists(st.tuples(HOSTILE, HOSTILE), max_size=4))
 def test_what_is_formatted_can_be_read(turns):
     formatted = "".join(t for role, text in turns for t, _ in T.segments(role, text))
-    assert T.read(formatted) == turns
+    assert T.read(formatted) == (turns, len(formatted))
+    assert T.read(formatted + T.opening + 'user') == (turns, len(formatted))  # an open turn is kept back
     for _, text in turns:
         assert not any(c in T.escape(text) for c in RESERVED) and T.unescape(T.escape(text)) == text
 
@@ -35,3 +36,26 @@ def test_frames(spark):
         assert got[c].formatted_chars == sum(len(s) for turn in turns for s, _ in T.segments(*turn))
     assert {c: got[c].valid for c in got} == {1: True, 2: False, None: False, 3: False, 4: True, 5: True}
     assert read_back(format_turns(df.limit(0))).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), HOSTILE), max_size=4), st.randoms())
+def test_boundaries_of_segments_do_not_tell(turns, rng):
+    """Segments cut at other places, under the same mask, give the same digests."""
+    whole, pieces = _Reader(T), _Reader(T)
+    for role, text in turns:
+        own = [{"text": t, "loss": on} for t, on in T.segments(role, text)]
+        whole.take(own, True, role)
+        for s in own:
+            at = rng.randint(0, len(s["text"]))
+            for part in (s["text"][:at], s["text"][at:]):
+                pieces.take([{"text": part, "loss": s["loss"]}], True, role)
+    assert whole.row() == pieces.row()
+    assert whole.loss.hexdigest() == hashlib.sha256("".join(t for r, t in turns if r == "assistant").encode()).hexdigest()
+
+
+def test_a_fault_at_a_boundary_shows():
+    reader = _Reader(T)
+    reader.take([{"text": t, "loss": on} for t, on in T.segments("user", "hi")][:2], True, "user")
+    with pytest.raises(ValueError):
+        reader.row()

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nightwave.llm.queries import RULES
-from nightwave.llm.reputation import host_reputation, judge_urls, matching_rule, url_parts
+from nightwave.llm.reputation import domain_and_suffix, host_reputation, judge_urls, matching_rule, url_parts
 
 PAGES = "page_id long, url string, host string, bad int"
 
@@ -58,3 +58,18 @@ def test_nulls_repeats_empty(spark):
     assert judge_urls(pages.limit(0), outcomes, RULES).count() == 0
     with pytest.raises(ValueError):
         judge_urls(pages, outcomes, [("block", str(i), "/") for i in range(10_001)])
+
+
+def test_domains_and_suffixes(spark):
+    want = {"a.b.example.com": ("example.com", "com"), "www.shop.co.uk": ("shop.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.org:8080": ("x.org", "org"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"),
+            "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]:80": ("[::1]", "[::1]"), "localhost": ("localhost", "localhost"), "": ("", ""), "m." + "long." * 50_000 + "net": ("long.net", "net")}
+    domain, suffix = domain_and_suffix(F.col("host"))
+    got = {r["host"]: (r.d, r.s) for r in spark.createDataFrame([(h,) for h in want], "host string").select("host", domain.alias("d"), suffix.alias("s")).collect()}
+    assert got == want
+    assert spark.range(1).select(domain_and_suffix(F.lit("a.b.c.d"), ["c.d"])[0].alias("d")).first().d == "b.c.d"
+
+
+def test_very_long_urls(spark):
+    pages = spark.createDataFrame([(1, "s://a.net/" + "x" * 1_000_000), (2, "s://" + "h" * 1_000_000), (3, "s" * 1_000_000)], "page_id long, url string")
+    got = {r.page_id: (len(r.host), len(r.path), r.verdict) for r in judge_urls(pages, spark.createDataFrame([], "page_id long, bad int"), RULES).collect()}
+    assert got == {1: (5, 1_000_001, "block"), 2: (1_000_000, 0, "allow"), 3: (0, 0, "allow")}
