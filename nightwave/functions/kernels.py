@@ -111,23 +111,33 @@ def harmonic(x: np.ndarray, n_fft: int = 2048, hop: int = 512, width: int = 31,
     return inverse(spec * mask, w, hop, len(x)).astype(np.float32)
 
 
-def gate(x: np.ndarray, prop_decrease: float, floor_db: np.ndarray | None, n_fft: int = 1024, hop: int = 256, smooth_frames: int = 32, above: float = 2.0, sharp: float = 10.0) -> np.ndarray:
+def gate_reach(n_fft: int = 1024, hop: int = 256, smooth_frames: int = 32) -> int:
+    """Samples on either side of a chunk that its gated samples depend on."""
+    return smooth_frames * hop + n_fft + hop
+
+
+def gate(x: np.ndarray, prop_decrease: float, floor_db: np.ndarray | None, start: int = 0, n_fft: int = 1024, hop: int = 256, smooth_frames: int = 32, above: float = 2.0, sharp: float = 10.0) -> np.ndarray:
     """Spectral gate: bins near the noise floor are lowered by a share of prop_decrease.
 
     The floor is floor_db (stationary) or, without it, each bin's own level smoothed over neighbouring frames; the mask
-    is a logistic function of how far a bin is above it.
+    is a logistic function of how far a bin is above it. x begins at sample `start` of the recording; frames lie on the
+    recording's grid of hops, so the result does not depend on where x begins, `gate_reach` samples aside.
     """
     if not len(x) or prop_decrease == 0:
         return x.astype(np.float32)
-    w = hann(n_fft)
-    spec = spectra(centred_frames(x, n_fft, hop), w)
+    skip = min(-start % hop, len(x))
+    w, y = hann(n_fft), x[skip:]
+    if not len(y):
+        return x.astype(np.float32)
+    spec = spectra(centred_frames(y, n_fft, hop), w)
     mag = np.abs(spec)
     if floor_db is not None:
         open_share = 1 / (1 + np.exp(-np.clip(20 * np.log10(np.maximum(mag, 1e-10)) - floor_db, -50, 50)))
     else:
-        box = np.ones(2 * smooth_frames + 1)
-        count = np.convolve(np.ones(len(mag)), box, "same") if len(mag) >= len(box) else np.full(len(mag), len(mag), float)
-        level = np.stack([np.convolve(c, box, "same") for c in mag.T], axis=1) / count[:, None] if len(mag) >= len(box) else np.repeat(mag.mean(axis=0, keepdims=True), len(mag), axis=0)
+        run = np.concatenate([np.zeros((1, mag.shape[1])), np.cumsum(mag, axis=0)])
+        at = np.arange(len(mag))
+        low, high = np.maximum(at - smooth_frames, 0), np.minimum(at + smooth_frames + 1, len(mag))
+        level = (run[high] - run[low]) / (high - low)[:, None]
         rise = (mag - level) / np.maximum(level, 1e-10)
         open_share = 1 / (1 + np.exp(-np.clip((rise - above) * sharp, -50, 50)))
-    return inverse(spec * (1 - prop_decrease * (1 - open_share)), w, hop, len(x)).astype(np.float32)
+    return np.concatenate([x[:skip], inverse(spec * (1 - prop_decrease * (1 - open_share)), w, hop, len(y))]).astype(np.float32)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,23 +50,24 @@ def match_channels(out: DataFrame, recs: DataFrame) -> DataFrame:
 def with_halo(chunks: DataFrame, left: int, right: int) -> DataFrame:
     """Chunks with up to `left` samples of the one before and `right` of the one after, and how many: left_n, right_n.
 
-    Only the borders are copied to the neighbours. A halo must not be longer than a chunk (the last one may be shorter).
+    Only the borders are copied to the neighbours, in one pass over the chunks. A halo must not be longer than a chunk
+    (the last one of a recording may be shorter): where it is, and further chunks would be needed, that is an error.
     """
     key = ["recording_id", "channel", "chunk_id"]
-    shifted = [chunks.select("recording_id", "channel", "chunk_id", F.lit(0).alias("part"), "samples", "start_sample", "sample_rate")]
-    none = [F.lit(None).cast("bigint").alias("start_sample"), F.lit(None).cast("int").alias("sample_rate")]
-    size = F.size("samples")
+    size, none = F.size("samples"), F.array().cast("array<float>")
+    part = lambda at, kind, x: F.struct((F.col("chunk_id") + at).alias("to"), F.lit(kind).alias("part"), x.alias("x"))
+    parts = [part(0, 0, F.col("samples"))]
     if left:
-        shifted.append(chunks.select("recording_id", "channel", (F.col("chunk_id") + 1).alias("chunk_id"), F.lit(-1).alias("part"), F.slice("samples", F.greatest(size - left + 1, F.lit(1)), F.lit(left)).alias("samples"), *none))
+        parts.append(part(1, -1, F.slice("samples", F.greatest(size - left + 1, F.lit(1)), F.lit(left))))
     if right:
-        shifted.append(chunks.select("recording_id", "channel", (F.col("chunk_id") - 1).alias("chunk_id"), F.lit(1).alias("part"), F.slice("samples", 1, right).alias("samples"), *none))
-    rows = shifted[0]
-    for more in shifted[1:]:
-        rows = rows.unionByName(more)
-    part = lambda p: F.max(F.when(F.col("part") == p, F.col("samples")))  # noqa: E731  one row each
-    none = F.array().cast("array<float>")
-    joined = rows.groupBy(*key).agg(F.max("start_sample").alias("start_sample"), F.max("sample_rate").alias("sample_rate"), F.coalesce(part(-1), none).alias("l"), part(0).alias("own"), F.coalesce(part(1), none).alias("r"))
-    return joined.filter(F.col("own").isNotNull()).select(*key, "start_sample", "sample_rate", F.concat("l", "own", "r").alias("samples"), F.size("l").alias("left_n"), F.size("r").alias("right_n"))
+        parts.append(part(-1, 1, F.slice("samples", 1, right)))
+    rows = chunks.select("recording_id", "channel", "start_sample", "sample_rate", F.explode(F.array(*parts)).alias("p")).select("recording_id", "channel", F.col("p.to").alias("chunk_id"), "start_sample", "sample_rate", "p.part", "p.x")
+    own = F.col("part") == 0
+    one = lambda p: F.max(F.when(F.col("part") == p, F.col("x")))  # noqa: E731  one row each
+    joined = rows.groupBy(*key).agg(F.max(F.when(own, F.col("start_sample"))).alias("start_sample"), F.max(F.when(own, F.col("sample_rate"))).alias("sample_rate"), F.coalesce(one(-1), none).alias("l"), one(0).alias("own"), F.coalesce(one(1), none).alias("r"))
+    too_long = ((F.size("l") < left) & (F.col("chunk_id") > 1)) | ((F.size("r") < right) & (F.size("r") >= F.size("own")) & (F.size("own") > 0))
+    samples = F.when(too_long, F.raise_error(F.lit(f"a halo of {left} and {right} samples is longer than a chunk"))).otherwise(F.concat("l", "own", "r"))
+    return joined.filter(F.col("own").isNotNull()).select(*key, "start_sample", "sample_rate", samples.alias("samples"), F.size("l").alias("left_n"), F.size("r").alias("right_n"))
 
 
 def stitch(chunks: DataFrame) -> DataFrame:
@@ -115,27 +116,53 @@ def rechunk(chunks: DataFrame, size: int) -> DataFrame:
     return whole.select("recording_id", "channel", F.col("to").alias("chunk_id"), (F.col("to") * size).alias("start_sample"), "sample_rate", F.flatten("p.x").alias("samples"))
 
 
-def overlap_apply(chunks: DataFrame, kernel: Callable[[np.ndarray, dict], np.ndarray], segment_s: float = 10.0, overlap: float = 0.25) -> DataFrame:
-    """Segments of segment_s that overlap by a share, through a kernel, cross-faded by a triangle; chunks as before.
+def sizes_by_rate(chunks: DataFrame) -> list[tuple[int, int]]:
+    """(sample_rate, samples of its longest chunk, at least 1), a few rates."""
+    found = chunks.groupBy("sample_rate").agg(F.max(F.size("samples")).alias("size")).collect()
+    return sorted((r.sample_rate, max(1, r["size"])) for r in found)
 
-    A segment starts each segment_s * (1 - overlap); where segments meet, weights rise and fall in a line, and sums of
-    weight * value and of weight come from an aggregate by (recording, channel, segment border), not by sample.
+
+def overlap_apply(chunks: DataFrame, kernel: Callable[[np.ndarray, dict], np.ndarray], segment_s: float = 10.0, overlap: float = 0.25, joint: bool = False) -> DataFrame:
+    """Segments of segment_s that overlap by a share (at most a half), through a kernel, cross-faded in a line; chunks as long as before.
+
+    A segment starts each segment_s * (1 - overlap). Only what a segment reaches into the next one moves on, so a recording
+    is never in one task, and the kernel is run once a segment. A kernel takes the samples of a channel or, if joint,
+    the (channels, samples) of all channels.
     """
-    rates = [r.sample_rate for r in chunks.select("sample_rate").distinct().collect()]  # a few rates
+    if not 0 <= overlap <= 0.5:
+        raise ValueError("segments may overlap by 0 to a half")
     out = None
-    for rate in rates:
-        seg = int(segment_s * rate)
-        fade = int(seg * overlap)
-        step = seg - fade
-        own = rechunk(chunks.filter(F.col("sample_rate") == rate), step)
-        done = map_samples(with_halo(own, 0, fade), lambda x, r: kernel(x, r))
-        body = F.slice("samples", 1, step)
-        ramp = lambda x, up: F.transform(x, lambda v, i: (v * ((i + 1) / F.lit(float(fade + 1)) if up else 1 - (i + 1) / F.lit(float(fade + 1)))).cast("float"))
-        w = Window.partitionBy("recording_id", "channel").orderBy("chunk_id")
-        tail = done.withColumn("tail", F.when(F.size("samples") > step, F.slice("samples", step + 1, fade))).withColumn("before", F.lag("tail").over(w))
-        n = F.least(F.size("before"), F.size(body))
-        mixed = F.zip_with(ramp(F.slice(body, 1, n), True), ramp(F.slice("before", 1, n), False), lambda a, b: (a + b).cast("float"))
-        joined = F.when(F.col("before").isNull(), body).otherwise(F.concat(mixed, F.slice(body, n + 1, F.size(body))))
-        rows = tail.select("recording_id", "channel", "chunk_id", "start_sample", "sample_rate", joined.alias("samples"))
+    for rate, size in sizes_by_rate(chunks):
+        fade = int(int(segment_s * rate) * overlap)
+        step = int(segment_s * rate) - fade
+        held = with_halo(rechunk(chunks.filter(F.col("sample_rate") == rate), step), 0, fade)
+        done = _jointly(held, kernel) if joint else map_samples(held, kernel)
+        weight = lambda i: (i + 1) / F.lit(float(fade + 1))
+        own = F.struct(F.col("chunk_id").alias("to"), F.lit(0).alias("part"), F.slice("samples", 1, step).alias("x"))
+        tail = F.struct((F.col("chunk_id") + 1).alias("to"), F.lit(1).alias("part"), F.slice("samples", step + 1, max(fade, 1)).alias("x"))
+        rows = done.select("recording_id", "channel", "start_sample", F.explode(F.array(own, tail)).alias("p")).select("recording_id", "channel", "start_sample", "p.*")
+        one = lambda p: F.max(F.when(F.col("part") == p, F.col("x")))  # noqa: E731  one row each
+        met = rows.groupBy("recording_id", "channel", F.col("to").alias("chunk_id")).agg(F.max(F.when(F.col("part") == 0, F.col("start_sample"))).alias("start_sample"), one(0).alias("x"), F.coalesce(one(1), F.array().cast("array<float>")).alias("t")).filter("x IS NOT NULL")
+        n = F.least(F.size("x"), F.size("t"))
+        mixed = F.transform(F.arrays_zip(F.slice("x", 1, n).alias("a"), F.slice("t", 1, n).alias("b")), lambda v, i: (v["a"] * weight(i) + v["b"] * (1 - weight(i))).cast("float"))
+        rows = met.select("recording_id", "channel", "chunk_id", "start_sample", F.lit(rate).alias("sample_rate"), F.concat(mixed, F.slice("x", n + 1, F.size("x"))).alias("samples"))
+        rows = rechunk(rows, size).select(*CHUNK)
         out = rows if out is None else out.unionByName(rows)
     return chunks if out is None else out
+
+
+def _jointly(held: DataFrame, kernel: Callable[[np.ndarray, dict], np.ndarray]) -> DataFrame:
+    """Chunks with a halo through a kernel of all channels of a chunk at once."""
+    key = ["recording_id", "chunk_id", "start_sample", "sample_rate", "left_n", "right_n"]
+    whole = held.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("channel", "samples"))).alias("c")).select(*key, F.col("c.channel").alias("channels"), F.col("c.samples").alias("samples"))
+
+    def run(batches):
+        for b in batches:
+            for k in range(0, len(b), 16):
+                rows = b.slice(k, 16).to_pylist()
+                for r in rows:
+                    r["samples"] = [np.asarray(y, np.float32) for y in kernel(np.asarray(r["samples"], np.float32), r)]
+                yield pa.RecordBatch.from_pylist(rows, schema=b.schema)
+
+    done = whole.mapInArrow(run, whole.schema)
+    return done.select(*key, F.explode(F.arrays_zip("channels", "samples")).alias("c")).select("recording_id", F.col("c.channels").alias("channel"), "chunk_id", "start_sample", "sample_rate", F.col("c.samples").alias("samples"), "left_n", "right_n")

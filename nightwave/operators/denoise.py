@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightwave.functions import kernels
-from nightwave.operators.chunks import CHUNK, overlap_apply, stitch, with_halo
+from nightwave.operators.chunks import CHUNK, match_channels, overlap_apply, rechunk, recordings, resample, sizes_by_rate, stitch, to_stereo, with_halo
+from nightwave.sources.shared import written
 
-N_FFT, HOP, PAD_S, NOISE_S = 1024, 256, 0.5, 2.0
+N_FFT, HOP, NOISE_S = 1024, 256, 2.0
 METHODS = ("spectral", "model")
 
 
@@ -44,14 +45,19 @@ def noise_profile(chunks: DataFrame, seconds: float = NOISE_S, n_std: float = 1.
 
 
 def spectral_gate(chunks: DataFrame, prop_decrease: float = 0.8, stationary: bool = False, n_std: float = 1.5, seconds: float = NOISE_S) -> DataFrame:
-    """Chunks with noise lowered; shape and rate stay. The floor follows the sound itself, or is the recording's noise profile."""
+    """Chunks with noise lowered; shape and rate stay. The floor follows the sound itself, or is the recording's noise profile.
+
+    A chunk gets as much of its neighbours as its values depend on, so these do not depend on how a recording is cut;
+    chunks shorter than that are joined for the gate and cut again.
+    """
     if not 0 <= prop_decrease <= 1:
         raise ValueError("prop_decrease is a share from 0 to 1")
-    rates = [r.sample_rate for r in chunks.select("sample_rate").distinct().collect()]  # a few rates
+    reach = kernels.gate_reach(N_FFT, HOP)
     out = None
-    for rate in rates:
+    for rate, size in sizes_by_rate(chunks):
         own = chunks.filter(F.col("sample_rate") == rate)
-        held = with_halo(own, int(PAD_S * rate), N_FFT)
+        own = rechunk(own, reach) if size < reach else own
+        held = with_halo(own, reach, reach)
         if stationary:
             floors = noise_profile(own, seconds, n_std).groupBy("recording_id", "channel").agg(F.array_sort(F.collect_list(F.struct("bin", "floor_db"))).alias("f")).select("recording_id", "channel", F.col("f.floor_db").alias("floor"))
             held = held.join(floors, ["recording_id", "channel"], "left")
@@ -64,18 +70,27 @@ def spectral_gate(chunks: DataFrame, prop_decrease: float = 0.8, stationary: boo
                     rows = b.slice(k, 16).to_pylist()
                     for r in rows:
                         floor = None if r["floor"] is None else np.array(r["floor"])
-                        r["samples"] = kernels.gate(np.asarray(r["samples"], np.float32), prop_decrease, floor, N_FFT, HOP)
+                        r["samples"] = kernels.gate(np.asarray(r["samples"], np.float32), prop_decrease, floor, r["start_sample"] - r["left_n"], N_FFT, HOP)
                     yield pa.RecordBatch.from_pylist(rows, schema=b.schema)
 
         done = stitch(held.mapInArrow(run, held.schema))
+        done = rechunk(done, size) if size < reach else done
         out = done if out is None else out.unionByName(done)
     return chunks if out is None else out
 
 
-def denoise(chunks: DataFrame, method: str = "spectral", kernel: Callable[[np.ndarray, dict], np.ndarray] | None = None, **gate) -> DataFrame:
-    """chunks denoised by the gate, or by the user's kernel on overlapping segments; recordings on which that fails go through the gate."""
+def denoise(chunks: DataFrame, method: str = "spectral", kernel: Callable[[np.ndarray, dict], np.ndarray] | None = None, kernel_rate: int | None = None, kernel_channels: int | None = None,
+            segment_s: float = 10.0, overlap: float = 0.25, **gate) -> DataFrame:
+    """chunks denoised by the gate, or by the user's kernel on overlapping segments; recordings on which that fails go through the gate.
+
+    A kernel with kernel_rate gets its segments at that rate, the result is brought back to the recording's; one with
+    kernel_channels=2 gets (2, samples): the only channel twice, or the first two, and recordings with one channel get the
+    mean of the two back, others both. The kernel's results are written once, so it is run once a segment.
+    """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}: one of {METHODS}")
+    if kernel_channels not in (None, 2):
+        raise ValueError("a kernel is for one channel at a time (None) or for 2")
     if method == "spectral" or kernel is None:
         return spectral_gate(chunks, **gate)
 
@@ -83,11 +98,31 @@ def denoise(chunks: DataFrame, method: str = "spectral", kernel: Callable[[np.nd
         try:
             return kernel(x, row)
         except Exception:  # a user's kernel may fail in any way; the recording is marked and done again by the gate
-            return np.full(len(x), np.nan, np.float32)
-
-    done = overlap_apply(chunks, guarded)
-    failed = done.filter(F.exists("samples", lambda v: F.isnan(v))).select("recording_id").distinct()
-    return done.join(failed, "recording_id", "left_anti").select(*CHUNK).unionByName(spectral_gate(chunks.join(failed, "recording_id", "left_semi").select(*CHUNK), **gate))
+            return np.full(x.shape, np.nan, np.float32)
+
+    fed = to_stereo(chunks) if kernel_channels == 2 else chunks
+    fed = fed if kernel_rate is None else resample(fed, kernel_rate)
+    done = written(overlap_apply(fed.select(*CHUNK), guarded, segment_s, overlap, kernel_channels == 2), "kernel")
+    failed = written(done.filter(F.exists("samples", lambda v: F.isnan(v))).select("recording_id").distinct(), "failed")
+    good = done.join(failed, "recording_id", "left_anti").select(*CHUNK)
+    recs = recordings(chunks)
+    if kernel_channels == 2:
+        good = match_channels(good, recs)
+    if kernel_rate is not None:
+        good = _at_own_rate(good, recs, chunks)
+    return good.select(*CHUNK).unionByName(spectral_gate(chunks.join(failed, "recording_id", "left_semi").select(*CHUNK), **gate))
+
+
+def _at_own_rate(good: DataFrame, recs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Results brought back to each recording's rate, its length and chunks as long as before."""
+    out = None
+    for rate, size in sizes_by_rate(chunks):
+        own = recs.filter(F.col("sample_rate") == rate).select("recording_id", "n_samples")
+        back = rechunk(resample(good.join(own.select("recording_id"), "recording_id", "left_semi").select(*CHUNK), rate), size)
+        room = (F.col("n_samples") - F.col("start_sample")).cast("int")
+        back = back.join(own, "recording_id").filter("start_sample < n_samples").withColumn("samples", F.slice("samples", F.lit(1), F.least(F.size("samples"), room))).select(*CHUNK)
+        out = back if out is None else out.unionByName(back)
+    return out
 
 
 def first_frames(frames: DataFrame, n: int) -> DataFrame:

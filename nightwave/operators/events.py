@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nightwave.config import Config
 from nightwave.operators.smoothing import BLOCK
+from nightwave.sources.shared import written
 
 _CFG = Config()
 _UNITS = 100_000_000
@@ -75,23 +76,33 @@ def filter_events(events: DataFrame, min_duration_s: float = _CFG.min_duration_s
     return kept.withColumns({c: F.round(F.round(c, 8), 4) for c in ("start", "end")} | {"confidence": to_digits("confidence", 4)})
 
 
-def group_frames(trace: DataFrame, cfg: Config = _CFG) -> DataFrame:
-    """recording_id, event_id (from 1, by start), start, end, confidence."""
-    lengths = trace.groupBy("recording_id").agg((F.max("frame_idx") + 1).alias("n_frames"))
+def _frames_of(trace: DataFrame) -> DataFrame:
+    return trace.groupBy("recording_id").agg((F.max("frame_idx") + 1).alias("n_frames"))
+
+
+def group_frames(trace: DataFrame, cfg: Config = _CFG, lengths: DataFrame | None = None) -> DataFrame:
+    """recording_id, event_id (from 1, by start), start, end, confidence.
+
+    lengths: recording_id, n_frames, where it is known beforehand (`scoring.frame_lengths`), so that the trace is read once.
+    """
     merged = merge_runs(find_runs(threshold_mask(trace, cfg.threshold), cfg.hop_ms), cfg.merge_gap_s, cfg.hop_ms)
+    return _kept(merged, _frames_of(trace) if lengths is None else lengths, cfg)
+
+
+def _kept(merged: DataFrame, lengths: DataFrame, cfg: Config) -> DataFrame:
     kept = filter_events(pad_events(merged, lengths, cfg.padding_s, cfg.hop_ms), cfg.min_duration_s)
     w = Window.partitionBy("recording_id").orderBy("first_frame")
     return kept.select("recording_id", F.row_number().over(w).cast("int").alias("event_id"), "start", "end", "confidence")
 
 
-def event_counts(trace: DataFrame, cfg: Config = _CFG) -> DataFrame:
-    """Per recording of the trace: n_raw, n_merged, n_kept (0 where there are none)."""
-    runs = find_runs(threshold_mask(trace, cfg.threshold), cfg.hop_ms)
-    count = lambda df, name: df.groupBy("recording_id").agg(F.count(F.lit(1)).alias(name))
-    out = trace.select("recording_id").distinct()
-    for df, name in ((runs, "n_raw"), (merge_runs(runs, cfg.merge_gap_s, cfg.hop_ms), "n_merged"), (group_frames(trace, cfg), "n_kept")):
-        out = out.join(count(df, name), "recording_id", "left")
-    return out.na.fill(0)
+def event_counts(trace: DataFrame, cfg: Config = _CFG, lengths: DataFrame | None = None) -> DataFrame:
+    """Per recording: n_raw, n_merged, n_kept (0 where there are none). The small table of runs is written once."""
+    lengths = _frames_of(trace) if lengths is None else lengths
+    runs = written(find_runs(threshold_mask(trace, cfg.threshold), cfg.hop_ms), "runs")
+    merged = merge_runs(runs, cfg.merge_gap_s, cfg.hop_ms)
+    stages = [df.select("recording_id", F.lit(k).alias("stage")) for k, df in enumerate((runs, merged, _kept(merged, lengths, cfg)))]
+    counts = stages[0].union(stages[1]).union(stages[2]).groupBy("recording_id").agg(*[F.count_if(F.col("stage") == k).alias(n) for k, n in enumerate(("n_raw", "n_merged", "n_kept"))])
+    return lengths.select("recording_id").distinct().join(counts, "recording_id", "left").na.fill(0)
 
 
 def event_summary(events: DataFrame, recordings: DataFrame) -> DataFrame:

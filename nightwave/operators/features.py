@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from nightwave.functions import kernels
-from nightwave.operators.chunks import with_halo
+from nightwave.operators.chunks import rechunk, sizes_by_rate, with_halo
+from nightwave.sources.shared import written
 
 N_MELS, N_MFCC, FLOOR, TOP_DB = 128, 40, 1e-10, 80.0
 #: Least-squares weights over nine frames, of the slope (divided by 60) and of the curvature (divided by 462).
@@ -29,8 +30,8 @@ def frame_params(rate: str | Column = "sample_rate") -> tuple[Column, Column, Co
     return frame, hop, F.greatest(fft, frame)
 
 
-def params_of(rate: int) -> tuple[int, int, int]:
-    frame, hop = rate * 25 // 1000, rate * 10 // 1000
+def params_of(rate: int, frame_ms: int = 25, hop_ms: int = 10) -> tuple[int, int, int]:
+    frame, hop = rate * frame_ms // 1000, rate * hop_ms // 1000
     return frame, hop, max(1 << (rate * 50 // 1000 - 1).bit_length(), frame)
 
 
@@ -120,8 +121,6 @@ def delta(series: DataFrame, column: str, name: str, order: int = 1, short: str
     """
     if short not in ("error", "null"):
         raise ValueError("short is error or null")
-    if short == "error" and series.groupBy("recording_id").count().filter("count < 9").limit(1).count():
-        raise ValueError("slopes need recordings of at least nine frames")
     weights = SLOPE if order == 1 else CURVE
     w = Window.partitionBy("recording_id").orderBy("frame_idx")
     full = F.lead(column, 4).over(w).isNotNull() & F.lag(column, 4).over(w).isNotNull()
@@ -130,7 +129,10 @@ def delta(series: DataFrame, column: str, name: str, order: int = 1, short: str
         if c:
             own = _times(F.lead(column, k).over(w) if k > 0 else F.lag(column, -k).over(w) if k else F.col(column), c)
             total = own if total is None else F.zip_with(total, own, lambda a, b: a + b)
-    rows = series.withColumn("_d", F.when(full, total))
+    if short == "error":  # told by a recording's first frame, in the same pass
+        few = F.lag(F.lit(1), 1).over(w).isNull() & F.lead(F.lit(1), 8).over(w).isNull()
+        total = F.when(few, F.raise_error(F.lit("slopes need recordings of at least nine frames"))).otherwise(F.when(full, total))
+    rows = series.withColumn("_d", total if short == "error" else F.when(full, total))
     return rows.withColumn(name, F.coalesce("_d", F.first("_d", ignorenulls=True).over(w.rowsBetween(0, 4)), F.last("_d", ignorenulls=True).over(w.rowsBetween(-4, 0)), F.transform(column, lambda v: F.lit(None).cast("double")))).drop("_d")
 
 
@@ -172,9 +174,9 @@ def normalize_features(frames: DataFrame, column: str = "features", name: str =
 
 # --- chunks to frames -------------------------------------------------------------------------------------------
 
-def _frame_kernel(x: np.ndarray, left: int, own: int, start: int, rate: int, last: bool, hnr: bool) -> dict[str, np.ndarray]:
+def _frame_kernel(x: np.ndarray, left: int, own: int, start: int, rate: int, last: bool, hnr: bool, frame_ms: int = 25, hop_ms: int = 10, n_mels: int = N_MELS) -> dict[str, np.ndarray]:
     """Features of the frames whose centre lies in a chunk's own samples (and of the end, in the last chunk)."""
-    frame, hop, n_fft = params_of(rate)
+    frame, hop, n_fft = params_of(rate, frame_ms, hop_ms)
     first = -(-start // hop)
     # frames of odd length are one fewer where the end is on the hop grid; all features keep to the shorter count
     stop = (start + own - frame % 2) // hop + 1 if last else -(-(start + own) // hop)
@@ -188,7 +190,7 @@ def _frame_kernel(x: np.ndarray, left: int, own: int, start: int, rate: int, las
     mag = np.abs(kernels.spectra(at(x, n_fft), kernels.padded_window(frame, n_fft)))
     hz = np.arange(mag.shape[1]) * rate / n_fft
     total = mag.sum(axis=1)
-    out["mel"] = mag**2 @ kernels.mel_filters(rate, n_fft, N_MELS).T
+    out["mel"] = mag**2 @ kernels.mel_filters(rate, n_fft, n_mels).T
     out["spectral_centroid"] = np.where(total > 0, mag @ hz / np.where(total > 0, total, 1), 0)
     out["spectral_rolloff"] = np.where(total > 0, hz[np.argmax(np.cumsum(mag, axis=1) >= 0.85 * total[:, None], axis=1)], 0)
     sign = at(x, frame, "edge") < -1e-10
@@ -203,26 +205,30 @@ def _frame_kernel(x: np.ndarray, left: int, own: int, start: int, rate: int, las
     return out
 
 
-def frame_table(chunks: DataFrame, compute_hnr: bool = True) -> DataFrame:
-    """recording_id, frame_idx, time, mel, spectral_centroid, spectral_rolloff, zcr, hnr of mono chunks."""
-    rates = [r.sample_rate for r in chunks.select("sample_rate").distinct().collect()]  # a few rates
+def frame_table(chunks: DataFrame, compute_hnr: bool = True, frame_ms: int = 25, hop_ms: int = 10, n_mels: int = N_MELS) -> DataFrame:
+    """recording_id, frame_idx, time, mel, spectral_centroid, spectral_rolloff, zcr, hnr of mono chunks.
+
+    Chunks shorter than the kernels reach are joined first; a recording without samples has no frames.
+    """
+    chunks = chunks.filter(F.size("samples") > 0)
     if chunks.filter("channel > 0").limit(1).count():
         raise ValueError("features are of mono recordings: take to_mono() first")
     names = ["mel", "spectral_centroid", "spectral_rolloff", "zcr", "hnr"]
     schema = "recording_id string, frame_idx long, time double, mel array<double>, spectral_centroid double, spectral_rolloff double, zcr double, hnr double"
     out = None
-    for rate in rates:
+    for rate, size in sizes_by_rate(chunks):
         own = chunks.filter(F.col("sample_rate") == rate)
-        halo = max(params_of(rate)[2], 2048 + 512 * 16 if compute_hnr else 0)
+        halo = max(params_of(rate, frame_ms, hop_ms)[2], 2048 + 512 * 16 if compute_hnr else 0)
+        own = rechunk(own, halo) if size < halo else own
         ends = own.groupBy("recording_id").agg(F.max("chunk_id").alias("end_id"))
         held = with_halo(own, halo, halo).join(ends, "recording_id").select("recording_id", "start_sample", "samples", "left_n", "right_n", (F.col("chunk_id") == F.col("end_id")).alias("is_last"))
 
         def run(batches, rate=rate):
-            _, hop, _ = params_of(rate)
+            _, hop, _ = params_of(rate, frame_ms, hop_ms)
             for b in batches:
                 for r in b.to_pylist():
                     x = np.asarray(r["samples"], np.float32)
-                    f = _frame_kernel(x, r["left_n"], len(x) - r["left_n"] - r["right_n"], r["start_sample"], rate, r["is_last"], compute_hnr)
+                    f = _frame_kernel(x, r["left_n"], len(x) - r["left_n"] - r["right_n"], r["start_sample"], rate, r["is_last"], compute_hnr, frame_ms, hop_ms, n_mels)
                     n = len(f["frame_idx"])
                     if n:
                         yield pa.RecordBatch.from_arrays([pa.array([r["recording_id"]] * n), pa.array(f["frame_idx"], pa.int64()), pa.array(f["frame_idx"] * hop / rate), _lists(f["mel"]), *(pa.array(f[k]) for k in names[1:])], names=["recording_id", "frame_idx", "time", *names])
@@ -232,14 +238,14 @@ def frame_table(chunks: DataFrame, compute_hnr: bool = True) -> DataFrame:
     return out if out is not None else chunks.sparkSession.createDataFrame([], schema)
 
 
-def extract_features(chunks: DataFrame, compute_hnr: bool = True) -> DataFrame:
-    """frame_features of mono chunks: mfcc (120), spectral_centroid, spectral_rolloff, zcr, hnr, log_mel (128), features (252).
+def extract_features(chunks: DataFrame, compute_hnr: bool = True, frame_ms: int = 25, hop_ms: int = 10, n_mfcc: int = N_MFCC, n_mels: int = N_MELS) -> DataFrame:
+    """frame_features of mono chunks: mfcc (3 * n_mfcc), spectral_centroid, spectral_rolloff, zcr, hnr, log_mel (n_mels), features (all of them, 252 by default).
 
-    Recordings of fewer than nine frames have all their frames, with null for slopes and curvatures.
+    The frame table is written once, so that spectra and harmonic parts are computed once, whatever is derived from them. Recordings of fewer than nine frames have all their frames, with null for slopes and curvatures.
     """
-    frames = frame_table(chunks, compute_hnr)
+    frames = written(frame_table(chunks, compute_hnr, frame_ms, hop_ms, n_mels), "frames")
     both = power_to_db(power_to_db(frames, "mel", "log_mel", "max"), "mel", "mel_db", 1.0)
-    coefficients = mfcc(both.select("recording_id", "frame_idx", "mel_db"))
+    coefficients = mfcc(both.select("recording_id", "frame_idx", "mel_db"), "mel_db", n_mfcc)
     slopes = delta(delta(coefficients, "mfcc", "d1", 1, "null"), "mfcc", "d2", 2, "null")
     slopes = slopes.select("recording_id", "frame_idx", F.concat("mfcc", "d1", "d2").cast("array<float>").alias("mfcc"))
     rest = both.select("recording_id", "frame_idx", "time", "spectral_centroid", "spectral_rolloff", "zcr", "hnr", F.col("log_mel").cast("array<float>").alias("log_mel"))

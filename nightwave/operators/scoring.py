@@ -61,6 +61,11 @@ def frame_count(n_samples: Column, sample_rate: Column, hop_ms: int) -> Column:
     return F.floor((n_samples.cast("long") * 1000 + step - 1) / step).cast("long")
 
 
+def frame_lengths(recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
+    """recording_id, n_frames of the recordings that have frames."""
+    return recordings.select("recording_id", frame_count(F.col("n_samples"), F.col("sample_rate"), hop_ms).alias("n_frames")).filter("n_frames > 0")
+
+
 def interpolate_frames(window_scores: DataFrame, recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
     """recording_id, frame_idx, t, prob, n_frames (of the recording) on the hop grid: linear between window centres, clamped beyond the first and the last.
 

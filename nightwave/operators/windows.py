@@ -24,7 +24,7 @@ def make_windows(chunks: DataFrame, window_s: float = 2.0, stride_s: float = 0.5
     out = None
     for rate in rates:
         size, step = int(window_s * rate), int(stride_s * rate)
-        held = with_halo(chunks.filter((F.col("sample_rate") == rate) & (F.col("channel") == 0)), 0, size)
+        held = with_halo(chunks.filter((F.col("sample_rate") == rate) & (F.col("channel") == 0) & (F.size("samples") > 0)), 0, size)
         first, last = F.expr(f"(start_sample + {step} - 1) div {step}"), F.expr(f"(start_sample + size(samples) - right_n - 1) div {step}")
         rows = held.withColumn("a", first).withColumn("b", last).filter("b >= a").withColumn("window_id", F.explode(F.sequence("a", "b")))
         x = F.slice("samples", (F.col("window_id") * step - F.col("start_sample") + 1).cast("int"), F.lit(size))

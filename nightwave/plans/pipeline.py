@@ -23,7 +23,7 @@ def detect_segments(chunks: DataFrame, scorer: windows.Scorer, labels: DataFrame
     probs = logits.select("recording_id", "window_id", "center_s", scoring.softmax_probs("logits").alias("probs"))
     scores = scoring.aggregate_score(probs, scoring.resolve_targets(labels, target, breath))
     trace = smoothing.smooth_probabilities(scoring.interpolate_frames(scores, recs, cfg.hop_ms), cfg.hop_ms / 1000, cfg.median_ms, cfg.uniform_ms)
-    return events.group_frames(trace, cfg)
+    return events.group_frames(trace, cfg, scoring.frame_lengths(recs, cfg.hop_ms))
 
 
 @dataclass

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nightwave.config import TARGET_KEYWORDS
 from nightwave.operators import chunks, clips, denoise, events, features, scoring, smoothing, windows
 from nightwave.plans import pipeline, views
 
@@ -38,6 +39,10 @@ def _runs(spark, sf_dir):
     return events.find_runs(events.threshold_mask(_smooth(spark, sf_dir)))
 
 
+def _events(spark, sf_dir):
+    return events.group_frames(_smooth(spark, sf_dir), lengths=scoring.frame_lengths(views.score_recordings(spark, sf_dir)))
+
+
 def _six_digits(runs: DataFrame) -> DataFrame:
     return runs.withColumn("confidence", events.to_digits("confidence", 6))
 
@@ -50,7 +55,8 @@ def _six(df: DataFrame, *columns: str) -> DataFrame:
   SELECT r.recording_id, count(event_id) AS n_events, coalesce(round(sum("end" - start), 4), 0) AS total_s, round(100 * coalesce(round(sum("end" - start), 4), 0) / duration_s, 4) AS percent
   FROM v_recordings r LEFT JOIN found USING (recording_id) GROUP BY r.recording_id, duration_s""")
 def flagship_event_summary(spark, sf_dir):
-    return events.event_summary(events.group_frames(_smooth(spark, sf_dir)), views.score_recordings(spark, sf_dir))
+    recs = views.score_recordings(spark, sf_dir)
+    return events.event_summary(events.group_frames(_smooth(spark, sf_dir), lengths=scoring.frame_lengths(recs)), recs)
 
 
 _PROBS = """
@@ -68,15 +74,26 @@ def w3_softmax(spark, sf_dir):
     return _probs(spark, sf_dir).select("recording_id", "window_id", F.posexplode("probs").alias("class_id", "p")).select("recording_id", "window_id", F.col("class_id").cast("long").alias("class_id"), F.round("p", 6).alias("prob"))
 
 
-@query("SELECT CAST(p_partkey AS INTEGER) AS class_id, p_name AS label FROM part WHERE p_partkey < 64 AND contains(lower(p_name), 'ring')")
+_NAMED = "replace(replace(replace(p_name, 'ring', 'Snoring'), 'bolt', 'Wheezing'), 'gear', 'SNORT')"
+
+
+def _named(spark, sf_dir):
+    """Every part as a class, some of them with labels that the default keywords mark."""
+    label = F.col("label")
+    for a, b in (("ring", "Snoring"), ("bolt", "Wheezing"), ("gear", "SNORT")):
+        label = F.replace(label, F.lit(a), F.lit(b))
+    return views.labels(spark, sf_dir).withColumn("label", label)
+
+
+@query(f"SELECT CAST(p_partkey AS INTEGER) AS class_id, {_NAMED} AS label FROM part WHERE contains(lower({_NAMED}), 'snor')")
 def w4_label_lookup(spark, sf_dir):
-    return scoring.find_label_indices(views.class_labels(spark, sf_dir), TARGET)
+    return scoring.find_label_indices(_named(spark, sf_dir), TARGET_KEYWORDS)
 
 
-@query("""SELECT CAST(p_partkey AS INTEGER) AS class_id, 'snore' AS grp FROM part WHERE p_partkey < 64 AND contains(lower(p_name), 'ring')
-  UNION ALL SELECT CAST(p_partkey AS INTEGER), 'breath' FROM part WHERE p_partkey < 64 AND (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt'))""")
+@query(f"""SELECT CAST(p_partkey AS INTEGER) AS class_id, 'snore' AS grp FROM part WHERE contains(lower({_NAMED}), 'snor')
+  UNION ALL SELECT CAST(p_partkey AS INTEGER), 'breath' FROM part WHERE regexp_matches(lower({_NAMED}), 'breath|wheez|snort')""")
 def w5_targets(spark, sf_dir):
-    return scoring.resolve_targets(views.class_labels(spark, sf_dir), TARGET, BREATH)
+    return scoring.resolve_targets(_named(spark, sf_dir))
 
 
 @query("SELECT CAST(p_partkey AS INTEGER) AS class_id, p_name AS label FROM part WHERE contains(lower(p_name), 'ring')")
@@ -150,28 +167,27 @@ def e4_merge_runs(spark, sf_dir):
 
 @query(f'WITH {views.V_EVENTS} SELECT recording_id, first_frame, last_frame, start, "end", {views.digits_sql("confidence", 6)} AS confidence FROM padded')
 def e5_pad_events(spark, sf_dir):
-    trace = _smooth(spark, sf_dir)
-    lengths = trace.groupBy("recording_id").agg((F.max("frame_idx") + 1).alias("n_frames"))
+    lengths = scoring.frame_lengths(views.score_recordings(spark, sf_dir))
     return _six_digits(events.pad_events(events.merge_runs(_runs(spark, sf_dir)), lengths))
 
 
 @query(f"WITH {views.V_EVENTS} SELECT * FROM found")
 def e6_e7_events(spark, sf_dir):
-    return events.group_frames(_smooth(spark, sf_dir))
+    return _events(spark, sf_dir)
 
 
 @query(f"""WITH {views.V_EVENTS}
   SELECT recording_id, count(DISTINCT first_frame) FILTER (stage = 1) AS n_raw, count(DISTINCT first_frame) FILTER (stage = 2) AS n_merged, count(DISTINCT first_frame) FILTER (stage = 3) AS n_kept
   FROM v_recordings LEFT JOIN (SELECT 1 AS stage, recording_id, first_frame FROM runs UNION ALL SELECT 2, recording_id, first_frame FROM merged UNION ALL SELECT 3, recording_id, first_frame FROM kept) USING (recording_id) GROUP BY recording_id""")
 def e8_event_counts(spark, sf_dir):
-    return events.event_counts(_smooth(spark, sf_dir))
+    return events.event_counts(_smooth(spark, sf_dir), lengths=scoring.frame_lengths(views.score_recordings(spark, sf_dir)))
 
 
 @query(f"""WITH {views.V_EVENTS}
   SELECT recording_id, event_id, start, "end", confidence, round("end" - start, 4) AS length_s, greatest(0, n_all - 20) AS n_more
   FROM (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY start) AS place, count(*) OVER (PARTITION BY recording_id) AS n_all FROM found) WHERE place <= 20""")
 def e10_top_events(spark, sf_dir):
-    return events.top_events(events.group_frames(_smooth(spark, sf_dir)))
+    return events.top_events(_events(spark, sf_dir))
 
 
 def _summed(df: DataFrame) -> DataFrame:
@@ -366,9 +382,11 @@ def f10_frame_rms(spark, sf_dir):
     return views.frames(spark, sf_dir).select("recording_id", "frame_idx", F.round(features.frame_rms(), 6).alias("rms"))
 
 
-@query(f"WITH {_MFCC}, m AS (SELECT recording_id, frame_idx, v FROM mfcc WHERE c = 0 AND frame_idx % 10 < 9) SELECT recording_id, frame_idx, round(v, 5) AS c0, frame_idx * 10 / 1000.0::DOUBLE AS time FROM m JOIN v_frames USING (recording_id, frame_idx)")
+@query(f"WITH {_MFCC}, m AS (SELECT recording_id, frame_idx, v FROM mfcc WHERE c = 0 QUALIFY frame_idx < max(frame_idx) OVER (PARTITION BY recording_id)) SELECT recording_id, frame_idx, round(v, 5) AS c0, frame_idx * 10 / 1000.0::DOUBLE AS time FROM m JOIN v_frames USING (recording_id, frame_idx)")
 def f13_align(spark, sf_dir):
-    fewer = _mfcc(spark, sf_dir).filter("frame_idx % 10 < 9")
+    """A feature of odd frames has one frame fewer than another: a recording's last frame has no partner."""
+    cepstra = _mfcc(spark, sf_dir)
+    fewer = cepstra.join(cepstra.groupBy("recording_id").agg(F.max("frame_idx").alias("last")), "recording_id").filter("frame_idx < last").drop("last")
     both = features.align_frames(fewer, views.frames(spark, sf_dir))
     return both.select("recording_id", "frame_idx", F.round(F.col("mfcc")[0], 5).alias("c0"), (F.col("frame_idx") * 10 / 1000.0).alias("time"))
 
@@ -434,13 +452,16 @@ def _sizes(df):
     return df.select("recording_id", "channel", "chunk_id", F.size("samples").alias("n"))
 
 
-@query(_SIZES)
+@query(_SIZES.replace(" AS n FROM c", " AS n, true AS between FROM c"))
 def c6_spectral_gate(spark, sf_dir):
-    """The gate keeps every chunk and its length; its values are held against properties in the tests."""
-    return _sizes(denoise.spectral_gate(_whole(spark, sf_dir)))
+    """Every chunk with its length, and whether what a gate takes away grows in proportion to prop_decrease, as it must: gated = x - 0.8 * (x - fully gated)."""
+    x, part, full = (df.select("recording_id", "channel", "chunk_id", F.col("samples").alias(n)) for n, df in (("x", _whole(spark, sf_dir)), ("part", denoise.spectral_gate(_whole(spark, sf_dir))), ("full", denoise.spectral_gate(_whole(spark, sf_dir), 1.0))))
+    key = ["recording_id", "channel", "chunk_id"]
+    far = F.transform(F.arrays_zip("x", "part", "full"), lambda v: F.abs(v["part"] - (v["x"] - 0.8 * (v["x"] - v["full"]))) > 1e-4)
+    return x.join(part, key).join(full, key).select(*key, F.size("part").alias("n"), (~F.exists(far, lambda v: F.coalesce(v, F.lit(True)))).alias("between"))
 
 
-@query(f"WITH {views.V_SIGNAL} SELECT recording_id, i // 300 AS chunk_id, CAST(count(*) AS INTEGER) AS n, round(sum(amp), 3) AS total FROM v_samples GROUP BY ALL")
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, i // {views.CHUNK_SAMPLES} AS chunk_id, CAST(count(*) AS INTEGER) AS n, round(sum(amp), 3) AS total FROM v_samples GROUP BY ALL")
 def c7_overlap_identity(spark, sf_dir):
     out = _summed(chunks.overlap_apply(views.signal(spark, sf_dir), lambda x, r: x, 0.4, 0.25))
     return out.select("recording_id", "chunk_id", "n", F.round("total", 3).alias("total"))
@@ -453,9 +474,11 @@ def _halved_or_fails(x: np.ndarray, row: dict) -> np.ndarray:
     return x / 2
 
 
-@query(f"WITH {views.V_SIGNAL} SELECT recording_id, n_samples FROM v_signal_recordings")
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, 0 AS channel, i // {_LONG} AS chunk_id, CAST(count(*) AS INTEGER) AS n, CASE WHEN recording_id NOT LIKE '%7' THEN round(sum(amp) / 2, 3) END AS total FROM v_samples GROUP BY recording_id, i // {_LONG}")
 def c8_denoise_fallback(spark, sf_dir):
-    return chunks.recordings(denoise.denoise(_whole(spark, sf_dir), "model", _halved_or_fails)).select("recording_id", "n_samples")
+    """Chunks and their sums as the kernel gives them; what the gate gives where it failed has no sum in SQL."""
+    out = _summed(denoise.denoise(_whole(spark, sf_dir), "model", _halved_or_fails))
+    return out.select("recording_id", "channel", "chunk_id", "n", F.when(~F.col("recording_id").endswith("7"), F.round("total", 3)).alias("total"))
 
 
 def _sum_and_power(x: np.ndarray) -> np.ndarray:
@@ -472,18 +495,36 @@ def w2_score_windows(spark, sf_dir):
     return out.select("recording_id", "window_id", "center_s", F.round(F.col("logits")[0], 5).alias("total"), F.round(F.col("logits")[1], 5).alias("power"))
 
 
-def _band_levels(x: np.ndarray) -> np.ndarray:
-    """A stand-in for a model with 64 classes: the level of as many bands of the spectrum."""
-    m = np.abs(np.fft.rfft(x, axis=1))
-    return np.stack([np.log1p(b.mean(axis=1)) for b in np.array_split(m, 64, axis=1)], axis=1)
+def _stretch_levels(x: np.ndarray) -> np.ndarray:
+    """A stand-in for a model with 64 classes: the mean magnitude in as many stretches of a window of 400 samples."""
+    return np.stack([20 * np.abs(p.astype(np.float64)).mean(axis=1) for p in np.array_split(x, 64, axis=1)], axis=1)
 
 
-@query()
+#: Windows of 0.4 s each 0.1 s; the first 16 stretches have seven samples, the others six. Recordings may be shorter than a filter, so mirrors are folded.
+_DETECT = views.V_SIGNAL + f""",
+  levels AS (
+    SELECT recording_id, k AS window_id, CASE WHEN j < 112 THEN j // 7 ELSE 16 + (j - 112) // 6 END AS class_id, 20 * sum(abs(amp)) / CASE WHEN j < 112 THEN 7 ELSE 6 END AS logit
+    FROM (SELECT recording_id, k, i - k * 100 AS j, amp FROM v_samples, LATERAL (SELECT unnest(range(greatest(0, i // 100 - 3), i // 100 + 1)) AS k)) GROUP BY recording_id, k, class_id, j < 112),
+  every AS (
+    SELECT recording_id, k AS window_id, c AS class_id FROM v_signal_recordings, LATERAL (SELECT unnest(range((n_samples + 99) // 100)) AS k), (SELECT unnest(range(64)) AS c)),
+  weights AS (SELECT recording_id, window_id, class_id, exp(coalesce(logit, 0) - max(coalesce(logit, 0)) OVER (PARTITION BY recording_id, window_id)) AS e FROM every LEFT JOIN levels USING (recording_id, window_id, class_id)),
+  class_probs AS (SELECT recording_id, window_id, class_id, e / sum(e) OVER (PARTITION BY recording_id, window_id) AS p FROM weights),
+  v_scores AS (
+    SELECT recording_id, window_id, (window_id * 100 + 200) / 1000.0::DOUBLE AS center_s,
+           least((2 * max(p) FILTER (contains(lower(p_name), 'ring')) + max(p) FILTER (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'bolt'))) / 3, 1) AS score
+    FROM class_probs JOIN part ON p_partkey = class_id GROUP BY ALL),
+  v_recordings AS (SELECT recording_id, n_samples, duration_s FROM v_signal_recordings)""" + (
+    views.V_FRAMES.removeprefix(views.V_SCORES).replace("(n_samples * 1000 + 159999) // 160000", "(n_samples * 1000 + 9999) // 10000")
+    + "," + views.median_sql("frames", "med", views.folded) + "," + views.uniform_sql("med", "uni", views.folded)
+    + views.V_EVENTS.removeprefix(views.V_SMOOTH.split(",\n  smooth AS", 1)[0]).replace("prob >= 0.30", "prob >= 0.02"))
+
+
+@query(f"WITH {_DETECT} SELECT * FROM found")
 def e11_detect_segments(spark, sf_dir):
     from nightwave.config import Config
 
     cfg = Config(window_s=0.4, stride_s=0.1, model_rate=views.RATE, threshold=0.02)
-    return pipeline.detect_segments(views.signal(spark, sf_dir), _band_levels, views.class_labels(spark, sf_dir), cfg, TARGET, BREATH)
+    return pipeline.detect_segments(views.signal(spark, sf_dir), _stretch_levels, views.class_labels(spark, sf_dir), cfg, TARGET, BREATH)
 
 
 @query()

@@ -65,14 +65,23 @@ def _padded(source: str, name: str, left: int, right: int) -> str:
     SELECT recording_id, 2 * n - 1 - frame_idx, prob, n FROM {name}_n WHERE frame_idx >= n - {right})"""
 
 
-def median_sql(source: str, name: str) -> str:
-    return _padded(source, f"{name}_pad", 5, 4) + f""",
+def folded(source: str, name: str, left: int, right: int) -> str:
+    """As `_padded`, for recordings of any length: places before and after are folded back as often as it takes."""
+    fold = "((p % (2 * n)) + 2 * n) % (2 * n)"
+    return f"""
+  {name}_n AS (SELECT recording_id, count(*) AS n FROM {source} GROUP BY ALL),
+  {name}_p AS (SELECT recording_id, n, unnest(range(-{left}, n + {right})) AS p FROM {name}_n),
+  {name} AS (SELECT s.recording_id, p AS frame_idx, prob, n FROM {name}_p q JOIN {source} s ON s.recording_id = q.recording_id AND s.frame_idx = CASE WHEN {fold} < n THEN {fold} ELSE 2 * n - 1 - {fold} END)"""
+
+
+def median_sql(source: str, name: str, padded=_padded) -> str:
+    return padded(source, f"{name}_pad", 5, 4) + f""",
   {name} AS (SELECT recording_id, frame_idx, prob FROM (
     SELECT recording_id, frame_idx, n, list_sort(list(prob) OVER (PARTITION BY recording_id ORDER BY frame_idx ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING))[6] AS prob FROM {name}_pad) WHERE frame_idx BETWEEN 0 AND n - 1)"""
 
 
-def uniform_sql(source: str, name: str) -> str:
-    return _padded(source, f"{name}_pad", 10, 9) + f""",
+def uniform_sql(source: str, name: str, padded=_padded) -> str:
+    return padded(source, f"{name}_pad", 10, 9) + f""",
   {name} AS (SELECT recording_id, frame_idx, prob FROM (
     SELECT recording_id, frame_idx, n, avg(prob) OVER (PARTITION BY recording_id ORDER BY frame_idx ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING) AS prob FROM {name}_pad) WHERE frame_idx BETWEEN 0 AND n - 1)"""
 

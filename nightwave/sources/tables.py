@@ -13,8 +13,8 @@ COLUMNS = ("clip_file", "start_time", "end_time", "duration", "confidence")
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """One CSV dataset with a header, also when there are no rows; recording_id leads."""
-    manifest.select("recording_id", *COLUMNS).coalesce(1).sortWithinPartitions("recording_id", "clip_file").write.mode("overwrite").option("header", True).csv(path)
+    """One CSV dataset in order of recording_id, which leads, and clip_file; every file has a header, and there is one also when there are no rows."""
+    manifest.select("recording_id", *COLUMNS).repartitionByRange("recording_id", "clip_file").sortWithinPartitions("recording_id", "clip_file").write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_recording_manifests(manifest: DataFrame, recordings: DataFrame, folder: str) -> None:

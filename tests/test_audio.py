@@ -98,6 +98,53 @@ def test_gate_and_fallback(spark):
         denoise.denoise(df, "x")
 
 
+@pytest.mark.parametrize("stationary", [False, True])
+def test_the_gate_does_not_depend_on_chunks(spark, stationary):
+    x = np.tile(SIGNAL, 5)[:40_000]
+    a, b, c = (joined(denoise.spectral_gate(chunked(spark, {"r": [x]}, 1000, size), 0.9, stationary))["r", 0] for size in (40_000, 10_007, 3000))
+    assert len(a) == len(x) and np.allclose(a, b, atol=1e-5) and np.allclose(a, c, atol=1e-5)
+    sizes = denoise.spectral_gate(chunked(spark, {"r": [x]}, 1000, 3000)).select(F.size("samples").alias("n")).distinct().collect()
+    assert {r.n for r in sizes} == {3000, 1000}
+
+
+def test_overlap_keeps_chunks_and_halos_are_checked(spark):
+    df = chunked(spark, {"r": [SIGNAL, SIGNAL], "s": [SIGNAL[:10], SIGNAL[:10]]}, 1000, 1024)
+    out = ch.overlap_apply(df, lambda x, r: x, 0.7, 0.5)
+    key = lambda d: sorted((r.recording_id, r.channel, r.chunk_id, r.start_sample, len(r.samples)) for r in d.collect())
+    assert key(out) == key(df) and np.allclose(joined(out)["r", 1], SIGNAL, atol=1e-6)
+    for wrong in (-0.1, 0.6):
+        with pytest.raises(ValueError):
+            ch.overlap_apply(df, lambda x, r: x, 0.7, wrong)
+    for left, right in ((1500, 0), (0, 1500)):
+        with pytest.raises(Exception, match="longer than a chunk"):
+            ch.with_halo(df, left, right).collect()
+    assert ch.with_halo(df.filter("recording_id = 's'"), 1500, 1500).count() == 2
+
+
+def test_a_kernel_at_its_own_rate_and_channels(spark):
+    t = np.arange(12_000) / 1000
+    tone = [np.sin(2 * np.pi * f * t).astype(np.float32) * 0.5 for f in (30, 50, 70)]
+    df = chunked(spark, {"one": tone[:1], "two": tone[:2], "three": tone, "bad": [tone[2]]}, 1000, 10_000)
+    seen = spark.sparkContext.accumulator(0)
+
+    def kernel(x, row):
+        assert x.shape[0] == 2 and row["sample_rate"] == 1600
+        if row["recording_id"] == "bad":
+            raise RuntimeError
+        seen.add(x.shape[1])
+        return x[::-1] * 0.5
+
+    out = joined(denoise.denoise(df, "model", kernel, kernel_rate=1600, kernel_channels=2, segment_s=3.0))
+    assert sorted(out) == [("bad", 0), ("one", 0), ("three", 0), ("three", 1), ("two", 0), ("two", 1)]
+    middle = slice(200, -200)
+    assert all(len(v) == 12_000 for v in out.values())
+    assert np.allclose(out["one", 0][middle], tone[0][middle] / 2, atol=0.01)
+    assert np.allclose(out["two", 0][middle], tone[1][middle] / 2, atol=0.01) and np.allclose(out["three", 1][middle], tone[0][middle] / 2, atol=0.01)
+    assert np.allclose(out["bad", 0], joined(denoise.spectral_gate(df))["bad", 0], atol=1e-6)
+    segments = -(-12_000 * 1600 // 1000 // 3600)
+    assert seen.value <= 3 * (19_200 + segments * 1200)  # each segment once
+
+
 def test_clip_rounding_silence_and_names(spark):
     recs = spark.createDataFrame([("r", 10, 100)], "recording_id string, sample_rate int, n_samples long")
     x = np.ones(100, np.float32)
@@ -127,8 +174,8 @@ def test_levels_slopes_and_scores(spark):
     d = features.delta(features.delta(line, "x", "d1"), "x", "d2", 2).orderBy("frame_idx").collect()
     assert [r.d1[0] for r in d] == pytest.approx([1] * 12) and [r.d2[1] for r in d] == pytest.approx([2] * 12)
     assert len({round(r.d1[1], 9) for r in d[:5]}) == 1 == len({round(r.d1[1], 9) for r in d[-5:]})
-    with pytest.raises(ValueError):
-        features.delta(line.filter("frame_idx < 8"), "x", "d")
+    with pytest.raises(Exception, match="nine frames"):
+        features.delta(line.filter("frame_idx < 8"), "x", "d").collect()
     two = spark.createDataFrame([("r", 0, [1.0, 7.0]), ("r", 1, [3.0, 7.0])], "recording_id string, frame_idx long, features array<double>")
     assert [r.normalized for r in features.normalize_features(two).orderBy("frame_idx").collect()] == [pytest.approx([-1, 0]), pytest.approx([1, 0])]
     silent = spark.createDataFrame([([0.0] * 33,)], "m array<double>")
@@ -190,6 +237,8 @@ def test_wav_round_trip(spark, tmp_path):
     write(tmp_path / "c.wav", np.zeros((0, 1), np.float32), 8000)
     df = wav.read_wav(spark, str(tmp_path), 0.1)
     got = joined(df)
+    assert {r.recording_id: r.n_samples for r in ch.recordings(df).collect()} == {"a": 5000, "b": 900, "c": 0}
+    assert windows.make_windows(df.filter("recording_id = 'c'")).count() == 0 == features.frame_table(df.filter("recording_id = 'c'")).count()
     assert np.array_equal(got["a", 1], (np.rint(two[:, 1] * 32768) / 32768).astype(np.float32)) and np.array_equal(got["b", 0], SIGNAL[:900])
     wav.write_wav(df.filter("recording_id = 'a'"), str(tmp_path / "out"), "")
     assert (tmp_path / "out/a.wav").read_bytes()[-20_000:] == (tmp_path / "a.wav").read_bytes()[-20_000:]
@@ -197,6 +246,44 @@ def test_wav_round_trip(spark, tmp_path):
         wav.read_wav(spark, str(tmp_path / "missing.wav")).count()
 
 
+def test_recordings_of_equal_names_in_several_folders(spark, tmp_path):
+    for k, folder in enumerate(("x", "y/z")):
+        (tmp_path / folder).mkdir(parents=True)
+        write(tmp_path / folder / "night.wav", SIGNAL[:100 + k, None], 8000)
+    assert {r.recording_id: r.n_samples for r in ch.recordings(wav.read_wav(spark, str(tmp_path))).collect()} == {"x_night": 100, "y_z_night": 101}
+    with pytest.raises(Exception, match="one recording_id"):
+        wav.read_wav(spark, [str(tmp_path / "x/night.wav"), str(tmp_path / "y/z/night.wav")]).count()
+
+
+def test_manifests_have_headers_and_order(spark, tmp_path):
+    kind = "recording_id string, clip_file string, start_time double, end_time double, duration double, confidence double"
+    rows = [(f"r{i % 3}", f"snore_{i:04d}.wav", 0.5, 1.0, 0.5, 0.9) for i in range(50)]
+    for name, own in (("some", rows), ("none", [])):
+        tables.write_manifest(spark.createDataFrame(own, kind), str(tmp_path / name))
+        files = sorted(glob.glob(f"{tmp_path}/{name}/*.csv"))
+        lines = [open(f).read().splitlines() for f in files]
+        assert files and all(x[0] == "recording_id,clip_file,start_time,end_time,duration,confidence" for x in lines)
+        assert [x.split(",")[:2] for f in lines for x in f[1:]] == sorted([r[0], r[1]] for r in own)
+
+
+def test_feature_parameters(spark):
+    x = chunked(spark, {"r": [SIGNAL]}, 8000, 9000)
+    got = features.extract_features(x, False, frame_ms=40, hop_ms=20, n_mfcc=13, n_mels=40).collect()
+    assert len(got) == 1 + 9000 // 160 and {(len(r.mfcc), len(r.log_mel), len(r.features)) for r in got} == {(39, 40, 83)}
+
+
+def test_each_window_is_scored_and_each_frame_computed_once(spark):
+    scored = spark.sparkContext.accumulator(0)
+
+    def scorer(w):
+        scored.add(len(w))
+        return np.stack([w.sum(axis=1), -w.sum(axis=1)], axis=1)
+
+    labels = spark.createDataFrame([(0, "Snoring"), (1, "Silence")], "class_id int, label string")
+    pipeline.detect_segments(chunked(spark, {"r": [SIGNAL]}, 1000, 3000), scorer, labels, Config(window_s=0.4, stride_s=0.1, model_rate=1000)).collect()
+    assert scored.value == 90
+
+
 def test_large_headers():
     head = wav.wav_header(5 << 30, 44_100, 2)
     assert head[:4] == b"RF64" and struct.unpack("<Q", head[28:36])[0] == 5 << 30

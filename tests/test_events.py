@@ -137,4 +137,29 @@ def test_label_queries_over_all_parts(spark, tmp_path):
     spark.createDataFrame([(i, "a ring" if i % 2 else "a bolt") for i in range(200)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
     run = lambda name: queries.QUERIES[name](spark, str(tmp_path)).collect()
     assert [r.class_id for r in run("w4_label_lookup_all")] == list(range(1, 200, 2))
-    assert len(run("w5_targets_all")) == 100 + 200 and len(run("w4_label_lookup")) == 32
+    assert len(run("w5_targets_all")) == 100 + 200 and len(run("w4_label_lookup")) == 100 and len(run("w5_targets")) == 200
+
+
+def test_default_keywords(spark):
+    labels = ["Snoring", "SNORT", "Wheezing", "Breathing", "out of breath", "Sneeze", "Wheel"]
+    targets = scoring.resolve_targets(spark.createDataFrame(list(enumerate(labels)), "class_id int, label string")).collect()
+    assert sorted((r.grp, labels[r.class_id]) for r in targets) == [("breath", "Breathing"), ("breath", "SNORT"), ("breath", "Wheezing"), ("breath", "out of breath"), ("snore", "SNORT"), ("snore", "Snoring")]
+
+
+@pytest.mark.parametrize("block", [30, 47, 64])
+def test_smoothing_and_runs_do_not_depend_on_blocks(spark, block):
+    rng = np.random.default_rng(block)
+    p = np.round(np.repeat(rng.random(30), rng.integers(1, 40, 30)), 3)
+    df = trace(spark, p).unionByName(trace(spark, p[:7], "short")).unionByName(trace(spark, p[:block], "one")).unionByName(trace(spark, p[:block + 1], "more"))
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    assert rows(smoothing.smooth_probabilities(df, block=block)) == rows(smoothing.smooth_probabilities(df))
+    mask = events.threshold_mask(df)
+    assert rows(events.find_runs(mask, block=block)) == rows(events.find_runs(mask))
+    with pytest.raises(ValueError):
+        smoothing.smooth_probabilities(df, block=29)
+
+
+def test_confidences_are_exact_at_ties(spark):
+    df = trace(spark, [0.3, 0.300001, 0.1, 0.9])
+    assert [r.confidence for r in events.find_runs(events.threshold_mask(df)).orderBy("first_frame").collect()] == [0.3000005, 0.9]
+    assert spark.createDataFrame([(0.3000005,)], "confidence double").select(events.to_digits("confidence", 6)).first()[0] == 0.300001
