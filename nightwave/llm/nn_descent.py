@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches, written
 
-DEGREE, TREES, LEAF, ROUNDS, POOL, BREADTH, SAMPLE = 24, 6, 256, 8, 160, 40, 4096
+DEGREE, TREES, LEAF, ROUNDS, POOL, BREADTH, SAMPLE = 24, 6, 256, 5, 320, 96, 4096
 EDGE = "a long, b long, d float"
 FAR = 1e18  # components beyond this are cut in the graph, so that squares stay finite
 
@@ -88,8 +88,11 @@ def _edges_within(groups: DataFrame, k: int) -> DataFrame:
                     i, j = np.repeat(np.arange(len(own)), k), near.reshape(-1)
                 else:
                     i, j = np.nonzero(np.isfinite(d))
-                dist = d[i, j]
-                good = (dist < worst[s:e][i]) & (own[i] != own[j]) & np.isfinite(dist)
+                near_enough = np.isfinite(d[i, j]) & (own[i] != own[j])
+                i, j = i[near_enough], j[near_enough]
+                # by differences, so that an edge has the same distance wherever it is found
+                dist = ((x[s:e][i] - x[s:e][j]) ** 2).sum(axis=1).astype(np.float32)
+                good = dist < worst[s:e][i]
                 for to, v in zip(out, (own[i][good], own[j][good], dist[good])):
                     to.append(v)
             if out[0]:
@@ -110,7 +113,7 @@ def _few(rows: DataFrame, degree: int, *by: str) -> DataFrame:
 
 
 class Graph:
-    """points: node, packed, signs (a sign code a tree). near: node, near (sorted (d, b, fresh)). members: vec_id, v, node. All are written tables."""
+    """points: node, packed, signs (a sign code a tree). near: node, packed, near (sorted (d, b, fresh)). members: vec_id, v, node. All are written tables."""
 
     def __init__(self, fine: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 0):
         """fine: vec_id, v of rows that take part, all of one length."""
@@ -129,7 +132,7 @@ class Graph:
         blocks = leaf.join(sizes, ["tree", "code"]).withColumn("block", F.pmod(F.xxhash64("node", "tree"), "blocks"))
         self.entries = written(leaf.groupBy("tree", "code", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(8)).alias("k")).agg(F.min(F.struct(F.xxhash64("node", F.lit(2)), "node")).alias("x")).select("tree", "code", F.col("x.node").alias("node")), "entries")
         found = _edges_within(_gathered(blocks, "tree", "code", "block"), degree)
-        self.near = written(self._lists(found.withColumn("fresh", F.lit(True))), "near")
+        self.near = written(self._merged(found, self.points.select("node", F.array().cast("array<struct<d:float,b:bigint,fresh:boolean>>").alias("near"), "packed")), "near")
         for _ in range(rounds):
             if not self._round():
                 break
@@ -148,63 +151,88 @@ class Graph:
 
         return map_batches(rows.select(key, "v"), [key], {"packed": pa.binary(), "signs": pa.list_(pa.int64())}, pack)
 
-    def _lists(self, edges: DataFrame) -> DataFrame:
-        """node, near (sorted array of (d, b, fresh)) from edges (a, b, d, fresh); an edge that was there before is not fresh."""
-        one = edges.groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
-        return one.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "b", "fresh"))), 1, self.degree).alias("near")).select(F.col("a").alias("node"), "near")
+    def _merged(self, found: DataFrame, known: DataFrame) -> DataFrame:
+        """node, near, packed: the nearest of the lists known (node, near, packed) and the edges found (a, b, d); those not known before are fresh."""
+        kind = "array<struct<d:float,b:bigint,fresh:boolean>>"
+        edge = F.struct("d", "b", F.lit(True).alias("fresh"))
+        old = F.transform("near", lambda x: F.struct(x["d"].alias("d"), x["b"].alias("b"), F.lit(False).alias("fresh")))
+        rows = known.select("node", old.cast(kind).alias("old"), "packed", F.lit(None).cast("struct<d:float,b:bigint,fresh:boolean>").alias("e")).unionByName(
+            found.select(F.col("a").alias("node"), F.lit(None).cast(kind).alias("old"), F.lit(None).cast("binary").alias("packed"), edge.alias("e")))
+        all_ = rows.groupBy("node").agg(F.max("old").alias("old"), F.max("packed").alias("packed"), F.collect_set("e").alias("new"))
+        whole = all_.select("node", "packed", F.array_sort(F.concat("old", "new")).alias("x"))  # an edge that was there comes before itself as a fresh one
+        first = F.filter("x", lambda e, i: (i == 0) | (e["b"] != F.get("x", i - 1)["b"]))
+        return whole.select("node", "packed", F.slice(first, 1, self.degree).alias("near"))
 
     def _round(self) -> bool:
         """One round of NN-descent; whether lists still change much."""
         forward = self.near.select(F.col("node").alias("centre"), F.explode("near").alias("x")).select("centre", F.col("x.b").alias("node"), F.col("x.fresh").alias("fresh"))
         backward = _few(forward.select("node", F.col("centre").alias("of"), "fresh"), self.degree, "fresh").select(F.col("node").alias("centre"), F.col("of").alias("node"), "fresh")
         own = self.near.select(F.col("node").alias("centre"), "node", F.lit(False).alias("fresh"))
-        lists = forward.union(backward).union(own).groupBy("centre", "node").agg(F.max("fresh").alias("fresh"))
-        busy = self.near.filter(F.exists("near", lambda x: x["fresh"])).select("node")
-        busy = busy.union(backward.filter("fresh").select(F.col("centre").alias("node"))).distinct()
-        lists = lists.join(busy.withColumnRenamed("node", "centre"), "centre", "left_semi")
+        met = forward.union(backward).union(own).groupBy("centre").agg(F.collect_set(F.struct("node", "fresh")).alias("m")).filter(F.exists("m", lambda x: x["fresh"]))
+        lists = met.select("centre", F.explode("m").alias("x")).select("centre", "x.node", "x.fresh")
         worst = F.when(F.size("near") < self.degree, float("inf")).otherwise(F.element_at("near", -1)["d"]).cast("float")
-        data = self.points.join(self.near.select("node", worst.alias("worst")), "node", "left").select("node", "packed", F.coalesce("worst", F.lit(float("inf")).cast("float")).alias("worst"))
-        found = _edges_within(_gathered(lists.join(data, "node"), "centre"), self.degree)
-        old = self.near.select(F.col("node").alias("a"), F.explode("near").alias("x")).select("a", F.col("x.b").alias("b"), F.col("x.d").alias("d"), F.lit(False).alias("fresh"))
-        self.near = written(self._lists(found.withColumn("fresh", F.lit(True)).union(old)), "near")
+        found = _edges_within(_gathered(lists.join(self.near.select("node", "packed", worst.alias("worst")), "node"), "centre"), self.degree)
+        self.near = written(self._merged(found, self.near), "near")
         changed = self.near.agg(F.sum(F.size(F.filter("near", lambda x: x["fresh"]))).alias("new"), F.sum(F.size("near")).alias("all")).first()
         return bool(changed.all) and changed.new > 0.005 * changed.all
 
     def search(self, queries: DataFrame, k: int = 10, pool: int = POOL, exclude_self: bool = True) -> DataFrame:
-        """query_id, rank, vec_id, score of the k nearest found of each query (query_id, v)."""
+        """query_id, rank, vec_id, score of the k nearest found of each query (query_id, v).
+
+        A query is one row with its pool: nodes with distances, and whether each is expanded. A step takes the links of
+        the next nodes, brings their vectors to the query and merges; queries with nothing to expand stay as they are.
+        """
         pool = max(pool, 2 * k)
         numbered = written(queries.select("query_id", F.col("v").alias("qv")).withColumn("q", F.monotonically_increasing_id()), "asked")
         asked = written(self.coded(numbered.select("q", F.col("qv").alias("v")), "q").withColumnRenamed("packed", "q_packed"), "queries")
         both = self.near.select("node", F.explode("near.b").alias("to"))
         back = _few(both.select(F.col("to").alias("node"), F.col("node").alias("of")), self.degree).select("node", F.col("of").alias("to"))
-        links = written(both.union(back).distinct(), "links")
-
-        def measured(pairs: DataFrame) -> DataFrame:
-            rows = pairs.join(self.points.select("node", "packed"), "node").join(asked.select("q", "q_packed"), "q")
-
-            def run(b: pa.RecordBatch) -> list:
-                return [pa.array(((_matrix(b["packed"]) - _matrix(b["q_packed"])) ** 2).sum(axis=1))] if len(b) else [[]]
-
-            return map_batches(rows.select("q", "node", "packed", "q_packed"), ["q", "node"], {"d": pa.float64()}, run)
+        links = written(both.union(back).groupBy("node").agg(F.collect_set("to").alias("to")), "links")  # twice DEGREE at most
 
         starts = asked.select("q", F.posexplode("signs").alias("tree", "code")).join(self.entries, ["tree", "code"]).select("q", "node")
         anywhere = self.points.orderBy(F.xxhash64("node"), "node").limit(8).select("node")  # eight rows
-        starts = starts.union(asked.select("q").crossJoin(F.broadcast(anywhere))).distinct()
-        nearest, rest = Window.partitionBy("q").orderBy("d", "node"), Window.partitionBy("q", "done").orderBy("d", "node")
-        new = measured(starts)
-        state = new.withColumn("done", F.lit(False))
+        fresh = starts.union(asked.select("q").crossJoin(F.broadcast(anywhere)))
+        empty = F.array().cast("array<bigint>")
+        state = asked.select("q", "q_packed", empty.alias("nodes"), empty.cast("array<double>").alias("d"), empty.cast("array<boolean>").alias("done"), empty.alias("now"))
         while True:
-            # the nearest of each pool; the foremost of them that are not expanded are next
-            cut = state.withColumn("i", F.row_number().over(nearest)).filter(F.col("i") <= pool).drop("i")
-            state = written(cut.withColumn("now", ~F.col("done") & (F.row_number().over(rest) <= BREADTH)), "pool")
-            todo = state.filter("now").select("q", "node")
+            pairs = fresh.repartition("node").groupBy("node", "q").agg(F.lit(1)).join(self.points.select("node", "packed"), "node").select("q", F.struct("node", "packed").alias("x"))
+            rows = state.select("q", F.struct("q_packed", "nodes", "d", "done", "now").alias("s"), F.lit(None).cast("struct<node:bigint,packed:binary>").alias("x")).unionByName(
+                pairs.select("q", F.lit(None).cast("struct<q_packed:binary,nodes:array<bigint>,d:array<double>,done:array<boolean>,now:array<bigint>>").alias("s"), "x"))
+            met = rows.groupBy("q").agg(F.max_by("s", F.col("s").isNotNull()).alias("s"), F.collect_list("x").alias("x"))
+            state = written(_expanded(met, pool), "pool")
+            todo = state.select("q", F.explode("now").alias("node"))
             if todo.isEmpty():
                 break
-            fresh = todo.join(links, "node").select("q", F.col("to").alias("node")).distinct().join(state.select("q", "node"), ["q", "node"], "left_anti")
-            state = state.select("q", "node", "d", (F.col("done") | F.col("now")).alias("done")).union(measured(fresh).withColumn("done", F.lit(False)))
+            fresh = todo.join(links, "node").select("q", F.explode("to").alias("node"))
         own = Window.partitionBy("node").orderBy("vec_id")
         firsts = self.members.withColumn("i", F.row_number().over(own)).filter(F.col("i") <= k + 1).drop("i")  # equal vectors beyond these lose every tie
-        return ranked(state.join(firsts, "node").join(numbered, "q").select("query_id", "qv", "vec_id", "v"), k, exclude_self)
+        found = state.select("q", F.explode("nodes").alias("node"))
+        return ranked(found.join(firsts, "node").join(numbered, "q").select("query_id", "qv", "vec_id", "v"), k, exclude_self)
+
+
+def _expanded(met: DataFrame, pool: int) -> DataFrame:
+    """The pools of queries after the vectors x (node, packed) that came to each: the nearest `pool` nodes, and in now the next `BREADTH` to expand."""
+    kind = "q long, q_packed binary, nodes array<long>, d array<double>, done array<boolean>, now array<long>"
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for q, s, x in zip(batch["q"].to_pylist(), batch["s"].to_pylist(), batch["x"].to_pylist()):
+                nodes, d, done = (np.array(s[n], t) for n, t in (("nodes", np.int64), ("d", np.float64), ("done", bool)))
+                done |= np.isin(nodes, np.array(s["now"], np.int64))
+                if x:
+                    own = np.frombuffer(s["q_packed"], np.float32).astype(np.float64)
+                    ids = np.array([r["node"] for r in x], np.int64)
+                    new = ~np.isin(ids, nodes)
+                    v = np.frombuffer(b"".join(r["packed"] for r in x), np.float32).astype(np.float64).reshape(len(x), -1)[new]
+                    nodes, d, done = np.concatenate([nodes, ids[new]]), np.concatenate([d, ((v - own) ** 2).sum(axis=1)]), np.concatenate([done, np.zeros(int(new.sum()), bool)])
+                order = np.lexsort((nodes, d))[:pool]
+                nodes, d, done = nodes[order], d[order], done[order]
+                out.append((q, s["q_packed"], nodes.tolist(), d.tolist(), done.tolist(), nodes[~done][:BREADTH].tolist()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_()), pa.list_(pa.int64())))], names=["q", "q_packed", "nodes", "d", "done", "now"])
+
+    return met.select("q", "s", "x").mapInArrow(run, kind)
 
 
 def ranked(pairs: DataFrame, k: int, exclude_self: bool = True) -> DataFrame:
