@@ -31,7 +31,7 @@ def test_recall_and_exact_scores(spark):
     rows += [(i, rows[7][1], "clash", 1) for i in range(1500, 1600)]
     rows += [(2000, None, None, None), (2100, [], None, None), (2200, [0.0] * 8, None, None), (2300, [1.0, None, *[0.0] * 6], None, None), (2400, [float("nan")] * 8, None, None), (2500, [float("inf")] * 8, None, None), (2600, [1.0], None, None), (None, rows[3][1], None, None), rows[0]]
     got = {}
-    for r in nearest_neighbours(spark.createDataFrame(rows, SCHEMA), 10, 50).collect():
+    for r in nearest_neighbours(spark.createDataFrame(rows, SCHEMA), 10, 50, rounds=3).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     want = brute(rows, 10, 50)
     assert got.pop(2600, []) == want.pop(2600) == []  # the only vector of its length
@@ -60,7 +60,7 @@ def test_fewer_candidates_than_k_and_none(spark):
 @pytest.mark.parametrize("case", ["outlier", "offset", "lengths"])
 def test_recall_of_hard_clouds(spark, case):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(2000, 16))
+    x = rng.normal(size=(900, 16))
     if case == "offset":
         x = 100 + 0.01 * x
     rows = [(i, v) for i, v in enumerate(x.tolist())]
@@ -69,7 +69,7 @@ def test_recall_of_hard_clouds(spark, case):
     if case == "lengths":
         rows = [(i, v[:(16, 7, 3)[min(2, i % 10 // 6)]]) for i, v in rows] + [(6000 + i, [float(i + 1)] * 40) for i in range(9)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got, want = nearest_neighbours(df, 10, 20).collect(), nearest_neighbours(df, 10, 20, exact=True).collect()
+    got, want = nearest_neighbours(df, 10, 20, rounds=3).collect(), nearest_neighbours(df, 10, 20, exact=True).collect()
     assert recall(got, want) >= 0.9
     if case == "lengths":  # a query without another vector of its length has no result
         assert {r.query_id for r in got} == {r.query_id for r in want} == {i for i, v in rows if i % 20 == 0}
