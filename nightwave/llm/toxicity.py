@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from nightwave.llm.common import map_batches, text_of
 
 PREFIXES, FOLDS = (4, 5, 6), 5
-MAX_ROWS, BITS, RANK, EPOCHS, STEADY = 10_000, 18, 8, 12, 30.0
+MAX_ROWS, BITS, RANK, EPOCHS, STEADY = 5_000, 18, 8, 12, 30.0
 CACHE = 300_000
 _FIND = re.compile(r"\w+").findall
 

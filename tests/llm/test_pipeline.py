@@ -66,3 +66,17 @@ def test_the_mixture_outlives_a_write_to_several_files(spark, tmp_path):
     assert len(got) == len(rows)
     assert all((r.slot, r.in_block) == want[r.doc_id, source[r.doc_id, r.decoded_sha256]] for r in got)
     assert len({(r.slot, r.in_block) for r in got}) >= len(rows) - 1
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    """Repeated ids, nulls in every column, an empty and a very long text, and columns named as those that stages make."""
+    rows = [(i, f"words of text {i} " * 3, "en", f"s{i % 2}", 1, 0.5, 7, True) for i in range(30)]
+    rows += [(3, "another text of document three", None, "s1", 1, None, None, None), (None, None, None, None, None, None, None, None), (None, "a text without id", "en", "s0", 1, 0.1, 1, False), (40, "", "", "", 0, 0.0, 0, False), (41, "long " * 100_000, "en", "s0", 1, 0.2, 2, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, slot long, kept boolean")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "encoding":
+            assert out.columns == docs.columns
+            assert sorted((r.doc_id or -1, r.text or "", r.score or -1, r.slot or -1) for r in out.collect() if r.doc_id not in (None, 40)) == sorted((r[0], r[1], r[5] or -1, r[6] or -1) for r in rows if r[0] not in (None, 40))
+        assert out.count() == (len(rows) - 1 if name == "exact dedup" else len(rows)), name  # a null text equals the empty one
