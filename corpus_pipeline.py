@@ -21,14 +21,17 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text, that of the largest doc_id; null counts as the empty text, a null doc_id stays only where its text has no other."""
     return exact_dedup.deduplicate(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows of one document of each class of near copies, that of the least doc_id; texts without words and rows without doc_id stay."""
     return bag_minhash.without_near_copies(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, dealt out and sorted by their place in the mixture of sources; a null source is one of its own."""
     return mixing.mixed(docs)
 
 
