@@ -39,7 +39,9 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
 _CORE = re.compile(r"""[^A-Za-z0-9]*(?:[A-Za-z_.-]+["']?[:=]["']?)?([A-Za-z0-9].*?)[^A-Za-z0-9+/_=-]*$""", re.DOTALL)
 _TOKEN = re.compile(r"\S+")
-MAX_DOCS, MAX_LINES, CACHE, SHAPES, LONG = 1500, 6000, 400_000, 128, 8
+MAX_DOCS, MAX_LINES, CACHE, SHAPES = 1500, 6000, 400_000, 128
+#: Characters from which a token is long, with a digit and without: shorter letters are words, and no feature of secrets of letters begins below.
+LONG, LONG_LETTERS = 8, 16
 O, B, I = 0, 1, 2
 _ROLES = 4  # the token itself, one before, two before, one after
 
@@ -87,7 +89,7 @@ _ANNOUNCED = re.compile("|".join(map(re.escape, ANNOUNCE)), re.IGNORECASE).searc
 def kind_of(w: str) -> tuple[str, bool, str]:
     """What the features of a token depend on: its characters' kinds, whether it announces a secret, and itself if it is long."""
     kinds = w.translate(_KINDS)
-    return kinds, _ANNOUNCED(w) is not None, w if len(w) >= LONG or w.startswith("-----") else ""
+    return kinds, _ANNOUNCED(w) is not None, w if len(w) >= (LONG if "0" in kinds else LONG_LETTERS) or w.startswith("-----") else ""
 
 
 def is_odd(kinds: str) -> bool:
