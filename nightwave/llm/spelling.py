@@ -28,7 +28,7 @@ RUN = re.compile("[A-Za-zÀ-ÿ]+")
 ALPHABET = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)], np.uint32)
 MIN_LENGTH, MIN_COUNT, TYPO_EVERY = 5, 3, 97
 BITS_A_WORD, MAX_FILTER_BYTES, PROBES = 16, 64 << 20, 5
-FLUSH, EDITS_AT_ONCE = 500_000, 2_000_000
+FLUSH, EDITS_AT_ONCE, WORDS_A_TASK = 500_000, 2_000_000, 20_000
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_BASE, k, 1 << 64) for k in range(64)], np.uint64)
@@ -153,7 +153,9 @@ def candidates(words: list[str], length: int, filters: dict[int, np.ndarray]):
 
 def near_pairs(vocabulary: DataFrame, filters: dict[int, np.ndarray]) -> DataFrame:
     """a, n_a, b, n_b: each pair of words one edit apart, once."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(filters)
+    context = vocabulary.sparkSession.sparkContext
+    shared = context.broadcast(filters)
+    tasks = max(context.defaultParallelism, vocabulary.count() // WORDS_A_TASK + 1)
 
     def run(batches):
         for batch in batches:
@@ -168,7 +170,7 @@ def near_pairs(vocabulary: DataFrame, filters: dict[int, np.ndarray]) -> DataFra
                     if found:
                         yield pa.RecordBatch.from_pydict({"a": [part[k][0] for k, _ in found], "n_a": [part[k][1] for k, _ in found], "b": [e for _, e in found]})
 
-    positives = vocabulary.select("word", "n").mapInArrow(run, "a string, n_a long, b string")
+    positives = vocabulary.select("word", "n").repartition(tasks, "word").mapInArrow(run, "a string, n_a long, b string")
     return positives.join(vocabulary.select(F.col("word").alias("b"), F.col("n").alias("n_b")), "b").select("a", "n_a", "b", "n_b")
 
 
