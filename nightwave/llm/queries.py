@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightwave.llm import bag_minhash, byte_bpe, chat_format, exact_dedup, html_extract, merkle, mixing, nn_descent, reputation, secret_scan, spelling, toxicity
+from nightwave.llm import bag_minhash, byte_bpe, chat_format, exact_dedup, html_extract, merkle, mixing, nn_descent, reputation, secret_scan, spelling, suffix_dedup, toxicity
 from nightwave.llm.common import table
 
 #: (verdict, host, path)
@@ -72,11 +72,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op3_nn_descent, op4_html_extract, op5_url_reputation, op6_exact_dedup, op7_byte_bpe, op8_chat_format, op9_near_dedup, op10_secret_scan, op11_spelling_variants, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mix_sources, op3_nn_descent, op4_html_extract, op5_url_reputation, op6_exact_dedup, op7_byte_bpe, op8_chat_format, op9_near_dedup, op10_secret_scan, op11_spelling_variants, op12_suffix_dedup, op13_merkle_manifest)}
 
 #: In DuckDB's syntax: the control strings with any backslashes after their first character, that character captured.
 _CONTROL = r"""(<)(\\*(?:\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>))|(\[)(\\*(?:INST\]|/INST\]))"""
