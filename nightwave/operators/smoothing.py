@@ -1,18 +1,54 @@
-"""Smoothing of a frame trace by window functions over mirrored edges.
+"""Smoothing of a frame trace over mirrored edges.
 
 A filter of even width reaches one frame further back than ahead; the median of an even width is the upper one. A trace
 is dealt out by recording and block of `BLOCK` frames, each block with copies of the frames that its filters reach, so
-that one long recording is many tasks; a two-stage smoothing moves each frame once.
+that one long recording is many tasks and a two-stage smoothing moves each frame once. A block is one array: edges are
+mirrored in it, running medians descend a wavelet matrix of the frames' ranks and running means are differences of prefix
+sums in whole units, so that neither costs more for a wider filter and both are the same whatever the blocks are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 16_384
 
 
+def running_rank(x: np.ndarray, size: int, rank: int) -> np.ndarray:
+    """The element of that rank, from 0, of each `size` neighbours of x: log2(n) steps for all of them, whatever the size."""
+    n = len(x)
+    by_value = np.argsort(x, kind="stable")
+    ranks = np.empty(n, np.int64)
+    ranks[by_value] = np.arange(n)
+    low = np.arange(n - size + 1)
+    high, k, found = low + size, np.full(len(low), rank), np.zeros(len(low), np.int64)
+    for bit in reversed(range(max(1, int(n - 1).bit_length()))):
+        one = (ranks >> bit) & 1
+        zeros = np.concatenate([[0], np.cumsum(1 - one)])
+        a, b = zeros[low], zeros[high]
+        up = k >= b - a
+        k, found = np.where(up, k - (b - a), k), found | (up.astype(np.int64) << bit)
+        low, high = np.where(up, zeros[n] + low - a, a), np.where(up, zeros[n] + high - b, b)
+        ranks = np.concatenate([ranks[one == 0], ranks[one == 1]])
+    return x[by_value[found]]
+
+
+def running_mean(x: np.ndarray, size: int) -> np.ndarray:
+    """The mean of each `size` neighbours of x: sums in units of 2 ** -k, k the largest that leaves room for a window, and the same for all traces in -1 .. 1."""
+    largest = max(1.0, float(np.abs(x).max(initial=0.0)))
+    unit = 2.0 ** (61 - np.frexp(largest * size)[1])
+    sums = np.zeros(len(x) + 1, np.int64)
+    np.cumsum(np.rint(x * unit).astype(np.int64), out=sums[1:])  # may pass the largest number: differences are right all the same
+    return (sums[size:] - sums[:-size]) / unit / size
+
+
+def _median(x: np.ndarray, size: int) -> np.ndarray:
+    return running_rank(x, size, size // 2)
+
+
 def _counted(series: DataFrame) -> DataFrame:
     """recording_id, frame_idx, prob, n: the frames of the recording, from the column n_frames where the trace has it."""
     if "n_frames" in series.columns:
@@ -38,45 +74,45 @@ def reflect_pad(series: DataFrame, left: int, right: int) -> DataFrame:
     return _counted(series).withColumn("frame_idx", F.explode(_places("frame_idx", left, right)))
 
 
-def _blocks(series: DataFrame, pads: list[tuple[int, int]], block: int) -> DataFrame:
-    """The frames that each block's filters reach, mirrored for the first of them: recording_id, block, frame_idx, prob, n."""
-    left, right = sum(a for a, _ in pads), sum(b for _, b in pads)
-    padded = _counted(series).withColumn("frame_idx", F.explode(_places("frame_idx", *pads[0])))
-    last = F.floor((F.col("n") - 1) / block)
-    within = F.sequence(F.greatest(F.lit(0), F.floor((F.col("frame_idx") - right) / block)), F.least(last, F.floor((F.col("frame_idx") + left) / block)))
-    return padded.withColumn("block", F.explode(within))
+def _reached(x: np.ndarray, at: int, n: int, first: int, stop: int, size: int) -> np.ndarray:
+    """What filters of that size reach from the frames first .. stop - 1, of x, the frames from `at` on of a recording of n: mirrored beyond its ends."""
+    low, high = first - size // 2, stop + size - 1 - size // 2
+    held = x[max(low, 0) - at:min(high, n) - at]
+    return np.pad(held, (max(0, -low), max(0, high - n)), mode="symmetric") if low < 0 or high > n else held
 
 
 def _filters(series: DataFrame, stages: list[tuple[int, object]], block: int = BLOCK) -> DataFrame:
-    """series after filters of (size, value of a window), each over what the one before gave, mirrored anew."""
-    pads = [(size // 2, size - 1 - size // 2) for size, _ in stages]
-    rows = _blocks(series, pads, block)
-    for k, (_, value) in enumerate(stages):
-        if k:
-            rows = rows.withColumn("frame_idx", F.explode(_places("frame_idx", *pads[k])))
-        w = Window.partitionBy("recording_id", "block").orderBy("frame_idx").rowsBetween(-pads[k][0], pads[k][1])
-        left, right = sum(a for a, _ in pads[k + 1:]), sum(b for _, b in pads[k + 1:])
-        own = (F.col("frame_idx") >= F.greatest(F.lit(0), F.col("block") * block - left)) & (F.col("frame_idx") < F.least(F.col("n"), (F.col("block") + 1) * block + right))
-        rows = rows.withColumn("prob", value(w)).filter(own)
-    return rows.select("recording_id", "frame_idx", "prob")
-
-
-def _median(size: int):
-    return lambda w: F.sort_array(F.collect_list("prob").over(w))[size // 2]
-
-
-def _mean(w) -> Column:
-    return F.avg("prob").over(w)
+    """series after filters (size, function of an array and the size), each over what the one before gave, mirrored anew."""
+    left, right = sum(size // 2 for size, _ in stages), sum(size - 1 - size // 2 for size, _ in stages)
+    block = max(block, left + right)
+    i, own = F.col("frame_idx"), F.floor(F.col("frame_idx") / block)
+    to = F.array_compact(F.array(own, F.when((own > 0) & (i - own * block < right), own - 1), F.when(((own + 1) * block - i <= left) & ((own + 1) * block < F.col("n")), own + 1)))
+    rows = _counted(series).select("recording_id", F.explode(to).alias("block"), "frame_idx", F.col("prob").cast("double").alias("prob"), F.col("n").cast("long").alias("n"))
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        b, n = key[1].as_py(), t["n"][0].as_py()
+        idx = t["frame_idx"].to_numpy()
+        at = int(idx.min())
+        x = np.empty(len(idx))
+        x[idx - at] = t["prob"].to_numpy()
+        back, ahead = left, right
+        for size, value in stages:
+            back, ahead = back - size // 2, ahead - (size - 1 - size // 2)
+            first, stop = max(0, b * block - back), min(n, (b + 1) * block + ahead)
+            x, at = value(_reached(x, at, n, first, stop, size), size), first
+        return pa.table({"recording_id": pa.array([key[0].as_py()] * len(x), pa.string()), "frame_idx": pa.array(np.arange(at, at + len(x))), "prob": pa.array(x)})
+
+    return rows.groupBy("recording_id", "block").applyInArrow(run, "recording_id string, frame_idx long, prob double")
 
 
 def median_filter(series: DataFrame, size: int) -> DataFrame:
     """The element of rank size // 2 (from 0) of each window of `size` frames."""
-    return _filters(series, [(size, _median(size))])
+    return _filters(series, [(size, _median)])
 
 
 def uniform_filter(series: DataFrame, size: int) -> DataFrame:
     """The mean of each window of `size` frames."""
-    return _filters(series, [(size, _mean)])
+    return _filters(series, [(size, running_mean)])
 
 
 def filter_width(ms: float, hop_s: float) -> int:
@@ -91,6 +127,6 @@ def smooth_probabilities(frame_probs: DataFrame, hop_s: float = 0.01, median_ms:
     m, u = filter_width(median_ms, hop_s), filter_width(uniform_ms, hop_s)
     if block < m + u:
         raise ValueError("a block must be at least as long as the filters reach")
-    out = _filters(frame_probs, [(m, _median(m)), (u, _mean)], block)
+    out = _filters(frame_probs, [(m, _median), (u, running_mean)], block)
     prob = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prob"))), 6)
     return out.select("recording_id", "frame_idx", F.round(F.col("frame_idx") * hop_s, 6).alias("t"), prob.alias("prob"))

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +165,33 @@ def test_confidences_are_exact_at_ties(spark):
     df = trace(spark, [0.3, 0.300001, 0.1, 0.9])
     assert [r.confidence for r in events.find_runs(events.threshold_mask(df)).orderBy("first_frame").collect()] == [0.3000005, 0.9]
     assert spark.createDataFrame([(0.3000005,)], "confidence double").select(events.to_digits("confidence", 6)).first()[0] == 0.300001
+
+
+@pytest.mark.parametrize("size", [1, 2, 9, 10, 333])
+def test_running_order_statistic_and_mean(size):
+    x = np.round(np.random.default_rng(size).random(700), 2)  # many ties
+    w = np.lib.stride_tricks.sliding_window_view(x, size)
+    assert np.array_equal(smoothing.running_rank(x, size, size // 2), np.sort(w, axis=1)[:, size // 2])
+    assert np.allclose(smoothing.running_mean(x, size), w.mean(axis=1), atol=1e-15, rtol=0)
+    assert np.allclose(smoothing.running_mean(x * 1e6 - 5e5, size), (w * 1e6 - 5e5).mean(axis=1), atol=1e-6, rtol=0)
+
+
+def test_wide_filters_cost_what_narrow_ones_do():
+    x, took = np.random.default_rng(0).random(60_000), {}
+    for size in (20, 2000):
+        for run in (lambda n: smoothing.running_rank(x, n, n // 2), lambda n: smoothing.running_mean(x, n)):
+            start = time.perf_counter()
+            for _ in range(5):
+                run(size)
+            took[size] = took.get(size, 0) + time.perf_counter() - start
+    assert took[2000] < 2 * took[20]
+
+
+def test_wide_filters_over_short_and_long_traces(spark):
+    x = np.round(np.random.default_rng(1).random(5000), 3)
+    df = trace(spark, x).unionByName(trace(spark, x[:50], "short"))
+    got = smoothing.smooth_probabilities(df, median_ms=10_000, uniform_ms=20_000, block=3001)
+    for rid, own in (("r", x), ("short", x[:50])):
+        mid = np.sort(np.lib.stride_tricks.sliding_window_view(np.pad(own, (500, 499), mode="symmetric"), 1000), axis=1)[:, 500]
+        mean = np.lib.stride_tricks.sliding_window_view(np.pad(mid, (1000, 999), mode="symmetric"), 2000).mean(axis=1)
+        assert np.allclose(values(got.filter(F.col("recording_id") == rid)), mean, atol=1e-6)
