@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightwave.config import BREATH_KEYWORDS, BREATH_WEIGHT, TARGET_KEYWORDS, TARGET_WEIGHT
 
 
+def _with(value: Column, then) -> Column:
+    """then(value), where the value is worked out once and not in each place, or for each element, that names it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def softmax_probs(logits: str | Column) -> Column:
-    """Probabilities of an array of logits; the largest is taken off first."""
-    x = F.col(logits) if isinstance(logits, str) else logits
-    e = F.transform(x, lambda v: F.exp(v.cast("double") - F.array_max(x).cast("double")))
-    total = F.aggregate(e, F.lit(0.0), lambda s, v: s + v)
-    return F.transform(e, lambda v: v / total)
+    """Probabilities of an array of logits; the largest is taken off first. The largest and the sum are bound once, so the work is linear in the classes."""
+    x = F.transform(F.col(logits) if isinstance(logits, str) else logits, lambda v: v.cast("double"))
+    shifted = _with(F.struct(x.alias("x"), F.array_max(x).alias("top")), lambda s: F.transform(s["x"], lambda v: F.exp(v - s["top"])))
+    return _with(shifted, lambda e: _with(F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda t, v: t + v).alias("total")), lambda s: F.transform(s["e"], lambda v: v / s["total"])))
 
 
 def find_label_indices(labels: DataFrame, keywords: Iterable[str]) -> DataFrame:
@@ -35,6 +43,57 @@ def resolve_targets(labels: DataFrame, target: Iterable[str] = TARGET_KEYWORDS,
     return b.withColumn("grp", F.lit("snore"))
 
 
+@dataclass(frozen=True)
+class Groups:
+    """Class ids of the two groups of one model, and what they weigh."""
+
+    target: tuple[int, ...]
+    breath: tuple[int, ...]
+    weights: tuple[float, float] = (TARGET_WEIGHT, BREATH_WEIGHT)
+
+    def scores(self, logits: np.ndarray) -> np.ndarray:
+        """The score of each row of logits[B, C]: softmax, the groups' largest probabilities and their weighted mean in one pass over the classes.
+
+        Ids beyond C have no probability; rows without any are 0.
+        """
+        x = np.asarray(logits, np.float64)
+        total, weight = np.zeros(len(x)), 0.0
+        if x.shape[1]:
+            e = np.exp(x - x.max(axis=1, keepdims=True))
+            for ids, w in zip((self.target, self.breath), self.weights, strict=True):
+                known = [i for i in ids if 0 <= i < x.shape[1]]
+                if known:
+                    total, weight = total + w * e[:, known].max(axis=1), weight + w
+            total /= e.sum(axis=1)
+        return np.minimum(total / weight, 1.0) if weight else total
+
+
+def groups_of(targets: DataFrame) -> Groups:
+    """The groups as `Groups`: ids of one model's classes, as many as its labels."""
+    found: dict[str, list[int]] = {"snore": [], "breath": []}
+    for r in targets.select("grp", "class_id").collect():
+        found[r.grp].append(r.class_id)
+    return Groups(tuple(sorted(found["snore"])), tuple(sorted(found["breath"])))
+
+
+def matrix(column: pa.Array, dtype=np.float32) -> np.ndarray:
+    """A list column of one length, without nulls, as rows of an array: no value passes through Python."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    if len(column) and len(flat) % len(column) == 0 and len(pc.unique(pc.list_value_length(column))) == 1:
+        return flat.reshape(len(column), -1).astype(dtype, copy=False)
+    raise ValueError("arrays of one length are needed")
+
+
+def score_logits(logits: DataFrame, groups: Groups) -> DataFrame:
+    """recording_id, window_id, center_s, score of class logits (recording_id, window_id, center_s, logits), all of one length."""
+    def run(batches):
+        for b in batches:
+            if len(b):
+                yield pa.RecordBatch.from_arrays([b["recording_id"], b["window_id"], b["center_s"], pa.array(groups.scores(matrix(b["logits"], np.float64)))], names=["recording_id", "window_id", "center_s", "score"])
+
+    return logits.select("recording_id", "window_id", "center_s", "logits").mapInArrow(run, "recording_id string, window_id long, center_s double, score double")
+
+
 def aggregate_score(class_probs: DataFrame, targets: DataFrame) -> DataFrame:
     """recording_id, window_id, center_s, score: weighted mean of the groups' largest probabilities, at most 1.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightwave.operators.chunks import with_halo
+from nightwave.operators.scoring import Groups, matrix
 
 Scorer = Callable[[np.ndarray], np.ndarray]
 
@@ -34,17 +35,25 @@ def make_windows(chunks: DataFrame, window_s: float = 2.0, stride_s: float = 0.5
     return out if out is not None else chunks.select("recording_id", F.lit(0).cast("bigint").alias("window_id"), F.lit(0.0).alias("center_s"), "samples").limit(0)
 
 
-def score_windows(windows: DataFrame, scorer: Scorer, batch_size: int = 8) -> DataFrame:
-    """recording_id, window_id, center_s, logits: any function of float32[B, n] to logits[B, C], B at most batch_size.
-
-    Samples are dropped in the same pass, before anything is exchanged.
-    """
+def _scored(windows: DataFrame, scorer: Scorer, batch_size: int, name: str, kind: str, result) -> DataFrame:
+    """The windows without samples, and result(logits[B, C]) of each batch: samples are dropped in this pass, before anything is exchanged."""
     def run(batches):
         for b in batches:
             for k in range(0, len(b), batch_size):
                 part = b.slice(k, batch_size)
-                x = np.stack([np.asarray(v, np.float32) for v in part["samples"].to_pylist()])
-                logits = np.asarray(scorer(x), np.float64)
-                yield pa.RecordBatch.from_arrays([part["recording_id"], part["window_id"], part["center_s"], pa.array(logits.tolist(), pa.list_(pa.float64()))], names=["recording_id", "window_id", "center_s", "logits"])
+                yield pa.RecordBatch.from_arrays([part["recording_id"], part["window_id"], part["center_s"], result(np.asarray(scorer(matrix(part["samples"])), np.float64))], names=["recording_id", "window_id", "center_s", name])
+
+    return windows.select("recording_id", "window_id", "center_s", "samples").mapInArrow(run, f"recording_id string, window_id long, center_s double, {name} {kind}")
+
+
+def score_windows(windows: DataFrame, scorer: Scorer, batch_size: int = 8) -> DataFrame:
+    """recording_id, window_id, center_s, logits: any function of float32[B, n] to logits[B, C], B at most batch_size."""
+    def lists(x: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+    return _scored(windows, scorer, batch_size, "logits", "array<double>", lists)
+
 
-    return windows.select("recording_id", "window_id", "center_s", "samples").mapInArrow(run, "recording_id string, window_id long, center_s double, logits array<double>")
+def window_scores(windows: DataFrame, scorer: Scorer, groups: Groups, batch_size: int = 8) -> DataFrame:
+    """recording_id, window_id, center_s, score: the groups' score in the scorer's own pass, so that logits are never a column."""
+    return _scored(windows, scorer, batch_size, "score", "double", lambda x: pa.array(groups.scores(x)))

@@ -19,9 +19,8 @@ def detect_segments(chunks: DataFrame, scorer: windows.Scorer, labels: DataFrame
     """Events of recordings: mono, the model's rate, windows, class scores, frame trace, smoothing, grouping."""
     recs = ch.recordings(chunks)
     mono = ch.resample(ch.to_mono(chunks), cfg.model_rate)
-    logits = windows.score_windows(windows.make_windows(mono, cfg.window_s, cfg.stride_s), scorer, cfg.batch_size)
-    probs = logits.select("recording_id", "window_id", "center_s", scoring.softmax_probs("logits").alias("probs"))
-    scores = scoring.aggregate_score(probs, scoring.resolve_targets(labels, target, breath))
+    groups = scoring.groups_of(scoring.resolve_targets(labels, target, breath))
+    scores = windows.window_scores(windows.make_windows(mono, cfg.window_s, cfg.stride_s), scorer, groups, cfg.batch_size)
     trace = smoothing.smooth_probabilities(scoring.interpolate_frames(scores, recs, cfg.hop_ms), cfg.hop_ms / 1000, cfg.median_ms, cfg.uniform_ms)
     return events.group_frames(trace, cfg, scoring.frame_lengths(recs, cfg.hop_ms))
 

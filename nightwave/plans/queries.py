@@ -115,6 +115,12 @@ def w6_window_score(spark, sf_dir):
     return _six(scoring.aggregate_score(_probs(spark, sf_dir), scoring.resolve_targets(views.class_labels(spark, sf_dir), TARGET, BREATH)), "score")
 
 
+@query(ORACLES["w6_window_score"])
+def w6_fused_score(spark, sf_dir):
+    """The same by the pass that detection takes."""
+    return _six(scoring.score_logits(views.logits(spark, sf_dir), scoring.groups_of(scoring.resolve_targets(views.class_labels(spark, sf_dir), TARGET, BREATH))), "score")
+
+
 @query(f"WITH {views.V_SCORES} SELECT recording_id, round(max(score), 6) AS max_score, round(avg(score), 6) AS mean_score, count(*) FILTER (score > 0.3) AS n_over, count(*) AS n_windows FROM v_scores GROUP BY ALL")
 def w7_window_stats(spark, sf_dir):
     return _six(scoring.window_stats(views.scores(spark, sf_dir)), "max_score", "mean_score")

@@ -195,3 +195,30 @@ def test_wide_filters_over_short_and_long_traces(spark):
         mid = np.sort(np.lib.stride_tricks.sliding_window_view(np.pad(own, (500, 499), mode="symmetric"), 1000), axis=1)[:, 500]
         mean = np.lib.stride_tricks.sliding_window_view(np.pad(mid, (1000, 999), mode="symmetric"), 2000).mean(axis=1)
         assert np.allclose(values(got.filter(F.col("recording_id") == rid)), mean, atol=1e-6)
+
+
+def test_scores_are_linear_in_the_classes(spark):
+    groups, rng, took = scoring.Groups((3, 5), (5, 7, 900)), np.random.default_rng(0), {}
+    for classes in (64, 527, 2048):
+        x = rng.normal(size=(2000, classes))
+        p = np.exp(x) / np.exp(x).sum(axis=1, keepdims=True)
+        breath = p[:, [5, 7] + [900] * (classes > 900)].max(axis=1)
+        start = time.perf_counter()
+        got = groups.scores(x)
+        took[classes] = time.perf_counter() - start
+        assert np.allclose(got, (2 * p[:, [3, 5]].max(axis=1) + breath) / 3)
+    assert took[527] < 1 and took[2048] < 100 * took[64]  # 2,000 windows of 527 classes in a second, and no square of the classes
+    rows = [("r", k, float(k), [float(v) for v in rng.normal(size=2048)]) for k in range(200)]
+    df = spark.createDataFrame(rows, "recording_id string, window_id long, center_s double, logits array<double>").repartition(1).cache()
+    df.count()
+    start = time.perf_counter()
+    probs = df.select(scoring.softmax_probs("logits").alias("p")).select(F.aggregate("p", F.lit(0.0), lambda s, v: s + v).alias("s")).collect()
+    assert time.perf_counter() - start < 20 and all(abs(r.s - 1) < 1e-9 for r in probs)  # a square would be 800 million steps
+    got = {r.window_id: r.score for r in scoring.score_logits(df, groups).collect()}
+    assert np.allclose([got[k] for k in range(200)], groups.scores(np.array([r[3] for r in rows])))
+
+
+def test_groups_without_classes():
+    assert scoring.Groups((), ()).scores(np.ones((2, 3))).tolist() == [0, 0]
+    assert scoring.Groups((9,), (1,)).scores(np.zeros((1, 2))).tolist() == [0.5]
+    assert np.isfinite(scoring.Groups((0,), ()).scores(np.array([[1000.0, -1000.0]]))).all()
