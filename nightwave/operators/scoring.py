@@ -125,18 +125,23 @@ def frame_lengths(recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
     return recordings.select("recording_id", frame_count(F.col("n_samples"), F.col("sample_rate"), hop_ms).alias("n_frames")).filter("n_frames > 0")
 
 
-def interpolate_frames(window_scores: DataFrame, recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
-    """recording_id, frame_idx, t, prob, n_frames (of the recording) on the hop grid: linear between window centres, clamped beyond the first and the last.
-
-    A window's row makes the frames up to the next window's centre, so nothing is joined to the frame grid.
-    """
+def window_spans(window_scores: DataFrame, recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
+    """recording_id, center_s, score, next_c, next_s (null at the last window), n_frames, i0, i1: the frames that each window's line gives, where it gives any."""
     w = Window.partitionBy("recording_id").orderBy("window_id")
     rows = window_scores.join(recordings.select("recording_id", frame_count(F.col("n_samples"), F.col("sample_rate"), hop_ms).alias("n_frames")), "recording_id")
     grid = lambda c: F.ceil(F.round(c * 1000 / hop_ms, 6)).cast("long")
     rows = rows.select("recording_id", "center_s", "score", "n_frames", F.lead("center_s").over(w).alias("next_c"), F.lead("score").over(w).alias("next_s"), F.row_number().over(w).alias("k"))
     first = F.when(F.col("k") == 1, F.lit(0).cast("long")).otherwise(F.greatest(grid(F.col("center_s")), F.lit(0)))
     last = F.least(F.col("n_frames") - 1, F.coalesce(grid(F.col("next_c")) - 1, F.col("n_frames") - 1))
-    frames = rows.withColumn("i0", first).withColumn("i1", last).filter("i1 >= i0").withColumn("frame_idx", F.explode(F.sequence("i0", "i1")))
+    return rows.withColumn("i0", first).withColumn("i1", last).filter("i1 >= i0").drop("k")
+
+
+def interpolate_frames(window_scores: DataFrame, recordings: DataFrame, hop_ms: int = 10) -> DataFrame:
+    """recording_id, frame_idx, t, prob, n_frames (of the recording) on the hop grid: linear between window centres, clamped beyond the first and the last.
+
+    A window's row makes the frames up to the next window's centre, so nothing is joined to the frame grid.
+    """
+    frames = window_spans(window_scores, recordings, hop_ms).withColumn("frame_idx", F.explode(F.sequence("i0", "i1")))
     t = F.col("frame_idx") * hop_ms / 1000.0
     line = F.col("score") + (F.col("next_s") - F.col("score")) * (t - F.col("center_s")) / (F.col("next_c") - F.col("center_s"))
     prob = F.when(F.col("next_c").isNull() | (t <= F.col("center_s")), F.col("score")).otherwise(line)

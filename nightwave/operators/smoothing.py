@@ -9,11 +9,15 @@ sums in whole units, so that neither costs more for a wider filter and both are
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nightwave.operators.scoring import window_spans
+
 BLOCK = 16_384
 
 
@@ -81,25 +85,37 @@ def _reached(x: np.ndarray, at: int, n: int, first: int, stop: int, size: int) -
     return np.pad(held, (max(0, -low), max(0, high - n)), mode="symmetric") if low < 0 or high > n else held
 
 
-def _filters(series: DataFrame, stages: list[tuple[int, object]], block: int = BLOCK) -> DataFrame:
+Stages = list[tuple[int, Callable[[np.ndarray, int], np.ndarray]]]
+
+
+def _reach(stages: Stages) -> tuple[int, int]:
+    return sum(size // 2 for size, _ in stages), sum(size - 1 - size // 2 for size, _ in stages)
+
+
+def _filtered(x: np.ndarray, at: int, n: int, stages: Stages, b: int, block: int) -> tuple[int, np.ndarray]:
+    """The first frame of block b and its values after the stages; x has the frames from `at` on that they reach."""
+    back, ahead = _reach(stages)
+    for size, value in stages:
+        back, ahead = back - size // 2, ahead - (size - 1 - size // 2)
+        first, stop = max(0, b * block - back), min(n, (b + 1) * block + ahead)
+        x, at = value(_reached(x, at, n, first, stop, size), size), first
+    return at, x
+
+
+def _filters(series: DataFrame, stages: Stages, block: int = BLOCK) -> DataFrame:
     """series after filters (size, function of an array and the size), each over what the one before gave, mirrored anew."""
-    left, right = sum(size // 2 for size, _ in stages), sum(size - 1 - size // 2 for size, _ in stages)
+    left, right = _reach(stages)
     block = max(block, left + right)
     i, own = F.col("frame_idx"), F.floor(F.col("frame_idx") / block)
     to = F.array_compact(F.array(own, F.when((own > 0) & (i - own * block < right), own - 1), F.when(((own + 1) * block - i <= left) & ((own + 1) * block < F.col("n")), own + 1)))
     rows = _counted(series).select("recording_id", F.explode(to).alias("block"), "frame_idx", F.col("prob").cast("double").alias("prob"), F.col("n").cast("long").alias("n"))
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        b, n = key[1].as_py(), t["n"][0].as_py()
         idx = t["frame_idx"].to_numpy()
         at = int(idx.min())
         x = np.empty(len(idx))
         x[idx - at] = t["prob"].to_numpy()
-        back, ahead = left, right
-        for size, value in stages:
-            back, ahead = back - size // 2, ahead - (size - 1 - size // 2)
-            first, stop = max(0, b * block - back), min(n, (b + 1) * block + ahead)
-            x, at = value(_reached(x, at, n, first, stop, size), size), first
+        at, x = _filtered(x, at, t["n"][0].as_py(), stages, key[1].as_py(), block)
         return pa.table({"recording_id": pa.array([key[0].as_py()] * len(x), pa.string()), "frame_idx": pa.array(np.arange(at, at + len(x))), "prob": pa.array(x)})
 
     return rows.groupBy("recording_id", "block").applyInArrow(run, "recording_id string, frame_idx long, prob double")
@@ -119,14 +135,48 @@ def filter_width(ms: float, hop_s: float) -> int:
     return max(1, round(ms / 1000 / hop_s))
 
 
+def _stages(hop_s: float, median_ms: float, uniform_ms: float, block: int) -> Stages:
+    m, u = filter_width(median_ms, hop_s), filter_width(uniform_ms, hop_s)
+    if block < m + u:
+        raise ValueError("a block must be at least as long as the filters reach")
+    return [(m, _median), (u, running_mean)]
+
+
+def _trace(filtered: DataFrame, hop_s: float) -> DataFrame:
+    prob = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prob"))), 6)
+    return filtered.select("recording_id", "frame_idx", F.round(F.col("frame_idx") * hop_s, 6).alias("t"), prob.alias("prob"))
+
+
 def smooth_probabilities(frame_probs: DataFrame, hop_s: float = 0.01, median_ms: float = 100.0, uniform_ms: float = 200.0, block: int = BLOCK) -> DataFrame:
     """recording_id, frame_idx, t, prob: median, then mean (mirrored anew), then cut to 0 .. 1, to six digits.
 
     block must be at least the filters' reach.
     """
-    m, u = filter_width(median_ms, hop_s), filter_width(uniform_ms, hop_s)
-    if block < m + u:
-        raise ValueError("a block must be at least as long as the filters reach")
-    out = _filters(frame_probs, [(m, _median), (u, running_mean)], block)
-    prob = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prob"))), 6)
-    return out.select("recording_id", "frame_idx", F.round(F.col("frame_idx") * hop_s, 6).alias("t"), prob.alias("prob"))
+    return _trace(_filters(frame_probs, _stages(hop_s, median_ms, uniform_ms, block), block), hop_s)
+
+
+def smooth_windows(window_scores: DataFrame, recordings: DataFrame, hop_ms: int = 10, median_ms: float = 100.0, uniform_ms: float = 200.0, block: int = BLOCK) -> DataFrame:
+    """`smooth_probabilities` of the frames that lie on the lines between window scores.
+
+    Windows move, not their frames: a block gets the windows whose lines its filters reach, and makes its frames itself.
+    """
+    stages = _stages(hop_ms / 1000, median_ms, uniform_ms, block)
+    left, right = _reach(stages)
+    last = F.floor((F.col("n_frames") - 1) / block)
+    to = F.sequence(F.greatest(F.lit(0), F.floor((F.col("i0") - right) / block)), F.least(last, F.floor((F.col("i1") + left) / block)))
+    rows = window_spans(window_scores, recordings, hop_ms).withColumn("block", F.explode(to))
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        t = t.sort_by("i0")
+        b, n = key[1].as_py(), t["n_frames"][0].as_py()
+        first, stop = max(0, b * block - left), min(n, (b + 1) * block + right)
+        i0, i1 = np.maximum(t["i0"].to_numpy(), first), np.minimum(t["i1"].to_numpy(), stop - 1)
+        c, s, next_c, next_s = (np.repeat(t[k].to_numpy().astype(np.float64), i1 - i0 + 1) for k in ("center_s", "score", "next_c", "next_s"))
+        at = np.arange(first, stop) * hop_ms / 1000.0
+        with np.errstate(invalid="ignore"):
+            line = np.where(np.isnan(next_c) | (at <= c), s, s + (next_s - s) * (at - c) / (next_c - c))
+        at, x = _filtered(np.clip(line, 0.0, 1.0), first, n, stages, b, block)
+        return pa.table({"recording_id": pa.array([key[0].as_py()] * len(x), pa.string()), "frame_idx": pa.array(np.arange(at, at + len(x))), "prob": pa.array(x)})
+
+    rows = rows.select("recording_id", "block", F.col("center_s").cast("double").alias("center_s"), F.col("score").cast("double").alias("score"), F.col("next_c").cast("double").alias("next_c"), F.col("next_s").cast("double").alias("next_s"), "n_frames", "i0", "i1")
+    return _trace(rows.groupBy("recording_id", "block").applyInArrow(run, "recording_id string, frame_idx long, prob double"), hop_ms / 1000)

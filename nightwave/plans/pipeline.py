@@ -21,7 +21,7 @@ def detect_segments(chunks: DataFrame, scorer: windows.Scorer, labels: DataFrame
     mono = ch.resample(ch.to_mono(chunks), cfg.model_rate)
     groups = scoring.groups_of(scoring.resolve_targets(labels, target, breath))
     scores = windows.window_scores(windows.make_windows(mono, cfg.window_s, cfg.stride_s), scorer, groups, cfg.batch_size)
-    trace = smoothing.smooth_probabilities(scoring.interpolate_frames(scores, recs, cfg.hop_ms), cfg.hop_ms / 1000, cfg.median_ms, cfg.uniform_ms)
+    trace = smoothing.smooth_windows(scores, recs, cfg.hop_ms, cfg.median_ms, cfg.uniform_ms)
     return events.group_frames(trace, cfg, scoring.frame_lengths(recs, cfg.hop_ms))
 
 

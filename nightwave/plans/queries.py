@@ -32,7 +32,7 @@ def _frames(spark, sf_dir):
 
 
 def _smooth(spark, sf_dir):
-    return smoothing.smooth_probabilities(_frames(spark, sf_dir))
+    return smoothing.smooth_windows(views.scores(spark, sf_dir), views.score_recordings(spark, sf_dir))
 
 
 def _runs(spark, sf_dir):

@@ -222,3 +222,14 @@ def test_groups_without_classes():
     assert scoring.Groups((), ()).scores(np.ones((2, 3))).tolist() == [0, 0]
     assert scoring.Groups((9,), (1,)).scores(np.zeros((1, 2))).tolist() == [0.5]
     assert np.isfinite(scoring.Groups((0,), ()).scores(np.array([[1000.0, -1000.0]]))).all()
+
+
+@pytest.mark.parametrize("block", [30, 64, smoothing.BLOCK])
+def test_frames_made_by_blocks_are_those_of_windows(spark, block):
+    rng = np.random.default_rng(block)
+    rows = [(rid, k, 1.0 + 0.5 * k, float(np.round(rng.random(), 3))) for rid, n in (("long", 40), ("one", 1), ("two", 2)) for k in range(n)]
+    scores = spark.createDataFrame(rows, "recording_id string, window_id long, center_s double, score double")
+    recs = spark.createDataFrame([("long", 16_000, 320_000), ("one", 16_000, 500), ("two", 8000, 9001), ("none", 8000, 10)], "recording_id string, sample_rate int, n_samples long")
+    got = lambda d: sorted(tuple(r) for r in d.collect())
+    want = got(smoothing.smooth_probabilities(scoring.interpolate_frames(scores, recs)))
+    assert len(want) == 2000 + 4 + 113 and got(smoothing.smooth_windows(scores, recs, block=block)) == want
