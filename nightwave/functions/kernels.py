@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 
 
@@ -10,25 +13,39 @@ def sinc_reach(rate: int, target: int, zeros: int) -> int:
     return int(np.ceil(zeros * max(1.0, rate / target))) + 1
 
 
+@lru_cache(maxsize=8)
+def polyphase_bank(rate: int, target: int, zeros: int) -> tuple[int, int, np.ndarray]:
+    """(phases, step, taps[phase, tap]): outputs n, n + phases, ... use one row of taps, at inputs `step` apart."""
+    g = math.gcd(rate, target)
+    phases, step = target // g, rate // g
+    reach, cut = sinc_reach(rate, target, zeros), min(1.0, target / rate)
+    d = np.arange(-reach, reach + 1)[None] - (np.arange(phases) * step % phases / phases)[:, None]
+    width = zeros / cut
+    taps = cut * np.sinc(cut * d) * np.where(np.abs(d) < width, 0.5 + 0.5 * np.cos(np.pi * d / width), 0)
+    return phases, step, taps / taps.sum(axis=1, keepdims=True)
+
+
 def resample(x: np.ndarray, start: int, left: int, right: int, rate: int, target: int, zeros: int) -> np.ndarray:
     """Outputs whose place lies in the chunk's own samples. x begins at input sample `start` and has halos of left and right.
 
-    Beyond the recording's ends the signal counts as zero.
+    A phase at a time: its outputs are the products of its taps with inputs that lie `step` apart. Beyond the recording's ends the signal counts as zero.
     """
     own0, own1 = start + left, start + len(x) - right
-    n = np.arange(-(-own0 * target // rate), -(-own1 * target // rate))
-    if not len(n):
-        return np.zeros(0, np.float32)
-    reach, cut = sinc_reach(rate, target, zeros), min(1.0, target / rate)
-    whole, part = n * rate // target, (n * rate % target) / target
-    offsets = np.arange(-reach, reach + 1)
-    at = whole[:, None] + offsets[None] - start
-    d = offsets[None] - part[:, None]
-    width = zeros / cut
-    taps = cut * np.sinc(cut * d) * np.where(np.abs(d) < width, 0.5 + 0.5 * np.cos(np.pi * d / width), 0)
-    taps /= taps.sum(axis=1, keepdims=True)
-    held = (at >= 0) & (at < len(x))
-    return (np.where(held, x[np.clip(at, 0, len(x) - 1)], 0) * taps).sum(axis=1).astype(np.float32)
+    first, stop = -(-own0 * target // rate), -(-own1 * target // rate)
+    out = np.zeros(max(0, stop - first), np.float32)
+    if not len(out):
+        return out
+    phases, step, bank = polyphase_bank(rate, target, zeros)
+    reach = bank.shape[1] // 2
+    ahead = max(0, start - (first * rate // target - reach))
+    behind = max(0, (stop - 1) * rate // target + reach + 1 - start - len(x))
+    held = np.pad(x.astype(np.float64), (ahead, behind))
+    reached = np.lib.stride_tricks.sliding_window_view(held, bank.shape[1])
+    for n in range(first, min(first + phases, stop)):
+        at = n * rate // target - reach - start + ahead
+        own = out[n - first::phases]
+        own[:] = reached[at::step][:len(own)] @ bank[n % phases]
+    return out
 
 
 def hann(n: int) -> np.ndarray:

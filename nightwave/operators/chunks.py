@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from nightwave.functions import kernels
 
+HELD = 1 << 20
 CHUNK = ["recording_id", "channel", "chunk_id", "start_sample", "sample_rate", "samples"]
 
 
@@ -75,21 +76,30 @@ def stitch(chunks: DataFrame) -> DataFrame:
     return chunks.select("recording_id", "channel", "chunk_id", "start_sample", "sample_rate", F.slice("samples", F.col("left_n") + 1, F.size("samples") - F.col("left_n") - F.col("right_n")).alias("samples"))
 
 
+def _sample_lists(results: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(y) for y in results])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([*results, np.zeros(0, np.float32)]).astype(np.float32, copy=False)))
+
+
 def map_samples(chunks: DataFrame, function: Callable[[np.ndarray, dict], np.ndarray], schema: StructType | None = None) -> DataFrame:
-    """chunks with `function(samples, row)` as samples; row has the other columns. At most 32 chunks are in a batch's memory at once."""
+    """chunks with `function(samples, row)` as samples; row has the other columns. Results leave when they have `HELD` samples."""
     def run(batches):
         for b in batches:
-            for k in range(0, len(b), 32):
-                rows = b.slice(k, 32).to_pylist()
-                for r in rows:
-                    r["samples"] = np.asarray(function(np.asarray(r["samples"], np.float32), r), np.float32)
-                yield pa.RecordBatch.from_pylist(rows, schema=b.schema)
+            at = b.schema.get_field_index("samples")
+            rest = b.select([n for n in b.schema.names if n != "samples"]).to_pylist()
+            done, size, first = [], 0, 0
+            for k, row in enumerate(rest):
+                done.append(np.asarray(function(b.column(at)[k].values.to_numpy(zero_copy_only=False), row), np.float32))
+                size += len(done[-1])
+                if size > HELD or k == len(rest) - 1:
+                    yield b.slice(first, k + 1 - first).set_column(at, "samples", _sample_lists(done))
+                    done, size, first = [], 0, k + 1
 
     return chunks.mapInArrow(run, schema or chunks.schema)
 
 
 def resample(chunks: DataFrame, target_rate: int, zeros: int = 16) -> DataFrame:
-    """Chunks at another rate by a windowed sinc over each chunk with its halo; chunks at that rate stay as they are.
+    """Chunks at another rate by a bank of windowed sincs, one a phase, over each chunk with its halo; chunks at that rate stay as they are.
 
     An output sample n lies at input place n * rate / target; a chunk makes the outputs whose place lies in it, so outputs tile.
     """
@@ -158,11 +168,11 @@ def _jointly(held: DataFrame, kernel: Callable[[np.ndarray, dict], np.ndarray])
 
     def run(batches):
         for b in batches:
-            for k in range(0, len(b), 16):
-                rows = b.slice(k, 16).to_pylist()
-                for r in rows:
-                    r["samples"] = [np.asarray(y, np.float32) for y in kernel(np.asarray(r["samples"], np.float32), r)]
-                yield pa.RecordBatch.from_pylist(rows, schema=b.schema)
+            rest = b.select([*key, "channels"]).to_pylist()
+            for k, row in enumerate(rest):
+                x = np.stack([c.values.to_numpy(zero_copy_only=False) for c in b["samples"][k]])
+                lists = _sample_lists([np.asarray(y, np.float32) for y in kernel(x, row)])
+                yield b.slice(k, 1).set_column(b.schema.get_field_index("samples"), "samples", pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists))
 
     done = whole.mapInArrow(run, whole.schema)
     return done.select(*key, F.explode(F.arrays_zip("channels", "samples")).alias("c")).select("recording_id", F.col("c.channels").alias("channel"), "chunk_id", "start_sample", "sample_rate", F.col("c.samples").alias("samples"), "left_n", "right_n")

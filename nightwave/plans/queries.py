@@ -436,10 +436,26 @@ def _whole(spark, sf_dir):
     return views.signal(spark, sf_dir, size=_LONG)
 
 
-@query(f"WITH {views.V_SIGNAL}, c AS (SELECT recording_id, unnest(range((n_samples - 1) // {_LONG} + 1)) AS chunk_id, n_samples FROM v_signal_recordings) SELECT recording_id, chunk_id, CAST((least((chunk_id + 1) * {_LONG}, n_samples) * 441 + 999) // 1000 - (chunk_id * {_LONG} * 441 + 999) // 1000 AS INTEGER) AS n FROM c")
+def _bank_sql(rate: int, target: int, zeros: int = 16) -> str:
+    """The taps of each phase: sincs of the lower rate under a raised cosine, of sum one."""
+    cut, reach = min(1.0, target / rate), int(np.ceil(zeros * max(1.0, rate / target))) + 1
+    return f"""
+  offsets AS (SELECT p, o, o - (p * {rate} % {target}) / {target}.0::DOUBLE AS d FROM (SELECT unnest(range({target})) AS p), (SELECT unnest(range(-{reach}, {reach} + 1)) AS o)),
+  raw AS (SELECT p, o, CASE WHEN d = 0 THEN 1.0::DOUBLE ELSE sin(pi() * {cut!r}::DOUBLE * d) / (pi() * {cut!r}::DOUBLE * d) END * CASE WHEN abs(d) < {zeros / cut!r}::DOUBLE THEN 0.5::DOUBLE + 0.5::DOUBLE * cos(pi() * d / {zeros / cut!r}::DOUBLE) ELSE 0 END AS tap FROM offsets),
+  bank AS (SELECT p, list(tap / total ORDER BY o) AS taps FROM raw JOIN (SELECT p, sum(tap) AS total FROM raw GROUP BY p) USING (p) GROUP BY p),
+  held AS (SELECT recording_id, n_samples, list_concat(list_concat(list_transform(range({reach}), lambda z: 0.0::DOUBLE), list(amp ORDER BY i)), list_transform(range({reach + 1}), lambda z: 0.0::DOUBLE)) AS x FROM v_samples GROUP BY ALL),
+  outputs AS (
+    SELECT recording_id, n * {rate} // {target} // {_LONG} AS chunk_id, n, list_dot_product(x[n * {rate} // {target} + 1:n * {rate} // {target} + {2 * reach + 1}], taps) AS y
+    FROM (SELECT recording_id, x, unnest(range((n_samples * {target} + {rate - 1}) // {rate})) AS n FROM held) JOIN bank ON p = n % {target})"""
+
+
+@query(f"WITH {views.V_SIGNAL}, {_bank_sql(1000, 441).strip()} SELECT recording_id, chunk_id, CAST(count(*) AS INTEGER) AS n, round(sum(y), 2) + 0.0::DOUBLE AS total, round(sum(y * (n % 5 - 2)), 2) + 0.0::DOUBLE AS turned FROM outputs GROUP BY ALL")
 def c3_resample(spark, sf_dir):
-    """Outputs of chunks tile: their number is held against whole-number arithmetic, their values against a whole-signal run in the tests."""
-    return chunks.resample(_whole(spark, sf_dir), 441).select("recording_id", "chunk_id", F.size("samples").alias("n"))
+    """Sums of the outputs of each chunk, plain and with alternating weights, beside their number."""
+    y = F.transform("samples", lambda v: v.cast("double"))
+    turned = F.aggregate(F.transform(y, lambda v, i: v * ((F.col("start_sample") + i) % 5 - 2)), F.lit(0.0), lambda a, v: a + v)
+    out = chunks.resample(_whole(spark, sf_dir), 441)
+    return out.select("recording_id", "chunk_id", F.size("samples").alias("n"), (F.round(F.aggregate(y, F.lit(0.0), lambda a, v: a + v), 2) + 0.0).alias("total"), (F.round(turned, 2) + 0.0).alias("turned"))
 
 
 _FLOOR = _MAGS + """,

@@ -1,6 +1,7 @@
 import glob
 import os
 import struct
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -78,6 +79,27 @@ def test_resampling_does_not_depend_on_chunks(spark):
     assert np.array_equal(joined(ch.resample(same, 1000))["r", 0], tone)
 
 
+@pytest.mark.parametrize(("rate", "target"), [(44_100, 16_000), (8000, 16_000), (11_025, 16_000)])
+def test_the_filter_bank_equals_a_sinc_for_each_output(rate, target):
+    x = np.concatenate([SIGNAL, SIGNAL])[:3 * rate // 10]
+    reach, cut, place = kernels.sinc_reach(rate, target, 16), min(1, target / rate), np.arange(-(-len(x) * target // rate)) * rate / target
+    d = np.arange(len(x))[None] - place[:, None]
+    full = np.arange(-reach, len(x) + reach)[None] - place[:, None]  # of a tap sum, also beyond the ends
+    taps = lambda d: np.sinc(cut * d) * np.where(np.abs(d) < 16 / cut, 0.5 + 0.5 * np.cos(np.pi * d * cut / 16), 0)
+    want = (taps(d) * x).sum(axis=1) / taps(full).sum(axis=1)
+    assert np.allclose(kernels.resample(x, 0, 0, 0, rate, target, 16), want, atol=1e-6)
+
+
+def test_a_long_chunk_is_resampled_in_little_memory():
+    x = np.sin(2 * np.pi * 440 * np.arange(30 * 44_100) / 44_100).astype(np.float32)
+    tracemalloc.start()
+    y = kernels.resample(x, 0, 0, 0, 44_100, 16_000, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and len(y) == 480_000
+    assert np.abs(y - np.sin(2 * np.pi * 440 * np.arange(480_000) / 16_000))[100:-100].max() < 5e-3
+
+
 def test_gate_and_fallback(spark):
     df = chunked(spark, {"r1": [SIGNAL], "r2": [SIGNAL[::-1].copy()]}, 1000, 3000)
     assert np.allclose(joined(denoise.spectral_gate(df, 0.0))["r1", 0], SIGNAL, atol=1e-5)
