@@ -39,9 +39,11 @@ def url_parts(url: str = "url") -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.coalesce(F.regexp_extract(url, pattern, 2), F.lit(""))
 
 
-def _suffixes(host: Column) -> Column:
+def _suffixes(host: Column, most: int) -> Column:
+    """The last 1, 2, ... `most` names of a host, as many as it has: longer ones fit no rule."""
     names = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, i, F.size(names)), "."))
+    last = F.slice(names, -F.least(F.size(names), F.lit(most)), F.lit(most))
+    return F.transform(F.sequence(F.lit(1), F.size(last)), lambda i: F.array_join(F.slice(last, i, F.size(last)), "."))
 
 
 def matching_rule(host: Column, path: Column, rules: Iterable[tuple[str, str, str]]) -> Column:
@@ -55,7 +57,7 @@ def matching_rule(host: Column, path: Column, rules: Iterable[tuple[str, str, st
         return F.lit(None).cast("struct<rule:string,verdict:string>")
     entry = lambda name: F.array(*[F.struct(F.lit(len(name + p)).alias("length"), F.lit(len(name)).alias("host_length"), F.lit(p).alias("path"), F.lit(name + p).alias("rule"), F.lit(v).alias("verdict")) for p, v in by_host[name]])
     known = F.create_map(*chain.from_iterable((F.lit(name), entry(name)) for name in sorted(by_host)))
-    lists = F.filter(F.transform(_suffixes(host), lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    lists = F.filter(F.transform(_suffixes(host, max(name.count(".") + 1 for name in by_host)), lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
     best = F.array_max(F.filter(F.flatten(lists), lambda r: F.startswith(path, r["path"])))
     return F.when(best.isNotNull(), F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 

@@ -73,3 +73,13 @@ def test_very_long_urls(spark):
     pages = spark.createDataFrame([(1, "s://a.net/" + "x" * 1_000_000), (2, "s://" + "h" * 1_000_000), (3, "s" * 1_000_000)], "page_id long, url string")
     got = {r.page_id: (len(r.host), len(r.path), r.verdict) for r in judge_urls(pages, spark.createDataFrame([], "page_id long, bad int"), RULES).collect()}
     assert got == {1: (5, 1_000_001, "block"), 2: (1_000_000, 0, "allow"), 3: (0, 0, "allow")}
+
+
+def test_a_host_of_many_names(spark):
+    import time
+    urls = [(1, "http://" + "a." * 100_000 + "example.com/de/x", ""), (2, "http://" + "." * 100_000 + "net/", ""), (3, "http://" + "a" * 200_000 + "/", "")]
+    pages = spark.createDataFrame(urls, "page_id long, url string, html string")
+    outcomes = spark.createDataFrame([(1, 0)], "page_id long, bad int")
+    start = time.perf_counter()
+    got = {r.page_id: r.rule for r in judge_urls(pages, outcomes, RULES).collect()}
+    assert got == {1: "example.com/de/", 2: "net/", 3: None} and time.perf_counter() - start < 30
