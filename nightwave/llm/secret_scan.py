@@ -3,7 +3,7 @@
 Tokens are the runs of non-space characters of a line; a line is a sequence. Labels are outside, begin, inside. A token's
 scores are sums over features of its shape (characters, length, entropy, known beginnings, key words), the same
 features of the two tokens before and of the one after, and features of the whole text (length, share of tokens with
-digits or symbols). The features of a distinct token are computed once a task and kept in a bounded table; scores of
+digits or symbols). The features of a distinct token, the same for all lengths, are computed in arrays once a task and kept in a bounded table; scores of
 all tokens are then array sums. Viterbi decoding runs on the lines where a secret can win: a line in which no token's
 best secret score plus the dearest transitions beats `outside` has the all-outside path as its optimum, exactly.
 
@@ -18,6 +18,8 @@ not learnt from; repeated rows give repeated results; without documents the fiel
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import random
 import re
@@ -37,11 +39,9 @@ KINDS = ("assign", "access", "hex", "crf")
 KEYS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
-_CORE = re.compile(r"""[^A-Za-z0-9]*(?:[A-Za-z_.-]+["']?[:=]["']?)?([A-Za-z0-9].*?)[^A-Za-z0-9+/_=-]*$""", re.DOTALL)
+_FIRST, _KEY, _LAST = re.compile("[A-Za-z0-9]"), re.compile(r"""[A-Za-z_.-]+["']?[:=]["']?(?=[A-Za-z0-9])"""), re.compile("[A-Za-z0-9+/_=-]")
 _TOKEN = re.compile(r"\S+")
-MAX_DOCS, MAX_LINES, CACHE, SHAPES = 1500, 6000, 400_000, 128
-#: Characters from which a token is long, with a digit and without: shorter letters are words, and no feature of secrets of letters begins below.
-LONG, LONG_LETTERS = 8, 16
+MAX_DOCS, MAX_LINES, CACHE, SHAPES, WIDE = 1500, 6000, 400_000, 128, 24
 O, B, I = 0, 1, 2
 _ROLES = 4  # the token itself, one before, two before, one after
 
@@ -86,10 +86,42 @@ _KINDS = _Kinds()
 _ANNOUNCED = re.compile("|".join(map(re.escape, ANNOUNCE)), re.IGNORECASE).search
 
 
-def kind_of(w: str) -> tuple[str, bool, str]:
-    """What the features of a token depend on: its characters' kinds, whether it announces a secret, and itself if it is long."""
-    kinds = w.translate(_KINDS)
-    return kinds, _ANNOUNCED(w) is not None, w if len(w) >= (LONG if "0" in kinds else LONG_LETTERS) or w.startswith("-----") else ""
+def _own(w: str) -> str:
+    return w.strip("\"'`.,;:!?()[]{}<>#*%&$")
+
+
+def _entropy(counts) -> float:
+    m = sum(counts)
+    return math.log2(m) - sum(c * math.log2(c) for c in counts) / m if m else 0.0
+
+
+def entropies(words: list[str]) -> np.ndarray:
+    """Bits a character of each word, in array steps for words of up to WIDE characters."""
+    size = np.array([len(w) for w in words], np.int64)
+    out = np.zeros(len(words))
+    for k in np.flatnonzero(size > WIDE):
+        out[k] = _entropy(Counter(words[k]).values())
+    short = np.flatnonzero((size > 0) & (size <= WIDE))
+    logs = np.log2(np.maximum(1, np.arange(WIDE + 1)))
+    for s in range(0, len(short), 4096):
+        at = short[s:s + 4096]
+        width = int(size[at].max())
+        x = np.frombuffer("".join(words[k].ljust(width, "\0") for k in at).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), width)
+        live = np.arange(width)[None] < size[at][:, None]
+        same = (x[:, :, None] == x[:, None, :]).sum(axis=2)
+        out[at] = logs[size[at]] - np.where(live, logs[np.minimum(same, WIDE)], 0).sum(axis=1) / size[at]
+    return out
+
+
+_VOWEL = re.compile("[aeiou]", re.IGNORECASE | re.ASCII).search
+
+
+def kinds_of(words: list[str]) -> list[tuple[str, bool, tuple]]:
+    """What the features of each token depend on: its characters' kinds, whether it announces a secret, and what its own characters tell, whatever its length."""
+    own = [_own(w) for w in words]
+    bits = np.minimum(5, np.floor(entropies(own) + 1e-9)).astype(int).tolist()
+    tell = [(b, o.startswith(STARTS), len(o) > 5 and _VOWEL(o) is None, len(o) >= 16 and not o.strip(string.hexdigits), len(o) >= 16 and not o.strip(string.ascii_letters + string.digits + "+/=_-")) for b, o in zip(bits, own)]
+    return [(w.translate(_KINDS), _ANNOUNCED(w) is not None, t) for w, t in zip(words, tell)]
 
 
 def is_odd(kinds: str) -> bool:
@@ -97,7 +129,7 @@ def is_odd(kinds: str) -> bool:
     return bool(kinds[:-1].strip("aA"))
 
 
-def token_features(kinds: str, announced: bool, w: str) -> list[int]:
+def token_features(kinds: str, announced: bool, tell: tuple) -> list[int]:
     """Indices of the features of a token."""
     core = kinds.strip("-\"':=@/")
     n = len(core)
@@ -108,12 +140,8 @@ def token_features(kinds: str, announced: bool, w: str) -> list[int]:
     turns = sum(a != b for a, b in zip(core, core[1:]))
     squeezed = "".join(a for a, b in zip(core, " " + core) if a != b)
     out += [f"turns{min(3, (turns + 1) // 3)}", f"shape{xxhash.xxh32_intdigest(squeezed) % SHAPES}"] + ["announce"] * announced
-    if w:
-        own = w.strip("\"'`.,;:!?()[]{}<>#*%&$")
-        m = len(own)
-        entropy = -sum(c / m * math.log2(c / m) for c in Counter(own).values()) if m else 0
-        out += [f"entropy{min(5, int(entropy))}"] + ["start"] * own.startswith(STARTS) + ["novowel"] * (m > 5 and not set(own.lower()) & set("aeiou"))
-        out += ["hexlong"] * (m >= 16 and not own.strip(string.hexdigits)) + ["b64long"] * (m >= 16 and not own.strip(string.ascii_letters + string.digits + "+/=_-"))
+    bits, *flags = tell
+    out += [f"entropy{bits}", *(name for name, on in zip(("start", "novowel", "hexlong", "b64long"), flags) if on)]
     return [_AT[x] for x in out]
 
 
@@ -144,25 +172,26 @@ class Field:
             self._table, self._odd = np.zeros((max(CACHE, n + 1), _ROLES, 3), np.float32), np.zeros(max(CACHE, n + 1), bool)
             self._table[0, 1:] = self.weight[_AT["edge"], 1:]
 
-    def _add(self, word: str) -> int:
-        kind = kind_of(word)
-        k = self._kinds.get(kind)
-        if k is None:
-            k = self._kinds[kind] = len(self._kinds) + 1
-            self._table[k] = self.weight[token_features(*kind)].sum(axis=0)
-            self._odd[k] = is_odd(kind[0])
-        self._ids[word] = k
-        return k
+    def _learn(self, words: list[str]) -> None:
+        """Rows of the table for words that it does not have."""
+        for word, kind in zip(words, kinds_of(words)):
+            k = self._kinds.get(kind)
+            if k is None:
+                k = self._kinds[kind] = len(self._kinds) + 1
+                self._table[k] = self.weight[token_features(*kind)].sum(axis=0)
+                self._odd[k] = is_odd(kind[0])
+            self._ids[word] = k
 
     def _gather(self, texts: list[list[list[str]]]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of all tokens of some texts, lines parted by two rows of edge; and to which text each row belongs."""
         self._room(sum(len(w) for t in texts for w in t))
-        ids, add, known, sizes = [], self._add, self._ids, []
+        ids, known, sizes = [], self._ids, []
+        self._learn(list({w for lines in texts for words in lines for w in words}.difference(known)))
         for lines in texts:
             before = len(ids)
             ids += (0, 0)
             for words in lines:
-                ids += [known.get(w) or add(w) for w in words]
+                ids += [known[w] for w in words]
                 ids += (0, 0)
             sizes.append(len(ids) - before)
         at = np.array(ids, np.int64)
@@ -230,9 +259,9 @@ class Field:
         run = None
         for m, label in zip([*_TOKEN.finditer(line), None], [*path, O]):
             if label != I and run:
-                c = _CORE.match(line, *run)
+                c = _core(line, *run)
                 if c:
-                    out.append((start + c.start(1), start + c.end(1)))
+                    out.append((start + c[0], start + c[1]))
                 run = None
             if label == B:
                 run = m.span()
@@ -240,13 +269,31 @@ class Field:
                 run = (run[0], m.end())
 
 
-def _labels(line: str, secrets: list[tuple[int, int]], start: int) -> list[int]:
-    out, before = [], None
-    for m in _TOKEN.finditer(line):
-        hit = next((s for s in secrets if s[0] < start + m.end() and start + m.start() < s[1]), None)
-        out.append(O if hit is None else I if hit == before else B)
-        before = hit
-    return out
+def _core(line: str, a: int, b: int) -> tuple[int, int] | None:
+    """Where the secret of a run of tokens is: from its first letter or digit, behind a key, to its last character that secrets have. One walk from each end."""
+    first = _FIRST.search(line, a, b)
+    if first is None:
+        return None
+    key = _KEY.match(line, first.start(), b)
+    at = key.end() if key else first.start()
+    while not _LAST.match(line, b - 1):
+        b -= 1
+    return at, b
+
+
+def _labels(lines: list[str], secrets: list[tuple[int, int]]):
+    """The labels of each line's tokens. Tokens and secrets are walked together."""
+    secrets, at, start = sorted(secrets), 0, 0
+    for line in lines:
+        out, before = [], None
+        for m in _TOKEN.finditer(line):
+            while at < len(secrets) and secrets[at][1] <= start + m.start():
+                at += 1
+            hit = at if at < len(secrets) and secrets[at][0] < start + m.end() else None
+            out.append(O if hit is None else I if hit == before else B)
+            before = hit
+        yield out
+        start += len(line) + 1
 
 
 def _invented(rng: random.Random) -> str:
@@ -262,13 +309,11 @@ def training_lines(texts: list[str], radius: int = 8) -> list[tuple[list[str], l
     out = []
     for text in texts:
         rng = random.Random(xxhash.xxh64_intdigest(text))
-        secrets, start = _value_spans(text), 0
         lines = text.split("\n")
         n = len(text.split())
         odd = sum(is_odd(w.translate(_KINDS)) for w in text.split())
-        for line in lines:
-            words, label = line.split(), _labels(line, secrets, start)
-            start += len(line) + 1
+        for line, label in zip(lines, _labels(lines, _value_spans(text))):
+            words = line.split()
             marked = [k for k, x in enumerate(label) if x == B]
             for k in marked or ([rng.randrange(len(words))] if words and rng.random() < 0.25 else []):
                 a, b = max(0, k - radius), k + radius
@@ -297,7 +342,7 @@ def fit_field(lines: list[tuple[list[str], list[int], list[int]]], epochs: int =
     def vector(w: str) -> np.ndarray:
         if w not in cache:
             v = cache[w] = np.zeros(len(_NAMES))
-            v[token_features(*kind_of(w))] = 1
+            v[token_features(*kinds_of([w])[0])] = 1
         return cache[w]
 
     edge = np.zeros(len(_NAMES))
@@ -378,7 +423,8 @@ def all_spans(texts: list[str], model: Field) -> list[list[tuple[str, int, int]]
     out = []
     for text, own in zip(texts, model.spans(texts)):
         base = base_spans(text)
-        added = [("crf", s, e) for s, e in own if not any(a < e and s < b for _, a, b in base)]
+        starts, reach = [a for _, a, _ in base], list(itertools.accumulate((b for _, _, b in base), max))
+        added = [("crf", s, e) for s, e in own if not ((k := bisect.bisect_left(starts, e)) and reach[k - 1] > s)]
         out.append(sorted(base + added, key=lambda x: (x[1], KINDS.index(x[0]))))
     return out
 

@@ -1,10 +1,13 @@
 import itertools
+import math
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from nightwave.llm.secret_scan import Field, _marginals, all_spans, base_spans, fit, fit_field, scan, training_lines
+from nightwave.llm.secret_scan import _AT, Field, _core, _labels, _marginals, all_spans, base_spans, entropies, fit, fit_field, kinds_of, scan, token_features, training_lines
 
 HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
 
@@ -69,3 +72,47 @@ def test_frames(spark):
     want = {i: plain(t or "") for i, t, *_ in rows}
     assert all([s for s in spans if s[0] != "crf"] == want[i] for i, spans in got)
     assert scan(docs.limit(0), fit(docs.limit(0))).count() == 0
+
+
+def test_entropy_and_features_do_not_depend_on_length():
+    words = ["", "a", "abab", "abcabc", "aß😀b", "x" * 24, "zy" * 13, "qwrtpsdfghjk", "0123456789abcdef" * 3]
+    want = [-sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values()) if w else 0 for w in words]
+    assert np.allclose(entropies(words), want)
+    names = {i: n for n, i in _AT.items()}
+    secret = {names[i] for i in token_features(*kinds_of(["qwrtpsdfghjk"])[0])}
+    assert {"novowel", "entropy3"} <= secret and "start" in {names[i] for i in token_features(*kinds_of(["sk-a"])[0])}
+
+
+@pytest.mark.parametrize(("text", "core"), [("x", "x"), ("--", None), ('"abc",', "abc"), ("key='a.b'", "a.b"), ("a=b=c==", "b=c=="), ("1key=x", "1key=x"), ("_k.-:9/_", "9/_"), ("key=", "key="), ("k:'-x", "k:'-x"), ("....a....", "a")])
+def test_core(text, core):
+    found = _core(f" {text} ", 1, len(text) + 1)
+    assert (found and f" {text} "[found[0]:found[1]]) == core
+
+
+def test_labels_and_overlaps_equal_plain_loops():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        lines = ["".join(rng.choice(list("ab  "), 30)) for _ in range(4)]
+        secrets = sorted({(a, a + int(rng.integers(1, 20))) for a in rng.integers(0, 110, 6).tolist()})
+        start, want = 0, []
+        for line in lines:
+            own, before = [], None
+            for m in re.finditer(r"\S+", line):
+                hit = next((s for s in secrets if s[0] < start + m.end() and start + m.start() < s[1]), None)
+                own.append(0 if hit is None else 2 if hit == before else 1)
+                before = hit
+            want.append(own)
+            start += len(line) + 1
+        assert list(_labels(lines, secrets)) == want
+
+
+def test_long_lists_and_long_runs_take_linear_time():
+    start = time.perf_counter()
+    hashes = "\n".join(f"{k:040x}" for k in range(100_000))
+    assert sum(t.count(1) for t in _labels(hashes.split("\n"), [m.span() for m in re.finditer("[0-9a-f]{40}", hashes)])) == 100_000
+    model = fit_field(training_lines(texts()))
+    assert sum(k == "hex" for k, _, _ in all_spans([hashes], model)[0]) == 100_000
+    for run in ("-" * 1_000_000, "a" + "," * 1_000_000 + "a", "a" * 1_000_000):
+        _core(run, 0, len(run))
+        all_spans([run], model)
+    assert time.perf_counter() - start < 60
