@@ -154,7 +154,7 @@ def manifest(docs: DataFrame, depth: int = DEPTH, fanout: int = FANOUT, tampered
     blocks = written(placed.select("tree", F.floor(F.col("idx") / fanout ** depth).alias("block"), "idx", "n", "doc_id", "digest", "altered"), "blocks")
     tops = butterfly(block_roots(blocks, depth, fanout), fanout)
     trees = tops.filter("block = 0").select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), "digest")
-    above = proofs(trees.crossJoin(trees.agg(F.count(F.lit(1)).alias("n"))), depth, fanout).select(F.col("idx").alias("tree"), F.col("path").alias("above"), "root")
+    above = proofs(trees.withColumn("n", F.lit(trees.count()).cast("long")), depth, fanout).select(F.col("idx").alias("tree"), F.col("path").alias("above"), "root")
     known = tops.join(above, "tree").select("tree", "block", F.col("digest").alias("subroot"), F.concat("path", "above").alias("path"), "root")
 
     def run(t: pa.Table, top: pa.Table) -> pa.Table:
