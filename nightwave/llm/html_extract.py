@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from nightwave.llm.common import map_batches
 
 MAX_PAGES, MAX_WINDOWS, HIDDEN, EPOCHS, WINDOW = 240, 800, 16, 6, 48
+ROWS, CHARS = 16_384, 4_000_000  # blocks and characters held at a time
 _STOP, _NAME = re.compile("[\"'>]"), re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 #: Elements whose content is not text of the page, that do not end a block, elements without an end tag, and elements whose start ends an open one of the same name.
@@ -210,18 +211,34 @@ def told(block: Block) -> bool:
     return block.path.content and not block.path.other
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    out = np.zeros((len(page), SIZE), np.float32)
+def vectors(page: list[Block], first: int = 0, stop: int | None = None) -> np.ndarray:
+    """A row of features of each of the page's blocks first .. stop - 1."""
+    own = page[first:stop]
+    out = np.zeros((len(own), SIZE), np.float32)
     k = _PATH_SIZE
-    for i, b in enumerate(page):
-        out[i, :k] = b.path.vector()
+    for row, b in enumerate(own):
+        i = first + row
+        out[row, :k] = b.path.vector()
         words = b.text.split()
-        out[i, k:-6] = np.bincount([xxhash.xxh32_intdigest(w) % _WORDS for w in b.text.lower().split()], minlength=_WORDS) * (2.4 / len(words))
+        out[row, k:-6] = np.bincount([xxhash.xxh32_intdigest(w) % _WORDS for w in b.text.lower().split()], minlength=_WORDS) * (2.4 / len(words))
         n = len(b.text)
-        out[i, -6:] = (np.log1p(len(words)) / 5, b.linked / n, b.text[-1] in ".!?…", b.text[:1].isupper(), i / len(page), 1 / (1 + i))
+        out[row, -6:] = (np.log1p(len(words)) / 5, b.linked / n, b.text[-1] in ".!?…", b.text[:1].isupper(), i / len(page), 1 / (1 + i))
     return out
 
 
+class Lazy:
+    """The features of a page, made where they are read."""
+
+    def __init__(self, page: list[Block]):
+        self.page = page
+
+    def __len__(self) -> int:
+        return len(self.page)
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        return vectors(self.page, part.start, part.stop)
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -315,16 +332,46 @@ class Labeller:
                     self.p[k] = (self.p[k] - rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
         return self
 
-    def label(self, pages: list[np.ndarray], batch: int = 64) -> list[np.ndarray]:
-        """Whether each block is content, pages of like length together."""
+    def _side(self, pages: list, n: np.ndarray, d: str, step: int) -> np.ndarray:
+        """What one direction adds to the logits (b, t): `step` blocks at a time, of which only the state is carried on."""
+        p, own = self.p, self.hidden
+        weight = p["o"][:own, 0] if d == "f" else p["o"][own:, 0]
+        h, c = (np.zeros((len(pages), own), np.float32) for _ in range(2))
+        out = np.zeros((len(pages), n.max()), np.float32)
+        for s in range(0, n.max(), step):
+            t = min(step, n.max() - s)
+            x = np.zeros((len(pages), t, len(p["x" + d])), np.float32)
+            for i, m in enumerate(n):
+                if m > s:
+                    e = min(s + t, m)
+                    x[i, :e - s] = pages[i][s:e] if d == "f" else pages[i][m - e:m - s][::-1]
+            pre = x @ p["x" + d] + p["c" + d]
+            states = np.empty((len(pages), t, own), np.float32)
+            for k in range(t):
+                z = pre[:, k] + h @ p["h" + d]
+                gates = _sigmoid(z[:, :3 * own])
+                c = gates[:, own:2 * own] * c + gates[:, :own] * np.tanh(z[:, 3 * own:])
+                h = gates[:, 2 * own:] * np.tanh(c)
+                states[:, k] = h
+            out[:, s:s + t] = states @ weight
+        return out
+
+    def label(self, pages: list, batch: int = 64, rows: int = ROWS) -> list[np.ndarray]:
+        """Whether each block is content, of pages as arrays or `Lazy`.
+
+        Pages of like length go together, as many as have `rows` blocks when filled up to the longest; a longer page goes
+        alone. Features of at most `rows` blocks are held at a time, and of the hidden states only what they add to the logits.
+        """
         out: list = [np.zeros(0, bool)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        for k in range(0, len(order), batch):
-            own = order[k:k + batch]
-            x, n = _padded([pages[i] for i in own])
-            logit = self._forward(x, n)[0]
-            for i, row, m in zip(own, logit, n):
-                out[i] = row[:m] > 0
+        order, k = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i])), 0
+        while k < len(order):
+            own = [i for j, i in enumerate(order[k:k + batch]) if not j or (j + 1) * len(pages[i]) <= rows]
+            k += len(own)
+            held, n = [pages[i] for i in own], np.array([len(pages[i]) for i in own])
+            step = max(1, rows // len(own))
+            ahead, back = (self._side(held, n, d, step) for d in "fb")
+            for i, m, a, b in zip(own, n, ahead, back):
+                out[i] = a[:m] + b[:m][::-1] + self.p["k"][0] > 0
         return out
 
 
@@ -413,10 +460,14 @@ def fit(pages: DataFrame, max_pages: int = MAX_PAGES, max_windows: int = MAX_WIN
 
 def extract(sources: list[str], model: Labeller, at_once: int = 256) -> list[str]:
     """Main text of each page: its content blocks in order, joined by a space."""
-    out = []
-    for k in range(0, len(sources), at_once):
-        pages = [blocks(s) for s in sources[k:k + at_once]]
-        out += [" ".join(b.text for b, y in zip(page, keep) if y) for page, keep in zip(pages, model.label([vectors(p) for p in pages]))]
+    out, k = [], 0
+    while k < len(sources):
+        stop, size = k + 1, len(sources[k])
+        while stop < len(sources) and stop < k + at_once and size + len(sources[stop]) <= CHARS:
+            size, stop = size + len(sources[stop]), stop + 1
+        pages = [blocks(s) for s in sources[k:stop]]
+        out += [" ".join(b.text for b, y in zip(page, keep) if y) for page, keep in zip(pages, model.label([Lazy(p) for p in pages]))]
+        k = stop
     return out
 
 

@@ -2,6 +2,8 @@ import html
 import os
 import random
 import re
+import subprocess
+import sys
 import time
 
 import numpy as np
@@ -41,6 +43,23 @@ def test_padding_does_not_matter():
     assert all(np.array_equal(a, m.label([p])[0]) for a, p in zip(m.label(pages), pages))
 
 
+def test_long_pages_are_read_in_slices():
+    rng = np.random.default_rng(0)
+    m = Labeller(6, 4)
+    pages = [rng.normal(size=(k, 6)).astype(np.float32) for k in (1, 9, 30, 200)]
+    for own in pages:
+        logit = m._forward(own[None], np.array([len(own)]))[0][0]
+        clear = np.abs(logit) > 1e-4
+        assert all(np.array_equal(m.label([own], rows=r)[0][clear], (logit > 0)[clear]) for r in (1, 7, 64, 10_000))
+    assert [len(x) for x in m.label(pages, rows=40)] == [1, 9, 30, 200]
+
+
+def test_one_long_page_among_others_in_little_memory():
+    code = "import resource; from nightwave.llm.html_extract import Labeller, extract; assert len(extract(['<p>x' * 500_000] + ['<p>tiny page'] * 255, Labeller())) == 256; print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200, check=True, env=os.environ | {"OMP_NUM_THREADS": "1"})
+    assert int(done.stdout) < 1_000_000  # kilobytes
+
+
 def want(page):
     body = re.search(r"<article>(.*)</article>", page, re.DOTALL)[1]
     return " ".join(re.sub(r"<[^>]+>", " ", body).split())
