@@ -22,7 +22,7 @@ from pyspark.sql.types import NumericType
 
 from nightwave.llm.common import new_path, text_of, written
 
-BUCKETS, BATCHES, MARKER = 32, 2, "_buckets_"
+BUCKETS, BUCKET_ROWS, BATCHES, MARKER = 32, 5_000_000, 2, "_buckets_"
 
 
 def digest_of() -> Column:
@@ -66,6 +66,10 @@ class DigestIndex:
         self.spark.sql(f"CREATE TABLE {self.name} (digest BINARY, keep_id {kind}) USING parquet "
                        f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
 
+    def forget(self) -> None:
+        """Takes the table out of the catalog; the folder stays."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def rows(self) -> DataFrame:
         self._open()
         return self.spark.table(self.name)
@@ -99,10 +103,14 @@ def indexed(digests: DataFrame, index: DigestIndex, batches: int = BATCHES) -> D
 
 def exact_groups(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs; of equal texts the largest doc_id stays."""
-    index = index or DigestIndex(docs.sparkSession)
     digests = written(docs.select("doc_id", digest_of().alias("digest")), "digests")
-    groups = indexed(digests, index, batches)
-    # both sides are exchanged here, so that adaptive execution can split a digest that is a third of all rows
+    own = index is None
+    index = index or DigestIndex(docs.sparkSession, buckets=max(BUCKETS, digests.count() // BUCKET_ROWS + 1))
+    groups = written(indexed(digests, index, batches), "groups")
+    if own:
+        index.forget()
+    # the groups were written without buckets: both sides are exchanged by the session's number of partitions, and
+    # adaptive execution can split a digest that is a third of all rows
     return digests.hint("merge").join(groups, "digest").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 

@@ -106,3 +106,27 @@ def test_results_are_read_from_the_index(spark):
     index.add(digests(spark))
     folder = index.path.rsplit("/", 1)[1]
     assert any(f"/{folder}/" in f for f in index.groups(digests(spark)).inputFiles())
+
+
+def test_a_text_of_a_third_of_all_rows_is_split(spark):
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot', concat('text ', id)) AS text")
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        out = exact_groups(docs)
+        assert out.filter("group_size = 20000 and keep_id = 59997").count() == 20_000
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    final = plan.split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in final and "hashpartitioning(digest#" in final and ", 32)" not in final
+
+
+def test_own_indexes_leave_no_catalog_entry(spark):
+    exact_groups(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    before = {t.name for t in spark.catalog.listTables()}
+    exact_groups(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
