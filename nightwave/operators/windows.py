@@ -24,17 +24,22 @@ def make_windows(chunks: DataFrame, window_s: float = 2.0, stride_s: float = 0.5
     rates = [r.sample_rate for r in chunks.select("sample_rate").distinct().collect()]  # a few rates
     out = None
     for rate in rates:
-        size, step = int(window_s * rate), int(stride_s * rate)
-        held = with_halo(chunks.filter((F.col("sample_rate") == rate) & (F.col("channel") == 0) & (F.size("samples") > 0)), 0, size)
-        first, last = F.expr(f"(start_sample + {step} - 1) div {step}"), F.expr(f"(start_sample + size(samples) - right_n - 1) div {step}")
-        rows = held.withColumn("a", first).withColumn("b", last).filter("b >= a").withColumn("window_id", F.explode(F.sequence("a", "b")))
-        x = F.slice("samples", (F.col("window_id") * step - F.col("start_sample") + 1).cast("int"), F.lit(size))
-        padded = F.concat(x, F.array_repeat(F.lit(0.0).cast("float"), F.lit(size) - F.size(x)))
-        made = rows.select("recording_id", "window_id", ((F.col("window_id") * step + size / 2) / rate).alias("center_s"), padded.alias("samples"))
+        own = chunks.filter((F.col("sample_rate") == rate) & (F.col("channel") == 0) & (F.size("samples") > 0))
+        made = held_windows(with_halo(own, 0, int(window_s * rate)), rate, window_s, stride_s)
         out = made if out is None else out.unionByName(made)
     return out if out is not None else chunks.select("recording_id", F.lit(0).cast("bigint").alias("window_id"), F.lit(0.0).alias("center_s"), "samples").limit(0)
 
 
+def held_windows(held: DataFrame, rate: int, window_s: float = 2.0, stride_s: float = 0.5) -> DataFrame:
+    """The windows of chunks that have the window behind them (right_n samples of it) already."""
+    size, step = int(window_s * rate), int(stride_s * rate)
+    first, last = F.expr(f"(start_sample + {step} - 1) div {step}"), F.expr(f"(start_sample + size(samples) - right_n - 1) div {step}")
+    rows = held.withColumn("a", first).withColumn("b", last).filter("b >= a").withColumn("window_id", F.explode(F.sequence("a", "b")))
+    x = F.slice("samples", (F.col("window_id") * step - F.col("start_sample") + 1).cast("int"), F.lit(size))
+    padded = F.concat(x, F.array_repeat(F.lit(0.0).cast("float"), F.lit(size) - F.size(x)))
+    return rows.select("recording_id", "window_id", ((F.col("window_id") * step + size / 2) / rate).alias("center_s"), padded.alias("samples"))
+
+
 def _scored(windows: DataFrame, scorer: Scorer, batch_size: int, name: str, kind: str, result) -> DataFrame:
     """The windows without samples, and result(logits[B, C]) of each batch: samples are dropped in this pass, before anything is exchanged."""
     def run(batches):

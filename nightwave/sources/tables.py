@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nightwave.operators import features
+
 COLUMNS = ("clip_file", "start_time", "end_time", "duration", "confidence")
 
 
@@ -41,14 +43,20 @@ def write_recording_manifests(manifest: DataFrame, recordings: DataFrame, folder
     rows.foreachPartition(save)
 
 
-def write_features(frames: DataFrame, path: str) -> None:
-    frames.write.mode("overwrite").partitionBy("recording_id").parquet(path)
+def write_features(frames: DataFrame, path: str, recordings: DataFrame, frame_ms: int = 25, hop_ms: int = 10) -> DataFrame:
+    """The frames with the sample_rate and hop_length that they were made with, as one table sorted by recording_id and frame_idx; returns what was written.
+
+    Recordings share files, whatever their number; a filter on recording_id reads the row groups that hold it.
+    """
+    rates = [r.sample_rate for r in recordings.select("sample_rate").distinct().collect()]  # a few rates
+    hop = F.coalesce(*[F.when(F.col("sample_rate") == r, features.params_of(r, frame_ms, hop_ms)[1]) for r in rates], F.lit(None)).cast("int") if rates else F.lit(None).cast("int")
+    rows = frames.join(recordings.select("recording_id", "sample_rate"), "recording_id").withColumn("hop_length", hop)
+    rows.repartitionByRange("recording_id", "frame_idx").sortWithinPartitions("recording_id", "frame_idx").write.mode("overwrite").parquet(path)
+    return frames.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """recording_id is read back as text, whatever it looks like."""
-    found = spark.read.option("basePath", path).parquet(path)
-    return found.withColumn("recording_id", F.col("recording_id").cast("string"))
+    return spark.read.parquet(path)
 
 
 def load_denoised(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ import struct
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from nightwave.functions import kernels
 from nightwave.operators import chunks as ch
 from nightwave.operators import clips, denoise, features, windows
 from nightwave.plans import pipeline, queries
-from nightwave.sources import tables, wav
+from nightwave.sources import catalogue, files, tables, wav
 
 CHUNKS = "recording_id string, channel int, chunk_id long, start_sample long, sample_rate int, samples array<float>"
 
@@ -307,7 +308,7 @@ def test_each_window_is_scored_and_each_frame_computed_once(spark):
 
 
 def test_large_headers():
-    head = wav.wav_header(5 << 30, 44_100, 2)
+    head = files.wav_header(5 << 30, 44_100, 2)
     assert head[:4] == b"RF64" and struct.unpack("<Q", head[28:36])[0] == 5 << 30
 
 
@@ -334,3 +335,115 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert os.path.getsize(f"{out}/wav/night_denoised.wav") == 44 + 2 * rate * 8
     with pytest.raises(FileNotFoundError):
         tables.load_denoised(spark, f"{out}/nothing")
+
+
+def test_catalogue_and_chunks_of_files(spark, tmp_path):
+    (tmp_path / "x/y").mkdir(parents=True)
+    write(tmp_path / "a.wav", np.stack([SIGNAL[:5000], SIGNAL[4000:9000]], axis=1), 8000, extra=struct.pack("<4sI", b"LIST", 3) + b"abc\0")
+    write(tmp_path / "x/y/b.wav", SIGNAL[:900, None], 11_025, "float")
+    write(tmp_path / "x/c.wav", np.zeros((0, 1), np.float32), 8000)
+    found = catalogue.catalogue(spark, str(tmp_path))
+    assert {r.recording_id: (r.n_channels, r.n_samples, r.sample_rate) for r in found.collect()} == {"a": (2, 5000, 8000), "x_y_b": (1, 900, 11_025), "x_c": (1, 0, 8000)}
+    old, new = wav.read_wav(spark, str(tmp_path), 0.1).drop("path"), catalogue.read_chunks(found, 0.1)
+    rows = lambda d: sorted((r.recording_id, r.channel, r.chunk_id, r.start_sample, r.sample_rate, tuple(r.samples)) for r in d.collect())
+    assert rows(new) == rows(old)
+    assert np.allclose(joined(catalogue.read_chunks(found, 0.1, mono=True))["a", 0], joined(ch.to_mono(old))["a", 0], atol=1e-6)
+    assert joined(catalogue.read_chunks(found.filter("recording_id = 'a'"), 0.1)).keys() == {("a", 0), ("a", 1)}
+    with pytest.raises(FileNotFoundError):
+        catalogue.catalogue(spark, str(tmp_path / "missing"))
+    with pytest.raises(ValueError, match="one recording_id"):
+        catalogue.catalogue(spark, [str(tmp_path / "a.wav"), str(tmp_path)])
+    (tmp_path / "none").mkdir()
+    assert catalogue.catalogue(spark, str(tmp_path / "none")).count() == 0
+
+
+def _scorer():
+    def scorer(w):
+        level = np.log10((w.astype(np.float64) ** 2).mean(axis=1) + 1e-9)
+        return np.stack([level + 3, -level - 3], axis=1)
+
+    return scorer
+
+
+levels = _scorer()
+
+
+def night(path, rate, seconds=8, channels=1):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=rate * seconds) * 0.002
+    x[rate * 3:rate * 5] += np.sin(2 * np.pi * 200 * np.arange(rate * 2) / rate) * 0.5
+    write(path, np.stack([x] * channels, axis=1).astype(np.float32), rate)
+
+
+def test_detection_over_files_moves_no_samples(spark, tmp_path):
+    for name, rate, channels in (("one", 16_000, 1), ("two", 8000, 2), ("three", 11_025, 1)):
+        night(tmp_path / f"{name}.wav", rate, channels=channels)
+    write(tmp_path / "empty.wav", np.zeros((0, 1), np.float32), 8000)
+    labels, cfg = spark.createDataFrame([(0, "Snoring"), (1, "Silence")], "class_id int, label string"), Config(threshold=0.6)
+    found = pipeline.detect_files(catalogue.catalogue(spark, str(tmp_path)), levels, labels, cfg, chunk_seconds=2.5)
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    want = pipeline.detect(wav.read_wav(spark, str(tmp_path), 2.5).drop("path"), levels, labels, cfg)
+    a, b = ({(r.recording_id, r.window_id): r.score for r in d.scores.collect()} for d in (found, want))
+    assert a.keys() == b.keys() and len(a) == 48 and np.allclose([a[k] for k in a], [b[k] for k in a], atol=1e-6)
+    assert len(rows(found.events)) == 3 and [(r[0], r[1]) for r in rows(found.events)] == [(r[0], r[1]) for r in rows(want.events)]
+    plan = found.events._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]  # the scorer, and what it reads
+    assert "samples" in below and not any("samples" in line for line in plan.split("\n") if "Exchange" in line and "samples" in line.split("Exchange")[1] and "n_samples" not in line)
+
+
+def test_failed_and_doubled_tasks_leave_whole_files_only(spark, tmp_path):
+    rows = [(f"f{k}.wav", 8000, 1000, [SIGNAL[:1000].tolist()]) for k in range(6)]
+    df = spark.createDataFrame(rows, files.SCHEMA).repartition(3)
+    marks = str(tmp_path / "marks")
+    os.makedirs(marks)
+
+    def once(batches, always=False):
+        from pyspark import TaskContext
+        for b in batches:
+            yield b
+            mark = f"{marks}/{TaskContext.get().partitionId()}"
+            if always or not os.path.exists(mark):
+                open(mark, "w").close()
+                raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        files.write_files(df.mapInArrow(lambda b: once(b, True), files.SCHEMA), str(tmp_path / "out"))
+    assert os.listdir(tmp_path / "out") == []
+    # two attempts of the same task, as speculation makes them: one of them is told to the commit
+    writer = files.WavWriter(str(tmp_path / "out"))
+    batch = pa.RecordBatch.from_pylist([dict(zip(("file", "sample_rate", "n_samples", "samples"), r)) for r in rows], schema=pa.schema([("file", pa.string()), ("sample_rate", pa.int32()), ("n_samples", pa.int64()), ("samples", pa.list_(pa.list_(pa.float32())))]))
+    first, second = writer.write(iter([batch])), writer.write(iter([batch]))
+
+    def torn():
+        yield batch.slice(0, 3)
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        writer.write(torn())
+    assert sorted(n for n in os.listdir(tmp_path / "out") if not n.startswith(".")) == [] and len(first.files) == 6
+    writer.commit([second, None])
+    assert sorted(os.listdir(tmp_path / "out")) == [f"f{k}.wav" for k in range(6)]
+    assert all(os.path.getsize(tmp_path / f"out/f{k}.wav") == 44 + 2000 and wav.read_header(str(tmp_path / f"out/f{k}.wav")).n_samples == 1000 for k in range(6))
+
+
+def test_pipeline_with_a_denoiser_of_its_own_and_statistics(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    night(tmp_path / "in/night.wav", 8000, channels=2)
+    labels = spark.createDataFrame([(0, "Snoring"), (1, "Silence")], "class_id int, label string")
+
+    def kernel(x, row):
+        assert x.shape[0] == 2 and row["sample_rate"] == 4000
+        return x
+
+    cfg = Config(threshold=0.6, compute_hnr=False)
+    got = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), levels, labels, Config(threshold=0.6, compute_hnr=False, denoise_method="model"), kernel, chunk_seconds=4, kernel_rate=4000, kernel_channels=2, frames={"n_mels": 40, "n_mfcc": 13})
+    assert got.events.count() == 1 and got.stats["windows"].first().n_windows == 16 and got.stats["trace"].first().n_frames == 800
+    assert got.stats["stages"].first().n_kept == 1 and got.stats["cuts"].first().n_saved == 1
+    row = got.features.first()
+    assert (row.sample_rate, row.hop_length, len(row.log_mel)) == (8000, 80, 40)
+    assert tables.read_features(spark, str(tmp_path / "out/frame_features")).filter("recording_id = 'night'").count() == got.features.count()
+    (tmp_path / "none").mkdir()
+    empty = pipeline.run(spark, str(tmp_path / "none"), str(tmp_path / "nothing"), levels, labels, cfg)
+    assert empty.events.count() == 0 and empty.recordings.count() == 0 and empty.features.count() == 0 and all(v.count() == 0 for v in empty.stats.values())
+    heads = [open(f).read().strip() for f in glob.glob(str(tmp_path / "nothing/manifest/*.csv"))]
+    assert heads and all(h == "recording_id,clip_file,start_time,end_time,duration,confidence" for h in heads)
