@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from nightwave.config import TARGET_KEYWORDS
 from nightwave.operators import chunks, clips, denoise, events, features, scoring, smoothing, windows
 from nightwave.plans import pipeline, views
+from nightwave.sources import catalogue, tables, wav
+from nightwave.sources.shared import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -282,6 +286,43 @@ def k4_k5_manifest(spark, sf_dir):
     return clips.manifest(clips.name_clips(clips.drop_silent(_clips(spark, sf_dir), _QUIET)))
 
 
+#: Two seconds a chunk; the file's 16 bits end below one.
+_READ_S, _TOP = 2, "32767 / 32768.0::DOUBLE"
+
+
+def _folder(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark).removeprefix("file:"), f"wav-{uuid.uuid4().hex}")
+
+
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, i // {views.RATE * _READ_S} AS chunk_id, CAST(count(*) AS INTEGER) AS n, round(sum(least(amp, {_TOP})), 6) AS total FROM v_samples GROUP BY ALL")
+def s1_s3_wav_files(spark, sf_dir):
+    """Every recording as a file, and the files read back through their catalogue."""
+    folder = _folder(spark)
+    wav.write_wav(views.signal(spark, sf_dir), folder, "")
+    return _summed(catalogue.read_chunks(catalogue.catalogue(spark, folder), _READ_S)).select("recording_id", "chunk_id", "n", "total")
+
+
+@query(f"""WITH {_CUT},
+  named AS (SELECT recording_id, event_id, s, e, format('{{}}_snore_clips_snore_{{:04d}}', recording_id, row_number() OVER (PARTITION BY recording_id ORDER BY event_id)) AS clip FROM cut WHERE rms >= {_QUIET})
+  SELECT clip, CAST(count(*) AS INTEGER) AS n, round(sum(least(amp, {_TOP})), 6) AS total, 2 AS channels FROM named c JOIN v_samples v ON v.recording_id = c.recording_id AND v.i >= s AND v.i < e GROUP BY ALL""")
+def s4_clip_files(spark, sf_dir):
+    """Every kept clip as a file, and the files read back."""
+    folder = _folder(spark)
+    wav.write_clips(clips.name_clips(clips.drop_silent(_clips(spark, sf_dir), _QUIET)), folder)
+    found = catalogue.catalogue(spark, folder)
+    first = _summed(catalogue.read_chunks(found, _READ_S).filter("channel = 0")).select("recording_id", "n", "total")
+    return first.join(found.select("recording_id", F.col("n_channels").alias("channels")), "recording_id").withColumnRenamed("recording_id", "clip")
+
+
+@query(ORACLES["k4_k5_manifest"])
+def s5_manifest_csv(spark, sf_dir):
+    """The manifest written as CSV and read back."""
+    made = k4_k5_manifest(spark, sf_dir)
+    path = f"{shared_dir(spark)}/manifest-{uuid.uuid4().hex}"
+    tables.write_manifest(made, path)
+    return spark.read.schema(made.select("recording_id", *tables.COLUMNS).schema).option("header", True).csv(path)
+
+
 @query(f"WITH {_CUT} SELECT recording_id, count(*) FILTER (rms >= {_QUIET}) AS n_saved, count(*) FILTER (rms < {_QUIET}) AS n_silent, round(coalesce(sum((e - s) / 1000.0::DOUBLE) FILTER (rms >= {_QUIET}), 0), 4) AS saved_s FROM cut GROUP BY ALL")
 def k6_cut_stats(spark, sf_dir):
     return clips.cut_stats(_clips(spark, sf_dir), _QUIET)
