@@ -369,6 +369,8 @@ class Labeller:
             k += len(own)
             held, n = [pages[i] for i in own], np.array([len(pages[i]) for i in own])
             step = max(1, rows // len(own))
+            if n.max() <= step:  # in one slice: both directions read the same features
+                held = [p[0:len(p)] for p in held]
             ahead, back = (self._side(held, n, d, step) for d in "fb")
             for i, m, a, b in zip(own, n, ahead, back):
                 out[i] = a[:m] + b[:m][::-1] + self.p["k"][0] > 0
