@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
@@ -110,30 +110,58 @@ def power_to_db(frames: DataFrame, column: str = "mel", name: str = "mel_db", re
 
 # --- along a recording ------------------------------------------------------------------------------------------
 
-def _times(x: Column, c: float) -> Column:
-    return F.transform(x, lambda v: v * c)
+#: Frames on either side of a block that its slopes depend on: nine frames from the recording's ends, wherever a block is cut.
+REACH = 8
 
 
-def delta(series: DataFrame, column: str, name: str, order: int = 1, short: str = "error") -> DataFrame:
-    """The slope (order 1) or curvature (order 2) over nine frames; the first and last four frames take the nearest full value.
+def slopes_of(x: np.ndarray, order: int) -> np.ndarray:
+    """Slopes (order 1) or curvatures (order 2) of rows over nine neighbours; the first and last four rows take the nearest full value."""
+    full = np.zeros((len(x) - 8, x.shape[1]))
+    for k, c in enumerate(SLOPE if order == 1 else CURVE):
+        full += c * x[k:k + len(full)]
+    return full[np.clip(np.arange(len(x)) - 4, 0, len(full) - 1)]
+
 
-    Recordings of fewer than nine frames are an error or, with short="null", have null for every value of the array.
+def slopes(series: DataFrame, column: str, orders: dict[str, int], short: str = "error", block: int = 1024) -> DataFrame:
+    """series with a slope or curvature of an array column for each name of `orders`, all in one exchange.
+
+    A recording is dealt out by blocks of frames with copies of the eight frames before and after, which tell a block
+    also whether it holds an end of the recording, so results do not depend on the blocks and no recording is one task.
+    frame_idx has no gaps within a recording. Recordings of fewer than nine frames are an error or, with short="null",
+    have null for every value of the array.
     """
     if short not in ("error", "null"):
         raise ValueError("short is error or null")
-    weights = SLOPE if order == 1 else CURVE
-    w = Window.partitionBy("recording_id").orderBy("frame_idx")
-    full = F.lead(column, 4).over(w).isNotNull() & F.lag(column, 4).over(w).isNotNull()
-    total = None
-    for k, c in zip(range(-4, 5), weights):
-        if c:
-            own = _times(F.lead(column, k).over(w) if k > 0 else F.lag(column, -k).over(w) if k else F.col(column), c)
-            total = own if total is None else F.zip_with(total, own, lambda a, b: a + b)
-    if short == "error":  # told by a recording's first frame, in the same pass
-        few = F.lag(F.lit(1), 1).over(w).isNull() & F.lead(F.lit(1), 8).over(w).isNull()
-        total = F.when(few, F.raise_error(F.lit("slopes need recordings of at least nine frames"))).otherwise(F.when(full, total))
-    rows = series.withColumn("_d", total if short == "error" else F.when(full, total))
-    return rows.withColumn(name, F.coalesce("_d", F.first("_d", ignorenulls=True).over(w.rowsBetween(0, 4)), F.last("_d", ignorenulls=True).over(w.rowsBetween(-4, 0)), F.transform(column, lambda v: F.lit(None).cast("double")))).drop("_d")
+    if block < REACH:
+        raise ValueError(f"a block has at least {REACH} frames")
+    at, columns = F.floor(F.col("frame_idx") / block), series.columns
+    reached = F.array_distinct(F.array(at, F.floor(F.greatest(F.col("frame_idx") - REACH, F.lit(0)) / block), F.floor((F.col("frame_idx") + REACH) / block)))
+
+    def run(key, table):
+        table = table.sort_by("frame_idx")
+        idx = table["frame_idx"].to_numpy()
+        own = np.flatnonzero(idx // block == key[1].as_py())
+        if not len(own):  # copies alone: the block is beyond an end of the recording
+            return pa.Table.from_arrays([*table.select(columns).slice(0, 0).columns, *(pa.array([], pa.list_(pa.float64())) for _ in orders)], names=[*columns, *orders])
+        if (np.diff(idx) != 1).any() or table[column].null_count:
+            raise ValueError("slopes need frames without gaps, repeats and nulls")
+        held = table.select(columns).slice(own[0], len(own))
+        x = table[column].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(table), -1)
+        if len(x) > REACH:
+            made = [_lists(slopes_of(x, order)[own[0]:own[0] + len(own)]) for order in orders.values()]
+        elif short == "error":
+            raise ValueError("slopes need recordings of at least nine frames")
+        else:
+            made = [pa.array([[None] * x.shape[1]] * len(own), pa.list_(pa.float64())) for _ in orders]
+        return pa.Table.from_arrays([*held.columns, *made], names=[*columns, *orders])
+
+    schema = StructType([*series.schema.fields, *(StructField(n, ArrayType(DoubleType())) for n in orders)])
+    return series.withColumn("_block", F.explode(reached)).groupBy("recording_id", "_block").applyInArrow(run, schema)
+
+
+def delta(series: DataFrame, column: str, name: str, order: int = 1, short: str = "error") -> DataFrame:
+    """`slopes` of one order: the slope (1) or curvature (2) over nine frames."""
+    return slopes(series, column, {name: order}, short)
 
 
 def align_frames(*tables: DataFrame) -> DataFrame:
@@ -151,25 +179,73 @@ def stack_features(frames: DataFrame) -> DataFrame:
     return frames.withColumn("features", F.concat(many("mfcc"), *map(one, ("spectral_centroid", "spectral_rolloff", "zcr", "hnr")), many("log_mel")))
 
 
-def normalize_features(frames: DataFrame, column: str = "features", name: str = "normalized", eps: float = 1e-8) -> DataFrame:
-    """Z-scores of each dimension within a recording, by the deviation of the population; constant dimensions give 0.
+#: States that one task keeps before it passes them on, and the groups that a recording's states are merged in first.
+_STATES, _FANS = 256, 64
+_MOMENTS = "recording_id string, n long, mean array<double>, m2 array<double>, top array<double>"
+
 
-    Sums of a batch are taken in numpy first, so that what is exchanged is a row a recording and batch, not a row a frame and dimension.
+def merge_moments(n: np.ndarray, mean: np.ndarray, m2: np.ndarray, top: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """One state of several (rows): counts, means, sums of squares about the mean, maxima; merged two by two, so errors grow with the logarithm of their number."""
+    while len(n) > 1:
+        k = len(n) // 2 * 2
+        a, b, odd = slice(0, k, 2), slice(1, k, 2), slice(k, None)
+        total, gap = n[a] + n[b], mean[b] - mean[a]
+        share = (n[b] / total)[:, None]
+        m2 = np.concatenate([m2[a] + m2[b] + gap**2 * share * n[a][:, None], m2[odd]])
+        mean = np.concatenate([mean[a] + gap * share, mean[odd]])
+        top = np.concatenate([np.maximum(top[a], top[b]), top[odd]])
+        n = np.concatenate([total, n[odd]])
+    return int(n[0]), mean[0], m2[0], top[0]
+
+
+def moments(frames: DataFrame, column: str) -> DataFrame:
+    """Per recording, of an array column: n, and per dimension mean, m2 (sum of squares about the mean) and top (maximum), in one scan.
+
+    A task keeps one state a recording, `_STATES` at most; what is exchanged are states, merged in groups by task first,
+    so that neither one recording nor its states pass through one task. Null arrays do not count.
     """
+    def matrix(table, name: str) -> np.ndarray:
+        flat = table[name].combine_chunks() if isinstance(table[name], pa.ChunkedArray) else table[name]
+        return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(table), -1)
+
+    def rows(states: dict) -> pa.RecordBatch:
+        n, mean, m2, top = zip(*states.values())
+        return pa.RecordBatch.from_arrays([pa.array(list(states), pa.string()), pa.array(n, pa.int64()), *(_lists(np.stack(x)) for x in (mean, m2, top))], names=["recording_id", "n", "mean", "m2", "top"])
+
     def partial(batches):
+        states: dict = {}
         for b in batches:
-            ids, x = np.array(b["recording_id"].to_pylist(), object), np.array(b[column].to_pylist(), np.float64)
-            out = [(i, int((ids == i).sum()), x[ids == i].mean(axis=0).tolist(), ((x[ids == i] - x[ids == i].mean(axis=0)) ** 2).sum(axis=0).tolist()) for i in sorted(set(ids))]
-            if out:
-                yield pa.RecordBatch.from_pydict(dict(zip(("recording_id", "n", "m", "s"), zip(*out))), schema=pa.schema([("recording_id", pa.string()), ("n", pa.int64()), ("m", pa.list_(pa.float64())), ("s", pa.list_(pa.float64()))]))
+            if not len(b):
+                continue
+            ids = b["recording_id"].dictionary_encode()
+            names, at, x = ids.dictionary.to_pylist(), ids.indices.to_numpy(), matrix(b, column)
+            order = np.argsort(at, kind="stable")
+            starts = np.flatnonzero(np.diff(at[order], prepend=-1))
+            for first, stop in zip(starts, [*starts[1:], len(order)]):
+                name, own = names[at[order[first]]], x[order[first:stop]]
+                mean = own.mean(axis=0)
+                new = (len(own), mean, ((own - mean) ** 2).sum(axis=0), own.max(axis=0))
+                states[name] = merge_moments(*(np.stack(p) for p in zip(states[name], new))) if name in states else new
+                if len(states) >= _STATES:
+                    yield rows(states)
+                    states = {}
+        if states:
+            yield rows(states)
+
+    def merged(key, table):
+        state = merge_moments(table["n"].to_numpy(), *(matrix(table, c) for c in ("mean", "m2", "top")))
+        return pa.Table.from_batches([rows({key[0].as_py(): state})])
+
+    parts = frames.filter(F.col(column).isNotNull() & F.col("recording_id").isNotNull()).select("recording_id", F.col(column).cast("array<double>").alias(column)).mapInArrow(partial, _MOMENTS)
+    fans = parts.withColumn("_fan", F.spark_partition_id() % _FANS).groupBy("recording_id", "_fan").applyInArrow(merged, _MOMENTS)
+    return fans.groupBy("recording_id").applyInArrow(merged, _MOMENTS)
+
 
-    sums = frames.select("recording_id", column).mapInArrow(partial, "recording_id string, n long, m array<double>, s array<double>")
-    dims = sums.select("recording_id", "n", F.posexplode(F.arrays_zip("m", "s")).alias("dim", "x")).groupBy("recording_id", "dim").agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("x.m")) / F.sum("n")).alias("mean"), F.sum("x.s").alias("within"), F.collect_list(F.struct("n", "x.m")).alias("parts"))
-    between = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["n"] * (p["m"] - F.col("mean")) * (p["m"] - F.col("mean")))
-    stats = dims.select("recording_id", "dim", "mean", F.sqrt((F.col("within") + between) / F.col("n")).alias("std")).groupBy("recording_id").agg(F.array_sort(F.collect_list(F.struct("dim", "mean", "std"))).alias("_s"))
-    z = F.zip_with(column, "_s", lambda x, s: ((x - s["mean"]) / (s["std"] + eps)).cast("float"))
-    return frames.join(stats, "recording_id").withColumn(name, z).drop("_s")
+def normalize_features(frames: DataFrame, column: str = "features", name: str = "normalized", eps: float = 1e-8) -> DataFrame:
+    """Z-scores of each dimension within a recording, by the deviation of the population; constant dimensions give 0."""
+    of = moments(frames, column).select("recording_id", F.col("mean").alias("_mean"), F.transform("m2", lambda v: F.sqrt(v / F.col("n"))).alias("_std"))
+    z = F.zip_with(F.zip_with(column, "_mean", lambda x, m: x - m), "_std", lambda x, s: (x / (s + eps)).cast("float"))
+    return frames.join(of, "recording_id").withColumn(name, z).drop("_mean", "_std")
 
 
 # --- chunks to frames -------------------------------------------------------------------------------------------
@@ -246,7 +322,6 @@ def extract_features(chunks: DataFrame, compute_hnr: bool = True, frame_ms: int
     frames = written(frame_table(chunks, compute_hnr, frame_ms, hop_ms, n_mels), "frames")
     both = power_to_db(power_to_db(frames, "mel", "log_mel", "max"), "mel", "mel_db", 1.0)
     coefficients = mfcc(both.select("recording_id", "frame_idx", "mel_db"), "mel_db", n_mfcc)
-    slopes = delta(delta(coefficients, "mfcc", "d1", 1, "null"), "mfcc", "d2", 2, "null")
-    slopes = slopes.select("recording_id", "frame_idx", F.concat("mfcc", "d1", "d2").cast("array<float>").alias("mfcc"))
+    sloped = slopes(coefficients, "mfcc", {"d1": 1, "d2": 2}, "null").select("recording_id", "frame_idx", F.concat("mfcc", "d1", "d2").cast("array<float>").alias("mfcc"))
     rest = both.select("recording_id", "frame_idx", "time", "spectral_centroid", "spectral_rolloff", "zcr", "hnr", F.col("log_mel").cast("array<float>").alias("log_mel"))
-    return stack_features(align_frames(slopes, rest))
+    return stack_features(align_frames(sloped, rest))
