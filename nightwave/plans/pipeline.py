@@ -95,14 +95,15 @@ def run(spark: SparkSession, paths: str | list[str], out: str, scorer: windows.S
     rates = {r.sample_rate for r in recs.select("sample_rate").distinct().collect()} or {cfg.model_rate}  # a few rates
     kept = None
     for rate in sorted(rates):
-        cut = clips.cut_clips(ranges.filter(ranges.sample_rate == rate), original.filter(original.sample_rate == rate), max(1, int(chunk_seconds * rate)))
+        cut = clips.cut_pieces(ranges.filter(ranges.sample_rate == rate), original.filter(original.sample_rate == rate), max(1, int(chunk_seconds * rate)))
         kept = cut if kept is None else kept.unionByName(cut)
     kept = written(kept, "cut")
-    named = stored(clips.name_clips(clips.drop_silent(kept, cfg.min_rms)), "clips")
+    measured = written(clips.clips_of(kept), "measured")
+    named = stored(clips.name_clips(clips.drop_silent(measured, cfg.min_rms)), "clips")
     manifest = clips.manifest(named)
-    wav.write_clips(named, os.path.join(out, "wav"))
+    wav.write_pieces(named, kept, os.path.join(out, "wav"))
     wav.write_wav(clean, os.path.join(out, "wav"))
     tables.write_manifest(manifest, os.path.join(out, "manifest"))
     tables.write_recording_manifests(manifest, recs, os.path.join(out, "wav"))
-    stats = {k: stored(v, f"stats/{k}") for k, v in (found.stats() | {"cuts": clips.cut_stats(kept, cfg.min_rms)}).items()}
+    stats = {k: stored(v, f"stats/{k}") for k, v in (found.stats() | {"cuts": clips.cut_stats(measured, cfg.min_rms)}).items()}
     return Result(recs, happened, manifest, events.event_summary(happened, recs), made, stats)

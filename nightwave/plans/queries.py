@@ -314,6 +314,30 @@ def s4_clip_files(spark, sf_dir):
     return first.join(found.select("recording_id", F.col("n_channels").alias("channels")), "recording_id").withColumnRenamed("recording_id", "clip")
 
 
+def _nights(spark, sf_dir):
+    """One event over every whole recording, in pieces of a chunk."""
+    recs = chunks.recordings(views.signal(spark, sf_dir))
+    whole = recs.select("recording_id", F.lit(1).alias("event_id"), F.lit(0.0).alias("start"), F.col("duration_s").alias("end"), F.lit(0.5).alias("confidence"))
+    return clips.cut_pieces(clips.event_samples(whole, recs).drop("n_samples"), views.signal(spark, sf_dir, 2), views.CHUNK_SAMPLES)
+
+
+@query(f"WITH {views.V_SIGNAL} SELECT recording_id, i // {views.CHUNK_SAMPLES} * {views.CHUNK_SAMPLES} AS at, 2 AS channels, CAST(count(*) AS INTEGER) AS n, round(sum(amp), 6) AS total, round(sum(amp * amp * 1.25::DOUBLE), 6) AS squares FROM v_samples GROUP BY recording_id, i // {views.CHUNK_SAMPLES}")
+def k2_long_pieces(spark, sf_dir):
+    """Events as long as their recordings, a row a chunk."""
+    first = F.aggregate(F.col("samples")[0], F.lit(0.0), lambda a, b: a + b.cast("double"))
+    return _nights(spark, sf_dir).select("recording_id", "at", F.size("samples").alias("channels"), F.size(F.col("samples")[0]).alias("n"), F.round(first, 6).alias("total"), F.round("sum_squares", 6).alias("squares"))
+
+
+@query(f"""WITH {views.V_SIGNAL}, named AS (SELECT recording_id, format('{{}}_snore_clips_snore_0001', recording_id) AS clip, i // {views.RATE * _READ_S} AS chunk_id, amp FROM v_samples)
+  SELECT clip, chunk_id, CAST(count(*) AS INTEGER) AS n, round(sum(least(amp, {_TOP})), 6) AS total FROM named GROUP BY ALL""")
+def s4_long_clip_files(spark, sf_dir):
+    """Those events as files, streamed piece by piece, and the files read back."""
+    folder, pieces = _folder(spark), _nights(spark, sf_dir)
+    wav.write_pieces(clips.name_clips(clips.clips_of(pieces)), pieces, folder)
+    found = catalogue.read_chunks(catalogue.catalogue(spark, folder), _READ_S).filter("channel = 0")
+    return _summed(found).select(F.col("recording_id").alias("clip"), "chunk_id", "n", "total")
+
+
 @query(ORACLES["k4_k5_manifest"])
 def s5_manifest_csv(spark, sf_dir):
     """The manifest written as CSV and read back."""
@@ -403,7 +427,7 @@ _SLOPES = _MFCC + """,
 
 @query(f"WITH {_SLOPES} SELECT recording_id, frame_idx, c, round(d1, 5) AS d1, round(d2, 5) AS d2 FROM slopes")
 def f6_deltas(spark, sf_dir):
-    both = features.delta(features.delta(_mfcc(spark, sf_dir), "mfcc", "d1", 1), "mfcc", "d2", 2)
+    both = features.slopes(_mfcc(spark, sf_dir), "mfcc", {"d1": 1, "d2": 2})
     rows = both.select("recording_id", "frame_idx", F.posexplode(F.arrays_zip("d1", "d2")).alias("c", "x"))
     return rows.select("recording_id", "frame_idx", F.col("c").cast("long").alias("c"), F.round("x.d1", 5).alias("d1"), F.round("x.d2", 5).alias("d2"))
 

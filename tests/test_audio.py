@@ -184,6 +184,69 @@ def test_clip_rounding_silence_and_names(spark):
     assert clips.drop_silent(edge, 1e-5).count() == 3
 
 
+def test_long_clips_stay_pieces(spark, tmp_path):
+    x = RNG.uniform(-0.9, 0.9, (2, 10_000)).astype(np.float32)
+    df = chunked(spark, {"r": list(x)}, 1000, 64)
+    segs = spark.createDataFrame([("r", 1, 0.0, 10.0, 0.5), ("r", 2, 0.05, 9.999, 0.5), ("r", 3, 3.0, 3.01, 0.5)], "recording_id string, event_id int, start double, end double, confidence double")
+    ranges = clips.event_samples(segs, spark.createDataFrame([("r", 1000, 10_000)], "recording_id string, sample_rate int, n_samples long")).drop("n_samples")
+    pieces = clips.cut_pieces(ranges, df, 64)
+    assert pieces.select(F.max(F.size(F.col("samples")[0]))).first()[0] == 64  # a row is a chunk at most
+    named = clips.name_clips(clips.clips_of(pieces))
+    assert "samples" not in named.columns
+    a, b = str(tmp_path / "pieces"), str(tmp_path / "clips")
+    wav.write_pieces(named, pieces, a)
+    wav.write_clips(clips.name_clips(clips.cut_clips(ranges, df, 64)), b)
+    for k in (1, 2, 3):
+        one, two = (open(f"{d}/r/snore_clips/snore_{k:04d}.wav", "rb").read() for d in (a, b))
+        assert one == two
+    assert len(open(f"{a}/r/snore_clips/snore_0001.wav", "rb").read()) == 44 + 4 * 10_000
+    none = clips.cut_pieces(ranges.limit(0), df, 64)
+    wav.write_pieces(clips.name_clips(clips.clips_of(none)), none, str(tmp_path / "none"))
+    assert clips.clips_of(none).count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2])
+def test_slopes_do_not_depend_on_blocks(spark, order):
+    lengths = {"a": 9, "b": 10, "c": 16, "d": 17, "e": 35, "f": 64, "g": 201}
+    x = {k: RNG.normal(size=(n, 3)) for k, n in lengths.items()}
+    df = spark.createDataFrame([(k, i, v.tolist(), i * 2) for k, m in x.items() for i, v in enumerate(m)], "recording_id string, frame_idx long, x array<double>, other int").repartition(5)
+    weights = (features.SLOPE, features.CURVE)[order - 1]
+    for block in (8, 9, 16, 1024):
+        rows = features.slopes(df, "x", {"d": order}, block=block).collect()
+        assert len(rows) == sum(lengths.values()) and all(r.other == 2 * r.frame_idx for r in rows)
+        for r in rows:
+            at = min(max(r.frame_idx, 4), lengths[r.recording_id] - 5)
+            want = sum(w * x[r.recording_id][at + k] for k, w in zip(range(-4, 5), weights))
+            assert np.allclose(r.d, want, atol=1e-12), (block, r.recording_id, r.frame_idx)
+
+
+def test_slopes_of_odd_rows(spark):
+    schema = "recording_id string, frame_idx long, x array<double>"
+    for bad in ([0, 1, 2, 3, 5, 6, 7, 8, 9], [0, 1, 2, 3, 4, 4, 5, 6, 7, 8]):
+        with pytest.raises(Exception, match="gaps"):
+            features.slopes(spark.createDataFrame([("r", i, [1.0]) for i in bad], schema), "x", {"d": 1}).collect()
+    assert features.slopes(spark.createDataFrame([], schema), "x", {"d": 1, "e": 2}).count() == 0
+    short = features.slopes(spark.createDataFrame([("r", i, [1.0, 2.0]) for i in range(8)], schema), "x", {"d": 1}, "null", block=8).collect()
+    assert len(short) == 8 and all(r.d == [None, None] for r in short)
+    with pytest.raises(ValueError):
+        features.slopes(spark.createDataFrame([], schema), "x", {"d": 1}, block=7)
+
+
+def test_moments_equal_two_passes(spark):
+    x = RNG.normal(size=(5000, 4)) * [1, 1e-3, 1e6, 0] + [0, 1e6, -1e9, 7]
+    ids = np.where(RNG.random(5000) < 0.6, "hot", RNG.integers(0, 400, 5000).astype(str))
+    df = spark.createDataFrame([(str(i), k, v.tolist()) for k, (i, v) in enumerate(zip(ids, x))] + [("none", 0, None)], "recording_id string, frame_idx long, features array<double>").repartition(7)
+    got = {r.recording_id: r for r in features.moments(df, "features").collect()}
+    assert set(got) == set(map(str, ids))  # more recordings than a task keeps states of
+    for k, r in got.items():
+        own = x[ids == k]
+        assert r.n == len(own) and np.array_equal(r.top, own.max(axis=0))
+        assert np.allclose(r.mean, own.mean(axis=0), rtol=1e-12) and np.allclose(np.array(r.m2) / r.n, own.var(axis=0), rtol=1e-6, atol=1e-18)
+    z = features.normalize_features(df.filter("recording_id = 'hot'")).select("normalized").toPandas()["normalized"]
+    z = np.stack(z)
+    assert np.allclose(z.mean(axis=0), 0, atol=1e-4) and np.allclose(z[:, :3].std(axis=0), [1, 1 / (1 + 1e-5), 1], atol=1e-3) and not z[:, 3].any()
+
+
 def test_frame_parameters(spark):
     want = {8000: (200, 80, 512), 11_025: (275, 110, 1024), 16_000: (400, 160, 1024), 22_050: (551, 220, 2048), 44_100: (1102, 441, 4096), 48_000: (1200, 480, 4096)}
     df = spark.createDataFrame([(r,) for r in want], "sample_rate int").select("sample_rate", *features.frame_params())
