@@ -88,11 +88,23 @@ def dct_matrix(n: int, keep: int) -> np.ndarray:
     return out
 
 
+#: Bytes of neighbours that a running median lays out at a time.
+MEDIAN_BYTES = 16 << 20
+
+
 def running_median(x: np.ndarray, width: int, axis: int) -> np.ndarray:
-    """Median of `width` (odd) neighbours along an axis, mirrored at the ends."""
-    pad = [(0, 0)] * x.ndim
-    pad[axis] = (width // 2, width // 2)
-    return np.median(np.lib.stride_tricks.sliding_window_view(np.pad(x, pad, mode="symmetric"), width, axis=axis), axis=-1)
+    """Median of `width` (odd) neighbours along an axis of a matrix, mirrored at the ends; lines are taken in slabs, so memory does not grow with the width."""
+    lines = np.ascontiguousarray(x if axis == 1 else x.T)
+    padded = np.pad(lines, ((0, 0), (width // 2, width // 2)), mode="symmetric")
+    out = np.empty_like(lines)
+    # a slab is a stretch of lines, and of a long line a stretch of its places
+    places = max(1, min(lines.shape[1], MEDIAN_BYTES // (width * x.itemsize)))
+    step = max(1, MEDIAN_BYTES // (width * x.itemsize * places))
+    for a in range(0, lines.shape[0], step):
+        for b in range(0, lines.shape[1], places):
+            near = np.lib.stride_tricks.sliding_window_view(padded[a:a + step, b:b + places + width - 1], width, axis=1)
+            out[a:a + step, b:b + places] = np.partition(near, width // 2, axis=-1)[..., width // 2]
+    return out if axis == 1 else out.T
 
 
 def inverse(spec: np.ndarray, window: np.ndarray, hop: int, length: int) -> np.ndarray:

@@ -255,6 +255,11 @@ def _clips(spark, sf_dir):
     return clips.cut_clips(_ranges(spark, sf_dir).drop("n_samples"), views.signal(spark, sf_dir, 2), views.CHUNK_SAMPLES)
 
 
+def _measured(spark, sf_dir):
+    """Clips without their samples: what is exchanged are sums of squares."""
+    return clips.clips_of(clips.cut_pieces(_ranges(spark, sf_dir).drop("n_samples"), views.signal(spark, sf_dir, 2), views.CHUNK_SAMPLES))
+
+
 _CUT = views.V_SEGMENTS + """,
   cut AS (
     SELECT r.recording_id, event_id, start, "end", confidence, s, e, round(sum(amp), 6) AS total, sum(amp * amp * 1.25::DOUBLE) AS squares, 2 * count(*) AS n_values, sqrt(sum(amp * amp * 1.25::DOUBLE) / (2 * count(*))) AS rms
@@ -276,14 +281,14 @@ def k2_cut_clips(spark, sf_dir):
 
 @query(f"WITH {_CUT} SELECT recording_id, CAST(event_id AS INTEGER) AS event_id, round(rms, 6) AS rms FROM cut WHERE rms >= {_QUIET}")
 def k3_drop_silent(spark, sf_dir):
-    return _six(clips.drop_silent(_clips(spark, sf_dir), _QUIET), "rms").select("recording_id", "event_id", "rms")
+    return _six(clips.drop_silent(_measured(spark, sf_dir), _QUIET), "rms").select("recording_id", "event_id", "rms")
 
 
 @query(f"""WITH {_CUT}
   SELECT recording_id, format('snore_{{:04d}}.wav', row_number() OVER (PARTITION BY recording_id ORDER BY event_id)) AS clip_file, round(start, 4) AS start_time, round("end", 4) AS end_time, round((e - s) / 1000.0::DOUBLE, 4) AS duration, confidence
   FROM cut WHERE rms >= {_QUIET}""")
 def k4_k5_manifest(spark, sf_dir):
-    return clips.manifest(clips.name_clips(clips.drop_silent(_clips(spark, sf_dir), _QUIET)))
+    return clips.manifest(clips.name_clips(clips.drop_silent(_measured(spark, sf_dir), _QUIET)))
 
 
 #: Two seconds a chunk; the file's 16 bits end below one.
@@ -349,7 +354,7 @@ def s5_manifest_csv(spark, sf_dir):
 
 @query(f"WITH {_CUT} SELECT recording_id, count(*) FILTER (rms >= {_QUIET}) AS n_saved, count(*) FILTER (rms < {_QUIET}) AS n_silent, round(coalesce(sum((e - s) / 1000.0::DOUBLE) FILTER (rms >= {_QUIET}), 0), 4) AS saved_s FROM cut GROUP BY ALL")
 def k6_cut_stats(spark, sf_dir):
-    return clips.cut_stats(_clips(spark, sf_dir), _QUIET)
+    return clips.cut_stats(_measured(spark, sf_dir), _QUIET)
 
 
 # --- features of frames of 64 samples at 1000 Hz -------------------------------------------------------------------

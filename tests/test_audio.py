@@ -309,6 +309,24 @@ def test_harmonic_part_of_a_tone():
     assert ((x - h)[2000:-2000] ** 2).mean() < 0.05 * (x**2).mean()
 
 
+def test_running_medians_in_little_memory(monkeypatch):
+    for shape in ((1, 1), (5, 40), (40, 5), (70, 33)):
+        x = RNG.integers(0, 9, shape).astype(float)
+        for axis in (0, 1):
+            pad = [(0, 0), (0, 0)]
+            pad[axis] = (15, 15)
+            held = np.pad(x, pad, mode="symmetric")
+            want = np.stack([np.median(held.take(range(i, i + 31), axis), axis) for i in range(shape[axis])], axis)
+            for size in (1, 31 * 8 * 7, 16 << 20):
+                monkeypatch.setattr(kernels, "MEDIAN_BYTES", size)
+                assert np.array_equal(kernels.running_median(x, 31, axis), want)
+    x = RNG.normal(size=(2000, 1025))
+    tracemalloc.start()
+    kernels.running_median(x, 31, 0)
+    assert tracemalloc.get_traced_memory()[1] < 6 * x.nbytes  # all neighbours at once are 31 times as much
+    tracemalloc.stop()
+
+
 def write(path, x, rate, kind="pcm16", extra=b""):
     body = {"pcm16": lambda: (np.clip(np.rint(x * 32768), -32768, 32767)).astype("<i2").tobytes(), "float": lambda: x.astype("<f4").tobytes()}[kind]()
     width = 2 if kind == "pcm16" else 4
