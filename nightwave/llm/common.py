@@ -21,7 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _SCRATCH: list[list[str]] = []
 
 
-def _delete(spark: SparkSession, path: str, now: bool) -> None:
+def delete(spark: SparkSession, path: str, now: bool = True) -> None:
+    """Delete a folder now or when the application ends."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.delete(hadoop, True) if now else files.deleteOnExit(hadoop)
@@ -35,7 +36,7 @@ def scratch(spark: SparkSession):
         yield
     finally:
         for path in _SCRATCH.pop():
-            _delete(spark, path, True)
+            delete(spark, path, True)
 
 
 def new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
@@ -43,7 +44,7 @@ def new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if _SCRATCH and not lasting:
         _SCRATCH[-1].append(path)
-    _delete(spark, path, False)
+    delete(spark, path, False)
     return path
 
 

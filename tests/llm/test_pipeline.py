@@ -81,3 +81,18 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
             known = lambda found: sorted((r[0], r[1], r[5] or -1, r[6] or -1) for r in found if r[0] not in (None, 40))
             assert known(out.collect()) == known(rows)
         assert out.count() == (len(rows) - 1 if name == "exact dedup" else len(rows)), name  # a null text equals the empty one
+
+
+def test_tables_of_stages_go_as_the_next_is_written(spark, tmp_path):
+    import os
+
+    from nightwave.sources.shared import shared_dir
+
+    docs = [(i, f"text number {i} of many texts", "en", "s", 5) for i in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    left = {n.split("-")[0] for n in set(os.listdir(folder)) - before}
+    assert got.count() == 20 and "mixing" in left and not left & {"toxicity", "exact_dedup", "near_dedup"}
