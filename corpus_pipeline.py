@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightwave.llm import bag_minhash, byte_bpe, exact_dedup, mixing, toxicity
-from nightwave.llm.common import table, written
+from nightwave.llm.common import delete, new_path, scratch, table
 from nightwave.llm.queries import RANK_FILE
 
 
@@ -50,7 +50,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's tables are deleted when its result is written, and that when the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        path = new_path(spark, name.replace(" ", "_"), lasting=True)
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
