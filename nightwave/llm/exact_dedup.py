@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -101,14 +101,20 @@ def indexed(digests: DataFrame, index: DigestIndex, batches: int = BATCHES) -> D
     return index.groups(digests)
 
 
-def exact_groups(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs; of equal texts the largest doc_id stays."""
+def _written_groups(docs: DataFrame, index: DigestIndex | None, batches: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id and digest of every row, and `DigestIndex.groups` of them, both written; an index of its own has buckets by the number of rows and leaves the catalog."""
     digests = written(docs.select("doc_id", digest_of().alias("digest")), "digests")
     own = index is None
     index = index or DigestIndex(docs.sparkSession, buckets=max(BUCKETS, digests.count() // BUCKET_ROWS + 1))
     groups = written(indexed(digests, index, batches), "groups")
     if own:
         index.forget()
+    return digests, groups
+
+
+def exact_groups(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs; of equal texts the largest doc_id stays."""
+    digests, groups = _written_groups(docs, index, batches)
     # the groups were written without buckets: both sides are exchanged by the session's number of partitions, and
     # adaptive execution can split a digest that is a third of all rows
     return digests.hint("merge").join(groups, "digest").select(
@@ -118,12 +124,11 @@ def exact_groups(docs: DataFrame, index: DigestIndex | None = None, batches: int
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
     """The rows of docs that stay, with the columns of docs.
 
-    Whole rows move once, by (digest, doc_id), repeated ones reduced before; as the key has the doc_id no digest is hot.
+    Whole rows move once, by (digest, doc_id); as the key has the doc_id no digest is hot. Rows that repeat both, or that have
+    one text and no doc_id, are reduced to one in the task that reads them, so that they are no hot key either.
     """
-    index = index or DigestIndex(docs.sparkSession)
-    groups = indexed(written(docs.select("doc_id", digest_of().alias("digest")), "digests"), index, batches)
-    sha, of, order = (f"{n}_{uuid.uuid4().hex}" for n in ("sha", "of", "order"))
-    keyed = docs.withColumns({sha: digest_of(), of: F.struct("doc_id")})  # a struct of a null equals another
-    one = keyed.withColumn(order, F.row_number().over(Window.partitionBy(sha, of).orderBy(sha))).filter(F.col(order) == 1)
+    _, groups = _written_groups(docs, index, batches)
+    sha, of = (f"{n}_{uuid.uuid4().hex}" for n in ("sha", "of"))
+    one = docs.withColumns({sha: digest_of(), of: F.struct("doc_id")}).dropDuplicates([sha, of])  # a struct of a null equals another
     stay = groups.select(F.col("digest").alias(sha), F.struct(F.col("keep_id").alias("doc_id")).alias(of))
     return one.join(stay, [sha, of], "left_semi").select(*docs.columns)

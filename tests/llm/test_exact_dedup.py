@@ -129,4 +129,14 @@ def test_own_indexes_leave_no_catalog_entry(spark):
     exact_groups(spark.createDataFrame(ROWS, SCHEMA)).collect()
     before = {t.name for t in spark.catalog.listTables()}
     exact_groups(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    deduplicate(spark.createDataFrame(ROWS, SCHEMA)).collect()
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_repeated_rows_and_null_ids_are_reduced_before_they_move(spark):
+    docs = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN id + 100 END AS doc_id", "CASE WHEN id % 3 = 1 THEN concat('text ', id) WHEN id % 3 = 0 THEN 'hot' ELSE 'null' END AS text", "id AS extra")
+    got = deduplicate(docs)
+    rows = got.collect()
+    assert len(rows) == 10_002 and sorted(r.text for r in rows if r.doc_id in (7, None)) == ["hot", "null"]
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "partial_first" in plan and "Window" not in plan
