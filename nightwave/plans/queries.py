@@ -619,6 +619,78 @@ def e11_detect_segments(spark, sf_dir):
     return pipeline.detect_segments(views.signal(spark, sf_dir), _stretch_levels, views.class_labels(spark, sf_dir), cfg, TARGET, BREATH)
 
 
+#: Frames of 25 samples each 10, windowed in the middle of 64; bands of 128 between 20 and 500 Hz, evenly spaced below 1000 Hz.
+_WIDE = 480.0 / 129
+_WHOLE_FRAMES = views.V_SIGNAL + f""",
+  waves AS (
+    SELECT k, list_transform(range(25), lambda i: (0.5 - 0.5 * cos(2 * pi() * i / 25)) * cos(2 * pi() * i * k / 64)) AS re, list_transform(range(25), lambda i: (0.5 - 0.5 * cos(2 * pi() * i / 25)) * sin(2 * pi() * i * k / 64)) AS im FROM range(33) r(k)),
+  shapes AS (SELECT list_transform(range(128), lambda b: list_transform(range(33), lambda k: greatest(0, least((k * {_HZ} - 20) / {_WIDE} - b, b + 2 - (k * {_HZ} - 20) / {_WIDE})) / {_WIDE})) AS bank, list(re ORDER BY k) AS res, list(im ORDER BY k) AS ims FROM waves),
+  cut_frames AS (
+    SELECT CAST(doc_id AS VARCHAR) AS recording_id, f AS frame_idx, f * 10 AS c, length(text) AS n,
+           list_transform(string_split(substring(text, greatest(0, f * 10 - 13) + 1, least(length(text), f * 10 + 12) - greatest(0, f * 10 - 13)), ''), lambda ch: (unicode(ch) - 96) / 128.0::DOUBLE) AS own,
+           list_transform(string_split(substring(text, greatest(0, f * 10 - 12) + 1, least(length(text), f * 10 + 13) - greatest(0, f * 10 - 12)), ''), lambda ch: (unicode(ch) - 96) / 128.0::DOUBLE < -1e-10) AS below
+    FROM documents, LATERAL (SELECT unnest(range((length(text) - 1) // 10 + 1)) AS f) WHERE length(text) > 0),
+  framed AS (SELECT *, list_concat(list_transform(range(greatest(0, 13 - c)), lambda i: 0.0::DOUBLE), own, list_transform(range(greatest(0, c + 12 - n)), lambda i: 0.0::DOUBLE)) AS x FROM cut_frames),
+  whole_mags AS (
+    SELECT f.*, list_transform(range(1, 34), lambda k: sqrt(pow(list_dot_product(x, res[k]), 2) + pow(list_dot_product(x, ims[k]), 2))) AS m, bank FROM framed f, shapes),
+  whole AS (
+    SELECT recording_id, frame_idx, m, list_sum(m) AS total, list_dot_product(m, list_transform(range(33), lambda k: k * {_HZ}::DOUBLE)) AS weighted,
+           list_transform(range(1, 129), lambda b: list_dot_product(list_transform(m, lambda v: v * v), bank[b])) AS mel,
+           coalesce(list_sum(list_transform(range(2, len(below) + 1), lambda i: CAST(below[i] <> below[i - 1] AS INTEGER))), 0) / 25.0::DOUBLE AS zcr FROM whole_mags)"""
+
+
+@query(f"""WITH {_WHOLE_FRAMES},
+  tops AS (SELECT recording_id, greatest(max(list_max(mel)), 1e-10) AS top, max(frame_idx) AS last FROM whole GROUP BY ALL),
+  levels AS (
+    SELECT w.*, last, list_sum(list_transform(mel, lambda p: greatest(10 * log10(greatest(p, 1e-10)), 10 * log10(top) - 80))) / sqrt(128.0::DOUBLE) AS c0, greatest(10 * log10(greatest(list_max(mel), 1e-10) / top), -80) AS loud,
+           greatest(10 * log10(greatest(list_min(mel), 1e-10) / top), -80) AS soft FROM whole w JOIN tops USING (recording_id)),
+  ramps AS (SELECT s.recording_id, s.frame_idx, sum((o.frame_idx - s.frame_idx) / 60.0::DOUBLE * o.c0) AS d1 FROM levels s JOIN levels o ON o.recording_id = s.recording_id AND o.frame_idx BETWEEN s.frame_idx - 4 AND s.frame_idx + 4 WHERE s.frame_idx BETWEEN 4 AND s.last - 4 GROUP BY ALL)
+  SELECT l.recording_id, l.frame_idx, l.frame_idx * 10 / 1000.0::DOUBLE AS time, round(coalesce(weighted / nullif(total, 0), 0), 5) AS centroid, zcr, round(CAST(c0 AS FLOAT)::DOUBLE, 2) AS c0, round(CAST(d1 AS FLOAT)::DOUBLE, 2) AS d1, round(CAST(loud AS FLOAT)::DOUBLE, 2) AS loud, round(CAST(soft AS FLOAT)::DOUBLE, 2) AS soft
+  FROM levels l LEFT JOIN ramps r ON r.recording_id = l.recording_id AND r.frame_idx = least(greatest(l.frame_idx, 4), l.last - 4)""")
+def f16_features(spark, sf_dir):
+    """Every recording through the whole of feature extraction, without the harmonic part: a value of each kind."""
+    out = features.extract_features(_whole(spark, sf_dir), compute_hnr=False)
+    two = lambda c: F.round(c.cast("double"), 2)
+    return out.select("recording_id", "frame_idx", "time", F.round("spectral_centroid", 5).alias("centroid"), "zcr",
+                      two(F.col("features")[0]).alias("c0"), two(F.col("features")[40]).alias("d1"), two(F.array_max("log_mel")).alias("loud"), two(F.array_min("log_mel")).alias("soft"))
+
+
+@query(f"""WITH {_MAGS}, levels AS (SELECT recording_id, frame_idx, round(sqrt(list_sum(list_transform(x, lambda v: v::DOUBLE * v::DOUBLE)) / 64), 6) AS rms FROM v_frames)
+  SELECT recording_id, frame_idx, {views.RATE} AS sample_rate, 10 AS hop_length, round(coalesce(sum(m * k * {_HZ}) / nullif(sum(m), 0), 0), 5) AS centroid, rms FROM mags JOIN levels USING (recording_id, frame_idx) GROUP BY ALL""")
+def s6_feature_tables(spark, sf_dir):
+    """Two features as tables of as many buckets, read back and joined where they lie."""
+    recs = views.frames(spark, sf_dir).select("recording_id", F.lit(views.RATE).alias("sample_rate")).distinct()
+    made = {"centroid": f7_centroid(spark, sf_dir), "rms": f10_frame_rms(spark, sf_dir)}
+    base, other = (tables.write_features(df, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", recs, buckets=8) for name, df in made.items())
+    return features.align_frames(base, other.select("recording_id", "frame_idx", "rms"))
+
+
+#: What detection finds in the view's files: 16 bits end below one, and the classes of both groups have labels that the default keywords mark.
+_FILED = _DETECT.replace("(unicode(ch) - 96) / 128.0::DOUBLE AS amp", f"least((unicode(ch) - 96) / 128.0::DOUBLE, {_TOP}) AS amp", 1)
+
+
+@query(f"""WITH {_FILED},
+  ranged AS (SELECT *, greatest(s + 1, least(CAST(round_even("end" * 1000, 0) AS BIGINT), n_samples)) AS e FROM (
+    SELECT *, greatest(0, least(CAST(round_even(start * 1000, 0) AS BIGINT), n_samples - 1)) AS s FROM found JOIN v_signal_recordings USING (recording_id))),
+  loud AS (SELECT r.recording_id, event_id, start, "end", confidence, s, e FROM ranged r JOIN v_samples v ON v.recording_id = r.recording_id AND v.i >= s AND v.i < e GROUP BY ALL HAVING sqrt(avg(amp * amp)) >= 1e-5)
+  SELECT recording_id, format('snore_{{:04d}}.wav', row_number() OVER (PARTITION BY recording_id ORDER BY event_id)) AS clip_file, round(start, 4) AS start_time, round("end", 4) AS end_time, round((e - s) / 1000.0::DOUBLE, 4) AS duration, confidence FROM loud""")
+def p1_manifest(spark, sf_dir):
+    """Every recording as a file, and the whole pipeline over the files: the manifest of the clips that it wrote."""
+    from nightwave.config import Config
+
+    folder = _folder(spark)
+    wav.write_wav(views.signal(spark, sf_dir), f"{folder}/in", "")
+    label = F.replace(F.replace("label", F.lit("ring"), F.lit("snor-breath")), F.lit("bolt"), F.lit("wheez"))
+    cfg = Config(window_s=0.4, stride_s=0.1, model_rate=views.RATE, threshold=0.02, denoise_method="model", skip_features=True)
+    made = pipeline.run(spark, f"{folder}/in", f"{folder}/out", _stretch_levels, views.class_labels(spark, sf_dir).withColumn("label", label), cfg, _unchanged, chunk_seconds=_READ_S)
+    return made.manifest
+
+
+def _unchanged(x: np.ndarray, row: dict) -> np.ndarray:
+    """A stand-in for a denoiser that takes nothing away."""
+    return x
+
+
 @query()
 def f11_f16_features(spark, sf_dir):
     """Every recording, the harmonic part included; those of fewer than nine frames have null slopes."""

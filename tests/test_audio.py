@@ -309,6 +309,76 @@ def test_harmonic_part_of_a_tone():
     assert ((x - h)[2000:-2000] ** 2).mean() < 0.05 * (x**2).mean()
 
 
+def plain_filter(x, n, hop, share):
+    """x through transforms written out, each bin of each frame times share(magnitudes)."""
+    window = np.array([0.5 - 0.5 * np.cos(2 * np.pi * i / n) for i in range(n)])
+    wave = np.exp(-2j * np.pi * np.outer(np.arange(n // 2 + 1), np.arange(n)) / n)
+    twice = np.array([1] + [2] * (n // 2 - 1) + [1])
+    held = np.concatenate([np.zeros(n // 2), x.astype(float), np.zeros(n // 2)])
+    starts = range(0, len(x) + 1, hop)
+    spec = np.stack([wave @ (held[a:a + n] * window) for a in starts])
+    spec = spec * share(np.abs(spec))
+    total, weight = np.zeros(len(held)), np.zeros(len(held))
+    for a, f in zip(starts, spec):
+        total[a:a + n] += (np.conj(wave).T @ (f * twice)).real / n * window
+        weight[a:a + n] += window**2
+    return np.where(weight > 1e-8, total / np.maximum(weight, 1e-8), 0)[n // 2:n // 2 + len(x)]
+
+
+def test_hnr_equals_a_plain_computation(spark):
+    def share(m):
+        def medians(axis):
+            held = np.pad(m, [(15, 15) if a == axis else (0, 0) for a in (0, 1)], mode="symmetric")
+            return np.stack([np.median(held.take(range(i, i + 31), axis), axis) for i in range(m.shape[axis])], axis)
+
+        return medians(0) ** 2 / (medians(0) ** 2 + (3 * medians(1)) ** 2)
+
+    h = plain_filter(SIGNAL, 2048, 512, share)
+    got = {r.frame_idx: r.hnr for r in features.frame_table(chunked(spark, {"a": SIGNAL[None]}, 8000, 2500)).collect()}
+    assert len(got) == 113
+    for k, hnr in got.items():
+        near = [i for i in range(k * 80 - 100, k * 80 + 100) if 0 <= i < len(SIGNAL)]  # frames of 200 samples, zeros beyond
+        kept, rest = (h[near] ** 2).sum() / 200, ((SIGNAL[near] - h[near]) ** 2).sum() / 200
+        assert hnr == pytest.approx(10 * np.log10((kept + 1e-10) / (rest + 1e-10)), abs=1e-3)
+
+
+def test_the_gate_equals_a_plain_computation(spark):
+    def share(m):
+        level = np.stack([m[max(0, i - 32):i + 33].mean(axis=0) for i in range(len(m))])
+        return 1 - 0.8 * (1 - 1 / (1 + np.exp(-np.clip(((m - level) / np.maximum(level, 1e-10) - 2) * 10, -50, 50))))
+
+    want = plain_filter(SIGNAL, 1024, 256, share)
+    got = joined(denoise.denoise(chunked(spark, {"a": SIGNAL[None]}, 8000, 2500), "spectral", prop_decrease=0.8))
+    assert np.allclose(got["a", 0], want, atol=1e-5) and np.abs(want - SIGNAL).max() > 0.05
+
+
+def test_feature_tables_are_joined_where_they_lie(spark, tmp_path):
+    recs = spark.createDataFrame([("a", 8000, 80 * 3000), ("b", 16_000, 160 * 500), ("none", 8000, 0)], "recording_id string, sample_rate int, n_samples long")
+    frames = spark.createDataFrame([("a", k, float(k)) for k in range(3000)] + [("b", k, -float(k)) for k in range(500)] + [(None, 0, 0.0), ("a", None, 0.0)], "recording_id string, frame_idx long, x double").repartition(5)
+    one = tables.write_features(frames, f"{tmp_path}/one", recs)
+    two = tables.write_features(frames.withColumnRenamed("x", "y"), f"{tmp_path}/two", recs)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        both = features.align_frames(one, two.select("recording_id", "frame_idx", "y"))
+        rows = both.collect()
+        plan = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert len(rows) == 3500 and all(r.x == r.y and (r.sample_rate, r.hop_length) == ((8000, 80) if r.recording_id == "a" else (16_000, 160)) for r in rows)
+    # a long recording is in all buckets
+    assert len({f for f in one.filter("recording_id = 'a'").select(F.input_file_name()).distinct().collect()}) == 8
+    # without its catalog entry, as in another application, and written anew with other buckets
+    for t in spark.catalog.listTables():
+        if t.name.startswith("frame_features_"):
+            spark.sql(f"DROP TABLE {t.name}")
+    assert sorted(tables.read_features(spark, f"{tmp_path}/one").collect()) == sorted(one.collect())
+    again = tables.write_features(frames.filter("recording_id = 'b'"), f"{tmp_path}/one", recs, buckets=3)
+    assert again.count() == 500 == tables.read_features(spark, f"file:{tmp_path}/one").count()
+    assert tables.write_features(frames.limit(0), f"{tmp_path}/empty", recs.limit(0)).count() == 0
+
+
 def test_running_medians_in_little_memory(monkeypatch):
     for shape in ((1, 1), (5, 40), (40, 5), (70, 33)):
         x = RNG.integers(0, 9, shape).astype(float)
