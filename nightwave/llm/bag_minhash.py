@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from nightwave.llm.common import map_batches, scratch, text_of, written
 
-WORDS, BANDS, ROWS, BINS, BLOCK = 5, 25, 5, 32, 512
+WORDS, BANDS, ROWS, BINS, BLOCK, PIECE = 5, 25, 5, 32, 512, 8
 #: Similarity as a fraction of whole numbers, so that a tie at 0.8 is decided exactly.
 LEAST = (4, 5)
 #: Words handled at once in a task, but for a single longer text.
@@ -216,11 +216,24 @@ def _shared(open_nodes: DataFrame, bag: DataFrame) -> DataFrame:
     return whole.select("node", bins.alias("bins")).withColumn("common", F.aggregate("bins", F.lit(0), lambda s, x: s + x))
 
 
+def _in_pieces(pairs: DataFrame) -> DataFrame:
+    """The written pairs (a, b) with `piece` and `pieces`: those of one b are dealt out to pieces of about `PIECE` pairs."""
+    pieces = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
+    return pairs.join(pieces, "b").withColumn("piece", F.pmod(F.xxhash64("a"), F.col("pieces")).cast("int"))
+
+
 def _linked(pairs: DataFrame, bag: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose multisets are similar enough, with the other columns of pairs."""
-    x, y = bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), bag.select(F.col("node").alias("b"), F.col("bag").alias("y"))
+    """The pairs (a, b) whose multisets are similar enough, with the other columns of pairs.
+
+    A pivot is the b of all its group, so the multisets of the group meet a copy of its own in pieces: they are even shares
+    of the tasks as they are, and need not be cut out of one task's share of them.
+    """
+    dealt = _in_pieces(written(pairs, "pairs"))
+    x = bag.select(F.col("node").alias("a"), F.col("bag").alias("x"))
+    y = (dealt.select("b", "pieces").distinct().join(bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
+         .select("b", "y", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")))
     both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(x, "a").join(y, "b").filter(_enough(both, F.size("x"), F.size("y"))).drop("x", "y")
+    return dealt.join(x, "a").join(y, ["b", "piece"]).filter(_enough(both, F.size("x"), F.size("y"))).select("a", *[c for c in pairs.columns if c != "a"])
 
 
 def _enough(overlap, n, m):

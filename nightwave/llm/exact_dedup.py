@@ -79,7 +79,8 @@ class DigestIndex:
         self._open(batch.schema["doc_id"].dataType.simpleString())
         seen = batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
         fresh = seen.hint("merge").join(self.rows(), "digest", "left_anti")
-        fresh.repartition(self.buckets, "digest").select("digest", "keep_id").write.insertInto(self.name)
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))  # as Spark has it: a task writes the file of one bucket
+        fresh.repartitionById(self.buckets, bucket).select("digest", "keep_id").write.insertInto(self.name)
 
     def groups(self, digests: DataFrame) -> DataFrame:
         """digest, keep_id (the document that stays for it, from these or earlier rows), group_size (rows here) of each digest."""

@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from nightwave.llm.bag_minhash import _FIND, bags, near_groups, signatures, sketch, without_near_copies
+from nightwave.llm.bag_minhash import _FIND, _linked, bags, near_groups, signatures, sketch, without_near_copies
 
 SCHEMA = "doc_id long, text string, class_id string, n int"
 
@@ -102,3 +102,30 @@ def test_bags_are_multisets(spark):
     got = {r.node: set(r.bag) for r in bags(keyed.select("node", "text", "bag_a", "bag_b")).collect()}
     assert len(got[1]) == 6 and len(got[1] & got[2]) == 1 and len(got[3]) == 1
     assert bags(keyed.select("node", "text", "bag_a", (keyed.bag_b + 1).alias("bag_b"))).count() == 0
+
+
+def test_the_group_of_a_pivot_is_dealt_out_evenly(spark):
+    """Pairs of one pivot: all that are similar are found, by about as many tasks as there are partitions though small partitions are split."""
+    rng = np.random.default_rng(0)
+    base = rng.integers(-2**62, 2**62, 400)
+    rows = [(0, base.tolist())] + [(i, np.concatenate([base[i % 60:], rng.integers(-2**62, 2**62, i % 60)]).tolist()) for i in range(1, 601)]
+    bag = spark.createDataFrame(rows, "node long, bag array<long>")
+    pairs = spark.createDataFrame([(i, 0, 9) for i in range(1, 601)] + [(1, 2, 3)], "a long, b long, meets long")
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("linked", "linked")
+        got = {(r.a, r.b, r.meets) for r in _linked(pairs, bag).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    sets = {i: set(b) for i, b in rows}
+    similar = lambda a, b: len(sets[a] & sets[b]) * 9 >= (len(sets[a]) + len(sets[b])) * 4
+    assert got == {(i, 0, 9) for i in range(1, 601) if similar(i, 0)} | ({(1, 2, 3)} if similar(1, 2) else set())
+    seen = spark.sparkContext.statusTracker()
+    most = max(seen.getStageInfo(s).numTasks for j in seen.getJobIdsForGroup("linked") for s in seen.getJobInfo(j).stageIds if seen.getStageInfo(s))
+    assert most <= 40, most

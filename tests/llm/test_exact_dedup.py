@@ -140,3 +140,16 @@ def test_repeated_rows_and_null_ids_are_reduced_before_they_move(spark):
     assert len(rows) == 10_002 and sorted(r.text for r in rows if r.doc_id in (7, None)) == ["hot", "null"]
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "partial_first" in plan and "Window" not in plan
+
+
+def test_a_batch_adds_a_file_a_bucket_however_many_partitions_there_are(spark, monkeypatch, tmp_path):
+    from pyspark.sql import DataFrame
+
+    dealt = DataFrame.repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda self, n, *by: dealt(self, max(n, 40), *by))
+    index = DigestIndex(spark, buckets=4, path=f"{tmp_path}/index")
+    for low in (0, 500):
+        index.add(spark.range(low, low + 600).selectExpr("id doc_id", "cast(id as string) text").select("doc_id", digest_of().alias("digest")))
+    assert sum(n.startswith("part-") for n in os.listdir(f"{tmp_path}/index")) == 8
+    assert index.rows().count() == 1100 == index.rows().select("digest").distinct().count()
+    index.forget()
