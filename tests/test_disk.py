@@ -37,7 +37,7 @@ def test_packed_samples_are_the_same_bit_by_bit():
 
 
 #: Bytes a sample of what is exchanged and stored by a query.
-LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0}
+LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0}
 
 
 @pytest.mark.parametrize("name", LIMITS)
