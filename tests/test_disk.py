@@ -1,6 +1,7 @@
 """What queries exchange and leave in the shared folder, in bytes a sample."""
 import os
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def stored(spark):
 def letters(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("letters"))
     rng = np.random.default_rng(5)
-    docs = [(k, "".join(map(chr, rng.integers(97, 123, 3000 + k)))) for k in range(60)]
+    docs = [(k, "".join(map(chr, rng.integers(97, 123, 3000 + k) + 64 * (k % 2)))) for k in range(60)]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(k, f"bolt ring {k}") for k in range(64)], "p_partkey long, p_name string").write.parquet(f"{path}/part.parquet")
     return path, sum(len(t) for _, t in docs)
@@ -37,7 +38,7 @@ def test_packed_samples_are_the_same_bit_by_bit():
 
 
 #: Bytes a sample of what is exchanged and stored by a query.
-LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0, "c8_denoise_fallback": 6.0}
+LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0, "c8_denoise_fallback": 6.0, "s4_clip_files": 7.0}
 
 
 @pytest.mark.parametrize("name", LIMITS)
@@ -48,3 +49,20 @@ def test_samples_move_in_few_bytes(spark, letters, name):
     spent = (exchanged(spark) + stored(spark) - before) / n
     print(name, spent)
     assert spent < LIMITS[name]
+
+
+@pytest.mark.parametrize("name", ["s4_clip_files"])
+def test_files_of_a_query_are_on_disk_a_share_at_a_time(spark, letters, monkeypatch, name):
+    path, _ = letters
+    files = []
+    monkeypatch.setattr(queries, "_SHARE", 1 << 18)
+    found = queries.catalogue.catalogue
+    monkeypatch.setattr(queries.catalogue, "catalogue", lambda s, folder: files.append(sum(len(f) for *_, f in os.walk(folder))) or found(s, folder))
+    got = sorted(map(tuple, queries.QUERIES[name](spark, path).collect()))
+    db = duckdb.connect()
+    for t in ("documents", "part"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet/*.parquet')")
+    cols = queries.QUERIES[name](spark, path).columns
+    assert got == sorted(db.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLES[name]})").fetchall())
+    assert len(files) > 2 and max(files) < 0.8 * sum(files[:len(files) // 2])
+    assert not [d for d in os.listdir(shared_dir(spark).removeprefix("file:")) if d.startswith("wav-")]
