@@ -38,7 +38,7 @@ def test_packed_samples_are_the_same_bit_by_bit():
 
 
 #: Bytes a sample of what is exchanged and stored by a query.
-LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0, "c8_denoise_fallback": 6.0, "s4_clip_files": 7.0, "s4_long_clip_files": 7.0}
+LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0, "c8_denoise_fallback": 6.0, "s4_clip_files": 7.0, "s4_long_clip_files": 7.0, "s1_s3_wav_files": 2.5}
 
 
 @pytest.mark.parametrize("name", LIMITS)
@@ -51,7 +51,7 @@ def test_samples_move_in_few_bytes(spark, letters, name):
     assert spent < LIMITS[name]
 
 
-@pytest.mark.parametrize("name", ["s4_clip_files", "s4_long_clip_files"])
+@pytest.mark.parametrize("name", ["s1_s3_wav_files", "s4_clip_files", "s4_long_clip_files"])
 def test_files_of_a_query_are_on_disk_a_share_at_a_time(spark, letters, monkeypatch, name):
     path, _ = letters
     files = []
