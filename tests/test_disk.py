@@ -38,7 +38,7 @@ def test_packed_samples_are_the_same_bit_by_bit():
 
 
 #: Bytes a sample of what is exchanged and stored by a query.
-LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0, "c8_denoise_fallback": 6.0, "s4_clip_files": 7.0, "s4_long_clip_files": 7.0, "s1_s3_wav_files": 2.5, "k2_cut_clips": 6.5, "k2_long_pieces": 4.0}
+LIMITS = {"f16_features": 2.5, "f11_f16_features": 4.0, "c7_overlap_identity": 4.0, "c6_spectral_gate": 4.0, "c8_denoise_fallback": 6.0, "s4_clip_files": 7.0, "s4_long_clip_files": 7.0, "s1_s3_wav_files": 2.5, "k2_cut_clips": 6.5, "k2_long_pieces": 4.0, "e11_detect_segments": 6.0}
 
 
 @pytest.mark.parametrize("name", LIMITS)
