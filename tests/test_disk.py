@@ -1,13 +1,16 @@
 """What queries exchange and leave in the shared folder, in bytes a sample."""
 import os
+import pickle
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from nightwave.operators import chunks as ch
 from nightwave.plans import queries
+from nightwave.sources import catalogue, files
 from nightwave.sources.shared import shared_dir
 
 
@@ -66,3 +69,15 @@ def test_files_of_a_query_are_on_disk_a_share_at_a_time(spark, letters, monkeypa
     assert got == sorted(db.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLES[name]})").fetchall())
     assert len(files) > 2 and max(files) < 0.8 * sum(files[:len(files) // 2])
     assert not [d for d in os.listdir(shared_dir(spark).removeprefix("file:")) if d.startswith("wav-")]
+
+
+def test_the_driver_gets_no_list_of_files(spark, tmp_path):
+    rows = pa.RecordBatch.from_pylist([{"file": f"f{k}.wav", "sample_rate": 1000, "n_samples": 4, "samples": [ch.pack(np.zeros(4, np.float32))]} for k in range(300)],
+                                      schema=pa.schema([("file", pa.string()), ("sample_rate", pa.int32()), ("n_samples", pa.int64()), ("samples", pa.list_(pa.binary()))]))
+    folder = str(tmp_path / "out")
+    writer = files.WavWriter(folder)
+    told = writer.write(iter([rows]))
+    assert len(pickle.dumps(told)) < 1000 and len(told.files) == 300
+    writer.commit([told])
+    assert catalogue._named(folder) == [("", folder, folder, True)]
+    assert catalogue.catalogue(spark, folder).count() == 300
